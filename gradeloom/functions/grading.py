@@ -32,9 +32,10 @@ def parse_number(text: Column) -> Column:
     """The double a Python ``float()`` call reads from the text, NULL where it raises.
 
     A plain cast is both wider (it takes ``1d``) and narrower (no ``1_000``, no non-ASCII digits or
-    spaces), hence the check of the literal before it.
+    spaces), hence the check of the literal before it. Unlike ``strip``, ``float`` leaves the separators
+    U+001C..U+001F in place and fails on them.
     """
-    stripped = strip_space(text)
+    stripped = strip_space(text, r"\s")
     digits, ascii_digits = _unicode_digits()
     is_ascii = F.octet_length(stripped) == F.length(stripped)
     literal = F.when(is_ascii, stripped).otherwise(F.translate(stripped, digits, ascii_digits))
@@ -49,14 +50,17 @@ def parse_number(text: Column) -> Column:
 def grade_answer(predicted: Column, gold: Column, profile: str = "exact") -> Column:
     """Numeric equality within the tolerance when both sides are numbers, else equality of stripped strings.
 
-    ``nocase`` compares strings without regard to case. NaN and infinities never grade right.
+    ``nocase`` strips before it reads numbers and compares strings without regard to case. NaN and
+    infinities never grade right.
     """
     if profile not in ("exact", "nocase"):
         raise ValueError(f"unknown grading profile {profile!r}; known: exact, nocase")
     predicted, gold = F.coalesce(predicted, F.lit("")), F.coalesce(gold, F.lit(""))
-    a, b = parse_number(predicted), parse_number(gold)
     left, right = strip_space(predicted), strip_space(gold)
-    if profile == "nocase":
+    if profile == "exact":
+        a, b = parse_number(predicted), parse_number(gold)
+    else:
+        a, b = parse_number(left), parse_number(right)
         left, right = F.lower(left), F.lower(right)
     return F.when(a.isNotNull() & b.isNotNull(), F.abs(a - b) < F.lit(TOLERANCE)).otherwise(left == right)
 

@@ -9,14 +9,14 @@ from gradeloom.functions.patterns import JAVA_SPACE
 
 ASSISTANT_MARKER = "<|im_start|>assistant"
 
-# The look-behind lets a trailing run match only from its first character, so a long run of inner
-# whitespace costs linear time.
-_EDGES = rf"(?U)\A{JAVA_SPACE}+|(?<!{JAVA_SPACE}){JAVA_SPACE}++\z"
 
+def strip_space(text: Column, space: str = JAVA_SPACE) -> Column:
+    """Strip all Unicode whitespace from both ends (``trim`` removes the ASCII space only).
 
-def strip_space(text: Column) -> Column:
-    """Strip all Unicode whitespace from both ends (``trim`` removes the ASCII space only)."""
-    return F.regexp_replace(text, _EDGES, "")
+    The look-behind lets a trailing run match only from its first character, so a long run of inner
+    whitespace costs linear time.
+    """
+    return F.regexp_replace(text, rf"(?U)\A{space}+|(?<!{space}){space}++\z", "")
 
 
 def preview_text(text: Column, n: int) -> Column:
