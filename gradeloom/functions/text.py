@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gradeloom.functions.patterns import JAVA_SPACE
-
 ASSISTANT_MARKER = "<|im_start|>assistant"
 
 
-def strip_space(text: Column, space: str = JAVA_SPACE) -> Column:
-    """Strip all Unicode whitespace from both ends (``trim`` removes the ASCII space only).
+# The characters ``str.strip`` removes, and those among them that ``float`` accepts around a number.
+STRIP_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+FLOAT_SPACES = "".join(c for c in STRIP_SPACES if not "\x1c" <= c <= "\x1f")
+
 
-    The look-behind lets a trailing run match only from its first character, so a long run of inner
-    whitespace costs linear time.
-    """
-    return F.regexp_replace(text, rf"(?U)\A{space}+|(?<!{space}){space}++\z", "")
+def strip_space(text: Column, spaces: str = STRIP_SPACES) -> Column:
+    """Strip all Unicode whitespace from both ends (``trim`` alone removes the ASCII space only)."""
+    return F.btrim(text, F.lit(spaces))
 
 
 def preview_text(text: Column, n: int) -> Column:

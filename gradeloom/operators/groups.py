@@ -11,9 +11,9 @@ from gradeloom.operators.skew import with_group_values
 
 
 def group_advantage(df: DataFrame, by: Sequence[str] = ("sample_idx",), reward: str = "reward", *,
-                    hot_rows: int = 1_000_000) -> DataFrame:
+                    hot_rows: int = 1_000_000, store: bool = True) -> DataFrame:
     """Each generation's reward minus the mean reward of its group."""
-    means = with_group_values(df, by, {"group_mean": F.avg(reward)}, hot_rows=hot_rows)
+    means = with_group_values(df, by, {"group_mean": F.avg(reward)}, hot_rows=hot_rows, store=store)
     return means.withColumn("advantage", F.col(reward) - F.col("group_mean"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -28,21 +28,27 @@ def generate_responses(prompts: DataFrame, loader: Callable[[], Generate], param
     """The input rows with ``response`` and ``output_tokens``.
 
     ``loader`` runs once per task and returns the function that maps a list of prompts and the
-    parameters to responses and token counts; it is called with at most ``batch_size`` prompts. Only the
-    string lists cross into Python in Arrow batches. Generation is costly: write the result to a table
-    before grading it.
+    parameters to responses and token counts; it is called with at most ``batch_size`` prompts. Of the
+    Arrow batches only the prompt column becomes Python objects, all others pass through. Generation is
+    costly: write the result to a table before grading it.
     """
     schema = T.StructType(
         [*prompts.schema.fields, T.StructField("response", T.StringType()), T.StructField("output_tokens", T.IntegerType())]
     )
     settings, size = asdict(params), params.batch_size
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generate = loader()
-        for frame in frames:
-            for start in range(0, len(frame), size):
-                batch = frame.iloc[start : start + size]
-                responses, tokens = generate(batch[prompt].tolist(), settings)
-                yield batch.assign(response=list(responses), output_tokens=list(tokens))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
 
-    return prompts.mapInPandas(run, schema)
+        generate = loader()
+        for batch in batches:
+            texts = batch.column(prompt).to_pylist()
+            responses, tokens = [], []
+            for start in range(0, len(texts), size):
+                replies, counts = generate(texts[start : start + size], settings)
+                responses.extend(replies)
+                tokens.extend(counts)
+            arrays = [*batch.columns, pa.array(responses, pa.string()), pa.array(tokens, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "response", "output_tokens"])
+
+    return prompts.mapInArrow(run, schema)

@@ -11,12 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.functions.answers import pattern_capture
 from gradeloom.functions.grading import LONG_INPUT_TOKENS, flag_long_input
 from gradeloom.functions.patterns import ANSWER_PROFILES
-from gradeloom.functions.answers import pattern_capture
 from gradeloom.functions.prompts import SYSTEM_MARKER
 from gradeloom.operators.prefix import running_totals
 from gradeloom.operators.skew import with_group_values
+from gradeloom.sources.workdir import stored
 
 
 def _count_if(condition: Column) -> Column:
@@ -207,17 +208,22 @@ def compare_runs(graded: DataFrame, run_a, run_b, run: str = "run_id", key: str
     )
 
 
-def _counters(graded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return graded.groupBy(*keys).agg(
+def _running(graded: DataFrame, by: list[str], position: str, store: bool) -> DataFrame:
+    counters = graded.groupBy(*by, position).agg(
         F.count(F.lit(1)).alias("seen"), F.sum(F.col("correct").cast("long")).alias("right")
     )
+    return running_totals(stored(counters, "counters") if store else counters, by, position, ["seen", "right"])
 
 
-def running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",), index: str = "sample_idx") -> DataFrame:
-    """Accuracy in percent after each sample, in dataset order, one row per run and sample."""
+def running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",), index: str = "sample_idx", *,
+                     store: bool = True) -> DataFrame:
+    """Accuracy in percent after each sample, in dataset order, one row per run and sample.
+
+    The counters per sample are stored first, because the running totals read them three times and the
+    graded rows behind them may be costly.
+    """
     by = list(by)
-    totals = running_totals(_counters(graded, [*by, index]), by, index, ["seen", "right"])
-    return totals.select(
+    return _running(graded, by, index, store).select(
         *by,
         index,
         F.col("cum_seen").alias("seen"),
@@ -226,12 +232,12 @@ def running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",), index:
     )
 
 
-def running_accuracy_lagged(graded: DataFrame, by: Sequence[str] = ("run_id",), batch: str = "batch_id") -> DataFrame:
+def running_accuracy_lagged(graded: DataFrame, by: Sequence[str] = ("run_id",), batch: str = "batch_id", *,
+                            store: bool = True) -> DataFrame:
     """The progress value shown before a batch is graded: right answers so far over rows up to the batch end."""
     by = list(by)
-    totals = running_totals(_counters(graded, [*by, batch]), by, batch, ["seen", "right"])
     so_far = F.col("cum_right") - F.col("right")
-    return totals.select(
+    return _running(graded, by, batch, store).select(
         *by,
         batch,
         F.col("cum_seen").alias("batch_end"),
@@ -264,14 +270,15 @@ def batch_token_stats(df: DataFrame, by: Sequence[str] = ("run_id", "batch_id"))
     )
 
 
-def with_batch_padded_tokens(df: DataFrame, by: Sequence[str] = ("run_id", "batch_id")) -> DataFrame:
+def with_batch_padded_tokens(df: DataFrame, by: Sequence[str] = ("run_id", "batch_id"), *,
+                             store: bool = True) -> DataFrame:
     """Token counts replaced by those of the padded batch a row was generated in.
 
     In padded batch generation every row is as long as the longest of its batch, so one long reply
     marks its whole batch as truncated.
     """
     padded = with_group_values(
-        df, by, {"_padded_in": F.max("input_tokens"), "_padded_out": F.max("output_tokens")}
+        df, by, {"_padded_in": F.max("input_tokens"), "_padded_out": F.max("output_tokens")}, store=store
     )
     return padded.withColumns({"input_tokens": F.col("_padded_in"), "output_tokens": F.col("_padded_out")}).select(
         *df.columns

@@ -13,10 +13,9 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, values: Sequenc
     """Inclusive running totals ``cum_<value>`` of each run in the order of an integer column.
 
     The input holds one row per ``(by, order)``. Rows are summed inside blocks of the order column, the
-    block totals inside blocks of blocks, and only those few second-level totals are ordered per run;
-    with the default block one window partition holds at most 65,536 rows up to four billion rows per
-    block of blocks, however large a single run is. All blocks are ranges of values, so a recomputed
-    task finds the same ones.
+    block totals inside groups of blocks, and only the group totals are ordered per run. No window
+    partition holds more than ``block`` rows as long as a run has fewer than ``block`` cubed positions
+    (2.8e14 by default). Blocks are ranges of values, so a recomputed task finds the same ones.
     """
     by = list(by)
     sums = [F.sum(v).alias(v) for v in values]

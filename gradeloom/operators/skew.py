@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.sources.workdir import stored
+
 HOT_GROUPS = 1000  # at most this many of the largest groups are broadcast
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], *,
-                      hot_rows: int = 1_000_000) -> DataFrame:
+                      hot_rows: int = 1_000_000, store: bool = True) -> DataFrame:
     """Each row with aggregates of its group, NULL keys forming a group of their own.
 
     A window over the group would bring a whole group into one task. Here the aggregates come from a
@@ -20,8 +22,12 @@ def with_group_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, C
     fixed bound) are joined by broadcast where their rows lie; all others, of which none holds more
     than one in ``HOT_GROUPS`` of the rows unless it is below ``hot_rows``, take a shuffle join. With
     no large group, adaptive execution finds the broadcast empty and drops that branch.
+
+    The rows are read more than once, so they are stored first; pass only the columns needed, and
+    ``store=False`` for rows that come straight from a table.
     """
     keys = list(keys)
+    df = stored(df, "rows") if store else df
     stats = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_group_rows"), *[v.alias(name) for name, v in values.items()]
     )

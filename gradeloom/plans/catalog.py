@@ -176,7 +176,7 @@ def extract_system_prompt(spark, sf_dir):
 @query
 def preview_text(spark, sf_dir):
     previews = [text.preview_text(F.col("text"), n).alias(f"first_{n}") for n in (80, 100, 150, 200, 500, 1000)]
-    return derived.table(spark, sf_dir, "documents").select("doc_id", *previews)
+    return derived.documents(spark, sf_dir).select("doc_id", *previews)
 
 
 @query
@@ -212,7 +212,7 @@ def extract_answer(spark, sf_dir):
 @query
 def extract_answer_documents(spark, sf_dir):
     document = F.col("text")
-    return derived.table(spark, sf_dir, "documents").select(
+    return derived.documents(spark, sf_dir).select(
         "doc_id", *[answers.extract_answer(document, p).alias(p) for p in ("full", "plain", "compare")]
     )
 
@@ -375,7 +375,7 @@ def pattern_coverage(spark, sf_dir):
 
 @query
 def pattern_coverage_documents(spark, sf_dir):
-    report = metrics.pattern_coverage(derived.table(spark, sf_dir, "documents"), "text", "full")
+    report = metrics.pattern_coverage(derived.documents(spark, sf_dir), "text", "full")
     return report.select("pattern", "matched", "first_hit", _r6("matched_pct"), _r6("first_hit_pct"))
 
 

@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when a scan has fewer tasks than there are cores; larger scans stay as they are.
+
+    A table of one small file is read by one task, which would then do all the work per row alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(value: Column) -> Column:
     return value.cast("string")
 
@@ -38,9 +47,8 @@ def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("#### "), sign, total))
     )
     question = F.concat(F.lit("Order "), _text(key), F.lit(": what is "), a, F.lit(" plus "), b, F.lit("?"))
-    return table(spark, sf_dir, "orders").select(
-        key.alias("sample_idx"), question.alias("question"), answer.alias("answer")
-    )
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    return orders.select(key.alias("sample_idx"), question.alias("question"), answer.alias("answer"))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +70,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         response = response.when(shape == i, reply)
     response = response.otherwise(F.concat(F.lit("\\boxed{\\frac{"), p, F.lit("}{2}}")))
     config = F.element_at(F.array(*[F.lit(c) for c in RUN_CONFIGS]), gen % 3 + 1)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     gens = F.explode(F.array(*[F.lit(g) for g in range(GENERATIONS)])).alias("gen")
     return orders.select("*", gens).select(
         key.alias("sample_idx"),
@@ -118,6 +126,11 @@ def logps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, text``: whole document texts."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conv_id, turn, messages``: every conversation turn as a message list of its own."""
     message = F.struct("role", F.col("text").alias("content"))

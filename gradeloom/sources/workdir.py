@@ -34,3 +34,13 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark) + "/gradeloom")
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to a Parquet table in the shared folder and read from there.
+
+    For input that several passes need: it is computed once, and a lost executor costs a re-read.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
