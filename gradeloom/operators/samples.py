@@ -77,7 +77,7 @@ def join_gold(responses: DataFrame, qa: DataFrame, key: str = "sample_idx") -> D
     """Each response beside its question and gold answer.
 
     A plain equi-join: both sides reach it through their own exchange, so adaptive execution may
-    broadcast a side found small enough at run time, and may split a sample that holds a large share
-    of all responses.
+    broadcast a side found small enough at run time, and splits a sample that holds a large share of
+    all responses. See ``gradeloom.session.tune`` for a grouping by sample that follows the join.
     """
     return responses.join(qa, key)

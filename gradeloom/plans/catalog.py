@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions import answers, grading, prompts, rewards, text
 from gradeloom.operators import groups, indexing, inference, metrics, resources, samples, tables
 from gradeloom.plans.evaluation import MAX_NEW_TOKENS, grade_responses
+from gradeloom.session import tune
 from gradeloom.sources import derived, qa as qa_source, writers
 from gradeloom.sources.workdir import new_path
 from gradeloom.streaming import drain, live
@@ -27,8 +29,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register a query under its function name, run under the session settings of the package."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(tune(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _r6(name: str) -> Column:
