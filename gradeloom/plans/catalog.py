@@ -84,6 +84,8 @@ def read_qa_arrow(spark, sf_dir):
 
 def write_shards(df: DataFrame, folder: str) -> None:
     """Arrow stream shards as readers expect them, one per task; a retried task replaces its shard."""
+    if "://" in folder:
+        raise ValueError(f"Arrow shards need a mounted path, not {folder}")
     os.makedirs(folder, exist_ok=True)
 
     def write(batches):

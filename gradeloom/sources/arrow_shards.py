@@ -7,9 +7,9 @@ import os
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-# Shard file names inside a split folder, default bytes per task.
-SHARD_PATTERN = "data-*.arrow"
-SPLIT_BYTES = 128 * 1024 * 1024
+SHARD_PATTERN = "data-*.arrow"  # fixed value: shard file names inside a split folder
+SPLIT_BYTES = 128 * 1024 * 1024  # bytes per task
+MAX_SLICES = 1000  # tasks per shard: each walks the batch headers ahead of its slice
 
 
 class ShardSlice(InputPartition):
@@ -29,7 +29,8 @@ class ArrowShardReader(DataSourceReader):
         slices = []
         for path in shard_paths(self.path):
             size = os.path.getsize(path)
-            slices += [ShardSlice(path, s, s + self.split_bytes) for s in range(0, max(size, 1), self.split_bytes)]
+            step = max(self.split_bytes, -(-size // MAX_SLICES))
+            slices += [ShardSlice(path, start, start + step) for start in range(0, max(size, 1), step)]
         return slices
 
     def read(self, partition):

@@ -9,13 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_training_jsonl(rows: DataFrame, path: str, *, mode: str = "errorifexists", single_file: bool = False) -> None:
-    """One JSON object per line, non-ASCII text unescaped: a folder of part files.
-
-    ``single_file`` gathers the rows in one task for tools that take one file; leave it off for large
-    tables.
-    """
-    rows = rows.coalesce(1) if single_file else rows
+def write_training_jsonl(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+    """One JSON object per line, non-ASCII text unescaped: a folder of part files written in parallel."""
     rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 

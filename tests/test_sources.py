@@ -85,7 +85,7 @@ def test_index_by_order_spreads_a_hot_key(spark, tmp_path):
 def test_jsonl_keeps_text_unescaped(spark, tmp_path):
     df = spark.createDataFrame([("答案是 é \"x\"\n", "7"), (None, "8")], "q string, solution string")
     rows = df.select(build_messages(F.col("q")).alias("messages"), "solution")
-    write_training_jsonl(rows, str(tmp_path / "out"), single_file=True)
+    write_training_jsonl(rows.coalesce(1), str(tmp_path / "out"))
     (part,) = [f for f in os.listdir(tmp_path / "out") if f.startswith("part-")]
     text = (tmp_path / "out" / part).read_text(encoding="utf-8")
     assert "答案是 é" in text
