@@ -21,18 +21,30 @@ def _last_match(text: Column, regex: str, group: int) -> Column:
     return F.try_element_at(F.regexp_extract_all(text, F.lit(regex), F.lit(group)), F.lit(-1))
 
 
+def _first_hit(text: Column, names: list[str], otherwise: Column) -> Column:
+    for name in reversed(names):
+        regex = answer_regex(name)
+        otherwise = F.when(F.rlike(text, F.lit(regex)), F.regexp_extract(text, regex, 1)).otherwise(otherwise)
+    return otherwise
+
+
 def extract_answer(text: Column, profile: str = "full") -> Column:
     """First pattern of the profile that hits, else the last number, else the profile's sentinel.
 
-    Each branch of the ``CASE`` is evaluated only when those before it missed, so a text pays for the
-    patterns up to its first hit and no further.
+    ``CASE`` branches are evaluated only as far as needed, and two guards skip whole groups of patterns
+    without changing the outcome: every boxed form contains a match of the plain boxed pattern, and all
+    other patterns need a digit.
     """
-    last_number = F.coalesce(_last_match(text, gold_regex(NUMBER), 0), F.lit(NO_ANSWER[profile]))
-    regexes = [answer_regex(name) for name in ANSWER_PROFILES[profile]]
-    cascade = F.when(F.rlike(text, F.lit(regexes[0])), F.regexp_extract(text, regexes[0], 1))
-    for regex in regexes[1:]:
-        cascade = cascade.when(F.rlike(text, F.lit(regex)), F.regexp_extract(text, regex, 1))
-    return cascade.otherwise(last_number)
+    names, sentinel = ANSWER_PROFILES[profile], F.lit(NO_ANSWER[profile])
+    boxed = [name for name in names if name.startswith("boxed")]
+    number = F.coalesce(_last_match(text, gold_regex(NUMBER), 0), sentinel)
+    answer = _first_hit(text, [name for name in names if name not in boxed], number)
+    answer = F.when(F.rlike(text, F.lit(gold_regex(r"\d"))), answer).otherwise(sentinel)
+    if boxed:
+        plain = answer_regex("boxed_plain")
+        in_box = _first_hit(text, [name for name in boxed if name != "boxed_plain"], F.regexp_extract(text, plain, 1))
+        answer = F.when(F.rlike(text, F.lit(plain)), in_box).otherwise(answer)
+    return answer
 
 
 def pattern_capture(text: Column, name: str) -> Column:
