@@ -20,21 +20,25 @@ class GenerationParams:
     top_p: float = 1.0
 
 
-Generate = Callable[[Sequence[str], dict], tuple[Sequence[str], Sequence[int]]]
+# (prompts, parameters) -> (responses, input token counts, output token counts)
+Generate = Callable[[Sequence[str], dict], tuple[Sequence[str], Sequence[int], Sequence[int]]]
 
 
 def generate_responses(prompts: DataFrame, loader: Callable[[], Generate], params: GenerationParams = GenerationParams(),
                        prompt: str = "prompt") -> DataFrame:
-    """The input rows with ``response`` and ``output_tokens``.
+    """The input rows with ``response``, ``input_tokens`` and ``output_tokens``.
 
     ``loader`` runs once per task and returns the function that maps a list of prompts and the
-    parameters to responses and token counts; it is called with at most ``batch_size`` prompts. Of the
+    parameters to responses, input and output token counts; it is called with at most ``batch_size`` prompts. Of the
     Arrow batches only the prompt column becomes Python objects, all others pass through. Generation is
     costly: write the result to a table before grading it.
     """
-    schema = T.StructType(
-        [*prompts.schema.fields, T.StructField("response", T.StringType()), T.StructField("output_tokens", T.IntegerType())]
-    )
+    added = [
+        T.StructField("response", T.StringType()),
+        T.StructField("input_tokens", T.IntegerType()),
+        T.StructField("output_tokens", T.IntegerType()),
+    ]
+    schema = T.StructType([*prompts.schema.fields, *added])
     settings, size = asdict(params), params.batch_size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,12 +47,12 @@ def generate_responses(prompts: DataFrame, loader: Callable[[], Generate], param
         generate = loader()
         for batch in batches:
             texts = batch.column(prompt).to_pylist()
-            responses, tokens = [], []
+            results: tuple[list, list, list] = ([], [], [])
             for start in range(0, len(texts), size):
-                replies, counts = generate(texts[start : start + size], settings)
-                responses.extend(replies)
-                tokens.extend(counts)
-            arrays = [*batch.columns, pa.array(responses, pa.string()), pa.array(tokens, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "response", "output_tokens"])
+                for result, part in zip(results, generate(texts[start : start + size], settings), strict=True):
+                    result.extend(part)
+            types = (pa.string(), pa.int32(), pa.int32())
+            arrays = [*batch.columns, *[pa.array(result, type_) for result, type_ in zip(results, types)]]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     return prompts.mapInArrow(run, schema)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions import answers, grading, prompts, rewards, text
 from gradeloom.operators import groups, indexing, inference, metrics, resources, samples, tables
+from gradeloom.plans import evaluation
 from gradeloom.plans.evaluation import MAX_NEW_TOKENS, grade_responses
 from gradeloom.session import tune
 from gradeloom.sources import derived, qa as qa_source, writers
@@ -530,13 +531,34 @@ def generate_responses(spark, sf_dir):
 
         def generate(batch, params):
             replies = [f"Answer: {len(p)}" for p in batch]
-            return replies, [min(len(r), params["max_new_tokens"]) for r in replies]
+            return replies, [len(p) for p in batch], [min(len(r), params["max_new_tokens"]) for r in replies]
 
         return generate
 
     return inference.generate_responses(expanded.select("sample_idx", "config", "prompt"), load)
 
 
+@query
+def run_evaluation(spark, sf_dir):
+    def load():
+        """A stand-in model that adds the two numbers of the question, one token per character."""
+
+        import re
+
+        def generate(batch, params):
+            terms = [re.search(r"what is (\d+) plus (\d+)", p).groups() for p in batch]
+            replies = [f"The answer: {int(a) + int(b)}" for a, b in terms]
+            return replies, [len(p) for p in batch], [min(len(r), params["max_new_tokens"]) for r in replies]
+
+        return generate
+
+    params = inference.GenerationParams(max_new_tokens=14)
+    graded = evaluation.run_evaluation(derived.qa(spark, sf_dir), load, CONFIGS, params)
+    summary = metrics.eval_summary(graded, by=("config",))
+    counts = ["total_samples", "correct_count", "incorrect_count", "truncated_count"]
+    return summary.select("config", *counts, _r6("accuracy"))
+
+
 # --- streaming ---
 
 

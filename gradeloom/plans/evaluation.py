@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.functions.answers import extract_answer, extract_gold
 from gradeloom.functions.grading import flag_truncated, grade_answer
 from gradeloom.functions.rewards import reward_accuracy
-from gradeloom.operators.samples import join_gold
+from gradeloom.operators.inference import Generate, GenerationParams, generate_responses
+from gradeloom.operators.samples import expand_configs, join_gold
+from gradeloom.sources.workdir import stored
 
 MAX_NEW_TOKENS = 250
 
@@ -34,3 +38,15 @@ def grade_responses(responses: DataFrame, qa: DataFrame, *, answer_profile: str
         }
     )
     return graded.withColumn("reward", reward_accuracy(F.col("correct")))
+
+
+def run_evaluation(qa: DataFrame, loader: Callable[[], Generate], templates: list[str] | None = None,
+                   params: GenerationParams = GenerationParams(), **profiles: str) -> DataFrame:
+    """Graded rows of every sample under every prompt template.
+
+    The generated rows are stored before they are grading input: generation is the expensive step, and
+    no later action, retry or lost executor may repeat it.
+    """
+    prompts = expand_configs(qa.select("sample_idx", "question"), templates)
+    generated = stored(generate_responses(prompts, loader, params).withColumn("gen", F.lit(0)), "generated")
+    return grade_responses(generated.drop("question"), qa, max_new_tokens=params.max_new_tokens, **profiles)

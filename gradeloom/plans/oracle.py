@@ -295,7 +295,14 @@ select sample_idx, gen, reward, round(mean, 6) as group_mean, round(reward - mea
  worst_response as rejected from ends join qa using (sample_idx) where best_reward > worst_reward""",
     "build_reward_rows": f"with {_GRADED} select sample_idx, gen, question as prompt, response, reward from graded",
     "generate_responses": f"""with {_QA}, p as ({_CONFIG_ROWS}) select *, 'Answer: ' || cast(length(prompt) as varchar) as response,
+ cast(length(prompt) as integer) as input_tokens,
  cast(length('Answer: ' || cast(length(prompt) as varchar)) as integer) as output_tokens from p""",
+    "run_evaluation": f"""with {_QA}, replies as (select q.*, o_custkey % 97 + o_orderkey % 13 as total,
+ {_gold('q.answer', 'basic')} as gold from qa q join orders on sample_idx = o_orderkey),
+c as (select count(*) as total_samples, count(*) filter (where coalesce(abs(try_cast(gold as double) - total) < 0.001, false)) as correct_count,
+ count(*) filter (where length('The answer: ' || cast(total as varchar)) >= 14) as truncated_count from replies)
+select config, total_samples, correct_count, total_samples - correct_count as incorrect_count, truncated_count,
+ {_ACCURACY.format(n='total_samples')} from c, unnest(['no_system', 'standard', 'cot']) as t(config)""",
     "stream_running_accuracy": """with c as (select user_id % 5 as run_id, count(*) as seen, count(*) filter (where value > 10) as
  correct_so_far from events group by 1) select *, round(correct_so_far * 100.0::double / seen, 6) as accuracy from c""",
     "stream_resource_windows": f"""with {_SAMPLES} select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as window_start, config,

@@ -21,11 +21,11 @@ def available_splits(spark: SparkSession, path: str) -> list[str]:
     return sorted(row["split"] for row in files.select(folder.alias("split")).distinct().collect())
 
 
-def read_qa(spark: SparkSession, path: str, split: str = "test", fmt: str = "parquet", *,
+def read_qa(spark: SparkSession, path: str, split: str | None = "test", fmt: str = "parquet", *,
             with_index: bool = False) -> DataFrame:
     """One split with canonical ``question`` and ``answer`` columns.
 
-    A folder is named ``<split>`` or ``split=<split>``. An unknown split is an error that names the
+    A folder is named ``<split>`` or ``split=<split>``; ``None`` reads a dataset without splits. An unknown split is an error that names the
     ones there are; nothing is substituted for data that cannot be loaded. ``with_index`` adds a dense
     ``sample_idx`` in storage order (Parquet and Arrow).
     """
@@ -33,9 +33,10 @@ def read_qa(spark: SparkSession, path: str, split: str = "test", fmt: str = "par
         raise ValueError(f"unknown format {fmt!r}; known: {', '.join(FORMATS)}")
     if with_index and fmt == "json":
         raise ValueError("JSON rows carry no position; use index_by_order on a key, or store the data as Parquet")
-    for folder in (split, f"split={split}"):
+    root = path.rstrip("/")
+    for folder in [root] if split is None else [f"{root}/{split}", f"{root}/split={split}"]:
         try:
-            df = _load(spark, f"{path.rstrip('/')}/{folder}", fmt, with_index)
+            df = _load(spark, folder, fmt, with_index)
             break
         except (AnalysisException, FileNotFoundError) as error:
             if isinstance(error, AnalysisException) and error.getCondition() != "PATH_NOT_FOUND":

@@ -161,7 +161,7 @@ def test_generation_batches(spark):
         def generate(prompts, params):
             loads["n"] += 1
             assert len(prompts) <= params["batch_size"] == 4
-            return [f"{p}|{params['temperature']}" for p in prompts], [len(p) for p in prompts]
+            return [f"{p}|{params['temperature']}" for p in prompts], [1] * len(prompts), [len(p) for p in prompts]
 
         return generate
 

@@ -12,7 +12,7 @@ from gradeloom.session import tune
 from gradeloom.sources import derived
 
 ACTIONS = {"read_qa", "read_qa_json", "read_qa_arrow", "write_training_jsonl", "write_eval_results"}
-PYTHON = {"read_qa_arrow", "generate_responses"}
+PYTHON = {"generate_responses"}
 
 
 def plan(df) -> str:

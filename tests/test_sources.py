@@ -42,6 +42,7 @@ def test_parquet_and_json_splits(spark, tmp_path):
     df.write.json(str(tmp_path / "j" / "split=test"))
     assert read_qa(spark, str(tmp_path / "p"), "train").count() == 1000
     assert read_qa(spark, str(tmp_path / "j"), "test", "json").count() == 1000
+    assert read_qa(spark, str(tmp_path / "p" / "train"), None).count() == 1000
     indexed = read_qa(spark, str(tmp_path / "p"), "train", with_index=True)
     assert sorted(r["sample_idx"] for r in indexed.collect()) == list(range(1000))
     with pytest.raises(ValueError, match="available: train"):
