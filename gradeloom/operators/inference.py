@@ -30,8 +30,9 @@ def generate_responses(prompts: DataFrame, loader: Callable[[], Generate], param
 
     ``loader`` runs once per task and returns the function that maps a list of prompts and the
     parameters to responses, input and output token counts; it is called with at most ``batch_size`` prompts. Of the
-    Arrow batches only the prompt column becomes Python objects, all others pass through. Generation is
-    costly: write the result to a table before grading it.
+    Arrow batches only the prompt column becomes Python objects, all others pass through. A loader defined
+    in a module of its own needs that module on the executors (``spark.addArtifacts`` or ``--py-files``).
+    Generation is costly: write the result to a table before grading it.
     """
     added = [
         T.StructField("response", T.StringType()),

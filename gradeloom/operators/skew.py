@@ -23,14 +23,15 @@ def with_group_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, C
     than one in ``HOT_GROUPS`` of the rows unless it is below ``hot_rows``, take a shuffle join. With
     no large group, adaptive execution finds the broadcast empty and drops that branch.
 
-    The rows are read more than once, so they are stored first; pass only the columns needed, and
-    ``store=False`` for rows that come straight from a table.
+    Rows and group aggregates are read more than once, so both are stored first; pass only the columns
+    needed. ``store=False`` keeps the plan lazy, for rows that come straight from a table.
     """
     keys = list(keys)
     df = stored(df, "rows") if store else df
     stats = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_group_rows"), *[v.alias(name) for name, v in values.items()]
     )
+    stats = stored(stats, "groups") if store else stats
     hot = stats.where(F.col("_group_rows") > hot_rows).orderBy(F.desc("_group_rows")).limit(HOT_GROUPS)
     same_group = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     columns = [*df.columns, *values]
