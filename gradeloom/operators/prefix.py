@@ -19,9 +19,9 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, values: Sequenc
     """
     by = list(by)
     sums = [F.sum(v).alias(v) for v in values]
-    in_block = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)).cast("long"))
+    in_block = df.withColumn("_block", F.expr(f"`{order}` div {int(block)}"))
     blocks = in_block.groupBy(*by, "_block").agg(*sums)
-    in_group = blocks.withColumn("_group", F.floor(F.col("_block") / F.lit(block)).cast("long"))
+    in_group = blocks.withColumn("_group", F.expr(f"_block div {int(block)}"))
     groups = in_group.groupBy(*by, "_group").agg(*sums)
 
     def before(keys: list[str], position: str):

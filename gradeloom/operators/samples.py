@@ -64,11 +64,10 @@ def expand_configs(samples: DataFrame, templates: list[str] | None = None) -> Da
 
 def assign_batches(df: DataFrame, batch_size: int = 32, index: str = "sample_idx") -> DataFrame:
     """``batch_id`` and position in the batch, from a dense index."""
-    idx = F.col(index)
     return df.withColumns(
         {
-            "batch_id": F.floor(idx / F.lit(batch_size)).cast("long"),
-            "batch_pos": (idx % F.lit(batch_size)).cast("int"),
+            "batch_id": F.expr(f"`{index}` div {int(batch_size)}"),
+            "batch_pos": (F.col(index) % F.lit(batch_size)).cast("int"),
         }
     )
 

@@ -348,7 +348,10 @@ def compare_side_by_side(spark, sf_dir):
 
 @query
 def compare_runs(spark, sf_dir):
-    compared = metrics.compare_runs(_graded(spark, sf_dir), 0, 1)
+    # Two runs over all generations: even ones before, odd ones after, two samples per question.
+    sample = (F.col("sample_idx") * 2 + F.floor(F.col("gen") / 2)).alias("sample_idx")
+    runs = _graded(spark, sf_dir).select(sample, (F.col("gen") % 2).alias("run_id"), "correct")
+    compared = metrics.compare_runs(runs, 0, 1)
     counts = ["n_samples", "correct_a", "correct_b", "fixed", "broken", "both", "neither"]
     return compared.select(*counts, _r6("accuracy_a"), _r6("accuracy_b"), _r6("lift"))
 

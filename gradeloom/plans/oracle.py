@@ -229,7 +229,7 @@ from logps group by run_id""",
     "join_gold": f"with {_QA}, {_RESPONSES} select sample_idx, gen, question, answer, response from responses join qa using (sample_idx)",
     "compare_side_by_side": f"with {_GRADED} select sample_idx, max(ground_truth) as ground_truth, {_SIDE} from graded group by sample_idx",
     "compare_runs": f"""with {_GRADED}, paired as (select a.correct as a, b.correct as b from graded a join graded b
- on a.sample_idx = b.sample_idx and a.run_id = 0 and b.run_id = 1)
+ on a.sample_idx = b.sample_idx and a.gen // 2 = b.gen // 2 and a.gen % 2 = 0 and b.gen % 2 = 1)
 select count(*) as n_samples, count(*) filter (where a) as correct_a, count(*) filter (where b) as correct_b,
  count(*) filter (where not a and b) as fixed, count(*) filter (where a and not b) as broken,
  count(*) filter (where a and b) as both, count(*) filter (where not a and not b) as neither,

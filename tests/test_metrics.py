@@ -36,6 +36,11 @@ def test_running_totals_equal_a_plain_window(graded, block):
     assert rows_of(running_totals(df, ["run_id"], "sample_idx", ["n", "c"], block=block)) == rows_of(want)
 
 
+def test_batch_ids_are_exact_for_large_indexes(spark):
+    df = spark.createDataFrame([(2**60 + 31,), (2**60 + 32,)], "sample_idx bigint")
+    assert [r["batch_id"] for r in samples.assign_batches(df, 32).collect()] == [2**55, 2**55 + 1]
+
+
 def test_running_accuracy_ends_at_the_summary(graded):
     running = metrics.running_accuracy(graded)
     last = running.groupBy("run_id").agg(F.max_by("accuracy", "sample_idx"))
