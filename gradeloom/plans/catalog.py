@@ -57,8 +57,11 @@ def _qa_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _read_both(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    parts = [qa_source.read_qa(spark, path, s, fmt).select(F.lit(s).alias("split"), "question", "answer") for s in ("train", "test")]
-    return parts[0].unionByName(parts[1])
+    def read(split: str) -> DataFrame:
+        rows = qa_source.read_qa(spark, path, split, fmt, columns=("question", "answer"))
+        return rows.select(F.lit(split).alias("split"), "question", "answer")
+
+    return read("train").unionByName(read("test"))
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +24,13 @@ def available_splits(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_qa(spark: SparkSession, path: str, split: str | None = "test", fmt: str = "parquet", *,
-            with_index: bool = False) -> DataFrame:
+            with_index: bool = False, columns: Sequence[str] = ()) -> DataFrame:
     """One split with canonical ``question`` and ``answer`` columns.
 
     A folder is named ``<split>`` or ``split=<split>``; ``None`` reads a dataset without splits. An unknown split is an error that names the
     ones there are; nothing is substituted for data that cannot be loaded. ``with_index`` adds a dense
-    ``sample_idx`` in storage order (Parquet and Arrow).
+    ``sample_idx`` in storage order (Parquet and Arrow). For JSON, ``columns`` names the text columns to
+    read; without it their inference costs a pass over the whole data.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; known: {', '.join(FORMATS)}")
@@ -36,7 +39,7 @@ def read_qa(spark: SparkSession, path: str, split: str | None = "test", fmt: str
     root = path.rstrip("/")
     for folder in [root] if split is None else [f"{root}/{split}", f"{root}/split={split}"]:
         try:
-            df = _load(spark, folder, fmt, with_index)
+            df = _load(spark, folder, fmt, with_index, columns)
             break
         except (AnalysisException, FileNotFoundError) as error:
             if isinstance(error, AnalysisException) and error.getCondition() != "PATH_NOT_FOUND":
@@ -47,7 +50,7 @@ def read_qa(spark: SparkSession, path: str, split: str | None = "test", fmt: str
     return index_by_storage(qa, "_unit", "_row") if with_index else qa
 
 
-def _load(spark: SparkSession, folder: str, fmt: str, with_index: bool) -> DataFrame:
+def _load(spark: SparkSession, folder: str, fmt: str, with_index: bool, columns: Sequence[str]) -> DataFrame:
     if fmt == "arrow":
         arrow_shards.shard_paths(folder)
         # The reader travels to the workers by value: they need no installed copy of the package.
@@ -57,7 +60,10 @@ def _load(spark: SparkSession, folder: str, fmt: str, with_index: bool) -> DataF
         if with_index:
             return df.withColumnsRenamed({"shard": "_unit", "shard_row": "_row"})
         return df.drop("shard", "shard_row")
-    df = spark.read.format(fmt).load(folder)
+    reader = spark.read.format(fmt)
+    if fmt == "json" and columns:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+    df = reader.load(folder)
     if not with_index:
         return df
     return df.select("*", F.col("_metadata.file_path").alias("_unit"), F.col("_metadata.row_index").alias("_row"))

@@ -43,6 +43,8 @@ def test_parquet_and_json_splits(spark, tmp_path):
     assert read_qa(spark, str(tmp_path / "p"), "train").count() == 1000
     assert read_qa(spark, str(tmp_path / "j"), "test", "json").count() == 1000
     assert read_qa(spark, str(tmp_path / "p" / "train"), None).count() == 1000
+    named = read_qa(spark, str(tmp_path / "j"), "test", "json", columns=["question", "answer"])
+    assert sorted(tuple(r) for r in named.collect()) == sorted(ROWS)
     indexed = read_qa(spark, str(tmp_path / "p"), "train", with_index=True)
     assert sorted(r["sample_idx"] for r in indexed.collect()) == list(range(1000))
     with pytest.raises(ValueError, match="available: train"):
