@@ -161,12 +161,15 @@ def block_ids(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return ids, total[np.concatenate(([0], np.cumsum(block.n_pieces)))]
 
 
-def encoded_blocks(docs: DataFrame, encode: Callable[[list[bytes]], list[list[int]]], schema: str, finish: Callable[[list, np.ndarray, np.ndarray], pa.RecordBatch]) -> DataFrame:
-    """What ``finish`` makes from ids of texts, the token ids of a block and the borders of the texts in them."""
+def encoded_blocks(docs: DataFrame, encode: Callable[[list[bytes]], list[list[int]]], schema: str, finish: Callable[[int, list, np.ndarray, np.ndarray], pa.RecordBatch]) -> DataFrame:
+    """What ``finish`` makes from a block's number, its texts' ids, its token ids and the borders of the texts in them.
+
+    Blocks keep the order of rows and partitions.
+    """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shares = blocks(narrow, pre_tokens)
     answers = answer_buckets(shares, ["sizes", "ids"], encode_words(encode))
-    return put_back(shares, answers, schema, lambda block: finish(block.doc_ids, *block_ids(block)))
+    return put_back(shares, answers, schema, lambda block: finish(block.number, block.doc_ids, *block_ids(block)))
 
 
 def little_endian(ids: np.ndarray) -> np.ndarray:
@@ -181,7 +184,7 @@ def _digests(values: np.ndarray, borders: np.ndarray) -> list[str]:
 def encode_and_decode(docs: DataFrame, ranks: bytes, keep_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``): what is encoded is decoded again from its ids alone."""
 
-    def finish(doc_ids: list, ids: np.ndarray, borders: np.ndarray) -> pa.RecordBatch:
+    def finish(_: int, doc_ids: list, ids: np.ndarray, borders: np.ndarray) -> pa.RecordBatch:
         sizes = np.diff(token_table(ranks)[1])[ids]
         decoded = decode(ids, ranks)
         byte_borders = np.concatenate(([0], np.cumsum(sizes)))[borders]

@@ -172,6 +172,7 @@ def answer_buckets(shares: DataFrame, names: list[str], answer: Callable[[Bucket
 class Block:
     """A block with its answers: ``slots`` of all positions, ``shares`` of the answers, ``place`` of each slot in them."""
 
+    number: int
     doc_ids: list
     n_pieces: np.ndarray
     slots: np.ndarray
@@ -198,7 +199,7 @@ def put_back(shares: DataFrame, answers: DataFrame, schema: str, finish: Callabl
         def flush() -> Iterator[pa.RecordBatch]:
             if head is not None:
                 order = np.argsort(unpack(head["buckets"]), kind="stable")
-                yield finish(Block(head["doc_ids"], np.array(head["n_pieces"], np.int64), unpack(head["slots"]), order, held))
+                yield finish(Block(head["block"], head["doc_ids"], np.array(head["n_pieces"], np.int64), unpack(head["slots"]), order, held))
 
         for batch in batches:
             for k in range(batch.num_rows):

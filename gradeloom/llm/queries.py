@@ -8,9 +8,10 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeloom.llm import bpe, decontaminate, near_dup, quality, suffix_tree, toxicity
+from gradeloom.llm import bpe, decontaminate, near_dup, quality, suffix_tree, token_files, toxicity
 from gradeloom.llm.twins import TWINS  # noqa: F401
 from gradeloom.session import tune
+from gradeloom.sources.workdir import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,3 +59,11 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks)
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    path = new_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer, path, end_id=2)
+    return token_files.read_token_files(spark, path)
