@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeloom.llm import bpe, chat, decontaminate, near_dup, quality, suffix_tree, token_files, toxicity, urls
+from gradeloom.llm import bpe, chat, decontaminate, licenses, near_dup, quality, suffix_tree, token_files, toxicity, urls
 from gradeloom.llm.twins import TWINS  # noqa: F401
 from gradeloom.session import tune
 from gradeloom.sources.workdir import new_path
@@ -80,3 +80,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
