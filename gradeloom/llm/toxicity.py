@@ -118,9 +118,9 @@ def in_training(id_col: str = "doc_id", folds: int = 5):
 def _sample(docs: DataFrame, labels: DataFrame, max_positives: int, max_unlabelled: int) -> DataFrame:
     """``positive, text`` of a bounded, repeatable choice of confirmed positives and of unlabelled rows."""
     known = labels.where((F.col("toxic") == 1) & F.col("doc_id").isNotNull() & in_training())
-    positives = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_positives)
-    others = docs.where(F.col("doc_id").isNotNull() & in_training()).select("doc_id").distinct()
-    unlabelled = others.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(max_unlabelled)
+    positives = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_positives).distinct()
+    others = docs.where(F.col("doc_id").isNotNull() & in_training()).select("doc_id")
+    unlabelled = others.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(max_unlabelled).distinct()
     ids = positives.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
     texts = docs.join(F.broadcast(ids), "doc_id")  # at most max_positives + max_unlabelled ids
     return texts.groupBy("doc_id", "positive").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))

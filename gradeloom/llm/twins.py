@@ -39,7 +39,23 @@ select n.doc_id, cast(max(n.n) as bigint) as n_shingles, min(root) as component_
 from n join reach r on r.doc_id = n.doc_id group by n.doc_id
 """
 
+_CHAT = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
+t as (select *, lag(role) over (partition by conv_id order by turn, role, text) as before, row_number() over (partition by conv_id order by turn desc, role desc, text desc) as back from rows)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|'))) as bigint) as formatted_chars,
+  bool_and(coalesce(before, 'start') || '>' || role in ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user', 'assistant>tool', 'tool>assistant'))
+    and bool_or(back = 1 and role = 'assistant') as valid
+from t group by conv_id
+"""
+
 TWINS = {
+    "op2_chat_format": _CHAT,
     "op1_quality_rules": _QUALITY,
     "op4_near_duplicates": _NEAR,
 }
