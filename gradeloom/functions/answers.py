@@ -21,36 +21,44 @@ def _last_match(text: Column, regex: str, group: int) -> Column:
     return F.try_element_at(F.regexp_extract_all(text, F.lit(regex), F.lit(group)), F.lit(-1))
 
 
-def _first_hit(text: Column, names: list[str], otherwise: Column) -> Column:
-    for name in reversed(names):
-        regex = answer_regex(name)
-        otherwise = F.when(F.rlike(text, F.lit(regex)), F.regexp_extract(text, regex, 1)).otherwise(otherwise)
-    return otherwise
+def _up_to_last(text: Column, closing: str) -> Column:
+    """The text up to its last ``closing``, empty without one: spares openers that nothing closes."""
+    tail = F.substring_index(text, closing, -1)
+    return F.left(text, F.char_length(text) - F.char_length(tail))
+
+
+# What every match of a pattern ends in.
+_CLOSING = {"boxed_latex": "}", "boxed_plain": "}", "boxed_in_parens": "\\)"}
+
+
+def _within(text: Column, name: str) -> Column:
+    return _up_to_last(text, _CLOSING[name]) if name in _CLOSING else text
+
+
+def pattern_capture(text: Column, name: str) -> Column:
+    """What one named pattern captures, NULL when it does not match. No capture is empty, so one run tells both."""
+    return F.nullif(F.regexp_extract(_within(text, name), answer_regex(name), 1), F.lit(""))
+
+
+def pattern_matches(text: Column, name: str) -> Column:
+    """Whether one named pattern matches; a NULL text does not."""
+    return F.coalesce(F.rlike(_within(text, name), F.lit(answer_regex(name))), F.lit(False))
 
 
 def extract_answer(text: Column, profile: str = "full") -> Column:
     """First pattern of the profile that hits, else the last number, else the profile's sentinel.
 
-    ``CASE`` branches are evaluated only as far as needed, and two guards skip whole groups of patterns
-    without changing the outcome: every boxed form contains a match of the plain boxed pattern, and all
-    other patterns need a digit.
+    ``coalesce`` runs a pattern only when none before it hits, and two guards skip whole groups of patterns
+    without changing the outcome: every boxed form contains a closing brace, and all other patterns need a digit.
     """
     names, sentinel = ANSWER_PROFILES[profile], F.lit(NO_ANSWER[profile])
     boxed = [name for name in names if name.startswith("boxed")]
-    number = F.coalesce(_last_match(text, gold_regex(NUMBER), 0), sentinel)
-    answer = _first_hit(text, [name for name in names if name not in boxed], number)
-    answer = F.when(F.rlike(text, F.lit(gold_regex(r"\d"))), answer).otherwise(sentinel)
+    others = [pattern_capture(text, name) for name in names if name not in boxed]
+    number = _last_match(text, gold_regex(NUMBER), 0)
+    parts = [F.when(F.rlike(text, F.lit(gold_regex(r"\d"))), F.coalesce(*others, number)), sentinel]
     if boxed:
-        plain = answer_regex("boxed_plain")
-        in_box = _first_hit(text, [name for name in boxed if name != "boxed_plain"], F.regexp_extract(text, plain, 1))
-        answer = F.when(F.rlike(text, F.lit(plain)), in_box).otherwise(answer)
-    return answer
-
-
-def pattern_capture(text: Column, name: str) -> Column:
-    """What one named pattern captures, NULL when it does not match."""
-    regex = answer_regex(name)
-    return F.when(F.rlike(text, F.lit(regex)), F.regexp_extract(text, regex, 1))
+        parts.insert(0, F.when(F.contains(text, F.lit("}")), F.coalesce(*[pattern_capture(text, name) for name in boxed])))
+    return F.coalesce(*parts)
 
 
 def extract_gold(answer: Column, profile: str = "basic") -> Column:
@@ -64,5 +72,5 @@ def extract_gold(answer: Column, profile: str = "basic") -> Column:
     marker = gold_regex(GOLD_MARKER)
     fallbacks = [_last_match(text, gold_regex(NUMBER), 0), text if profile == "compare" else strip_space(text)]
     if profile == "calc":
-        fallbacks.insert(0, _last_match(text, gold_regex(GOLD_ANNOTATION), 1))
-    return F.when(F.rlike(text, F.lit(marker)), F.regexp_extract(text, marker, 1)).otherwise(F.coalesce(*fallbacks))
+        fallbacks.insert(0, _last_match(_up_to_last(text, ">>"), gold_regex(GOLD_ANNOTATION), 1))
+    return F.coalesce(F.nullif(F.regexp_extract(text, marker, 1), F.lit("")), *fallbacks)

@@ -6,6 +6,8 @@ Patterns are kept in Python notation, the notation the expected results are defi
 
 from __future__ import annotations
 
+import re
+
 # ---- Fixed values: patterns, profiles and sentinels decide the extracted answer. ----
 
 NUMBER = r"\d+(?:\.\d+)?"
@@ -54,8 +56,15 @@ def java_regex(pattern: str, flags: str) -> str:
 
     ``d`` keeps ``$`` and ``.`` to ``\\n`` alone, ``U`` makes ``\\d`` and ``\\s`` Unicode-aware; without
     either, Java finds a different answer in texts that hold U+2028 or non-ASCII digits and spaces.
+
+    Two changes keep matching linear and the matches as they are: runs of spaces are possessive unless a line end
+    may follow, as nothing else that follows starts with a space; and a pattern that begins with a number does not
+    begin within one, where the leftmost match never starts.
     """
-    return f"(?{flags})" + pattern.replace(r"\s", JAVA_SPACE)
+    if pattern.startswith(r"(\d+"):
+        pattern = r"(?<!\d)" + pattern
+    possessive = re.sub(r"\\s\*(?!\$|\(\?:[^)]*\$\))", lambda _: JAVA_SPACE + "*+", pattern)
+    return f"(?{flags})" + possessive.replace(r"\s", JAVA_SPACE)
 
 
 def answer_regex(name: str) -> str:

@@ -11,19 +11,28 @@ from gradeloom.operators.skew import with_group_values
 
 
 def group_advantage(df: DataFrame, by: Sequence[str] = ("sample_idx",), reward: str = "reward", *,
-                    hot_rows: int = 1_000_000, store: bool = True) -> DataFrame:
-    """Each generation's reward minus the mean reward of its group."""
-    means = with_group_values(df, by, {"group_mean": F.avg(reward)}, hot_rows=hot_rows, store=store)
-    return means.withColumn("advantage", F.col(reward) - F.col("group_mean"))
+                    normalize: bool = False, hot_rows: int = 1_000_000, store: bool = True) -> DataFrame:
+    """Each generation's reward minus the mean reward of its group, with ``normalize`` in standard deviations.
+
+    A group without spread has advantages of zero either way.
+    """
+    values = {"group_mean": F.avg(reward)} | ({"group_std": F.stddev_pop(reward)} if normalize else {})
+    means = with_group_values(df, by, values, hot_rows=hot_rows, store=store)
+    advantage = F.col(reward) - F.col("group_mean")
+    if normalize:
+        advantage = F.when(F.col("group_std") > 0, advantage / F.col("group_std")).otherwise(F.lit(0.0))
+    return means.withColumn("advantage", advantage)
 
 
 def group_stats(df: DataFrame, by: Sequence[str] = ("sample_idx",), reward: str = "reward") -> DataFrame:
-    """Group size and mean, best and worst reward."""
+    """Group size, mean, best and worst reward, whether any is right, and whether all are the same (nothing to learn)."""
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("group_size"),
         F.avg(reward).alias("mean_reward"),
         F.max(reward).alias("best_reward"),
         F.min(reward).alias("worst_reward"),
+        (F.max(reward) > 0).alias("any_correct"),
+        (F.max(reward) == F.min(reward)).alias("zero_spread"),
     )
 
 

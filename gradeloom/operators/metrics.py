@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.functions.answers import pattern_capture
+from gradeloom.functions.answers import pattern_matches
 from gradeloom.functions.grading import LONG_INPUT_TOKENS, flag_long_input
-from gradeloom.functions.patterns import ANSWER_PROFILES
+from gradeloom.functions.patterns import ANSWER_PROFILES, NO_ANSWER
 from gradeloom.functions.prompts import SYSTEM_MARKER
 from gradeloom.operators.prefix import running_totals
 from gradeloom.operators.skew import with_group_values
@@ -93,7 +93,7 @@ def pattern_coverage(df: DataFrame, text: str = "response", profile: str = "full
     One pass over the texts into one row of counters; only that row is turned into one row per pattern.
     """
     names = ANSWER_PROFILES[profile]
-    hits = df.select(F.array(*[pattern_capture(F.col(text), name).isNotNull() for name in names]).alias("hit"))
+    hits = df.select(F.array(*[pattern_matches(F.col(text), name) for name in names]).alias("hit"))
     first = F.array_position(F.col("hit"), F.lit(True))
     counters = [F.count(F.lit(1)).alias("total")]
     for i, _ in enumerate(names):
@@ -136,6 +136,29 @@ def audit_samples(graded: DataFrame, threshold: int = LONG_INPUT_TOKENS) -> Data
     return issues.groupBy("issue").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def audit_rows(graded: DataFrame, key: Sequence[str] = ("run_id", "config", "gen", "sample_idx"), profile: str = "full") -> DataFrame:
+    """Rows per data issue of graded rows, for the issues that occur: empty fields, no gold row, no answer found, repeated keys.
+
+    ``duplicate_key`` counts the rows beyond the first of each key, a NULL in it being a value like any other.
+    """
+
+    def empty(column: str) -> Column:
+        return F.coalesce(F.col(column), F.lit("")) == ""
+
+    per_row = F.array_compact(
+        F.array(
+            F.when(empty("question"), F.lit("empty_question")),
+            F.when(empty("response"), F.lit("empty_response")),
+            F.when(F.col("ground_truth_raw").isNull(), F.lit("no_gold")),
+            F.when(F.col("ground_truth_raw") == "", F.lit("empty_gold")),
+            F.when(F.col("predicted") == NO_ANSWER[profile], F.lit("no_answer")),
+        )
+    )
+    issues = graded.select(F.explode(per_row).alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n_rows"))
+    copies = graded.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("more")).agg(F.sum("more").alias("n_rows"))
+    return issues.unionByName(copies.where("n_rows > 0").select(F.lit("duplicate_key").alias("issue"), "n_rows"))
+
+
 def dataset_profile(df: DataFrame, by: str = "split") -> DataFrame:
     """Row count and column names of each split."""
     names = [c for c in df.columns if c != by]

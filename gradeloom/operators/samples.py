@@ -72,11 +72,11 @@ def assign_batches(df: DataFrame, batch_size: int = 32, index: str = "sample_idx
     )
 
 
-def join_gold(responses: DataFrame, qa: DataFrame, key: str = "sample_idx") -> DataFrame:
-    """Each response beside its question and gold answer.
+def join_gold(responses: DataFrame, qa: DataFrame, key: str = "sample_idx", how: str = "left") -> DataFrame:
+    """Each response beside its question and gold answer, NULL for a response without one.
 
     A plain equi-join: both sides reach it through their own exchange, so adaptive execution may
     broadcast a side found small enough at run time, and splits a sample that holds a large share of
     all responses. See ``gradeloom.session.tune`` for a grouping by sample that follows the join.
     """
-    return responses.join(qa, key)
+    return responses.join(qa, key, how)

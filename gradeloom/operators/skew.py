@@ -32,7 +32,7 @@ def with_group_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, C
         F.count(F.lit(1)).alias("_group_rows"), *[v.alias(name) for name, v in values.items()]
     )
     stats = stored(stats, "groups") if store else stats
-    hot = stats.where(F.col("_group_rows") > hot_rows).orderBy(F.desc("_group_rows")).limit(HOT_GROUPS)
+    hot = stats.where(F.col("_group_rows") > hot_rows).orderBy(F.desc("_group_rows"), *[f"_k_{k}" for k in keys]).limit(HOT_GROUPS)
     same_group = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     columns = [*df.columns, *values]
     hot_part = df.join(F.broadcast(hot), same_group).select(*columns)

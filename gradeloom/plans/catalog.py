@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions import answers, grading, prompts, rewards, text
 from gradeloom.operators import groups, indexing, inference, metrics, resources, samples, tables
 from gradeloom.plans import evaluation
-from gradeloom.plans.evaluation import MAX_NEW_TOKENS, grade_responses
+from gradeloom.plans.evaluation import grade_responses
 from gradeloom.session import tune
 from gradeloom.sources import derived, qa as qa_source, writers
 from gradeloom.sources.workdir import new_path
@@ -25,6 +25,7 @@ from gradeloom.streaming import drain, live
 SYSTEM_PROMPT = "You are a careful solver."
 CONFIGS = list(derived.RUN_CONFIGS)
 WINDOW = "1 hour"
+MAX_NEW_TOKENS = 250  # the derived responses have up to 256 tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -45,7 +46,8 @@ def _r6(name: str) -> Column:
 
 
 def _graded(spark: SparkSession, sf_dir: str, **profiles: str) -> DataFrame:
-    return grade_responses(derived.responses(spark, sf_dir), derived.qa(spark, sf_dir), **profiles)
+    rows, gold = derived.responses(spark, sf_dir), derived.qa(spark, sf_dir)
+    return grade_responses(rows, gold, max_new_tokens=MAX_NEW_TOKENS, **profiles)
 
 
 # --- sources and sinks ---
@@ -412,6 +414,28 @@ def audit_samples(spark, sf_dir):
     return metrics.audit_samples(graded.withColumn("prompt", template))
 
 
+def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded rows with every data issue: no gold for some samples, empty texts, NULL runs, rows delivered twice."""
+    rows = derived.responses(spark, sf_dir)
+    response = F.when(F.col("sample_idx") % 11 == 0, F.lit("")).otherwise(F.col("response"))
+    run = F.when(F.col("sample_idx") % 7 != 0, F.col("gen") % 2)
+    rows = rows.withColumn("response", response).withColumn("run_id", run)
+    rows = rows.unionByName(rows.where("sample_idx % 13 = 0"))
+    gold = derived.qa(spark, sf_dir).where("sample_idx % 17 <> 0")
+    gold = gold.withColumn("answer", F.when(F.col("sample_idx") % 19 == 0, F.lit("")).otherwise(F.col("answer")))
+    return grade_responses(rows, gold, max_new_tokens=MAX_NEW_TOKENS)
+
+
+@query
+def audit_rows(spark, sf_dir):
+    return metrics.audit_rows(_flawed(spark, sf_dir), ("run_id", "gen", "sample_idx"))
+
+
+@query
+def running_accuracy_flawed(spark, sf_dir):
+    return metrics.running_accuracy(_flawed(spark, sf_dir)).select("run_id", "sample_idx", "seen", "correct_so_far", _r6("accuracy"))
+
+
 @query
 def dataset_profile(spark, sf_dir):
     return metrics.dataset_profile(_qa_by_split(spark, sf_dir))
@@ -492,7 +516,7 @@ def group_advantage(spark, sf_dir):
 @query
 def group_stats(spark, sf_dir):
     stats = groups.group_stats(_graded(spark, sf_dir).select("sample_idx", "reward"))
-    return stats.select("sample_idx", "group_size", _r6("mean_reward"), "best_reward", "worst_reward")
+    return stats.select("sample_idx", "group_size", _r6("mean_reward"), "best_reward", "worst_reward", "any_correct", "zero_spread")
 
 
 @query
@@ -585,7 +609,7 @@ def stream_running_accuracy(spark, sf_dir):
         )
 
     delivered_twice = graded_events().unionByName(graded_events())
-    final = drain.drain_to_memory(live.stream_running_accuracy(delivered_twice))
+    final = drain.drain_to_memory(live.stream_running_accuracy(delivered_twice, key=("run_id", "config", "sample_idx"), delay="10 minutes"))
     return final.select("run_id", "seen", "correct_so_far", _r6("accuracy"))
 
 

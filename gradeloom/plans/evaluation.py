@@ -14,15 +14,14 @@ from gradeloom.operators.inference import Generate, GenerationParams, generate_r
 from gradeloom.operators.samples import expand_configs, join_gold
 from gradeloom.sources.workdir import stored
 
-MAX_NEW_TOKENS = 250
 
-
-def grade_responses(responses: DataFrame, qa: DataFrame, *, answer_profile: str = "full", gold_profile: str = "basic",
-                    grade_profile: str = "exact", max_new_tokens: int = MAX_NEW_TOKENS) -> DataFrame:
+def grade_responses(responses: DataFrame, qa: DataFrame, *, max_new_tokens: int, answer_profile: str = "full",
+                    gold_profile: str = "basic", grade_profile: str = "exact") -> DataFrame:
     """Graded rows: the responses with question, raw and extracted gold, prediction, verdict, truncation and reward.
 
     Extraction happens on each side below the join. A report that needs no texts therefore shuffles only
-    the short extracted strings, because column pruning drops the texts before the exchange.
+    the short extracted strings, because column pruning drops the texts before the exchange. A response without
+    a gold row is graded wrong and stays in every total.
     """
     predictions = responses.withColumn("predicted", extract_answer(F.col("response"), answer_profile))
     gold = qa.select(
@@ -33,7 +32,7 @@ def grade_responses(responses: DataFrame, qa: DataFrame, *, answer_profile: str
     )
     graded = join_gold(predictions, gold).withColumns(
         {
-            "correct": grade_answer(F.col("predicted"), F.col("ground_truth"), grade_profile),
+            "correct": F.coalesce(grade_answer(F.col("predicted"), F.col("ground_truth"), grade_profile), F.lit(False)),
             "truncated": flag_truncated(F.col("output_tokens"), max_new_tokens),
         }
     )

@@ -109,6 +109,15 @@ extracted as (select r.*, q.question, q.answer as ground_truth_raw, {_gold('q.an
 graded as (select *, {_grade('predicted', 'ground_truth')} as correct, output_tokens >= {MAX_NEW_TOKENS} as truncated,
   cast({_grade('predicted', 'ground_truth')} as integer)::double as reward from extracted)"""
 
+_FLAWED = f"""{_QA}, {_RESPONSES},
+flawed as (select * replace (case when sample_idx % 11 = 0 then '' else response end as response,
+  case when sample_idx % 7 <> 0 then gen % 2 end as run_id) from responses),
+delivered as (select * from flawed union all select * from flawed where sample_idx % 13 = 0),
+gold as (select sample_idx, question, case when sample_idx % 19 = 0 then '' else answer end as answer from qa where sample_idx % 17 <> 0),
+extracted as (select r.*, q.question, q.answer as ground_truth_raw, {_gold('q.answer', 'basic')} as ground_truth,
+  {_answer('r.response', 'full')} as predicted from delivered r left join gold q using (sample_idx)),
+graded as (select *, ground_truth_raw is not null and coalesce({_grade('predicted', 'ground_truth')}, false) as correct from extracted)"""
+
 _SAMPLES = """samples as (select case when user_id % 2 = 0 then 'G2_B2' else 'G4_B4' end as config, ts,
  value * 1024 / 64 as used_mb from events)"""
 
@@ -254,6 +263,17 @@ select *, round(truncated_count * 100.0::double / total_samples, 6) as truncated
  union all select 'input_near_limit' from graded where input_tokens > 1900
  union all select 'answer_mismatch' from graded where not correct)
 select issue, count(*) as n_rows from issues group by issue""",
+    "audit_rows": f"""with {_FLAWED}, issues as (select 'empty_question' as issue from graded where coalesce(question, '') = ''
+ union all select 'empty_response' from graded where coalesce(response, '') = ''
+ union all select 'no_gold' from graded where ground_truth_raw is null
+ union all select 'empty_gold' from graded where ground_truth_raw = ''
+ union all select 'no_answer' from graded where predicted = '无法提取答案'
+ union all select 'duplicate_key' from graded qualify row_number() over (partition by run_id, gen, sample_idx) > 1)
+select issue, count(*) as n_rows from issues group by issue""",
+    "running_accuracy_flawed": f"""with {_FLAWED}, c as (select run_id, sample_idx, count(*) as n, count(*) filter (where correct) as k
+ from graded group by all), s as (select run_id, sample_idx, cast(sum(n) over w as bigint) as seen, cast(sum(k) over w as bigint) as correct_so_far
+ from c window w as (partition by run_id order by sample_idx))
+select *, round(correct_so_far * 100.0::double / seen, 6) as accuracy from s""",
     "dataset_profile": f"""with {_QA} select {_SPLIT} as split, count(*) as n_rows, 'sample_idx,question,answer' as columns
 from qa group by 1""",
     "resource_summary": f"""with {_SAMPLES} select config, round(max(used_mb / 1024), 6) as max_gb, round(avg(used_mb / 1024), 6) as avg_gb,
@@ -287,7 +307,7 @@ select run_id, batch_id, n_rows, padded_input, padded_output, n_rows * padded_in
     "group_advantage": f"""with {_GRADED}, m as (select sample_idx, gen, reward, avg(reward) over (partition by sample_idx) as mean from graded)
 select sample_idx, gen, reward, round(mean, 6) as group_mean, round(reward - mean, 6) as advantage from m""",
     "group_stats": f"""with {_GRADED} select sample_idx, count(*) as group_size, round(avg(reward), 6) as mean_reward,
- max(reward) as best_reward, min(reward) as worst_reward from graded group by sample_idx""",
+ max(reward) as best_reward, min(reward) as worst_reward, max(reward) > 0 as any_correct, max(reward) = min(reward) as zero_spread from graded group by sample_idx""",
     "best_worst": f"with {_GRADED}, {_BEST_WORST} select * from ends",
     "build_chat_solution": f"with {_QA} select sample_idx, {_MESSAGES}, {_gold('answer', 'basic')} as solution from qa",
     "build_sft_pairs": f"with {_QA} select sample_idx, question as prompt, answer as response from qa",

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 
 def stream_running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",),
-                            key: Sequence[str] = ("run_id", "config", "sample_idx"), *, ts: str = "ts",
-                            delay: str = "10 minutes", salts: int = 16) -> DataFrame:
+                            key: Sequence[str] = ("run_id", "config", "gen", "sample_idx"), *, delay: str,
+                            ts: str = "ts", salts: int = 16) -> DataFrame:
     """Accuracy so far per run; results delivered twice within the watermark count once. Update or complete mode.
 
+    ``key`` names one result and includes ``by``. Results later than ``delay`` are dropped by the watermark, so it is the
+    caller's choice; query progress counts them. On a bounded table the earliest copy counts.
+
     Copies are dropped in two steps: first among those read by the same of ``salts`` groups of input
     tasks, then among the at most ``salts`` left. One state partition thus never receives all copies of
     a result delivered very often.
@@ -26,7 +29,7 @@ def stream_running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",),
         few = salted.dropDuplicatesWithinWatermark([*key, "_salt"])
         once = few.dropDuplicatesWithinWatermark(list(key))
     else:
-        once = graded.dropDuplicates(list(key))
+        once = graded.groupBy(*key).agg(F.min_by("correct", F.struct(ts, "correct")).alias("correct"))
     counts = once.groupBy(*by).agg(
         F.count(F.lit(1)).alias("seen"), F.sum(F.col("correct").cast("long")).alias("correct_so_far")
     )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from gradeloom.plans.catalog import QUERIES
 from gradeloom.operators import groups, metrics, samples
 from gradeloom.plans.evaluation import grade_responses
 from gradeloom.session import tune
@@ -60,7 +61,7 @@ def test_limit_reaches_the_scan(spark, tmp_path):
 
 def test_texts_are_pruned_before_the_join(spark, sf_dir, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    graded = grade_responses(derived.responses(spark, sf_dir), derived.qa(spark, sf_dir))
+    graded = grade_responses(derived.responses(spark, sf_dir), derived.qa(spark, sf_dir), max_new_tokens=250)
     text = plan(metrics.accuracy_by_config(graded))
     (left,) = re.findall(r"SortMergeJoin \[sample_idx#\d+L\].*?\n.*?Project \[([^\n]*)", text, re.S)[:1]
     assert "response" not in left.split("CASE")[0] and "question" not in text.split("Exchange hashpartitioning(config")[0]
@@ -91,7 +92,7 @@ def test_hot_sample_is_split(spark, conf):
         F.col("id").alias("sample_idx"), F.lit("q").alias("question"),
         F.concat(F.lit("#### "), (F.col("id") % 5).cast("string")).alias("answer"),
     )
-    graded = grade_responses(responses, qa)
+    graded = grade_responses(responses, qa, max_new_tokens=250)
     for report in (metrics.accuracy_by_config(graded), groups.group_stats(graded), groups.best_worst(graded)):
         assert "skew=true" in final_plan(report)
     expected = rows.where("case when id % 3 = 0 then 7 % 5 else id % 5000 % 5 end = id % 5").count()

@@ -8,6 +8,9 @@ from gradeloom.streaming.drain import drain_to_files, drain_to_memory
 from gradeloom.streaming.live import stream_peak_memory, stream_resource_windows, stream_running_accuracy
 
 
+KEY = ("run_id", "config", "sample_idx")
+
+
 def stream_of(spark, df, path, files=4):
     df.repartition(files).write.parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
@@ -25,8 +28,8 @@ def test_running_accuracy_counts_copies_once(spark, sf_dir, tmp_path):
     )
     copies = events.unionByName(events.where("run_id = 1")).unionByName(events.where("run_id = 1"))
     stream = stream_of(spark, copies, str(tmp_path / "in"))
-    final = drain_to_memory(stream_running_accuracy(stream, delay="60 days"))
-    assert rounded(final) == rounded(stream_running_accuracy(copies))
+    final = drain_to_memory(stream_running_accuracy(stream, key=KEY, delay="60 days"))
+    assert rounded(final) == rounded(stream_running_accuracy(copies, key=KEY, delay="60 days"))
     assert final.agg(F.sum("seen")).first()[0] == events.count()
 
 
