@@ -109,7 +109,7 @@ class _Encoder:
     def __init__(self, lanes: int, room: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, 1 << 48, np.uint64)
-        self.words = np.zeros((lanes, room), np.int64)
+        self.words = np.zeros((lanes, room), np.int32)
         self.n = np.zeros(lanes, np.int64)
 
     def code(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, bits) -> None:
@@ -125,7 +125,7 @@ class _Encoder:
         short = span < (np.uint64(1) << _TOP)
         if short.any():
             who = lanes[short]
-            self.words[who, self.n[who]] = low[short] >> _TOP
+            self.words[who, self.n[who]] = (low[short] >> _TOP).astype(np.int32)
             self.n[who] += 1
             low[short] = (low[short] << _WORD) & _LOW48
             span[short] <<= _WORD
@@ -133,7 +133,7 @@ class _Encoder:
 
     def finish(self) -> list[bytes]:
         for k in range(3):
-            self.words[np.arange(len(self.n)), self.n] = (self.low >> _TOP).astype(np.int64)
+            self.words[np.arange(len(self.n)), self.n] = (self.low >> _TOP).astype(np.int32)
             self.low = (self.low << _WORD) & _LOW48
             self.n += 1
         for k in range(self.words.shape[1] - 1, 0, -1):  # carries that wait in a word

@@ -125,8 +125,8 @@ def purities(tree: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     leaf = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     leaf = leaf.withColumn("first", F.concat_ws("/", F.element_at(F.split("template", "/"), F.least(F.size(F.split("template", "/")), F.lit(2)))))
     leaf = leaf.withColumn("zone", suffix(1)).withColumn("site", suffix(2))
-    whole = leaf.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).select(((F.col("b") + 0.5) / (F.col("l") + 1.0)).alias("purity"))
-    out = leaf.crossJoin(F.broadcast(whole))  # one row
+    blocked, labelled = (x or 0 for x in leaf.agg(F.sum("blocked"), F.sum("labelled")).first())
+    out = leaf.withColumn("purity", F.lit((blocked + 0.5) / (labelled + 1.0)))
     for keys in (["zone"], ["zone", "first"], ["site", "first"], ["host"], ["host", "first"], ["host", "template"]):
         sums = leaf.groupBy(*keys).agg(F.sum("blocked").alias("_b"), F.sum("labelled").alias("_l"))
         out = out.join(sums, keys).withColumn("purity", (F.col("_b") + smoothing * F.col("purity")) / (F.col("_l") + smoothing)).drop("_b", "_l")
