@@ -40,7 +40,7 @@ def conf(spark):
         spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - ACTIONS))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - ACTIONS))
 def test_jvm_only_and_no_cross_join(spark, sf_dir, key):
     text = plan(entry.queries()[key](spark, sf_dir))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython", text)
