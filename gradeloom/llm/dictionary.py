@@ -27,6 +27,7 @@ from gradeloom.sources.workdir import new_path
 
 BLOCK_BYTES = 16 << 20
 BUCKETS_PER_PARTITION = 2
+LEVEL = 6  # of compression: disk and network are scarcer here than processor time
 
 #: Splits a column of texts: bytes of all pieces, borders of pieces in them, and first piece of each text (one more than texts).
 Splitter = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -36,7 +37,7 @@ _SCHEMA = "block bigint, bucket int, doc_ids array<bigint>, n_pieces array<bigin
 
 def pack(values: np.ndarray, width: int = 4) -> bytes:
     """Integers of ``width`` bytes without sign, by planes of bytes and compressed."""
-    return zlib.compress(np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes(), 1)
+    return zlib.compress(np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes(), LEVEL)
 
 
 def unpack(data: bytes, width: int = 4) -> np.ndarray:
@@ -95,7 +96,7 @@ def blocks(docs: DataFrame, split: Splitter, counted: Callable[[list], np.ndarra
                 mine = order[cuts[b] : cuts[b + 1]]
                 share = words.take(pa.array(mine))
                 at = np.frombuffer(share.buffers()[1], np.int64)[: len(share) + 1]
-                yield _row(block, b, words=share.buffers()[2].to_pybytes()[at[0] : at[-1]], lengths=pack(np.diff(at)), counts=None if count is None else pack(count[mine]))
+                yield _row(block, b, words=zlib.compress(share.buffers()[2].to_pybytes()[at[0] : at[-1]], LEVEL), lengths=pack(np.diff(at)), counts=None if count is None else pack(count[mine]))
 
         for part in slices(batches):
             data, borders, first = split(part.column("text"))
@@ -142,7 +143,7 @@ def answer_buckets(shares: DataFrame, names: list[str], answer: Callable[[Bucket
             if not held:
                 return
             lengths = [unpack(r["lengths"]) for r in held]
-            data = np.frombuffer(b"".join(r["words"] for r in held), np.uint8)
+            data = np.frombuffer(b"".join(zlib.decompress(r["words"]) for r in held), np.uint8)
             encoded = byte_array(data, np.concatenate(([0], np.cumsum(np.concatenate(lengths))))).dictionary_encode()
             codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             counts = np.concatenate([unpack(r["counts"]) for r in held]) if held[0]["counts"] is not None else None
