@@ -45,6 +45,19 @@ def unpack(data: bytes, width: int = 4) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
+def pack_slots(slots: np.ndarray) -> bytes:
+    """Slots of which small ones are frequent: one byte each, and the rest of the large ones apart."""
+    head = zlib.compress(np.minimum(slots, 255).astype(np.uint8).tobytes(), LEVEL)
+    return len(head).to_bytes(8, "little") + head + pack(slots[slots >= 255] - 255)
+
+
+def unpack_slots(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    slots = np.frombuffer(zlib.decompress(data[8 : 8 + size]), np.uint8).astype(np.int64)
+    slots[slots == 255] += unpack(data[8 + size :])
+    return slots
+
+
 def stored_packed(df: DataFrame, name: str) -> DataFrame:
     """As ``stored``, with the denser codec."""
     path = new_path(df.sparkSession, name)
@@ -91,7 +104,7 @@ def blocks(docs: DataFrame, split: Splitter, counted: Callable[[list], np.ndarra
                 use = np.repeat(counted(ids), n_pieces)
                 count = np.bincount(slots[use], minlength=len(words))
             block = base | number
-            yield _row(block, -1, doc_ids=ids, n_pieces=n_pieces.tolist(), slots=pack(slots), buckets=pack(bucket))
+            yield _row(block, -1, doc_ids=ids, n_pieces=n_pieces.tolist(), slots=pack_slots(slots), buckets=pack(bucket))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 mine = order[cuts[b] : cuts[b + 1]]
                 share = words.take(pa.array(mine))
@@ -200,7 +213,7 @@ def put_back(shares: DataFrame, answers: DataFrame, schema: str, finish: Callabl
         def flush() -> Iterator[pa.RecordBatch]:
             if head is not None:
                 order = np.argsort(unpack(head["buckets"]), kind="stable")
-                yield finish(Block(head["block"], head["doc_ids"], np.array(head["n_pieces"], np.int64), unpack(head["slots"]), order, held))
+                yield finish(Block(head["block"], head["doc_ids"], np.array(head["n_pieces"], np.int64), unpack_slots(head["slots"]), order, held))
 
         for batch in batches:
             for k in range(batch.num_rows):
