@@ -26,8 +26,8 @@ from gradeloom.llm.textbatch import byte_array, slices
 from gradeloom.sources.workdir import new_path
 
 BLOCK_BYTES = 16 << 20
-BUCKETS_PER_PARTITION = 2
-LEVEL = 6  # of compression: disk and network are scarcer here than processor time
+BUCKETS_PER_PARTITION = 1
+LEVEL = 9  # of compression: disk and network are scarcer here than processor time
 
 #: Splits a column of texts: bytes of all pieces, borders of pieces in them, and first piece of each text (one more than texts).
 Splitter = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
