@@ -11,6 +11,7 @@ from gradeloom.functions.patterns import (
     GOLD_MARKER,
     NO_ANSWER,
     NUMBER,
+    SIGNED_NUMBER,
     answer_regex,
     gold_regex,
 )
@@ -64,13 +65,32 @@ def extract_answer(text: Column, profile: str = "full") -> Column:
 def extract_gold(answer: Column, profile: str = "basic") -> Column:
     """The gold number: after the marker, else (``calc``) the last annotation, else the last number, else the text.
 
-    ``basic`` and ``calc`` strip the text they fall back to, ``compare`` keeps it as it is.
+    ``basic`` and ``calc`` strip the text they fall back to, ``compare`` keeps it as it is. ``strict_numeric`` is ``basic``
+    with signs and thousands separators, given without ``+`` and commas.
     """
-    if profile not in ("basic", "calc", "compare"):
-        raise ValueError(f"unknown gold profile {profile!r}; known: basic, calc, compare")
+    if profile not in ("basic", "calc", "compare", "strict_numeric"):
+        raise ValueError(f"unknown gold profile {profile!r}; known: basic, calc, compare, strict_numeric")
     text = F.coalesce(answer, F.lit(""))
+    if profile == "strict_numeric":
+        marked = F.nullif(F.regexp_extract(text, gold_regex(rf"####\s*({SIGNED_NUMBER})"), 1), F.lit(""))
+        number = F.coalesce(marked, _last_match(text, gold_regex(SIGNED_NUMBER), 0))
+        return F.coalesce(F.translate(number, "+,", ""), strip_space(text))
     marker = gold_regex(GOLD_MARKER)
     fallbacks = [_last_match(text, gold_regex(NUMBER), 0), text if profile == "compare" else strip_space(text)]
     if profile == "calc":
         fallbacks.insert(0, _last_match(_up_to_last(text, ">>"), gold_regex(GOLD_ANNOTATION), 1))
     return F.coalesce(F.nullif(F.regexp_extract(text, marker, 1), F.lit("")), *fallbacks)
+
+
+GOLD_FORMS = ("marker", "annotation", "number", "text")
+
+
+def gold_form(answer: Column) -> Column:
+    """Which form gives a gold answer under ``calc``: one of ``GOLD_FORMS``. A NULL answer is an empty text."""
+    text = F.coalesce(answer, F.lit(""))
+    return (
+        F.when(F.rlike(text, F.lit(gold_regex(GOLD_MARKER))), F.lit("marker"))
+        .when(F.rlike(_up_to_last(text, ">>"), F.lit(gold_regex(GOLD_ANNOTATION))), F.lit("annotation"))
+        .when(F.rlike(text, F.lit(gold_regex(r"\d"))), F.lit("number"))
+        .otherwise(F.lit("text"))
+    )

@@ -47,6 +47,9 @@ GOLD_ANNOTATION = r"<<.*?=(\d+(?:\.\d+)?)>>"
 
 # ---- End of fixed values. ----
 
+# A number with sign and thousands separators. A sign counts unless it stands behind a word, as in ``7-5``.
+SIGNED_NUMBER = r"(?:(?<![\w)])[+-])?(?:\d{1,3}(?:,\d{3})+(?!\d)|\d+)(?:\.\d+)?"
+
 # Java's Unicode \s lacks the four separators U+001C..U+001F that Python's has.
 JAVA_SPACE = r"[\s\x1C-\x1F]"
 

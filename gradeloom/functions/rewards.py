@@ -50,7 +50,22 @@ def sft_nll(logp: Column) -> Column:
     return -logp
 
 
-def dpo_loss(logp_chosen: Column, logp_rejected: Column, beta: float = DEFAULT_BETA) -> Column:
-    """``-log(sigmoid(beta * (logp_chosen - logp_rejected)))`` in a form that cannot overflow."""
-    margin = F.lit(float(beta)) * (logp_chosen - logp_rejected)
+def dpo_margin(logp_chosen: Column, logp_rejected: Column, ref_chosen: Column | None = None,
+               ref_rejected: Column | None = None) -> Column:
+    """How much likelier the chosen answer is; with both reference log-probabilities, how much more so than under the reference."""
+    if (ref_chosen is None) != (ref_rejected is None):
+        raise ValueError("give both reference log-probabilities or none")
+    margin = logp_chosen - logp_rejected
+    return margin if ref_chosen is None else margin - (ref_chosen - ref_rejected)
+
+
+def dpo_loss(logp_chosen: Column, logp_rejected: Column, beta: float = DEFAULT_BETA, ref_chosen: Column | None = None,
+             ref_rejected: Column | None = None) -> Column:
+    """``-log(sigmoid(beta * margin))`` in a form that cannot overflow."""
+    margin = F.lit(float(beta)) * dpo_margin(logp_chosen, logp_rejected, ref_chosen, ref_rejected)
     return F.greatest(-margin, F.lit(0.0)) + F.log1p(F.exp(-F.abs(margin)))
+
+
+def preference_accuracy(margin: Column) -> Column:
+    """Share of pairs whose chosen answer is the likelier one, an aggregate; pairs without a margin do not count."""
+    return F.avg((margin > 0).cast("double"))

@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.functions.answers import pattern_matches
+from gradeloom.functions.answers import GOLD_FORMS, gold_form, pattern_matches
 from gradeloom.functions.grading import LONG_INPUT_TOKENS, flag_long_input
 from gradeloom.functions.patterns import ANSWER_PROFILES, NO_ANSWER
 from gradeloom.functions.prompts import SYSTEM_MARKER
+from gradeloom.functions.text import preview_text
 from gradeloom.operators.prefix import running_totals
 from gradeloom.operators.skew import with_group_values
 from gradeloom.sources.workdir import stored
@@ -36,11 +37,14 @@ def eval_summary(graded: DataFrame, by: Sequence[str] = ("run_id",), run_log: Da
                  seconds: str = "elapsed_s") -> DataFrame:
     """Totals, accuracy in percent and truncation per run; with a run log, total and mean seconds.
 
-    An empty input grouped by nothing gives NULL accuracy instead of a division error.
+    Graded rows that carry their own ``seconds`` need no log. An empty input grouped by nothing gives NULL accuracy instead of a
+    division error.
     """
+    timed = run_log is None and seconds in graded.columns
     summary = _grouped(
         graded,
         by,
+        *([F.sum(seconds).alias("inference_time_seconds")] if timed else []),
         F.count(F.lit(1)).alias("total_samples"),
         _count_if(F.col("correct")).alias("correct_count"),
         _count_if(F.col("truncated")).alias("truncated_count"),
@@ -51,6 +55,7 @@ def eval_summary(graded: DataFrame, by: Sequence[str] = ("run_id",), run_log: Da
         (F.col("total_samples") - F.col("correct_count")).alias("incorrect_count"),
         _percent(F.col("correct_count"), F.col("total_samples")).alias("accuracy"),
         "truncated_count",
+        *(["inference_time_seconds", F.try_divide("inference_time_seconds", "total_samples").alias("avg_time_per_sample")] if timed else []),
     )
     if run_log is None:
         return summary
@@ -159,10 +164,22 @@ def audit_rows(graded: DataFrame, key: Sequence[str] = ("run_id", "config", "gen
     return issues.unionByName(copies.where("n_rows > 0").select(F.lit("duplicate_key").alias("issue"), "n_rows"))
 
 
-def dataset_profile(df: DataFrame, by: str = "split") -> DataFrame:
-    """Row count and column names of each split."""
+def dataset_profile(df: DataFrame, by: str = "split", texts: Sequence[str] = ("question", "answer"),
+                    gold: str = "answer") -> DataFrame:
+    """Row count and column names of each split, lengths of its texts in characters, percent of rows per form of gold answer."""
     names = [c for c in df.columns if c != by]
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("columns", F.lit(",".join(names)))
+    counters = [F.count(F.lit(1)).alias("n_rows")]
+    for c in texts:
+        counters += [f(F.char_length(c).cast("long")).alias(f"{c}_{name}_chars") for name, f in (("min", F.min), ("avg", F.avg), ("max", F.max))]
+    counters += [F.count_if(F.col("_form") == form).alias(f"_{form}") for form in GOLD_FORMS]
+    lengths = [f"{c}_{name}_chars" for c in texts for name in ("min", "avg", "max")]
+    return df.withColumn("_form", gold_form(F.col(gold))).groupBy(by).agg(*counters).select(
+        by,
+        "n_rows",
+        F.lit(",".join(names)).alias("columns"),
+        *lengths,
+        *[_percent(F.col(f"_{form}"), F.col("n_rows")).alias(f"gold_{form}_pct") for form in GOLD_FORMS],
+    )
 
 
 def peak_memory(readings: DataFrame, by: Sequence[str] = ("run_id",), total_gb: str = "total_gb") -> DataFrame:
@@ -181,27 +198,30 @@ def peak_memory(readings: DataFrame, by: Sequence[str] = ("run_id",), total_gb:
     )
 
 
-def compare_side_by_side(graded: DataFrame, configs: Sequence[str], key: str = "sample_idx") -> DataFrame:
-    """One row per sample: gold answer, then prediction and verdict of each prompt format.
+def compare_side_by_side(graded: DataFrame, configs: Sequence[str], key: str = "sample_idx", chars: int = 200) -> DataFrame:
+    """One row per sample: question, gold answer, then prediction, verdict, shortened response and tokens of each prompt format.
 
     Conditional aggregates over the given formats: one exchange, with map-side combine. Of several
-    generations under one format the first counts.
+    generations under one format the first counts. Responses are shortened before they are aggregated.
     """
-    result = F.struct("predicted", "correct")
-    aggregates = [F.max("ground_truth").alias("ground_truth")]
+    details = ("predicted", "correct", "response", "output_tokens")
+    result = F.struct("predicted", "correct", preview_text(F.col("response"), chars).alias("response"), "output_tokens")
+    aggregates = [F.max("question").alias("question"), F.max("ground_truth").alias("ground_truth")]
     for c in configs:
         chosen = F.col("config") == c
         aggregates.append(F.min_by(F.when(chosen, result), F.when(chosen, F.col("gen"))).alias(f"_{c}"))
     columns = []
     for c in configs:
-        columns += [F.col(f"_{c}")["predicted"].alias(f"{c}_predicted"), F.col(f"_{c}")["correct"].alias(f"{c}_correct")]
-    return graded.groupBy(key).agg(*aggregates).select(key, "ground_truth", *columns)
+        columns += [F.col(f"_{c}")[detail].alias(f"{c}_{detail}") for detail in details]
+    return graded.groupBy(key).agg(*aggregates).select(key, "question", "ground_truth", *columns)
 
 
-def compare_runs(graded: DataFrame, run_a, run_b, run: str = "run_id", key: str = "sample_idx") -> DataFrame:
-    """Two runs on the samples both hold: accuracies, lift in points, and paired outcome counts.
+def compare_runs(graded: DataFrame, run_a, run_b, run: str = "run_id",
+                 key: Sequence[str] = ("sample_idx", "config", "gen")) -> DataFrame:
+    """Two runs on the generations both hold: accuracies, lift in points, and paired outcome counts.
 
-    Each sample is folded into one verdict per run, which replaces the self-join.
+    Each key is folded into one verdict per run, which replaces the self-join. With a key that leaves out ``gen`` or ``config`` a sample
+    counts as right when any of its rows is. Rows with a NULL in the key pair like any other.
     """
 
     def verdict(run_value) -> Column:
@@ -209,7 +229,7 @@ def compare_runs(graded: DataFrame, run_a, run_b, run: str = "run_id", key: str
 
     paired = (
         graded.where(F.col(run).isin(run_a, run_b))
-        .groupBy(key)
+        .groupBy(*key)
         .agg(verdict(run_a).alias("a"), verdict(run_b).alias("b"))
         .where(F.col("a").isNotNull() & F.col("b").isNotNull())
     )

@@ -131,10 +131,13 @@ def write_training_jsonl(spark, sf_dir):
 def write_eval_results(spark, sf_dir):
     path = new_path(spark, "results")
     graded = _graded(spark, sf_dir)
-    summary = metrics.eval_summary(graded)
     memory = metrics.peak_memory(derived.memory_readings(spark, sf_dir))
-    settings = graded.groupBy("run_id").agg(F.min("config").alias("prompt_format")).withColumn("batch_size", F.lit(32))
-    writers.write_eval_results(graded, writers.metrics_record(summary, memory, settings), path)
+
+    def record(details: DataFrame) -> DataFrame:
+        settings = details.groupBy("run_id").agg(F.min("config").alias("prompt_format")).withColumn("batch_size", F.lit(32))
+        return writers.metrics_record(metrics.eval_summary(details), memory, settings)
+
+    writers.write_eval_results(graded, record, path)
     details = spark.read.parquet(f"{path}/details")
     recorded = spark.read.json(f"{path}/metrics").select("run_id", "accuracy", "memory_stats", "config.batch_size")
     return details.join(recorded, "run_id").select(
@@ -248,6 +251,12 @@ def extract_gold_compare(spark, sf_dir):
     return derived.qa(spark, sf_dir).select("sample_idx", answers.extract_gold(F.col("answer"), "compare").alias("gold"))
 
 
+@query
+def extract_gold_strict(spark, sf_dir):
+    gold = answers.extract_gold(F.col("answer"), "strict_numeric")
+    return derived.qa(spark, sf_dir).select("sample_idx", gold.alias("gold"))
+
+
 @query
 def grade_answer(spark, sf_dir):
     return _graded(spark, sf_dir).select("sample_idx", "gen", "predicted", "ground_truth", "correct")
@@ -325,8 +334,20 @@ def sft_nll(spark, sf_dir):
 
 @query
 def dpo_loss(spark, sf_dir):
-    rows = derived.logps(spark, sf_dir).select("run_id", rewards.dpo_loss(F.col("logp_chosen"), F.col("logp_rejected")).alias("loss"))
-    return rows.groupBy("run_id").agg(F.round(F.avg("loss"), 6).alias("loss"))
+    return _preference_losses(spark, sf_dir, F.col("logp_chosen"), F.col("logp_rejected"))
+
+
+@query
+def dpo_loss_reference(spark, sf_dir):
+    return _preference_losses(spark, sf_dir, *map(F.col, ("logp_chosen", "logp_rejected", "ref_chosen", "ref_rejected")))
+
+
+def _preference_losses(spark: SparkSession, sf_dir: str, chosen: Column, rejected: Column, *reference: Column) -> DataFrame:
+    loss = rewards.dpo_loss(chosen, rejected, rewards.DEFAULT_BETA, *reference)
+    margin = rewards.dpo_margin(chosen, rejected, *reference)
+    return derived.logps(spark, sf_dir).groupBy("run_id").agg(
+        F.round(F.avg(loss), 6).alias("loss"), F.round(rewards.preference_accuracy(margin), 6).alias("preference_accuracy")
+    )
 
 
 # --- joins ---
@@ -356,7 +377,7 @@ def compare_runs(spark, sf_dir):
     # Two runs over all generations: even ones before, odd ones after, two samples per question.
     sample = (F.col("sample_idx") * 2 + F.floor(F.col("gen") / 2)).alias("sample_idx")
     runs = _graded(spark, sf_dir).select(sample, (F.col("gen") % 2).alias("run_id"), "correct")
-    compared = metrics.compare_runs(runs, 0, 1)
+    compared = metrics.compare_runs(runs, 0, 1, key=("sample_idx",))
     counts = ["n_samples", "correct_a", "correct_b", "fixed", "broken", "both", "neither"]
     return compared.select(*counts, _r6("accuracy_a"), _r6("accuracy_b"), _r6("lift"))
 
@@ -438,7 +459,9 @@ def running_accuracy_flawed(spark, sf_dir):
 
 @query
 def dataset_profile(spark, sf_dir):
-    return metrics.dataset_profile(_qa_by_split(spark, sf_dir))
+    profile = metrics.dataset_profile(_qa_by_split(spark, sf_dir))
+    rounded = [_r6(c) if c.endswith(("_avg_chars", "_pct")) else F.col(c) for c in profile.columns]
+    return profile.select(*rounded)
 
 
 @query
@@ -583,7 +606,7 @@ def run_evaluation(spark, sf_dir):
         return generate
 
     params = inference.GenerationParams(max_new_tokens=14)
-    graded = evaluation.run_evaluation(derived.qa(spark, sf_dir), load, CONFIGS, params)
+    graded = evaluation.run_evaluation(derived.qa(spark, sf_dir), load, CONFIGS, params, run_id="tiny")
     summary = metrics.eval_summary(graded, by=("config",))
     counts = ["total_samples", "correct_count", "incorrect_count", "truncated_count"]
     return summary.select("config", *counts, _r6("accuracy"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gradeloom.functions.answers import GOLD_FORMS
 from gradeloom.functions.patterns import (
     ANSWER_PATTERNS,
     ANSWER_PROFILES,
@@ -128,8 +129,8 @@ sweep as (select * from (select *, cast(regexp_extract(config, '^G([0-9]+)_B([0-
  cast(regexp_extract(config, '^G([0-9]+)_B([0-9]+)$', 2) as integer) as batch_size from runs)
  where batch_size % num_generations = 0)"""
 
-_LOGPS = """logps as (select l_suppkey % 5 as run_id, -l_quantity / 10 as chosen, -l_extendedprice / 10000 as rejected
- from lineitem)"""
+_LOGPS = """logps as (select l_suppkey % 5 as run_id, -l_quantity / 10 as chosen, -l_extendedprice / 10000 as rejected,
+ -l_discount * 10 as ref_chosen, -l_tax * 10 as ref_rejected from lineitem)"""
 
 _MESSAGES = (
     f"cast(2 as integer) as n_messages, 'system' as role_0, {_lit(SYSTEM_PROMPT)} as content_0, 'user' as role_1, "
@@ -175,10 +176,25 @@ _BEST_WORST = """ends as (select sample_idx, count(*) as group_size,
  from graded group by sample_idx)"""
 _SIDE = ", ".join(
     f"arg_min(predicted, gen) filter (where config = '{c}') as {c}_predicted, "
-    f"arg_min(correct, gen) filter (where config = '{c}') as {c}_correct"
+    f"arg_min(correct, gen) filter (where config = '{c}') as {c}_correct, "
+    f"arg_min(response, gen) filter (where config = '{c}') as {c}_response, "
+    f"arg_min(output_tokens, gen) filter (where config = '{c}') as {c}_output_tokens"
     for c in CONFIGS
 )
 
+_SIGNED = r"-?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)"
+_LENGTHS = ", ".join(
+    f"min(length({c})) as {c}_min_chars, round(avg(length({c})), 6) as {c}_avg_chars, max(length({c})) as {c}_max_chars"
+    for c in ("question", "answer")
+)
+_FORM = (
+    f"case when regexp_matches(answer, {_regex(GOLD_MARKER)}) then 'marker' when regexp_matches(answer, {_regex(GOLD_ANNOTATION)}) "
+    "then 'annotation' when regexp_matches(answer, '[0-9]') then 'number' else 'text' end"
+)
+_FORMS = ", ".join(
+    f"round(count(*) filter (where {_FORM} = '{form}') * 100.0::double / count(*), 6) as gold_{form}_pct" for form in GOLD_FORMS
+)
+
 ORACLE_SQL: dict[str, str] = {
     "read_qa": _READ_QA,
     "read_qa_json": _READ_QA,
@@ -212,6 +228,9 @@ from graded where not correct or truncated""",
     "extract_gold": f"with {_QA} select sample_idx, {_gold('answer', 'basic')} as gold from qa",
     "extract_gold_calc": f"with {_QA} select sample_idx, {_gold('answer', 'calc')} as gold from qa",
     "extract_gold_compare": f"with {_QA} select sample_idx, {_gold('answer', 'compare')} as gold from qa",
+    "extract_gold_strict": f"""with {_QA}, m as (select *, regexp_extract(answer, '#### *({_SIGNED})', 1) as marked from qa)
+select sample_idx, case when marked <> '' then replace(marked, ',', '')
+ else coalesce(list_extract(regexp_extract_all(answer, {_regex(NUMBER)}), -1), {_strip('answer')}) end as gold from m""",
     "grade_answer": f"with {_GRADED} select sample_idx, gen, predicted, ground_truth, correct from graded",
     "grade_answer_ci": f"""select o_orderkey,
  {_grade("(' ' || upper(o_orderpriority))", "o_orderpriority", "lower")} as nocase,
@@ -232,11 +251,14 @@ select *, output_tokens >= {MAX_NEW_TOKENS} as truncated from padded""",
     "reward_registry": f"""with {_GRADED} select sample_idx, gen,
  round(reward + 0.25::double * (case when truncated then 0 else 1 end), 6) as reward from graded""",
     "sft_nll": f"with {_LOGPS} select run_id, round(avg(-chosen), 6) as loss from logps group by run_id",
-    "dpo_loss": f"""with {_LOGPS} select run_id, round(avg(ln(1 + exp(-0.1::double * (chosen - rejected)))), 6) as loss
-from logps group by run_id""",
+    "dpo_loss": f"""with {_LOGPS} select run_id, round(avg(ln(1 + exp(-0.1::double * (chosen - rejected)))), 6) as loss,
+ round(avg(case when chosen > rejected then 1.0::double else 0 end), 6) as preference_accuracy from logps group by run_id""",
+    "dpo_loss_reference": f"""with {_LOGPS}, m as (select run_id, chosen - rejected - (ref_chosen - ref_rejected) as margin from logps)
+select run_id, round(avg(ln(1 + exp(-0.1::double * margin))), 6) as loss,
+ round(avg(case when margin > 0 then 1.0::double else 0 end), 6) as preference_accuracy from m group by run_id""",
     "expand_configs": f"with {_QA} {_CONFIG_ROWS}",
     "join_gold": f"with {_QA}, {_RESPONSES} select sample_idx, gen, question, answer, response from responses join qa using (sample_idx)",
-    "compare_side_by_side": f"with {_GRADED} select sample_idx, max(ground_truth) as ground_truth, {_SIDE} from graded group by sample_idx",
+    "compare_side_by_side": f"with {_GRADED} select sample_idx, max(question) as question, max(ground_truth) as ground_truth, {_SIDE} from graded group by sample_idx",
     "compare_runs": f"""with {_GRADED}, paired as (select a.correct as a, b.correct as b from graded a join graded b
  on a.sample_idx = b.sample_idx and a.gen // 2 = b.gen // 2 and a.gen % 2 = 0 and b.gen % 2 = 1)
 select count(*) as n_samples, count(*) filter (where a) as correct_a, count(*) filter (where b) as correct_b,
@@ -274,8 +296,8 @@ select issue, count(*) as n_rows from issues group by issue""",
  from graded group by all), s as (select run_id, sample_idx, cast(sum(n) over w as bigint) as seen, cast(sum(k) over w as bigint) as correct_so_far
  from c window w as (partition by run_id order by sample_idx))
 select *, round(correct_so_far * 100.0::double / seen, 6) as accuracy from s""",
-    "dataset_profile": f"""with {_QA} select {_SPLIT} as split, count(*) as n_rows, 'sample_idx,question,answer' as columns
-from qa group by 1""",
+    "dataset_profile": f"""with {_QA} select {_SPLIT} as split, count(*) as n_rows, 'sample_idx,question,answer' as columns,
+ {_LENGTHS}, {_FORMS} from qa group by 1""",
     "resource_summary": f"""with {_SAMPLES} select config, round(max(used_mb / 1024), 6) as max_gb, round(avg(used_mb / 1024), 6) as avg_gb,
  count(*) as n_samples, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::double, 3) as duration_s from samples group by config""",
     "estimate_full_time": f"""with {_RUNS} select step, elapsed_s * 8700 /

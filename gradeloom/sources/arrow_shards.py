@@ -6,6 +6,8 @@ import glob
 import os
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
+from pyspark.sql.types import LongType, NullType, StringType, StructType
 
 SHARD_PATTERN = "data-*.arrow"  # fixed value: shard file names inside a split folder
 SPLIT_BYTES = 128 * 1024 * 1024  # bytes per task
@@ -21,6 +23,7 @@ class ShardSlice(InputPartition):
 
 class ArrowShardReader(DataSourceReader):
     def __init__(self, schema, options):
+        self.schema = schema
         self.columns = [f.name for f in schema.fields if f.name not in ("shard", "shard_row")]
         self.path = options["path"]
         self.split_bytes = int(options.get("splitbytes", SPLIT_BYTES))
@@ -41,8 +44,10 @@ class ArrowShardReader(DataSourceReader):
         """
         import os
 
+        import numpy as np
         import pyarrow as pa
 
+        wanted = to_arrow_schema(self.schema)
         with pa.memory_map(partition.path) as source, pa.ipc.open_stream(source) as stream:
             row = 0
             while True:
@@ -55,15 +60,18 @@ class ArrowShardReader(DataSourceReader):
                     return
                 if offset >= partition.start:
                     n = batch.num_rows
-                    arrays = [batch.column(batch.schema.get_field_index(c)).cast(pa.string()) for c in self.columns]
+                    arrays = [batch.column(batch.schema.get_field_index(c)).cast(wanted.field(c).type) for c in self.columns]
                     shard = pa.array([os.path.basename(partition.path)] * n, pa.string())
-                    rows = pa.array(range(row, row + n), pa.int64())
-                    yield pa.RecordBatch.from_arrays([*arrays, shard, rows], [*self.columns, "shard", "shard_row"])
+                    rows = pa.array(np.arange(row, row + n))
+                    yield pa.RecordBatch.from_arrays([*arrays, shard, rows], schema=wanted)
                 row += batch.num_rows
 
 
 class ArrowShards(DataSource):
-    """``spark.read.format("arrow_shards").load(split_folder)``; text columns, shard name, row in shard."""
+    """``spark.read.format("arrow_shards").load(split_folder)``: columns of the first shard, shard name, row in shard.
+
+    Columns keep their types; option ``columns``, names joined by commas, reads only those. A column without a type is text.
+    """
 
     @classmethod
     def name(cls):
@@ -73,8 +81,12 @@ class ArrowShards(DataSource):
         import pyarrow as pa
 
         with pa.memory_map(shard_paths(self.options["path"])[0]) as source, pa.ipc.open_stream(source) as stream:
-            columns = [f"`{name}` string" for name in stream.schema.names]
-        return ", ".join([*columns, "shard string", "shard_row bigint"])
+            named = [c for c in self.options.get("columns", "").split(",") if c] or stream.schema.names
+            out = StructType()
+            for name in named:
+                kind = from_arrow_type(stream.schema.field(name).type)
+                out = out.add(name, StringType() if isinstance(kind, NullType) else kind)
+        return out.add("shard", StringType()).add("shard_row", LongType())
 
     def reader(self, schema):
         return ArrowShardReader(schema, self.options)

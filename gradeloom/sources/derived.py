@@ -116,13 +116,15 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``run_id, sample_idx, gen, logp_chosen, logp_rejected`` from the line items."""
+    """``run_id, sample_idx, gen, logp_chosen, logp_rejected, ref_chosen, ref_rejected`` from the line items."""
     return table(spark, sf_dir, "lineitem").select(
         (F.col("l_suppkey") % 5).alias("run_id"),
         F.col("l_orderkey").alias("sample_idx"),
         F.col("l_linenumber").alias("gen"),
         (-F.col("l_quantity") / 10).alias("logp_chosen"),
         (-F.col("l_extendedprice") / 10000).alias("logp_rejected"),
+        (-F.col("l_discount") * 10).alias("ref_chosen"),
+        (-F.col("l_tax") * 10).alias("ref_rejected"),
     )
 
 

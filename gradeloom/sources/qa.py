@@ -29,8 +29,8 @@ def read_qa(spark: SparkSession, path: str, split: str | None = "test", fmt: str
 
     A folder is named ``<split>`` or ``split=<split>``; ``None`` reads a dataset without splits. An unknown split is an error that names the
     ones there are; nothing is substituted for data that cannot be loaded. ``with_index`` adds a dense
-    ``sample_idx`` in storage order (Parquet and Arrow). For JSON, ``columns`` names the text columns to
-    read; without it their inference costs a pass over the whole data.
+    ``sample_idx`` in storage order (Parquet and Arrow). For JSON and Arrow, ``columns`` names the columns to
+    read; without it JSON is read once more to infer them.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; known: {', '.join(FORMATS)}")
@@ -56,7 +56,7 @@ def _load(spark: SparkSession, folder: str, fmt: str, with_index: bool, columns:
         # The reader travels to the workers by value: they need no installed copy of the package.
         cloudpickle.register_pickle_by_value(arrow_shards)
         spark.dataSource.register(arrow_shards.ArrowShards)
-        df = spark.read.format("arrow_shards").load(folder)
+        df = spark.read.format("arrow_shards").option("columns", ",".join(columns)).load(folder)
         if with_index:
             return df.withColumnsRenamed({"shard": "_unit", "shard_row": "_row"})
         return df.drop("shard", "shard_row")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -20,15 +20,19 @@ def run_name(model_path: str, prompt_format: str, started: datetime) -> str:
     return f"{model}_{prompt_format}_{started:%Y%m%d_%H%M%S}"
 
 
-def write_eval_results(graded: DataFrame, metrics: DataFrame, path: str, *, fmt: str = "parquet",
+def write_eval_results(graded: DataFrame, metrics: DataFrame | Callable[[DataFrame], DataFrame], path: str, *, fmt: str = "parquet",
                        partition_by: Sequence[str] = ("run_id", "config"), mode: str = "errorifexists") -> None:
     """Detail rows partitioned by run and format, and one JSON row of metrics per run.
 
+    Metrics given as a function get the written details, so that the rows are graded once.
+
     The rebalance hint brings rows of one output folder together and lets adaptive execution split a
     run that holds a large share, so neither many tiny files nor one huge task results.
     """
     details = graded.hint("rebalance", *[F.col(c) for c in partition_by])
     details.write.mode(mode).partitionBy(*partition_by).format(fmt).save(f"{path}/details")
+    if callable(metrics):
+        metrics = metrics(graded.sparkSession.read.schema(graded.schema).format(fmt).load(f"{path}/details"))
     metrics.write.mode(mode).option("ignoreNullFields", "false").json(f"{path}/metrics")
 
 

@@ -115,3 +115,13 @@ def test_random_texts_equal_python(spark):
                 different.append((t, n, row["p_" + n], m and m.group(1)))
         assert row["full"] == row["full8"]
     assert not different, different[:5]
+
+
+def test_strict_numeric_gold(spark):
+    cases = {
+        "#### -5": "-5", "#### 1,000": "1000", "#### +2.5": "2.5", "he has 7-5": "5", "loss of -3,250,000.5 now": "-3250000.5",
+        "#### 12,34": "12", "#### 1,0000": "1", " Blue ": "Blue", "": "", None: "",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "answer string, want string")
+    got = df.select("answer", "want", extract_gold(F.col("answer"), "strict_numeric").alias("got")).where("got is distinct from want")
+    assert [tuple(r) for r in got.collect()] == []

@@ -2,12 +2,9 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from gradeloom.operators import metrics
 from gradeloom.operators.inference import GenerationParams
-from gradeloom.plans.evaluation import grade_responses, run_evaluation
-from gradeloom.sources.writers import metrics_record, write_eval_results
+from gradeloom.plans.evaluation import grade_responses, run_evaluation, write_run
 
 QA = [
     (0, "Clips sold in April and May: 48 and half as many?", "48/2 = <<48/2=24>>24\n#### 72"),
@@ -33,7 +30,9 @@ def canned():
 
 def test_run_to_written_metrics(spark, tmp_path):
     qa = spark.createDataFrame(QA, "sample_idx bigint, question string, answer string")
-    graded = run_evaluation(qa, canned(), ["no_system", "cot"], GenerationParams(max_new_tokens=8)).withColumn("run_id", F.lit("r"))
+    params = GenerationParams(max_new_tokens=8)
+    graded = run_evaluation(qa, canned(), ["no_system", "cot"], params, run_id="r", partitions=2)
+    assert graded.where("elapsed_s >= 0 and run_id = 'r'").count() == 6
     by_config = {r["config"]: tuple(r)[1:] for r in metrics.eval_summary(graded, by=("config",)).collect()}
     assert by_config.keys() == {"no_system", "cot"}
     assert all(v[:3] == (3, 2, 1) and v[4] == 1 for v in by_config.values())
@@ -41,13 +40,14 @@ def test_run_to_written_metrics(spark, tmp_path):
     assert [(r["sample_idx"], r["predicted"], r["ground_truth"], r["truncated"]) for r in wrong] == [(2, "40", "36", True)]
 
     memory = spark.createDataFrame([("r", 2.0, 5.0)], "run_id string, peak_allocated_gb double, peak_reserved_gb double")
-    config = spark.createDataFrame([("r", "tiny", 32)], "run_id string, model_path string, batch_size int")
-    write_eval_results(graded, metrics_record(metrics.eval_summary(graded), memory, config), str(tmp_path / "run"))
-    (line,) = [l for f in (tmp_path / "run" / "metrics").glob("part-*") for l in f.read_text().splitlines()]
+    path = write_run(graded, str(tmp_path), "r", params, memory, model_path="tiny")
+    assert path == str(tmp_path / "r")
+    (line,) = [l for f in (tmp_path / "r" / "metrics").glob("part-*") for l in f.read_text().splitlines()]
     record = json.loads(line)
     assert record["total_samples"] == 6 and record["memory_stats"] == {"peak_allocated_gb": 2.0, "peak_reserved_gb": 5.0}
-    assert record["config"] == {"model_path": "tiny", "batch_size": 32}
-    assert spark.read.parquet(str(tmp_path / "run" / "details")).count() == 6
+    assert record["config"] == {"batch_size": 32, "max_new_tokens": 8, "temperature": 0.0, "top_p": 1.0, "model_path": "tiny"}
+    assert record["inference_time_seconds"] >= 0 and record["avg_time_per_sample"] >= 0
+    assert spark.read.parquet(str(tmp_path / "r" / "details")).count() == 6
 
 
 def test_profiles_reach_the_grade(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gradeloom.functions.rewards import RewardRegistry, dpo_loss
+from gradeloom.functions.rewards import RewardRegistry, dpo_loss, dpo_margin
 from gradeloom.operators import groups, metrics, resources, samples, skew, tables
 from gradeloom.operators.inference import GenerationParams, generate_responses
 from gradeloom.operators.prefix import running_totals
@@ -107,9 +107,48 @@ def test_best_worst_ties(spark):
 def test_compare_runs_counts(spark):
     rows = [(0, 1, True), (1, 1, False), (0, 2, False), (1, 2, True), (0, 3, True), (1, 3, True), (0, 4, False), (2, 4, True)]
     df = spark.createDataFrame(rows, "run_id int, sample_idx int, correct boolean")
-    r = metrics.compare_runs(df, 0, 1).first()
+    r = metrics.compare_runs(df, 0, 1, key=("sample_idx",)).first()
     assert (r["n_samples"], r["fixed"], r["broken"], r["both"], r["neither"], r["lift"]) == (3, 1, 1, 1, 0, 0.0)
-    assert metrics.compare_runs(df, 8, 9).first()["lift"] is None
+    assert metrics.compare_runs(df, 8, 9, key=("sample_idx",)).first()["lift"] is None
+
+
+def test_compare_runs_takes_each_generation(spark):
+    rows = [(run, 0, "cot", gen, gen == run) for run in (0, 1) for gen in range(4)]
+    df = spark.createDataFrame(rows, "run_id int, sample_idx int, config string, gen int, correct boolean")
+    r = metrics.compare_runs(df, 0, 1).first()
+    assert (r["n_samples"], r["correct_a"], r["correct_b"], r["fixed"], r["broken"]) == (4, 1, 1, 1, 1)
+    assert metrics.compare_runs(df, 0, 1, key=("sample_idx",)).first()["both"] == 1  # any generation counts
+
+
+def test_dataset_profile_of_all_forms(spark):
+    rows = [("a", "q", "#### 5"), ("a", "question", "<<2+3=5>> left"), ("a", "q", "five is 5"), ("a", None, None)]
+    r = metrics.dataset_profile(spark.createDataFrame(rows, "split string, question string, answer string")).first()
+    assert (r["n_rows"], r["question_min_chars"], r["question_max_chars"], r["answer_max_chars"]) == (4, 1, 8, 14)
+    assert [r[f"gold_{form}_pct"] for form in ("marker", "annotation", "number", "text")] == [25.0] * 4
+
+
+def test_preference_margin_with_reference(spark):
+    values = spark.sql("select -1d a, -2d b, -1d c, -4d d").select(
+        dpo_margin(F.col("a"), F.col("b")).alias("plain"), dpo_margin(*map(F.col, "abcd")).alias("against_reference")
+    ).first()
+    assert tuple(values) == (1.0, -2.0)
+    with pytest.raises(ValueError):
+        dpo_margin(F.col("a"), F.col("b"), F.col("c"))
+
+
+def test_batches_cross_arrow_borders(spark):
+    def loader():
+        return lambda prompts, params: ([str(len(prompts))] * len(prompts), [1] * len(prompts), [1] * len(prompts))
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        df = spark.range(0, 50, 1, 1).selectExpr("id", "'p' as prompt")
+        sizes = sorted(int(r["response"]) for r in generate_responses(df, loader, GenerationParams(batch_size=32)).collect())
+        dealt = generate_responses(df, loader, GenerationParams(batch_size=32), partitions=5, timed=True)
+        assert dealt.rdd.getNumPartitions() == 5 and dealt.where("elapsed_s >= 0").count() == 50
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sizes == [18] * 18 + [32] * 32
 
 
 def test_empty_run_has_null_accuracy(spark):

@@ -104,3 +104,16 @@ def test_eval_results_folders(spark, tmp_path):
     assert os.path.isdir(tmp_path / "o" / "details" / "run_id=r1" / "config=cot")
     assert spark.read.json(str(tmp_path / "o" / "metrics")).count() == 2
     assert run_name("/models/tiny-1b/", "cot", datetime(2024, 4, 15, 12, 34, 56)) == "tiny-1b_cot_20240415_123456"
+
+
+def test_arrow_shards_keep_types_and_read_wanted_columns(spark, tmp_path):
+    folder = tmp_path / "test"
+    folder.mkdir()
+    table = pa.table({"question": ["a", "b"], "answer": ["1", None], "tags": [["x"], []], "level": pa.array([1, None], pa.int32()), "extra": pa.nulls(2)})
+    with pa.OSFile(str(folder / "data-00000-of-00001.arrow"), "wb") as sink, pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    every = read_qa(spark, str(tmp_path), "test", "arrow")
+    assert dict(every.dtypes) == {"tags": "array<string>", "level": "int", "extra": "string", "question": "string", "answer": "string"}
+    assert sorted((r["question"], r["answer"], r["tags"], r["level"], r["extra"]) for r in every.collect()) == [("a", "1", ["x"], 1, None), ("b", "", [], None, None)]
+    few = read_qa(spark, str(tmp_path), "test", "arrow", columns=["question", "answer"])
+    assert few.columns == ["question", "answer"] and few.count() == 2
