@@ -29,6 +29,8 @@ REACH = 20
 #: Phrases and labels of the base, as given.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
+#: A blank or the end of the window. ``$`` would also match before a line separator, which is part of a word here.
+_ENDS = r"(?: |(?![\s\S]))"
 _V = r"(?: (?:version|v|ver))?"
 _N = r"(?: v?\d+(?: \d+){0,2})"
 #: License label and its name in words. Versions follow by ``_V`` and ``_N``.
@@ -109,7 +111,7 @@ def rules() -> list[tuple[int, str, str, str, int, float, bool]]:
     """``rule, anchor word, pattern, label, priority, weight, base``: every rule once for each word it may begin with."""
     out, number = [], 0
     for phrase, label in BASE:
-        out.append((number, phrase.split()[0], rf"^({phrase})(?: |$)", label, 3, 0.5, True))
+        out.append((number, phrase.split()[0], rf"^({phrase}){_ENDS}", label, 3, 0.5, True))
         number += 1
     for k, (before, after, priority, weight) in enumerate(FORMS):
         for label, name in NAMES:
@@ -118,7 +120,7 @@ def rules() -> list[tuple[int, str, str, str, int, float, bool]]:
                 name = rf"(?:{name}) license" if "license" not in name else name.replace("(?: license)?", " license")
             words = NAME_WORDS.get(label, "cc creative") if bare else FORM_WORDS[k]
             for anchor in words.split():
-                out.append((number, anchor, rf"^({before}(?:{name}){after})(?: |$)", label, priority, weight, False))
+                out.append((number, anchor, rf"^({before}(?:{name}){after}){_ENDS}", label, priority, weight, False))
             number += 1
     return out
 

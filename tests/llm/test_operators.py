@@ -321,7 +321,7 @@ def brute_licenses(text):
 def test_licenses(spark):
     rows = [
         "Licensed under CC BY-NC 4.0.", "licensed under the GNU General Public License, version 3.", "all rights reserved All RIGHTS Reserved", "cc by", "_Cc.By_ x",
-        "dedicated to the public domain", "MIT license", "SPDX-License-Identifier: Apache-2.0 OR MIT", "is subject to BSD 3 clause", "É cc by é", "cc bye xcc by",
+        "dedicated to the public domain", "MIT license", "SPDX-License-Identifier: Apache-2.0 OR MIT", "is subject to BSD 3 clause", "É cc by é", "cc bye xcc by", "all rights reserved\u2028", "cc by\x85",
         "redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "Under the Apache License, Version 2.0. Released under the MIT License. " * 30,
     ] + texts()
     got = by_id(licenses.scan_licenses(table(spark, rows)))
