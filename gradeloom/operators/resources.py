@@ -13,16 +13,20 @@ FULL_TRAIN_ROWS = 8700
 STARTUP_SECONDS = 3
 
 
-def sweep_filter(runs: DataFrame, name: str = "config") -> DataFrame:
-    """Runs named ``G<gen>_B<batch>`` whose batch size is a multiple of the group size, with both numbers."""
+def sweep_numbers(runs: DataFrame, name: str = "config") -> DataFrame:
+    """Group size and batch size of runs named ``G<gen>_B<batch>``, NULL for other names."""
     pattern = r"^G(\d+)_B(\d+)$"
-    parsed = runs.withColumns(
+    return runs.withColumns(
         {
             "num_generations": F.regexp_extract(name, pattern, 1).try_cast("int"),
             "batch_size": F.regexp_extract(name, pattern, 2).try_cast("int"),
         }
     )
-    return parsed.where(F.try_mod(F.col("batch_size"), F.col("num_generations")) == 0)
+
+
+def sweep_filter(runs: DataFrame, name: str = "config") -> DataFrame:
+    """Runs named ``G<gen>_B<batch>`` whose batch size is a multiple of the group size, with both numbers."""
+    return sweep_numbers(runs, name).where(F.try_mod(F.col("batch_size"), F.col("num_generations")) == 0)
 
 
 def resource_summary(samples: DataFrame, by: Sequence[str] = ("config",)) -> DataFrame:
@@ -45,9 +49,10 @@ def estimate_full_time(duration_s: Column, num_generations: Column, batch_size:
 
 
 def run_status(n_samples: Column, elapsed_s: Column, exit_code: Column) -> Column:
-    """``failed_to_start``, ``abnormal_exit`` or ``ok``."""
+    """``failed_to_start``, ``abnormal_exit``, ``unfinished`` (no exit code was reported) or ``ok``."""
     return (
         F.when((n_samples == 0) & (elapsed_s <= STARTUP_SECONDS), F.lit("failed_to_start"))
         .when(exit_code != 0, F.lit("abnormal_exit"))
+        .when(exit_code.isNull(), F.lit("unfinished"))
         .otherwise(F.lit("ok"))
     )

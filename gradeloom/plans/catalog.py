@@ -472,7 +472,7 @@ def resource_summary(spark, sf_dir):
 
 @query
 def estimate_full_time(spark, sf_dir):
-    runs = resources.sweep_filter(derived.run_log(spark, sf_dir))
+    runs = resources.sweep_numbers(derived.run_log(spark, sf_dir))
     minutes = resources.estimate_full_time(
         F.col("elapsed_s"), F.col("num_generations"), F.col("batch_size"), F.col("exit_code")
     )

@@ -125,9 +125,9 @@ _SAMPLES = """samples as (select case when user_id % 2 = 0 then 'G2_B2' else 'G4
 _RUNS = """runs as (select o_custkey as run_id, o_orderkey as step, cast(o_orderkey % 5 as integer) as exit_code,
  o_totalprice / 100000 as elapsed_s, cast(o_orderkey % 4 as integer) as n_samples,
  'G' || cast(o_orderkey % 4 + 1 as varchar) || '_B' || cast((o_custkey % 6 + 1) * 2 as varchar) as config from orders),
-sweep as (select * from (select *, cast(regexp_extract(config, '^G([0-9]+)_B([0-9]+)$', 1) as integer) as num_generations,
- cast(regexp_extract(config, '^G([0-9]+)_B([0-9]+)$', 2) as integer) as batch_size from runs)
- where batch_size % num_generations = 0)"""
+parsed as (select *, cast(regexp_extract(config, '^G([0-9]+)_B([0-9]+)$', 1) as integer) as num_generations,
+ cast(regexp_extract(config, '^G([0-9]+)_B([0-9]+)$', 2) as integer) as batch_size from runs),
+sweep as (select * from parsed where batch_size % num_generations = 0)"""
 
 _LOGPS = """logps as (select l_suppkey % 5 as run_id, -l_quantity / 10 as chosen, -l_extendedprice / 10000 as rejected,
  -l_discount * 10 as ref_chosen, -l_tax * 10 as ref_rejected from lineitem)"""
@@ -301,7 +301,7 @@ select *, round(correct_so_far * 100.0::double / seen, 6) as accuracy from s""",
     "resource_summary": f"""with {_SAMPLES} select config, round(max(used_mb / 1024), 6) as max_gb, round(avg(used_mb / 1024), 6) as avg_gb,
  count(*) as n_samples, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::double, 3) as duration_s from samples group by config""",
     "estimate_full_time": f"""with {_RUNS} select step, elapsed_s * 8700 /
- nullif(num_generations::double * batch_size * exit_code, 0) / 60 as full_minutes from sweep""",
+ nullif(num_generations::double * batch_size * exit_code, 0) / 60 as full_minutes from parsed""",
     "run_status": f"""with {_RUNS} select run_id, step, case when n_samples = 0 and elapsed_s <= 3 then 'failed_to_start'
  when exit_code <> 0 then 'abnormal_exit' else 'ok' end as status from runs""",
     "peak_memory": """select user_id % 7 as run_id, round(max(value / 64), 6) as peak_allocated_gb,

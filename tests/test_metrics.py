@@ -177,9 +177,10 @@ def test_resources(spark):
         resources.run_status(F.lit(0), F.lit(3.0), F.lit(0)).alias("a"),
         resources.run_status(F.lit(2), F.lit(9.0), F.lit(1)).alias("b"),
         resources.run_status(F.lit(2), F.lit(9.0), F.lit(0)).alias("c"),
+        resources.run_status(F.lit(2), F.lit(9.0), F.lit(None).cast("int")).alias("d"),
     ).first()
     assert row["m"] == pytest.approx(120 * 8700 / 320 / 60) and row["none"] is None
-    assert (row["a"], row["b"], row["c"]) == ("failed_to_start", "abnormal_exit", "ok")
+    assert (row["a"], row["b"], row["c"], row["d"]) == ("failed_to_start", "abnormal_exit", "ok", "unfinished")
 
 
 def test_losses_do_not_overflow(spark):
