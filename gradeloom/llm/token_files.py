@@ -6,8 +6,9 @@ starts from a fresh model and carries a CRC-32 of its ids, so it can be read, ch
 
 The model predicts the next id by the last follower of the two ids before it (order 2), of the one id before it (order 1), and
 by adaptive frequencies of id classes (order 0). The predictions are mixed into one distribution: orders 2 and 1 get weights that
-adapt to their hits, per confidence; the rest goes to order 0. A range coder codes the id by that distribution. Many blocks
-are coded side by side with numpy, one id of each per step; decoding does the same steps.
+adapt to their hits, per confidence and agreement; the rest goes to order 0. A range coder codes follower or class in one step by that
+distribution; ids of a class are alike, so the place within it follows in plain bits. Many blocks are coded side by side with numpy,
+one id of each per step; decoding does the same steps.
 
 Rows: one row out per row in. A null text is empty; every document gets the end id, so each has at least one. Rows that share an id
 follow one another in the order of their texts, a null id comes first. Texts are processed whole. An empty table writes no record and gives an empty
@@ -29,15 +30,19 @@ from pyspark.sql import functions as F
 from gradeloom.llm.bpe import encoded_blocks
 
 BLOCK_IDS = 4096
-VERSION = 1
+VERSION = 2
 
 _TABLE = 11  # bits of a follower table
-_CLASS_BITS = 12  # class frequencies add up to 2^12
-_REFRESH = 16  # steps between new class frequencies
-_TOP = np.uint64(32)
-_WORD = np.uint64(16)
-_LOW48 = np.uint64((1 << 48) - 1)
-_CONFIDENCES = 4
+_CLASS_BITS = 10  # class frequencies add up to 2^10
+_TOTAL = np.uint64(16 + _CLASS_BITS)
+_MOST = np.uint64((1 << (16 + _CLASS_BITS)) - 1)
+_EARLY = (4, 16, 64, 128)  # steps before which class frequencies are made anew, and every so many later
+_REFRESH = 256
+_STRIDE = 128  # room for classes per block
+_BY_FOLLOWER = np.uint8(_STRIDE - 1)
+_ONE = 1 << 16
+_LEAST, _SPREAD = 64, (1 << 16) - 512  # least share of an order, and what hits can add
+_WORD, _SHORT, _LOW_WORD, _U1 = np.uint64(32), np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64(1)
 
 
 @lru_cache(maxsize=2)
@@ -50,182 +55,193 @@ def _classes(n_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         bits.append(width)
         at += 1 << width
     lows = np.array(lows, np.int64)
-    return np.searchsorted(lows, np.arange(n_ids), side="right") - 1, lows, np.array(bits, np.uint64)
+    return (np.searchsorted(lows, np.arange(n_ids), side="right") - 1).astype(np.uint8), lows, np.array(bits, np.int64)
+
+
+@lru_cache(maxsize=2)
+def _hashes(n_ids: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of an id in a follower table, as the last id and as the one before; the value after the last id stands for none."""
+    ids = np.arange(n_ids + 1)
+    mask = (1 << _TABLE) - 1
+    return ((ids * 40503) >> 4) & mask, ((ids * 9973) >> 3) & mask
 
 
 class _Model:
-    """Predictions for ``lanes`` blocks side by side."""
+    """Predictions for ``lanes`` blocks side by side.
+
+    A follower is kept with its confidence: order 2 in the two lowest bits, order 1 in the lowest. ``none`` is no id.
+    """
 
-    def __init__(self, lanes: int, n_ids: int):
+    def __init__(self, lanes: int, steps: int, n_ids: int):
         self.class_of, self.class_low, self.class_bits = _classes(n_ids)
-        self.n_classes = len(self.class_low)
-        self.lane = np.arange(lanes)
-        self.base = self.lane << _TABLE
-        self.follow2 = np.full(lanes << _TABLE, -1, np.int32)
-        self.follow1 = np.full(lanes << _TABLE, -1, np.int32)
-        self.sure = np.zeros(lanes << _TABLE, np.uint8)
-        self.hit2 = np.full((lanes, _CONFIDENCES), 1 << 14, np.int64)
-        self.hit1 = np.full(lanes, 1 << 13, np.int64)
+        self.n_classes, self.none = len(self.class_low), n_ids
+        self.hash1, self.hash2 = _hashes(n_ids)
+        lane = np.arange(lanes)
+        self.base, self.by_class, self.by_look, self.by_mix = lane << _TABLE, lane * _STRIDE, lane << _CLASS_BITS, lane * 16
+        self.follow2 = np.full(lanes << _TABLE, n_ids << 2, np.int32)
+        self.follow1 = np.full(lanes << _TABLE, n_ids << 1, np.int32)
+        self.mix2 = np.tile(np.repeat(np.array([64, 12000, 36000, 52000]), 4), lanes)
+        self.mix1 = np.full(lanes * 16, 6000)
         self.counts = np.ones((lanes, self.n_classes), np.int64)
-        self.one = np.zeros(lanes, np.int64)
-        self.two = np.zeros(lanes, np.int64)
-        self.step = 0
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The followers of orders 2 and 1 and their shares of 2^16."""
-        if self.step % _REFRESH == 0:
-            room = (1 << _CLASS_BITS) - self.n_classes
-            total = self.counts.sum(axis=1, keepdims=True)
-            cum = np.zeros((len(self.lane), self.n_classes + 1), np.int64)
-            np.cumsum(self.counts * room // total + 1, axis=1, out=cum[:, 1:])
-            cum[:, -1] = 1 << _CLASS_BITS
-            self.cum = cum
-        self.at2 = self.base + (((self.one * 40503 + self.two * 9973) >> 3) & ((1 << _TABLE) - 1))
-        self.at1 = self.base + (((self.one * 40503) >> 4) & ((1 << _TABLE) - 1))
-        id2, id1 = self.follow2[self.at2], self.follow1[self.at1]
-        self.trust = self.sure[self.at2]
-        share2 = np.where(id2 >= 0, self.hit2[self.lane, self.trust], 0)
-        use1 = (id1 >= 0) & (id1 != id2)
-        share1 = np.where(use1, ((1 << 16) - share2) * self.hit1 >> 16, 0)
-        self.id2, self.id1, self.use1 = id2, id1, use1
-        return id2, id1, share2, share1
-
-    def learn(self, ids: np.ndarray, lanes_rest: np.ndarray) -> None:
-        right2 = ids == self.id2
-        has2 = self.id2 >= 0
-        p = self.hit2[self.lane, self.trust]
-        self.hit2[self.lane, self.trust] = np.where(has2, np.where(right2, p + (((1 << 16) - 512 - p) >> 5), p - ((p - 128) >> 5)), p)
-        use = self.use1 & ~right2
-        self.hit1 += np.where(use, np.where(ids == self.id1, ((1 << 16) - 512 - self.hit1) >> 5, -((self.hit1 - 128) >> 5)), 0)
-        self.sure[self.at2] = np.where(right2, np.minimum(self.trust + 1, _CONFIDENCES - 1), 0)
-        self.follow2[self.at2] = ids
-        self.follow1[self.at1] = ids
-        self.counts[lanes_rest, self.class_of[ids[lanes_rest]]] += 32
-        self.two, self.one = self.one, ids
+        self.coded = np.empty((steps, lanes), np.uint8)
+        self.step = self.counted = 0
+        self.at1, self.at2, self.before = self.base, self.base, np.zeros(lanes, np.int64)
+        self._refresh()
+
+    def _refresh(self) -> None:
+        """Class frequencies from the ids coded by class so far."""
+        new = self.coded[self.counted : self.step]
+        if len(new):
+            at = (self.by_class + new).ravel()
+            self.counts += 32 * np.bincount(at, minlength=len(self.base) * _STRIDE).reshape(-1, _STRIDE)[:, : self.n_classes]
+        self.counted = self.step
+        room = (1 << _CLASS_BITS) - self.n_classes
+        sizes = self.counts * room // self.counts.sum(axis=1, keepdims=True) + 1
+        sizes[:, -1] += (1 << _CLASS_BITS) - sizes.sum(axis=1)
+        table = np.zeros((len(self.base), _STRIDE), np.int64)
+        table[:, : self.n_classes] = ((np.cumsum(sizes, axis=1) - sizes) << 16) | sizes
+        self.class_table = table.ravel()
+        self.look = np.repeat(np.tile(np.arange(self.n_classes, dtype=np.uint8), len(self.base)), sizes.ravel())
+
+    def predict(self) -> None:
+        """The followers of both orders, and the shares of 2^16 of each and of order 0."""
+        if self.step in _EARLY or self.step and self.step % _REFRESH == 0:
+            self._refresh()
+        found2, found1 = self.follow2.take(self.at2), self.follow1.take(self.at1)
+        self.id2, self.sure = found2 >> 2, found2 & 3
+        self.id1 = found1 >> 1
+        self.at_mix = self.by_mix + (self.sure << 2) + ((self.id1 == self.id2) << 1) + (found1 & 1)
+        self.share2, self.mixed1 = self.mix2.take(self.at_mix), self.mix1.take(self.at_mix)
+        rest = _ONE - self.share2
+        self.share1 = (rest * self.mixed1 >> 16) + 1
+        self.share0 = rest - self.share1
+
+    def learn(self, ids: np.ndarray, hit2: np.ndarray, same1: np.ndarray, classes: np.ndarray) -> None:
+        """What came; ``classes`` of ids that order 0 coded, and ``_BY_FOLLOWER`` for the others."""
+        self.mix2[self.at_mix] = self.share2 + ((hit2 * _SPREAD + _LEAST - self.share2) >> 5)
+        self.mix1[self.at_mix] = self.mixed1 + (((same1 * _SPREAD + _LEAST - self.mixed1) >> 5) * ~hit2)
+        self.follow2[self.at2] = (ids << 2) + np.minimum(self.sure, 2) * hit2 + 1
+        self.follow1[self.at1] = (ids << 1) + same1
+        self.coded[self.step] = classes
+        hashed = self.hash1.take(ids, mode="clip")
+        self.at1, self.at2 = self.base + hashed, self.base + (hashed ^ self.before)
+        self.before = self.hash2.take(ids, mode="clip")
         self.step += 1
 
 
-class _Encoder:
-    def __init__(self, lanes: int, room: int):
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, 1 << 48, np.uint64)
-        self.words = np.zeros((lanes, room), np.int32)
-        self.n = np.zeros(lanes, np.int64)
-
-    def code(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, bits) -> None:
-        """Narrow the lanes' ranges to ``[start, start + size)`` of ``2^bits``."""
-        part = self.range[lanes] >> bits
-        low = self.low[lanes] + part * start
-        span = part * size
-        carry = low > _LOW48
-        if carry.any():
-            who = lanes[carry]
-            self.words[who, self.n[who] - 1] += 1
-            low &= _LOW48
-        short = span < (np.uint64(1) << _TOP)
-        if short.any():
-            who = lanes[short]
-            self.words[who, self.n[who]] = (low[short] >> _TOP).astype(np.int32)
-            self.n[who] += 1
-            low[short] = (low[short] << _WORD) & _LOW48
-            span[short] <<= _WORD
-        self.low[lanes], self.range[lanes] = low, span
-
-    def finish(self) -> list[bytes]:
-        for k in range(3):
-            self.words[np.arange(len(self.n)), self.n] = (self.low >> _TOP).astype(np.int32)
-            self.low = (self.low << _WORD) & _LOW48
-            self.n += 1
-        for k in range(self.words.shape[1] - 1, 0, -1):  # carries that wait in a word
-            over = self.words[:, k] >> 16
-            if over.any():
-                self.words[:, k] &= 0xFFFF
-                self.words[:, k - 1] += over
-        packed = self.words.astype("<u2")
-        return [row[:n].tobytes() for row, n in zip(packed, self.n.tolist())]
-
-
-class _Decoder:
-    def __init__(self, data: list[bytes]):
-        sizes = [len(d) // 2 for d in data]
-        self.words = np.zeros((len(data), max(sizes) + 4), np.uint64)
-        for row, d in zip(self.words, data):
-            row[: len(d) // 2] = np.frombuffer(d[: len(d) // 2 * 2], "<u2")
-        self.code_ = (self.words[:, 0] << _TOP) | (self.words[:, 1] << _WORD) | self.words[:, 2]
-        self.range = np.full(len(data), 1 << 48, np.uint64)
-        self.n = np.full(len(data), 3, np.int64)
-
-    def peek(self, lanes: np.ndarray, bits) -> np.ndarray:
-        self.part = self.range[lanes] >> bits
-        return np.minimum(self.code_[lanes] // self.part, (np.uint64(1) << bits) - np.uint64(1))
-
-    def take(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        code = self.code_[lanes] - self.part * start
-        span = self.part * size
-        short = span < (np.uint64(1) << _TOP)
-        if short.any():
-            who = lanes[short]
-            code[short] = (code[short] << _WORD) | self.words[who, np.minimum(self.n[who], self.words.shape[1] - 1)]
-            self.n[who] += 1
-            span[short] <<= _WORD
-        self.code_[lanes], self.range[lanes] = code, span
-
-
-_16, _C = np.uint64(16), np.uint64(_CLASS_BITS)
-
-
 def encode_blocks(ids: np.ndarray, n_ids: int) -> list[bytes]:
-    """Codes blocks of equal length, one per row."""
+    """Codes blocks of equal length, one per row: number of range-coded words, those words, and the bits of ids within their classes."""
     lanes, steps = ids.shape
-    model, coder = _Model(lanes, n_ids), _Encoder(lanes, 3 * steps + 8)
-    every = model.lane
+    model = _Model(lanes, steps, n_ids)
+    columns = np.ascontiguousarray(ids.T.astype(np.int32))
+    low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+    lane = np.arange(lanes)
+    words = np.zeros((steps + 8) * lanes, np.uint64)  # an id takes less than a word
+    n = np.zeros(lanes, np.int64)
     for k in range(steps):
-        now = ids[:, k]
-        id2, id1, share2, share1 = model.predict()
-        is2, is1 = now == id2, (now == id1) & model.use1
-        is1 &= ~is2
-        start = np.where(is2, 0, np.where(is1, share2, share2 + share1))
-        size = np.where(is2, share2, np.where(is1, share1, (1 << 16) - share2 - share1))
-        coder.code(every, start.astype(np.uint64), size.astype(np.uint64), _16)
-        rest = np.flatnonzero(~(is2 | is1))
-        if len(rest):
-            own = now[rest]
-            kind = model.class_of[own]
-            low = model.cum[rest, kind]
-            coder.code(rest, low.astype(np.uint64), (model.cum[rest, kind + 1] - low).astype(np.uint64), _C)
-            coder.code(rest, (own - model.class_low[kind]).astype(np.uint64), np.ones(len(rest), np.uint64), model.class_bits[kind])
-        model.learn(now, rest)
-    return coder.finish()
+        now = columns[k]
+        model.predict()
+        hit2, same1 = now == model.id2, now == model.id1
+        rest = ~(hit2 | same1)
+        kind = model.class_of.take(now)
+        table = model.class_table.take(model.by_class + kind)
+        first = model.share2 << _CLASS_BITS
+        second = model.share1 << _CLASS_BITS
+        start = np.where(rest, first + second + (table >> 16) * model.share0, np.where(hit2, 0, first))
+        size = np.where(rest, (table & 0xFFFF) * model.share0, np.where(hit2, first, second))
+        part = width >> _TOTAL
+        add = part * start.view(np.uint64)
+        low += add
+        width = part * size.view(np.uint64)
+        carry = low < add
+        if carry.any():
+            who = np.flatnonzero(carry)
+            words[(n[who] - 1) * lanes + who] += _U1
+        who = np.flatnonzero(width < _SHORT)
+        if len(who):
+            own = low[who]
+            words[n[who] * lanes + who] = own >> _WORD
+            n[who] += 1
+            low[who] = own << _WORD
+            width[who] <<= _WORD
+        model.learn(now, hit2, same1, np.where(rest, kind, _BY_FOLLOWER))
+    for _ in range(2):
+        words[n * lanes + lane] = low >> _WORD
+        low <<= _WORD
+        n += 1
+    words = words.reshape(-1, lanes)
+    for k in range(int(n.max()) - 1, 0, -1):  # carries that wait in a word
+        words[k - 1] += words[k] >> _WORD
+    coded = np.ascontiguousarray(words.astype("<u4").T)
+    within = []
+    for at in range(0, lanes, 64):
+        part = slice(at, at + 64)
+        kinds = np.ascontiguousarray(model.coded[:, part].T)
+        plain = np.where(kinds == _BY_FOLLOWER, 0, kinds)
+        bits = np.where(kinds == _BY_FOLLOWER, 0, model.class_bits[plain])
+        within += _pack_bits(np.where(kinds == _BY_FOLLOWER, 0, ids[part] - model.class_low[plain]), bits)
+    return [int(size).to_bytes(4, "little") + row[:size].tobytes() + tail for row, size, tail in zip(coded, n.tolist(), within)]
+
+
+def _pack_bits(values: np.ndarray, bits: np.ndarray) -> list[bytes]:
+    """The lowest ``bits`` of the values of each row, one after another."""
+    ends = np.cumsum(bits, axis=1)
+    size = (ends[:, -1] + 31) >> 5
+    first = np.cumsum(size) - size
+    at = ((first << 5)[:, None] + ends - bits).ravel()
+    # two words hold each value; sums of different bits are exact
+    pair = values.ravel().astype(np.uint64) << (64 - (at & 31) - bits.ravel()).clip(0, 63).astype(np.uint64)
+    total = int(size.sum()) + 2
+    words = np.bincount(at >> 5, pair >> _WORD, total) + np.bincount((at >> 5) + 1, pair & _LOW_WORD, total)
+    packed = words.astype(np.uint32).astype(">u4")
+    return [packed[a : a + s].tobytes() for a, s in zip(first.tolist(), size.tolist())]
 
 
 def decode_blocks(data: list[bytes], steps: int, n_ids: int) -> np.ndarray:
     """The ids of blocks of equal length; what is damaged gives wrong ids, which the checksum tells."""
-    model, coder = _Model(len(data), n_ids), _Decoder(data)
-    every = model.lane
-    out = np.empty((len(data), steps), np.int64)
+    lanes = len(data)
+    sizes = [min(int.from_bytes(d[:4], "little"), (len(d) - 4) // 4) for d in data]
+    room = max(sizes) + 4
+    words = np.zeros((lanes, room), np.uint64)
+    for row, d, size in zip(words, data, sizes):
+        row[:size] = np.frombuffer(d, "<u4", size, 4)
+    tails = [d[4 + 4 * size :] for d, size in zip(data, sizes)]
+    bit = 8 * (np.cumsum([len(t) for t in tails]) - [len(t) for t in tails])
+    raw = np.frombuffer(b"".join(tails) + bytes(8), np.uint8).astype(np.uint32)
+    window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]  # 32 bits from each byte on
+    code = (words[:, 0] << _WORD) | words[:, 1]
+    words = words.ravel()
+    at = np.arange(lanes) * room + 2
+    width = np.full(lanes, (1 << 64) - 1, np.uint64)
+    model = _Model(lanes, steps, n_ids)
+    out = np.empty((steps, lanes), np.int64)
     for k in range(steps):
-        id2, id1, share2, share1 = model.predict()
-        both = share2 + share1
-        v = coder.peek(every, _16).astype(np.int64)
-        is2 = v < share2
-        is1 = ~is2 & (v < both)
-        start = np.where(is2, 0, np.where(is1, share2, both))
-        size = np.where(is2, share2, np.where(is1, share1, (1 << 16) - both))
-        coder.take(every, start.astype(np.uint64), size.astype(np.uint64))
-        now = np.where(is2, id2, id1).astype(np.int64)
-        rest = np.flatnonzero(~(is2 | is1))
-        if len(rest):
-            v = coder.peek(rest, _C).astype(np.int64)
-            kind = (model.cum[rest] <= v[:, None]).sum(axis=1) - 1
-            low = model.cum[rest, kind]
-            coder.take(rest, low.astype(np.uint64), (model.cum[rest, kind + 1] - low).astype(np.uint64))
-            bits = model.class_bits[kind]
-            inner = coder.peek(rest, bits)
-            coder.take(rest, inner, np.ones(len(rest), np.uint64))
-            now[rest] = np.minimum(model.class_low[kind] + inner.astype(np.int64), n_ids - 1)
-        out[:, k] = now
-        model.learn(now, rest)
-    return out
+        model.predict()
+        part = width >> _TOTAL
+        v = np.minimum(code // part, _MOST).view(np.int64)
+        first = model.share2 << _CLASS_BITS
+        second = model.share1 << _CLASS_BITS
+        both = first + second
+        hit2, rest = v < first, v >= both
+        kind = model.look.take(model.by_look + (v - both) // model.share0, mode="clip")
+        table = model.class_table.take(model.by_class + kind)
+        bits = model.class_bits.take(kind) * rest
+        own = window.take(bit >> 3, mode="clip").astype(np.int64) >> (32 - (bit & 7) - bits)
+        bit += bits
+        now = np.where(rest, model.class_low.take(kind) + (own & ((1 << bits) - 1)), np.where(hit2, model.id2, model.id1))
+        start = np.where(rest, both + (table >> 16) * model.share0, np.where(hit2, 0, first))
+        size = np.where(rest, (table & 0xFFFF) * model.share0, np.where(hit2, first, second))
+        code -= part * start.view(np.uint64)
+        width = part * size.view(np.uint64)
+        who = np.flatnonzero(width < _SHORT)
+        if len(who):
+            code[who] = (code[who] << _WORD) | words.take(at[who], mode="clip")
+            width[who] <<= _WORD
+            at[who] += 1
+        out[k] = now
+        now = now.astype(np.int32)
+        model.learn(now, hit2, now == model.id1, np.where(rest, kind, _BY_FOLLOWER))
+    return np.ascontiguousarray(out.T)
 
 
 def _checksum(ids: np.ndarray) -> int:
@@ -233,24 +249,25 @@ def _checksum(ids: np.ndarray) -> int:
 
 
 def encode_ids(ids: np.ndarray, n_ids: int) -> list[dict]:
-    """Blocks with their numbers of ids and checksums."""
-    full = len(ids) // BLOCK_IDS
-    groups = [ids[: full * BLOCK_IDS].reshape(full, BLOCK_IDS)] if full else []
-    if len(ids) % BLOCK_IDS:
-        groups.append(ids[full * BLOCK_IDS :].reshape(1, -1))
-    return [{"n": len(row), "crc": _checksum(row), "data": data} for g in groups for row, data in zip(g, encode_blocks(g, n_ids))]
+    """Blocks with their numbers of ids and checksums. The last one is filled up with its last id, to be coded beside the others."""
+    if not len(ids):
+        return []
+    steps = min(BLOCK_IDS, len(ids))
+    sizes = [min(steps, len(ids) - at) for at in range(0, len(ids), steps)]
+    rows = np.concatenate([ids, np.full(steps - sizes[-1], ids[-1])]).reshape(-1, steps)
+    return [{"n": n, "crc": _checksum(row[:n]), "data": data} for n, row, data in zip(sizes, rows, encode_blocks(rows, n_ids))]
 
 
 def decode_ids(blocks: list[dict], n_ids: int, name: str = "") -> np.ndarray:
     """The ids of consecutive blocks, checked."""
-    out = [np.empty(0, np.int64)] * len(blocks)
-    for size in {b["n"] for b in blocks}:
-        which = [k for k, b in enumerate(blocks) if b["n"] == size]
-        for k, row in zip(which, decode_blocks([blocks[k]["data"] for k in which], size, n_ids)):
-            if _checksum(row) != blocks[k]["crc"]:
-                raise ValueError(f"block {k} of record {name} is damaged")
-            out[k] = row
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+    if not blocks:
+        return np.empty(0, np.int64)
+    rows = decode_blocks([b["data"] for b in blocks], max(b["n"] for b in blocks), n_ids)
+    out = [row[: b["n"]] for row, b in zip(rows, blocks)]
+    for k, (row, b) in enumerate(zip(out, blocks)):
+        if _checksum(row) != b["crc"]:
+            raise ValueError(f"block {k} of record {name} is damaged")
+    return np.concatenate(out)
 
 
 def load_tokenizer(path: str) -> str:
