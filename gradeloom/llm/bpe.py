@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.dictionary import Block, Bucket, answer_buckets, blocks, pack, put_back, unpack
+from gradeloom.llm.dictionary import LEVEL, Block, Bucket, answer_buckets, blocks, pack, put_back, unpack
 from gradeloom.llm.textbatch import text_bytes
 
 _OTHER, _LETTER, _NUMBER, _WHITE, _SPACE = range(5)
@@ -134,16 +134,16 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[shift + np.arange(total)]
 
 
-def _share(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
-    return {"sizes": lambda codes: pack(lengths[codes]), "ids": lambda codes: pack(ragged(flat, starts[codes], lengths[codes]))}
+def _share(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, level: int):
+    return {"sizes": lambda codes: pack(lengths[codes], level=level), "ids": lambda codes: pack(ragged(flat, starts[codes], lengths[codes]), level=level)}
 
 
-def encode_words(encode: Callable[[list[bytes]], list[list[int]]]):
+def encode_words(encode: Callable[[list[bytes]], list[list[int]]], level: int = LEVEL):
     def answer(bucket: Bucket):
         found = encode(bucket.words)
         lengths = np.array([len(x) for x in found], np.int64)
         flat = np.array([i for x in found for i in x], np.int64)
-        return _share(flat, np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(lengths) else lengths, lengths)
+        return _share(flat, np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(lengths) else lengths, lengths, level)
 
     return answer
 
@@ -161,14 +161,14 @@ def block_ids(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return ids, total[np.concatenate(([0], np.cumsum(block.n_pieces)))]
 
 
-def encoded_blocks(docs: DataFrame, encode: Callable[[list[bytes]], list[list[int]]], schema: str, finish: Callable[[int, list, np.ndarray, np.ndarray], pa.RecordBatch]) -> DataFrame:
+def encoded_blocks(docs: DataFrame, encode: Callable[[list[bytes]], list[list[int]]], schema: str, finish: Callable[[int, list, np.ndarray, np.ndarray], pa.RecordBatch], level: int = LEVEL) -> DataFrame:
     """What ``finish`` makes from a block's number, its texts' ids, its token ids and the borders of the texts in them.
 
     Blocks keep the order of rows and partitions.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shares = blocks(narrow, pre_tokens)
-    answers = answer_buckets(shares, ["sizes", "ids"], encode_words(encode))
+    shares = blocks(narrow, pre_tokens, level=level)
+    answers = answer_buckets(shares, ["sizes", "ids"], encode_words(encode, level))
     return put_back(shares, answers, schema, lambda block: finish(block.number, block.doc_ids, *block_ids(block)))
 
 
@@ -199,7 +199,7 @@ def encode_and_decode(docs: DataFrame, ranks: bytes, keep_ids: bool = False) ->
         return pa.RecordBatch.from_pydict(out)
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
-    return encoded_blocks(docs, rank_encoder(ranks), schema, finish)
+    return encoded_blocks(docs, rank_encoder(ranks), schema, finish, level=9)  # disk and network are scarcer here than processor time
 
 
 def decode_documents(ids: DataFrame, ranks: bytes) -> DataFrame:

@@ -27,7 +27,7 @@ from gradeloom.sources.workdir import new_path
 
 BLOCK_BYTES = 16 << 20
 BUCKETS_PER_PARTITION = 1
-LEVEL = 9  # of compression: disk and network are scarcer here than processor time
+LEVEL = 6  # of compression; 9 takes eight times as long for a hundredth less
 
 #: Splits a column of texts: bytes of all pieces, borders of pieces in them, and first piece of each text (one more than texts).
 Splitter = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -35,9 +35,9 @@ Splitter = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 _SCHEMA = "block bigint, bucket int, doc_ids array<bigint>, n_pieces array<bigint>, slots binary, buckets binary, words binary, lengths binary, counts binary"
 
 
-def pack(values: np.ndarray, width: int = 4) -> bytes:
+def pack(values: np.ndarray, width: int = 4, level: int = LEVEL) -> bytes:
     """Integers of ``width`` bytes without sign, by planes of bytes and compressed."""
-    return zlib.compress(np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes(), LEVEL)
+    return zlib.compress(np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes(), level)
 
 
 def unpack(data: bytes, width: int = 4) -> np.ndarray:
@@ -45,10 +45,10 @@ def unpack(data: bytes, width: int = 4) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
-def pack_slots(slots: np.ndarray) -> bytes:
+def pack_slots(slots: np.ndarray, level: int = LEVEL) -> bytes:
     """Slots of which small ones are frequent: one byte each, and the rest of the large ones apart."""
-    head = zlib.compress(np.minimum(slots, 255).astype(np.uint8).tobytes(), LEVEL)
-    return len(head).to_bytes(8, "little") + head + pack(slots[slots >= 255] - 255)
+    head = zlib.compress(np.minimum(slots, 255).astype(np.uint8).tobytes(), level)
+    return len(head).to_bytes(8, "little") + head + pack(slots[slots >= 255] - 255, level=level)
 
 
 def unpack_slots(data: bytes) -> np.ndarray:
@@ -69,7 +69,7 @@ def bucket_count(docs: DataFrame) -> int:
     return BUCKETS_PER_PARTITION * max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def blocks(docs: DataFrame, split: Splitter, counted: Callable[[list], np.ndarray] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def blocks(docs: DataFrame, split: Splitter, counted: Callable[[list], np.ndarray] | None = None, block_bytes: int = BLOCK_BYTES, level: int = LEVEL) -> DataFrame:
     """Blocks of ``docs(doc_id, text)`` and their shares of the buckets, stored.
 
     ``counted`` says from the ids which texts count; the share then holds how often each piece stands in those.
@@ -104,12 +104,12 @@ def blocks(docs: DataFrame, split: Splitter, counted: Callable[[list], np.ndarra
                 use = np.repeat(counted(ids), n_pieces)
                 count = np.bincount(slots[use], minlength=len(words))
             block = base | number
-            yield _row(block, -1, doc_ids=ids, n_pieces=n_pieces.tolist(), slots=pack_slots(slots), buckets=pack(bucket))
+            yield _row(block, -1, doc_ids=ids, n_pieces=n_pieces.tolist(), slots=pack_slots(slots, level), buckets=pack(bucket, level=level))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 mine = order[cuts[b] : cuts[b + 1]]
                 share = words.take(pa.array(mine))
                 at = np.frombuffer(share.buffers()[1], np.int64)[: len(share) + 1]
-                yield _row(block, b, words=zlib.compress(share.buffers()[2].to_pybytes()[at[0] : at[-1]], LEVEL), lengths=pack(np.diff(at)), counts=None if count is None else pack(count[mine]))
+                yield _row(block, b, words=zlib.compress(share.buffers()[2].to_pybytes()[at[0] : at[-1]], level), lengths=pack(np.diff(at), level=level), counts=None if count is None else pack(count[mine], level=level))
 
         for part in slices(batches):
             data, borders, first = split(part.column("text"))
