@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm.bpe import encoded_blocks
 
-BLOCK_IDS = 2048
+BLOCK_IDS = 4096
 VERSION = 2
 
-_TABLE = 10  # bits of a follower table
+_TABLE = 11  # bits of a follower table
 _CLASS_BITS = 10  # class frequencies add up to 2^10
 _TOTAL = np.uint64(16 + _CLASS_BITS)
 _MOST = np.uint64((1 << (16 + _CLASS_BITS)) - 1)
