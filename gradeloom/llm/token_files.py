@@ -200,11 +200,11 @@ def _pack_bits(values: np.ndarray, bits: np.ndarray) -> list[bytes]:
 def decode_blocks(data: list[bytes], steps: int, n_ids: int) -> np.ndarray:
     """The ids of blocks of equal length; what is damaged gives wrong ids, which the checksum tells."""
     lanes = len(data)
-    sizes = [min(int.from_bytes(d[:4], "little"), (len(d) - 4) // 4) for d in data]
+    sizes = [max(0, min(int.from_bytes(d[:4], "little"), (len(d) - 4) // 4)) for d in data]
     room = max(sizes) + 4
     words = np.zeros((lanes, room), np.uint64)
     for row, d, size in zip(words, data, sizes):
-        row[:size] = np.frombuffer(d, "<u4", size, 4)
+        row[:size] = np.frombuffer(d[4 : 4 + 4 * size], "<u4")
     tails = [d[4 + 4 * size :] for d, size in zip(data, sizes)]
     bit = 8 * (np.cumsum([len(t) for t in tails]) - [len(t) for t in tails])
     raw = np.frombuffer(b"".join(tails) + bytes(8), np.uint8).astype(np.uint32)
