@@ -374,6 +374,21 @@ def test_url_templates_learn_from_their_branch(spark):
     assert {x["template"] for x in out} == {"/bad/*", "/good/*"}
 
 
+def test_url_templates_take_whole_paths(spark):
+    """Branches that part on the fourth level have their own templates and verdicts; deeper segments are generalised, lone tails kept."""
+    rules = tuple(urls.UrlRule("a.net", f"/a/b/c/{s}/1", v) for s, v in (("ads", "block"), ("docs", "allow")))
+    rows = [f"x://a.net/a/b/c/{s}/{k}/x/y" for s in ("ads", "docs") for k in range(100, 260)]
+    rows += ["x://b.net/" + "/".join(["p"] * 40 + ["12345", "q", ""]), "x://a.net/a/b/c/ads", "x://a.net/a/b/c/ads/new/other/page"]
+    out = {x["page_id"]: x for x in urls.judge_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules).collect()}
+    assert len(out) == len(rows)
+    for i in range(320):
+        branch = "ads" if i < 160 else "docs"
+        assert (out[i]["verdict"], out[i]["template"]) == ("block" if branch == "ads" else "allow", f"/a/b/c/{branch}/*/x/y")
+    assert out[320]["template"] == "/" + "/".join(["p"] * 40 + ["*", "q", ""])
+    assert out[321]["template"] == "/a/b/c/ads" and out[321]["verdict"] == "block"  # from the nodes above
+    assert out[322]["template"] == "/a/b/c/ads/*word/other/page" and out[322]["verdict"] == "block"
+
+
 OPERATORS = {
     "quality": lambda s, d: quality.quality_verdicts(d),
     "suffix_tree": lambda s, d: suffix_tree.score_documents(d),
