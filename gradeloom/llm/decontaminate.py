@@ -3,15 +3,19 @@
 A mask of fixed places selects ``weight`` of ``span`` consecutive words; the words at the other places are ignored, so a hash of
 the selected ones survives substitutions there. Hashes of all places of all test items are joined with those of the training
 texts. Around each hit the two texts are laid side by side, and the overlap counts when a run of at least ``min_words`` words
-(or the whole item, if it is shorter) agrees in ``min_share`` percent of its places.
+(or the whole item, if it is shorter) agrees in ``min_share`` percent of its places. With the default limits each such overlap is
+met by a mask: a run of 12 words or more holds one of 12, 16 or 20 words with at most 3, 4 or 5 differences (or is cut in halves, one
+of which does), and ``MASKS`` meet all of these. An item shorter than ``min_words`` has masks of its own over its whole length: its
+words are dealt to groups, two more than the differences allowed, and each choice of two groups is a mask, so one choice has no difference.
+Other limits need other ``masks`` for the longer items.
 
 The test items are the query set: they are read in blocks of about ``block_words`` words at most, and each block is sent to the
 tasks that read the training texts, so the size of what is sent is bounded whatever the size of the benchmark. Training texts are
 read where they lie and are never shuffled; every place of every text is looked up. With several blocks, what was found so far is
 stored between them.
 
-Rows: one row out per row in. Null and empty texts have no words and no overlap; items without id or text match nothing. Items shorter
-than the masks' span are found by their whole text instead (all of their words, in order). Texts are processed whole, repeated rows
+Rows: one row out per row in. Null and empty texts have no words and no overlap; items without id or text match nothing. Items of under
+four words tolerate no difference at 75 percent. Texts are processed whole, repeated rows
 are judged alike, ties between items go to the longer overlap and then the smaller id. An empty table gives an empty table, and an
 empty benchmark leaves all texts clean. Other columns of the input are left out, so their names cannot clash.
 """
@@ -21,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +35,8 @@ from pyspark.sql import functions as F
 from gradeloom.llm.textbatch import LOWER, Words, mix, powers, slices, split_words, text_bytes
 from gradeloom.sources.workdir import stored
 
-#: Fixed masks: 1 marks a place whose word counts. Each leaves out other places.
-MASKS = ("11101110111", "11011011011", "10110111101", "111100001111")
+#: Fixed masks: 1 marks a place whose word counts. Together they meet every overlap of 12 words or more with 75 percent agreement.
+MASKS = ("110111", "1110011", "110001011", "111000000011")
 MIN_WORDS = 12
 MIN_SHARE = 75
 BLOCK_WORDS = 2_000_000
@@ -63,16 +68,23 @@ def seed_hashes(hashes: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mix(out)
 
 
+def short_masks(length: int, min_share: int) -> list[str]:
+    """Masks over a whole item, one of which meets any copy of it that agrees in ``min_share`` percent of its words."""
+    differences = length * (100 - min_share) // 100
+    groups = min(differences + 2, length) if differences else 1
+    return ["".join("1" if k % groups in kept else "0" for k in range(length)) for kept in combinations(range(groups), groups - differences)]
+
+
 @dataclass
 class Benchmark:
-    """Words of a block of items with their seeds, sorted by hash."""
+    """Words of a block of items with their seeds, sorted by hash. ``masks`` are the given ones and those of the short items there are."""
 
     ids: np.ndarray
     words: np.ndarray
     first: np.ndarray
     seeds: np.ndarray
     places: np.ndarray
-    short: dict[int, np.ndarray]
+    masks: tuple[str, ...]
 
     @cached_property
     def hint(self) -> np.ndarray:
@@ -82,7 +94,7 @@ class Benchmark:
         return out
 
     @classmethod
-    def build(cls, ids: list[int], texts: list[str | None], masks: tuple[str, ...]) -> "Benchmark":
+    def build(cls, ids: list[int], texts: list[str | None], masks: tuple[str, ...], min_words: int, min_share: int) -> "Benchmark":
         words, hashes = tokens(pa.array(texts, pa.string()))
         seeds, places = [], []
         for number, mask in enumerate(masks):
@@ -91,60 +103,54 @@ class Benchmark:
             inside = words.text[at] == words.text[at + len(mask) - 1] if len(at) else at
             seeds.append(found[inside])
             places.append(at[inside])
+        every = list(masks)
+        for length in np.unique(words.count[(words.count > 0) & (words.count < min_words)]).tolist():
+            at = words.first[:-1][words.count == length]
+            for mask in short_masks(length, min_share):
+                seeds.append(seed_hashes(hashes, mask, len(every))[at])
+                places.append(at)
+                every.append(mask)
         all_seeds, all_places = np.concatenate(seeds), np.concatenate(places)
         order = np.argsort(all_seeds, kind="stable")
-        span = max(map(len, masks))
-        few = np.flatnonzero((words.count > 0) & (words.count < span))
-        short: dict[int, list[int]] = {}
-        for i in few:
-            short.setdefault(int(words.count[i]), []).append(int(i))
-        return cls(np.array(ids, np.int64), hashes, words.first, all_seeds[order], all_places[order], {n: np.array(x) for n, x in short.items()})
+        return cls(np.array(ids, np.int64), hashes, words.first, all_seeds[order], all_places[order], tuple(every))
 
 
-def _overlaps(words: Words, hashes: np.ndarray, items: Benchmark, masks: tuple[str, ...], min_words: int, min_share: int):
+def _overlaps(words: Words, hashes: np.ndarray, items: Benchmark, min_words: int, min_share: int):
     """Verified overlaps: text, item, agreeing words, length."""
     hint = items.hint
     shift = np.uint64(64 - _BITS)
     owner = np.repeat(np.arange(len(items.ids)), np.diff(items.first))
-    pairs: set[tuple[int, int]] = set()  # text place less item place, item: one alignment each
+    width = len(hashes) + len(items.words) + 1
+    keys = [np.empty(0, np.int64)]  # item, and text place less item place: one alignment each
     text_of = words.text
-    for number, mask in enumerate(masks):
+    for number, mask in enumerate(items.masks):
         found = seed_hashes(hashes, mask, number)
         at = np.flatnonzero(hint[found >> shift])
         if not len(at):
             continue
         at = at[text_of[at] == text_of[at + len(mask) - 1]]
         lo = np.searchsorted(items.seeds, found[at], side="left")
-        hi = np.searchsorted(items.seeds, found[at], side="right")
-        for a, low, high in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-            for place in items.places[low:high].tolist():
-                pairs.add((a - place, int(owner[place])))
+        n = np.searchsorted(items.seeds, found[at], side="right") - lo
+        place = items.places[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        keys.append(np.unique(owner[place] * width + np.repeat(at, n) - place + len(items.words)))
+    pairs = np.unique(np.concatenate(keys))
     out = []
     texts_seen: dict[tuple[int, int], tuple[int, int]] = {}
-    for shift_by, item in pairs:
+    for item, shift_by in zip((pairs // width).tolist(), (pairs % width - len(items.words)).tolist()):
         i0, i1 = int(items.first[item]), int(items.first[item + 1])
         # the alignment may reach into several texts; take each text it meets
         lo, hi = max(i0 + shift_by, 0), min(i1 + shift_by, len(hashes))
+        same = hashes[lo:hi] == items.words[lo - shift_by : hi - shift_by]
+        needed = min(min_words, i1 - i0)
+        if 100 * np.count_nonzero(same) < min_share * needed:
+            continue
         for text in np.unique(text_of[lo:hi]).tolist():
             a, b = max(lo, int(words.first[text])), min(hi, int(words.first[text + 1]))
-            agree = hashes[a:b] == items.words[a - shift_by : b - shift_by]
-            best = best_run(agree, min(min_words, i1 - i0), min_share)
+            best = best_run(same[a - lo : b - lo], needed, min_share)
             if best and best > texts_seen.get((text, item), (0, 0)):
                 texts_seen[(text, item)] = best
     for (text, item), (agreeing, length) in texts_seen.items():
         out.append((text, int(items.ids[item]), agreeing, length))
-    for n, those in items.short.items():
-        if len(hashes) < n:
-            continue
-        factors = powers(n)
-        runs = np.zeros(len(hashes) - n + 1, np.uint64)
-        for k in range(n):
-            runs += hashes[k : len(runs) + k] * factors[k]
-        whole = text_of[: len(runs)] == text_of[n - 1 :]
-        for item in those.tolist():
-            own = items.words[items.first[item] : items.first[item + 1]]
-            hit = np.flatnonzero((runs == np.sum(own * factors, dtype=np.uint64)) & whole)
-            out += [(int(text), int(items.ids[item]), n, n) for text in np.unique(text_of[hit])]
     return out
 
 
@@ -172,11 +178,11 @@ def _block_count(benchmark: DataFrame, item_text: str, block_words: int) -> int:
     return max(1, -(-chars // (2 * block_words)))
 
 
-def _block(benchmark: DataFrame, item_col: str, item_text: str, masks: tuple[str, ...], k: int, n_blocks: int) -> Benchmark:
+def _block(benchmark: DataFrame, item_col: str, item_text: str, masks: tuple[str, ...], min_words: int, min_share: int, k: int, n_blocks: int) -> Benchmark:
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text).cast("string").alias("text"))
     rows = items.where(F.col("id").isNotNull() & F.col("text").isNotNull() & (F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k)).distinct().collect()
     rows.sort()
-    return Benchmark.build([r["id"] for r in rows], [r["text"] for r in rows], masks)
+    return Benchmark.build([r["id"] for r in rows], [r["text"] for r in rows], masks, min_words, min_share)
 
 
 def find_overlaps(
@@ -202,7 +208,7 @@ def find_overlaps(
             for part in slices(batches):
                 words, hashes = tokens(part.column("text"))
                 found = part.column("found").to_pylist()
-                for text, item, agreeing, length in _overlaps(words, hashes, items, masks, min_words, min_share):
+                for text, item, agreeing, length in _overlaps(words, hashes, items, min_words, min_share):
                     found[text].append({"item": item, "words": agreeing, "length": length})
                 out = {"doc_id": part.column("doc_id"), "found": pa.array(found, _FOUND)}
                 yield pa.RecordBatch.from_pydict(out if last else out | {"text": part.column("text")})
@@ -213,7 +219,7 @@ def find_overlaps(
     n_blocks = _block_count(benchmark, item_text, block_words)
     for k in range(n_blocks):
         last = k == n_blocks - 1
-        items = _block(benchmark, item_col, item_text, masks, k, n_blocks)
+        items = _block(benchmark, item_col, item_text, masks, min_words, min_share, k, n_blocks)
         result = result.select("doc_id", "text", "found").mapInArrow(search(items, last), f"doc_id bigint, found {_FOUND_SQL}" + ("" if last else ", text string"))
         if not last:
             result = stored(result, "overlaps")
@@ -248,7 +254,7 @@ def without_overlaps(
             for part in slices(batches, text_col):
                 words, hashes = tokens(part.column(text_col))
                 clean = np.ones(part.num_rows, dtype=bool)
-                clean[[x[0] for x in _overlaps(words, hashes, items, masks, min_words, min_share)]] = False
+                clean[[x[0] for x in _overlaps(words, hashes, items, min_words, min_share)]] = False
                 yield part.filter(pa.array(clean))
 
         return run
@@ -256,7 +262,7 @@ def without_overlaps(
     n_blocks = _block_count(benchmark, item_text, block_words)
     kept = docs
     for k in range(n_blocks):
-        kept = kept.mapInArrow(keep(_block(benchmark, item_col, item_text, masks, k, n_blocks)), docs.schema)
+        kept = kept.mapInArrow(keep(_block(benchmark, item_col, item_text, masks, min_words, min_share, k, n_blocks)), docs.schema)
         if k < n_blocks - 1:
             kept = stored(kept, "clean")
     return kept

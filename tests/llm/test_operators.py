@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -188,6 +189,45 @@ def test_decontamination(spark, block_words):
     assert {x["doc_id"] for x in kept.collect()} == {i for i, x in enumerate(want) if not x}
 
 
+def test_masks_meet_every_overlap_within_the_tolerance():
+    met = lambda mask, agree: any(all(agree[k + j] for j, bit in enumerate(mask) if bit == "1") for k in range(len(agree) - len(mask) + 1))
+    for length in (12, 16, 20):  # any longer run within the tolerance holds one of these
+        for out in itertools.combinations(range(length), length // 4):
+            agree = [k not in out for k in range(length)]
+            assert any(met(m, agree) for m in decontaminate.MASKS), agree
+    for length in range(1, 12):
+        for out in itertools.combinations(range(length), length // 4):
+            agree = [k not in out for k in range(length)]
+            assert any(met(m, agree) for m in decontaminate.short_masks(length, 75)), agree
+
+
+def test_decontamination_finds_what_brute_force_alignment_finds(spark):
+    """Items of 3 to 30 words with as many substitutions as are tolerated, and one more."""
+    r = random.Random(8)
+    items = [[f"i{k}w{j}" for j in range(r.choice([3, 4, 5, 7, 8, 9, 11, 12, 13, 15, 16, 20, 30]))] for k in range(60)]
+    rows = []
+    for item in items * 6:
+        part = list(item)
+        for j in r.sample(range(len(part)), min(len(part), len(part) // 4 + r.randint(0, 1))):
+            part[j] = f"s{r.randint(0, 99)}"
+        rows.append([f"x{r.randint(0, 99)}" for _ in range(r.randint(0, 9))] + part + [f"x{r.randint(0, 99)}" for _ in range(r.randint(0, 9))])
+
+    def overlap(text: list[str], item: list[str]) -> bool:
+        least = min(12, len(item))
+        for shift in range(-len(item), len(text) + 1):
+            agree = [0 <= j + shift < len(text) and text[j + shift] == w for j, w in enumerate(item)]
+            lo, hi = max(0, -shift), min(len(item), len(text) - shift)
+            if any(4 * sum(agree[a:b]) >= 3 * (b - a) for a in range(lo, hi) for b in range(a + least, hi + 1)):
+                return True
+        return False
+
+    want = [[k for k, item in enumerate(items) if overlap(row, item)] for row in rows]
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = by_id(decontaminate.find_overlaps(table(spark, [" ".join(x) for x in rows]), bench))
+    assert [got[i]["item_ids"] for i in range(len(rows))] == want
+    assert 0 < sum(map(bool, want)) < len(want)
+
+
 def test_suffix_tree_base_and_gain(spark):
     rows = texts() + ["new york city is big and far away"] * 40 + ["Completely unseen tokens qqq"]
     got = by_id(suffix_tree.score_documents(table(spark, rows), min_share=0.002))
