@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeloom.llm import bpe, chat, decontaminate, licenses, near_dup, quality, suffix_tree, token_files, toxicity, urls
+from gradeloom.llm import alignment, bpe, chat, decontaminate, divergence, embeddings, licenses, near_dup, quality, suffix_tree, token_files, toxicity, urls
 from gradeloom.llm.twins import TWINS  # noqa: F401
 from gradeloom.session import tune
 from gradeloom.sources.workdir import new_path
@@ -85,3 +85,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    right = alignment.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align_documents(table(spark, sf_dir, "documents"), left, right)
+
+
+@query
+def op12_embedding_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=30, top=50)

@@ -54,8 +54,43 @@ select conv_id, count(*) as n_turns,
 from t group by conv_id
 """
 
+_DIVERGENCE = r"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w,
+    row_number() over () as row from documents),
+groups as (select distinct lang, source from d),
+words as (select lang, source, row, unnest(w) as term from d),
+kept as (select lang, term from words group by lang, term having count(distinct row) >= 30),
+counts as (select lang, source, term, count(*) as n from words join kept using (lang, term) group by all),
+langs as (select lang, count(*) as v from kept group by lang),
+cells as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n from groups g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+totals as (select lang, source, sum(n) as total from cells group by all),
+lang_counts as (select lang, term, sum(n) as n from counts group by all),
+lang_totals as (select lang, sum(n) as total from lang_counts group by lang),
+q as (select lang, term, cast(1 + (1000000000 * (n::hugeint + 5)) // (total::hugeint + 5 * v) as bigint) as q from lang_counts join lang_totals using (lang) join langs using (lang)),
+p as (select lang, source, term, n, cast(1 + (1000000000 * (n::hugeint + 5)) // (total::hugeint + 5 * v) as bigint) as p from cells join totals using (lang, source) join langs using (lang)),
+distance as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join distance x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, p - q as value from p join q using (lang, term) where n > 0 and p > q),
+ranked as (select *, cast(row_number() over (partition by lang, source, part order by value desc, encode(item)) as integer) as rank from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""
+
+_EMBEDDINGS = """
+with recursive v as (select vec_id, cast(embedding as double[]) as x from embeddings),
+w as (select * from v where x is not null and len(list_filter(x, lambda c: c is null or not isfinite(c))) = 0 and len(list_filter(x, lambda c: c <> 0)) > 0),
+links as (select a.vec_id as a, b.vec_id as b from w a join w b on a.vec_id <> b.vec_id and len(a.x) = len(b.x) where list_cosine_similarity(a.x, b.x) >= 0.9),
+reach as (select vec_id, vec_id as root from v union select l.b, r.root from reach r join links l on l.a = r.vec_id),
+n as (select a as vec_id, count(*) as n_links from links group by a)
+select r.vec_id, coalesce(max(n_links), 0) as n_links, min(root) as component_id, min(root) = r.vec_id as kept
+from reach r left join n on n.vec_id = r.vec_id group by r.vec_id
+"""
+
 TWINS = {
     "op2_chat_format": _CHAT,
     "op1_quality_rules": _QUALITY,
     "op4_near_duplicates": _NEAR,
+    "op12_embedding_copies": _EMBEDDINGS,
+    "op13_source_divergence": _DIVERGENCE,
 }

@@ -19,6 +19,7 @@ COLUMNS = {
     "op8": {"doc_id", "contaminated", "item_ids"},
     "op9": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
     "op10": {"page_id", "host", "path", "rule", "verdict"},
+    "op11": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
 }
 
 
