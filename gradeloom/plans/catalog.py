@@ -632,29 +632,19 @@ def stream_running_accuracy(spark, sf_dir):
         )
 
     delivered_twice = graded_events().unionByName(graded_events())
-    final = drain.drain_to_memory(live.stream_running_accuracy(delivered_twice, key=("run_id", "config", "sample_idx"), delay="10 minutes"))
-    return final.select("run_id", "seen", "correct_so_far", _r6("accuracy"))
+    accuracy = live.stream_running_accuracy(delivered_twice, key=("run_id", "config", "sample_idx"), delay="10 minutes")
+    return drain.drain_to_table(accuracy, ["run_id"]).rows().select("run_id", "seen", "correct_so_far", _r6("accuracy"))
 
 
 @query
 def stream_resource_windows(spark, sf_dir):
-    columns = ["config", "ts", "used_mb"]
-    batch = derived.memory_samples(spark, sf_dir)
-    # A row past the last window and the watermark delay, so that append mode closes every real window.
-    closing = batch.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")).select(
-        F.lit("closing").alias("config"), "ts", F.lit(0.0).alias("used_mb")
-    )
-    path = new_path(spark, "closing")
-    closing.write.parquet(path)
-    closing_stream = spark.readStream.schema(closing.schema).parquet(path)
     live_samples = _event_stream(spark, sf_dir).select(
         F.when(F.col("user_id") % 2 == 0, F.lit("G2_B2")).otherwise(F.lit("G4_B4")).alias("config"),
         F.col("ts").cast("timestamp").alias("ts"),
         (F.col("value") * 1024 / 64).alias("used_mb"),
     )
-    stream = live_samples.select(*columns).unionByName(closing_stream.select(*columns))
-    windows = drain.drain_to_files(live.stream_resource_windows(stream, WINDOW))
-    return windows.where(F.col("config") != "closing").select(
+    windows = drain.drain_to_table(live.stream_resource_windows(live_samples, WINDOW), ["window_start", "config"]).rows()
+    return windows.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
         "config",
         "max_gb",
@@ -670,5 +660,5 @@ def stream_peak_memory(spark, sf_dir):
         (F.col("value") / 64).alias("allocated_gb"),
         (F.col("value") / 32).alias("reserved_gb"),
     )
-    final = drain.drain_to_memory(live.stream_peak_memory(readings))
-    return final.select("run_id", _r6("peak_allocated_gb"), _r6("peak_reserved_gb"))
+    peaks = drain.drain_to_table(live.stream_peak_memory(readings), ["run_id"]).rows()
+    return peaks.select("run_id", _r6("peak_allocated_gb"), _r6("peak_reserved_gb"))
