@@ -31,7 +31,7 @@ from gradeloom.sources.workdir import stored
 
 ROWS = 256  # terms in a row block of the product, about
 GROUPS = 32  # sources in a column block, about
-FLUSH_TERMS = 1 << 18  # distinct (group, term) held by a task before they are sent on
+FLUSH_TERMS = 1 << 21  # (group, term) counts of slices held by a task before they are added up and sent on
 SCALE = 1_000_000_000
 SMOOTHING = 5
 
@@ -53,52 +53,48 @@ def count_terms(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences, and rows that hold the term. A group without terms has one row with a null term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-        size = 0
+        names: dict[tuple[str, str], int] = {}
+        told: set[int] = set()
+        held: list[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), terms in held.items():
-                k = len(terms)
-                counts = np.array(list(terms.values()), np.int64).reshape(k, 2)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": pa.array([lang] * (k + 1)),
-                        "source": pa.array([source] * (k + 1)),
-                        "term": pa.array([None, *[t.decode("utf-8") for t in terms]], pa.string()),
-                        "n": pa.array(np.append(0, counts[:, 0])),
-                        "docs": pa.array(np.append(0, counts[:, 1])),
-                    }
-                )
+            """The counts held, added up by group and term, and the groups seen so far."""
+            groups, terms, n, rows = (list(part) for part in zip(*held))
+            encoded = pa.concat_arrays(terms).dictionary_encode()
+            code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            key, at = np.unique(np.concatenate(groups) * max(len(encoded.dictionary), 1) + code, return_inverse=True)
+            group, word = key // max(len(encoded.dictionary), 1), key % max(len(encoded.dictionary), 1)
+            fresh = np.array([k for k in names.values() if k not in told], np.int64)
+            told.update(fresh.tolist())
+            total = [np.bincount(at, weights=np.concatenate(x), minlength=len(key)).astype(np.int64) for x in (n, rows)]
+            term = encoded.dictionary.take(pa.array(np.append(word, np.full(len(fresh), -1)), mask=np.append(word < 0, np.full(len(fresh), True))))
+            group = pa.array(np.append(group, fresh))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang for lang, _ in names], pa.string()).take(group),
+                    pa.array([source for _, source in names], pa.string()).take(group),
+                    term.cast(pa.binary()).cast(pa.string()),
+                    *(pa.array(np.append(t, np.zeros(len(fresh), np.int64))) for t in total),
+                ],
+                names=["lang", "source", "term", "n", "docs"],
+            )
 
+        size = 0
         for part in slices(batches):
             terms, row = _terms_of(part)
-            group = part.select(["lang", "source"]).to_pylist()
-            names = {(g["lang"], g["source"]): k for k, g in enumerate(group)}
-            numbers = {name: k for k, name in enumerate(names)}
-            group_of_row = np.array([numbers[g["lang"], g["source"]] for g in group], np.int64)
+            group = np.array([names.setdefault((g["lang"], g["source"]), len(names)) for g in part.select(["lang", "source"]).to_pylist()], np.int64)
             encoded = terms.dictionary_encode()
-            code, words = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary.to_pylist()
-            in_row, often = np.unique(row * len(words) + code, return_counts=True)  # a row's distinct terms
-            row_of, code_of = in_row // max(len(words), 1), in_row % max(len(words), 1)
-            key, at = np.unique(group_of_row[row_of] * len(words) + code_of, return_inverse=True)
-            n = np.bincount(at, weights=often, minlength=len(key)).astype(np.int64)
-            rows_with = np.bincount(at, minlength=len(key))
-            by_number = list(names)
-            for name in by_number:
-                held.setdefault(name, {})
-            for k, a, b in zip(key.tolist(), n.tolist(), rows_with.tolist()):
-                mine = held[by_number[k // len(words)]]
-                known = mine.get(words[k % len(words)])
-                if known is None:
-                    mine[words[k % len(words)]] = [a, b]
-                    size += 1
-                else:
-                    known[0] += a
-                    known[1] += b
+            code, width = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), max(len(encoded.dictionary), 1)
+            in_row, often = np.unique(row * width + code, return_counts=True)  # a row's distinct terms
+            key, at = np.unique(group[in_row // width] * width + in_row % width, return_inverse=True)
+            n, rows_with = np.bincount(at, weights=often, minlength=len(key)), np.bincount(at, minlength=len(key))
+            held.append((key // width, encoded.dictionary.take(pa.array(key % width)), n, rows_with))
+            size += len(key)
             if size >= FLUSH_TERMS:
                 yield from flush()
-                held, size = {}, 0
-        yield from flush()
+                held, size = [], 0
+        if held:
+            yield from flush()
 
     def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
@@ -118,11 +114,11 @@ class Shares:
     """Kept terms of each language with the shares of each source that has them, stored once for both parts of the report."""
 
     def __init__(self, docs: DataFrame, min_docs: int):
-        counted = stored(count_terms(docs), "term-counts")
-        per_term = counted.where("term is not null").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-        kept = per_term.where(F.col("docs") >= min_docs).select("lang", "term", "lang_n")
-        terms = counted.where("term is not null").drop("docs").join(kept, ["lang", "term"])
-        terms = stored(terms, "kept-terms")
+        counted = count_terms(docs)
+        of_term = Window.partitionBy("lang", "term")  # a row per source that has the term
+        both = counted.withColumns({"lang_n": F.sum("n").over(of_term), "lang_docs": F.sum("docs").over(of_term)})
+        both = stored(both.where(F.col("term").isNull() | (F.col("lang_docs") >= min_docs)).drop("docs", "lang_docs"), "terms")
+        terms = both.where("term is not null")
         langs = (
             terms.groupBy("lang", "term").agg(F.first("lang_n").alias("n"))
             .groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("lang_total"))
@@ -131,7 +127,7 @@ class Shares:
         nothing = F.lit(0).cast("long")
         #: One row per (lang, source), with terms or without.
         self.groups = stored(
-            counted.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
+            both.where("term is null").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
             .select("lang", "source", F.coalesce("total", nothing).alias("total"), F.coalesce("v", nothing).alias("v"), F.coalesce("lang_total", nothing).alias("lang_total"))
             .withColumn("p0", F.when(F.col("v") > 0, _share(nothing, F.col("total"), F.col("v"))).otherwise(nothing)),
             "groups",
