@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.operators.skew import with_group_values
+from gradeloom.operators.skew import HOT_ROWS, with_group_values
 
 
 def group_advantage(df: DataFrame, by: Sequence[str] = ("sample_idx",), reward: str = "reward", *,
-                    normalize: bool = False, hot_rows: int = 1_000_000, store: bool = True) -> DataFrame:
+                    normalize: bool = False, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None) -> DataFrame:
     """Each generation's reward minus the mean reward of its group, with ``normalize`` in standard deviations.
 
-    A group without spread has advantages of zero either way.
+    A group without spread has advantages of zero either way. ``keys_from`` as in ``with_group_values``.
     """
     values = {"group_mean": F.avg(reward)} | ({"group_std": F.stddev_pop(reward)} if normalize else {})
-    means = with_group_values(df, by, values, hot_rows=hot_rows, store=store)
+    means = with_group_values(df, by, values, hot_rows=hot_rows, keys_from=keys_from)
     advantage = F.col(reward) - F.col("group_mean")
     if normalize:
         advantage = F.when(F.col("group_std") > 0, advantage / F.col("group_std")).otherwise(F.lit(0.0))

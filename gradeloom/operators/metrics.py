@@ -17,8 +17,7 @@ from gradeloom.functions.patterns import ANSWER_PROFILES, NO_ANSWER
 from gradeloom.functions.prompts import SYSTEM_MARKER
 from gradeloom.functions.text import preview_text
 from gradeloom.operators.prefix import running_totals
-from gradeloom.operators.skew import with_group_values
-from gradeloom.sources.workdir import stored
+from gradeloom.operators.skew import HOT_ROWS, with_group_values
 
 
 def _count_if(condition: Column) -> Column:
@@ -251,22 +250,21 @@ def compare_runs(graded: DataFrame, run_a, run_b, run: str = "run_id",
     )
 
 
-def _running(graded: DataFrame, by: list[str], position: str, store: bool) -> DataFrame:
+def _running(graded: DataFrame, by: list[str], position: str) -> DataFrame:
     counters = graded.groupBy(*by, position).agg(
         F.count(F.lit(1)).alias("seen"), F.sum(F.col("correct").cast("long")).alias("right")
     )
-    return running_totals(stored(counters, "counters") if store else counters, by, position, ["seen", "right"])
+    return running_totals(counters, by, position, ["seen", "right"])
 
 
-def running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",), index: str = "sample_idx", *,
-                     store: bool = True) -> DataFrame:
+def running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",), index: str = "sample_idx") -> DataFrame:
     """Accuracy in percent after each sample, in dataset order, one row per run and sample.
 
-    The counters per sample are stored first, because the running totals read them three times and the
-    graded rows behind them may be costly.
+    The counters per sample are stored in rank order when this is called, because the running totals read them more than
+    once and the graded rows behind them may be costly.
     """
     by = list(by)
-    return _running(graded, by, index, store).select(
+    return _running(graded, by, index).select(
         *by,
         index,
         F.col("cum_seen").alias("seen"),
@@ -275,12 +273,11 @@ def running_accuracy(graded: DataFrame, by: Sequence[str] = ("run_id",), index:
     )
 
 
-def running_accuracy_lagged(graded: DataFrame, by: Sequence[str] = ("run_id",), batch: str = "batch_id", *,
-                            store: bool = True) -> DataFrame:
+def running_accuracy_lagged(graded: DataFrame, by: Sequence[str] = ("run_id",), batch: str = "batch_id") -> DataFrame:
     """The progress value shown before a batch is graded: right answers so far over rows up to the batch end."""
     by = list(by)
     so_far = F.col("cum_right") - F.col("right")
-    return _running(graded, by, batch, store).select(
+    return _running(graded, by, batch).select(
         *by,
         batch,
         F.col("cum_seen").alias("batch_end"),
@@ -313,15 +310,14 @@ def batch_token_stats(df: DataFrame, by: Sequence[str] = ("run_id", "batch_id"))
     )
 
 
-def with_batch_padded_tokens(df: DataFrame, by: Sequence[str] = ("run_id", "batch_id"), *,
-                             store: bool = True) -> DataFrame:
+def with_batch_padded_tokens(df: DataFrame, by: Sequence[str] = ("run_id", "batch_id"), *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Token counts replaced by those of the padded batch a row was generated in.
 
     In padded batch generation every row is as long as the longest of its batch, so one long reply
     marks its whole batch as truncated.
     """
     padded = with_group_values(
-        df, by, {"_padded_in": F.max("input_tokens"), "_padded_out": F.max("output_tokens")}, store=store
+        df, by, {"_padded_in": F.max("input_tokens"), "_padded_out": F.max("output_tokens")}, hot_rows=hot_rows
     )
     return padded.withColumns({"input_tokens": F.col("_padded_in"), "output_tokens": F.col("_padded_out")}).select(
         *df.columns

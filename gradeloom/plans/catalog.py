@@ -518,8 +518,9 @@ def assign_batches(spark, sf_dir):
 
 @query
 def assign_batches_by_key(spark, sf_dir):
-    documents = derived.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    indexed = indexing.index_by_order(documents, ["lang", "source", "doc_id"])
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("line")]
+    documents = derived.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", *place)
+    indexed = indexing.index_by_order(documents, ["lang", "source", "doc_id"], key=["file", "line"])
     return samples.assign_batches(indexed, 32).select("doc_id", "sample_idx", "batch_id", "batch_pos")
 
 
@@ -533,7 +534,7 @@ def batch_token_stats(spark, sf_dir):
 @query
 def group_advantage(spark, sf_dir):
     rewarded = _graded(spark, sf_dir).select("sample_idx", "gen", "reward")
-    return groups.group_advantage(rewarded).select("sample_idx", "gen", "reward", _r6("group_mean"), _r6("advantage"))
+    return groups.group_advantage(rewarded, keys_from=derived.responses(spark, sf_dir)).select("sample_idx", "gen", "reward", _r6("group_mean"), _r6("advantage"))
 
 
 @query

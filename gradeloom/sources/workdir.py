@@ -28,14 +28,6 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gradeloom/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """The rows stored in the shared folder with their partition layout, free of lineage."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark) + "/gradeloom")
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to a Parquet table in the shared folder and read from there.
 

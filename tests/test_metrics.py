@@ -5,7 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions.rewards import RewardRegistry, dpo_loss, dpo_margin
-from gradeloom.operators import groups, metrics, resources, samples, skew, tables
+from gradeloom.operators import groups, metrics, prefix, resources, samples, skew, tables
+from gradeloom.operators.indexing import ranked
 from gradeloom.operators.inference import GenerationParams, generate_responses
 from gradeloom.operators.prefix import running_totals
 
@@ -36,6 +37,27 @@ def test_running_totals_equal_a_plain_window(graded, block):
     assert rows_of(running_totals(df, ["run_id"], "sample_idx", ["n", "c"], block=block)) == rows_of(want)
 
 
+@pytest.mark.parametrize("kind", ["string", "timestamp", "double"])
+def test_running_totals_in_the_order_of_any_type(spark, kind):
+    order = {"string": F.sha2(F.col("id").cast("string"), 256), "timestamp": F.timestamp_seconds(F.xxhash64("id") % 10**9), "double": F.rand(1)}[kind]
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("run_id"), order.alias("at"), F.col("id").alias("n")).cache()
+    w = Window.partitionBy("run_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    got, want = running_totals(df, ["run_id"], "at", ["n"], block=50, range_rows=700), df.withColumn("c", F.sum("n").over(w))
+    assert sorted(map(str, got.collect())) == sorted(str(r).replace("c=", "cum_n=") for r in want.collect())
+
+
+def test_hashed_positions_of_one_huge_run_fill_blocks(spark, monkeypatch):
+    n = 10_000_000
+    df = spark.range(n).select(F.lit("run").alias("run_id"), F.xxhash64("id").alias("at"), F.lit(1).cast("long").alias("one"))
+    seen = []
+    monkeypatch.setattr(prefix, "ranked", lambda *args: seen.append(ranked(*args)) or seen[-1])
+    out = running_totals(df, ["run_id"], "at", ["one"])
+    blocks = seen[0].groupBy("run_id", F.expr(f"_rank div {prefix.BLOCK}").alias("b")).count().agg(F.max("count"), F.count("*")).first()
+    assert tuple(blocks) == (prefix.BLOCK, -(-n // prefix.BLOCK))
+    ends = out.agg(F.max("cum_one"), F.count_distinct("cum_one"), F.corr("at", "cum_one")).first()
+    assert ends[0] == ends[1] == n and ends[2] > 0.999
+
+
 def test_batch_ids_are_exact_for_large_indexes(spark):
     df = spark.createDataFrame([(2**60 + 31,), (2**60 + 32,)], "sample_idx bigint")
     assert [r["batch_id"] for r in samples.assign_batches(df, 32).collect()] == [2**55, 2**55 + 1]
@@ -71,11 +93,26 @@ def test_group_values_equal_a_plain_window(spark, hot_rows):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
 
 
-def test_more_hot_groups_than_are_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_GROUPS", 3)
-    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
-    got = skew.with_group_values(df, ["k"], {"n": F.count("*")}, hot_rows=10)
-    assert got.count() == 1000 and got.where("n <> 100").count() == 0
+def test_more_hot_groups_than_a_sketch_tracks(spark):
+    df = spark.range(4000).select((F.col("id") % 40).alias("k"), "id")
+    assert len(skew.hot_keys(df, ["k"], 10, tracked=16)) <= 16
+    assert len(skew.hot_keys(df, ["k"], 10)) == 40 and skew.hot_keys(df.limit(0), ["k"]) == []
+
+
+def test_sketch_finds_hot_groups_among_many_small_ones(spark):
+    df = spark.range(300000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(-1)).otherwise(F.col("id")).alias("k"), (F.col("id") % 7).alias("x"))
+    assert len(skew.hot_keys(df, ["k"], 50000, tracked=64)) == 2
+    got = skew.with_group_values(df, ["k"], {"n": F.count("*"), "top": F.max("x")}, hot_rows=50000)
+    assert got.count() == 300000
+    assert {(r["k"], r["n"], r["top"]) for r in got.where("n > 1").distinct().select("k", "n", "top").collect()} == {(None, 100000, 6), (-1, 100000, 6)}
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10, float("inf")])
+def test_padded_tokens_whatever_is_hot(graded, hot_rows):
+    batched = samples.assign_batches(graded, 32)
+    w = Window.partitionBy("run_id", "batch_id")
+    want = batched.withColumns({"input_tokens": F.max("input_tokens").over(w), "output_tokens": F.max("output_tokens").over(w)})
+    assert rows_of(metrics.with_batch_padded_tokens(batched, hot_rows=hot_rows)) == rows_of(want)
 
 
 def test_advantages_sum_to_zero(graded):

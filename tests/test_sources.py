@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradeloom.functions.prompts import build_messages
+from gradeloom.operators import indexing
 from gradeloom.operators.indexing import index_by_order, index_by_storage
 from gradeloom.operators.samples import limit_samples, resolve_qa_columns
 from gradeloom.sources.qa import read_qa
+from gradeloom.sources.workdir import stored
 from gradeloom.sources.writers import run_name, write_eval_results, write_training_jsonl
 
 ROWS = [(f"问题 {i}", f"work\n#### {i}") for i in range(1000)]
@@ -76,13 +78,31 @@ def test_index_by_storage_keeps_storage_order(spark, tmp_path):
     assert index_by_storage(df, "f", "r").where("id <> sample_idx").count() == 0
 
 
-def test_index_by_order_spreads_a_hot_key(spark, tmp_path):
+@pytest.mark.parametrize("range_rows", [700, 1 << 20])
+def test_index_by_order_spreads_a_hot_key(spark, tmp_path, range_rows):
     path = str(tmp_path / "t")
-    spark.range(20000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 100).alias("k")).write.parquet(path)
-    indexed = index_by_order(spark.read.parquet(path), ["k"], partitions=8)
-    rows = indexed.select("k", "sample_idx").orderBy("sample_idx").collect()
-    assert [r["sample_idx"] for r in rows] == list(range(20000))
-    assert [r["k"] for r in rows] == sorted(r["k"] for r in rows)
+    spark.range(20000).select("id", F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 5 > 0, F.col("id") % 100).alias("k")).write.parquet(path)
+    for key in (None, ["id"]):
+        indexed = index_by_order(spark.read.parquet(path), ["k"], key=key, range_rows=range_rows)
+        rows = indexed.select("id", "k", "sample_idx").orderBy("sample_idx").collect()
+        assert [r["sample_idx"] for r in rows] == list(range(20000)) and len({r["id"] for r in rows}) == 20000
+        assert [r["k"] for r in rows] == sorted((r["k"] for r in rows), key=lambda k: (k is not None, k))
+
+
+def test_index_by_order_takes_a_key_only_if_it_tells_rows_apart(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (None, None)], "k int, x string")
+    with pytest.raises(ValueError):
+        index_by_order(rows, ["x"], key=["k"])
+    got = index_by_order(rows, ["x"], key=["k", "x"]).orderBy("sample_idx").collect()
+    assert [r["x"] for r in got] == [None, "a", "a", "b"] and index_by_order(rows.limit(0), ["x"], key=["k"]).count() == 0
+
+
+def test_index_by_order_sorts_and_stores_no_texts(spark, tmp_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(indexing, "stored", lambda df, name: kept.append(df.columns) or stored(df, name))
+    rows = spark.range(100).select("id", F.lit("a long text").alias("text"))
+    assert index_by_order(rows, ["id"], key=["id"]).columns == ["id", "text", "sample_idx"]
+    assert kept and not any("text" in columns for columns in kept)
 
 
 def test_jsonl_keeps_text_unescaped(spark, tmp_path):
