@@ -25,6 +25,7 @@ import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -161,28 +162,46 @@ class Vocabulary:
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], tokens: list[bytes]):
         self.encode, self.tokens = encode, tokens
         self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.bytes, self.borders = np.frombuffer(b"".join(tokens), np.uint8), np.concatenate(([0], np.cumsum(self.lengths)))
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
         self.flat, self.starts, self.whole = np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, bool)
 
+    def _gives_back(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which words are the bytes of their ids, no id being without bytes."""
+        length = np.array([len(w) for w in words], np.int64)
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        sums = np.concatenate(([0], np.cumsum(self.lengths[ids])))
+        empty = np.concatenate(([0], np.cumsum(self.lengths[ids] == 0)))
+        fits = (sums[starts[1:]] - sums[starts[:-1]] == length) & (empty[starts[1:]] == empty[starts[:-1]])
+        some = ids[np.repeat(fits, sizes)]
+        got = ragged(self.bytes, self.borders[some], self.lengths[some])
+        want = np.frombuffer(b"".join([w for w, fit in zip(words, fits.tolist()) if fit]), np.uint8)
+        wrong = np.concatenate(([0], np.cumsum(got != want)))
+        ends = np.concatenate(([0], np.cumsum(length[fits])))
+        fits[np.flatnonzero(fits)[wrong[ends[1:]] != wrong[ends[:-1]]]] = False
+        return fits
+
     def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words in order, how many each word has, and whether they give back the word's bytes."""
         encoded = words.dictionary_encode()
         distinct, code = encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         if len(self.number) > KNOWN_WORDS:
             self._forget()
-        new = [w for w in distinct if w not in self.number]
-        if new:
+        number = np.fromiter(map(self.number.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown):
+            new = [distinct[k] for k in unknown.tolist()]
             found = self.encode(new)
-            self.number |= {w: len(self.number) + k for k, w in enumerate(new)}
-            sizes = np.array([len(x) for x in found], np.int64)
-            self.flat = np.concatenate((self.flat, np.array([i for x in found for i in x], np.int64)))
-            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-            whole = [b"".join([self.tokens[i] for i in x]) == w and all(self.lengths[x]) for w, x in zip(new, found)]
-            self.whole = np.concatenate((self.whole, np.array(whole, bool)))
-        number = np.array([self.number[w] for w in distinct], np.int64)[code] if distinct else code
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+            number[unknown] = np.arange(len(self.number), len(self.number) + len(new))
+            self.number.update(zip(new, number[unknown].tolist()))
+            self.flat, self.starts = np.concatenate((self.flat, flat)), np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
+            self.whole = np.concatenate((self.whole, self._gives_back(new, flat, sizes)))
+        number = number[code]
         sizes = self.starts[number + 1] - self.starts[number]
         return ragged(self.flat, self.starts[number], sizes), sizes, self.whole[number]
 
