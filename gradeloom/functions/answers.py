@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gradeloom.functions.patterns import (
+    ANSWER_PATTERNS,
     ANSWER_PROFILES,
     GOLD_ANNOTATION,
     GOLD_MARKER,
@@ -50,9 +51,11 @@ def extract_answer(text: Column, profile: str = "full") -> Column:
     """First pattern of the profile that hits, else the last number, else the profile's sentinel.
 
     ``coalesce`` runs a pattern only when none before it hits, and two guards skip whole groups of patterns
-    without changing the outcome: every boxed form contains a closing brace, and all other patterns need a digit.
+    without changing the outcome: every boxed form contains a closing brace, and all other patterns need a digit. A
+    pattern that has an earlier one as a part cannot hit where that one did not, so it is left out.
     """
-    names, sentinel = ANSWER_PROFILES[profile], F.lit(NO_ANSWER[profile])
+    every, sentinel = ANSWER_PROFILES[profile], F.lit(NO_ANSWER[profile])
+    names = [name for k, name in enumerate(every) if not any(ANSWER_PATTERNS[earlier] in ANSWER_PATTERNS[name] for earlier in every[:k])]
     boxed = [name for name in names if name.startswith("boxed")]
     others = [pattern_capture(text, name) for name in names if name not in boxed]
     number = _last_match(text, gold_regex(NUMBER), 0)

@@ -70,9 +70,14 @@ def java_regex(pattern: str, flags: str) -> str:
     return f"(?{flags})" + possessive.replace(r"\s", JAVA_SPACE)
 
 
+# What goes before a pattern to find its leftmost match with fewer tries. A closing bracket ends what the opener of
+# ``boxed_in_parens`` reaches, so of the openers between two of them the first one matches if any does.
+_FIRST_OPENER = {"boxed_in_parens": r"(?:\A|\))(?:(?!\\\()[^)])*+"}
+
+
 def answer_regex(name: str) -> str:
     """The case-insensitive, multi-line form of one named answer pattern."""
-    return java_regex(ANSWER_PATTERNS[name], "imdU")
+    return java_regex(_FIRST_OPENER.get(name, "") + ANSWER_PATTERNS[name], "imdU")
 
 
 def gold_regex(pattern: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -67,18 +68,16 @@ def format_prompt(question: Column, template: str = "standard") -> Column:
     return F.concat(F.lit(t.prefix), question, F.lit(t.suffix))
 
 
-def template_array(names: list[str] | None = None) -> Column:
+def literal_templates(rows: Sequence[tuple[str | None, str, str]]) -> Column:
     """A literal array of ``(config, prefix, suffix)``, to explode against samples without a join."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("config"),
-                F.lit(TEMPLATES[name].prefix).alias("prefix"),
-                F.lit(TEMPLATES[name].suffix).alias("suffix"),
-            )
-            for name in (names or list(TEMPLATES))
-        ]
-    )
+    names = ("config", "prefix", "suffix")
+    structs = [F.struct(*[F.lit(value).cast("string").alias(name) for name, value in zip(names, row)]) for row in rows]
+    return F.array(*structs).cast("array<struct<config: string, prefix: string, suffix: string>>")
+
+
+def template_array(names: list[str] | None = None) -> Column:
+    """The built-in templates of these names, all of them by default."""
+    return literal_templates([(name, TEMPLATES[name].prefix, TEMPLATES[name].suffix) for name in (names or list(TEMPLATES))])
 
 
 def build_messages(question: Column, system_prompt: str | None = None) -> Column:

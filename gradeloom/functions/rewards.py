@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,7 +20,8 @@ class RewardRegistry:
     """Reward expressions by name, combined as a weighted sum of columns.
 
     A reward is a function from a column lookup to a Column, so a custom one is an ordinary Spark
-    expression that Catalyst sees through.
+    expression that Catalyst sees through. ``register_python`` takes what no expression can state: a function from Arrow arrays, one per
+    named column, to as many numbers. All such rewards of one ``select`` run in one Python stage.
     """
 
     def __init__(self) -> None:
@@ -30,6 +32,17 @@ class RewardRegistry:
     def register(self, name: str, reward: Callable[[Callable[[str], Column]], Column]) -> None:
         self._rewards[name] = reward
 
+    def register_python(self, name: str, reward: Callable[..., Sequence[float]], columns: Sequence[str]) -> None:
+        def run(*arrays: pa.Array) -> pa.Array:
+            values = reward(*arrays)
+            out = values.cast(pa.float64()) if isinstance(values, pa.Array) else pa.array(values, pa.float64())
+            if len(out) != len(arrays[0]):
+                raise ValueError(f"reward {name!r} gave {len(out)} values for {len(arrays[0])} rows")
+            return out
+
+        run.__annotations__ = {"arrays": pa.Array, "return": pa.Array}
+        self._rewards[name] = lambda col: F.arrow_udf(run, "double")(*[col(c) for c in columns])
+
     def names(self) -> list[str]:
         return sorted(self._rewards)
 

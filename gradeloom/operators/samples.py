@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.functions.prompts import template_array
+from gradeloom.functions.prompts import literal_templates, template_array
 from gradeloom.functions.text import preview_text
 
 # Accepted column names, the preferred one first.
@@ -54,10 +54,21 @@ def sample_preview(df: DataFrame, k: int = 3, columns: Sequence[str] = ("questio
     return df.orderBy(index).limit(k).select(index, *previews)
 
 
-def expand_configs(samples: DataFrame, templates: list[str] | None = None) -> DataFrame:
-    """Every sample under every prompt template, with the rendered prompt: a generator, not a join."""
+def expand_configs(samples: DataFrame, templates: list[str] | DataFrame | None = None, *, max_templates: int = 1000) -> DataFrame:
+    """Every sample under every prompt template, with the rendered prompt: a generator, not a join.
+
+    ``templates`` names built-in ones or is a table of ``config, prefix, suffix`` of at most ``max_templates`` rows; a NULL
+    prefix or suffix is empty. A table is read when this is called, and one with more rows is an error.
+    """
+    if isinstance(templates, DataFrame):
+        rows = templates.select("config", "prefix", "suffix").limit(max_templates + 1).collect()
+        if len(rows) > max_templates:
+            raise ValueError(f"the table has more than {max_templates} templates")
+        array = literal_templates([(r["config"], r["prefix"] or "", r["suffix"] or "") for r in rows])
+    else:
+        array = template_array(templates)
     others = [c for c in samples.columns if c not in ("config", "prompt")]
-    return samples.select(*others, F.inline(template_array(templates))).select(
+    return samples.select(*others, F.inline(array)).select(
         *others, "config", F.concat("prefix", "question", "suffix").alias("prompt")
     )
 

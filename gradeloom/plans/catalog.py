@@ -127,6 +127,14 @@ def write_training_jsonl(spark, sf_dir):
     return spark.read.schema(rows.schema).json(path).select(*_flat_messages(), "solution")
 
 
+@query
+def write_training_jsonl_single(spark, sf_dir):
+    path = new_path(spark, "chat") + ".jsonl"
+    chats = tables.build_chat_solution(derived.qa(spark, sf_dir), system_prompt=SYSTEM_PROMPT)
+    writers.write_training_jsonl(chats, path, columns=["messages", "solution"], single_file=True)
+    return spark.read.schema(chats.select("messages", "solution").schema).json(path).select(*_flat_messages(), "solution")
+
+
 @query
 def write_eval_results(spark, sf_dir):
     path = new_path(spark, "results")
@@ -326,6 +334,26 @@ def reward_registry(spark, sf_dir):
     )
 
 
+@query
+def reward_registry_python(spark, sf_dir):
+    def brevity(tokens):
+        """Full marks for one token, less for every further one."""
+        import pyarrow.compute as pc
+
+        return pc.divide(1.0, tokens)
+
+    def shown_steps(replies):
+        """Lines before the last one."""
+        return [float(reply.count("\n")) for reply in replies.to_pylist()]
+
+    registry = rewards.RewardRegistry()
+    registry.register_python("brevity", brevity, ["output_tokens"])
+    registry.register_python("shown_steps", shown_steps, ["response"])
+    graded = _graded(spark, sf_dir)
+    weights = {"accuracy": 1.0, "brevity": 0.5, "shown_steps": 0.25}
+    return graded.select("sample_idx", "gen", F.round(registry.total(weights), 6).alias("reward"))
+
+
 @query
 def sft_nll(spark, sf_dir):
     rows = derived.logps(spark, sf_dir).select("run_id", rewards.sft_nll(F.col("logp_chosen")).alias("loss"))
@@ -360,6 +388,18 @@ def expand_configs(spark, sf_dir):
     )
 
 
+@query
+def expand_configs_table(spark, sf_dir):
+    regions = derived.table(spark, sf_dir, "region")
+    templates = regions.select(
+        F.col("r_name").alias("config"),
+        F.concat(F.lit("Region "), F.col("r_regionkey").cast("string"), F.lit(": ")).alias("prefix"),
+        F.when(F.col("r_regionkey") > 0, F.concat(F.lit("\n"), F.col("r_name"))).alias("suffix"),
+    )
+    questions = derived.qa(spark, sf_dir).select("sample_idx", "question")
+    return samples.expand_configs(questions, templates).select("sample_idx", "config", "prompt")
+
+
 @query
 def join_gold(spark, sf_dir):
     return samples.join_gold(derived.responses(spark, sf_dir), derived.qa(spark, sf_dir)).select(

@@ -201,6 +201,7 @@ ORACLE_SQL: dict[str, str] = {
     "read_qa_arrow": _READ_QA,
     "resolve_qa_columns": f"with {_QA} select sample_idx, question, answer from qa",
     "write_training_jsonl": f"with {_QA} select {_MESSAGES}, {_gold('answer', 'basic')} as solution from qa",
+    "write_training_jsonl_single": f"with {_QA} select {_MESSAGES}, {_gold('answer', 'basic')} as solution from qa",
     "write_eval_results": f"""with {_GRADED}, per_run as (select run_id, count(*) as n, count(*) filter (where correct) as
  correct_count from graded group by run_id), memory as (select user_id % 7 as run_id, max(value / 32) as peak from events group by 1)
 select g.run_id, config, sample_idx, gen, question, ground_truth_raw, ground_truth, predicted, response, correct, input_tokens,
@@ -250,6 +251,8 @@ select *, output_tokens >= {MAX_NEW_TOKENS} as truncated from padded""",
     "reward_accuracy": f"with {_GRADED} select sample_idx, gen, reward from graded",
     "reward_registry": f"""with {_GRADED} select sample_idx, gen,
  round(reward + 0.25::double * (case when truncated then 0 else 1 end), 6) as reward from graded""",
+    "reward_registry_python": f"""with {_GRADED} select sample_idx, gen, round(reward + 0.5::double / output_tokens
+ + 0.25::double * (length(response) - length(replace(response, chr(10), ''))), 6) as reward from graded""",
     "sft_nll": f"with {_LOGPS} select run_id, round(avg(-chosen), 6) as loss from logps group by run_id",
     "dpo_loss": f"""with {_LOGPS} select run_id, round(avg(ln(1 + exp(-0.1::double * (chosen - rejected)))), 6) as loss,
  round(avg(case when chosen > rejected then 1.0::double else 0 end), 6) as preference_accuracy from logps group by run_id""",
@@ -257,6 +260,8 @@ select *, output_tokens >= {MAX_NEW_TOKENS} as truncated from padded""",
 select run_id, round(avg(ln(1 + exp(-0.1::double * margin))), 6) as loss,
  round(avg(case when margin > 0 then 1.0::double else 0 end), 6) as preference_accuracy from m group by run_id""",
     "expand_configs": f"with {_QA} {_CONFIG_ROWS}",
+    "expand_configs_table": f"""with {_QA} select sample_idx, r_name as config, 'Region ' || r_regionkey || ': ' || question
+ || case when r_regionkey > 0 then chr(10) || r_name else '' end as prompt from qa cross join region""",
     "join_gold": f"with {_QA}, {_RESPONSES} select sample_idx, gen, question, answer, response from responses join qa using (sample_idx)",
     "compare_side_by_side": f"with {_GRADED} select sample_idx, max(question) as question, max(ground_truth) as ground_truth, {_SIDE} from graded group by sample_idx",
     "compare_runs": f"""with {_GRADED}, paired as (select a.correct as a, b.correct as b from graded a join graded b

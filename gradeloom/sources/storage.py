@@ -34,3 +34,32 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 def file_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the data files in a folder, in order."""
     return _names(spark, path, False)
+
+
+def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
+    """Move files together into one, in order, by the file system's own ``concat``; the parts are gone afterwards.
+
+    On HDFS this only moves block lists. Storage that has no such call, as most object stores, raises an error.
+    """
+    where, fs = _at(spark, target)
+    if fs.exists(where):
+        raise FileExistsError(target)
+    if not parts:
+        fs.create(where).close()
+        return
+    jvm = spark.sparkContext._jvm
+    local = isinstance_of(jvm, fs, "org.apache.hadoop.fs.LocalFileSystem")
+    if local:  # the checksummed view of local files can't join them, the plain one can
+        fs = fs.getRawFileSystem()
+    first, *rest = [jvm.org.apache.hadoop.fs.Path(p) for p in parts]
+    fs.mkdirs(where.getParent())
+    fs.rename(first, where)
+    if rest:
+        array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(rest))
+        for k, path in enumerate(rest):
+            array[k] = path
+        fs.concat(where, array)
+
+
+def isinstance_of(jvm, value, name: str) -> bool:
+    return jvm.java.lang.Class.forName(name).isInstance(value)

@@ -8,10 +8,31 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.sources.storage import delete_tree, file_names, join_files
+from gradeloom.sources.workdir import stored
 
-def write_training_jsonl(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
-    """One JSON object per line, non-ASCII text unescaped: a folder of part files written in parallel."""
-    rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+def write_training_jsonl(rows: DataFrame, path: str, *, columns: Sequence[str] | None = None, mode: str = "errorifexists",
+                         single_file: bool = False, order_by: Sequence[str] = ("sample_idx",)) -> None:
+    """One JSON object per line, non-ASCII text unescaped: a folder of part files written in parallel.
+
+    With ``single_file`` the rows are ordered by range and written in parallel beside ``path``, and the file system joins the
+    parts into one file there; no task and no driver sees all rows. ``columns`` are those of the lines, all by default.
+    """
+    columns = list(columns or rows.columns)
+    if not single_file:
+        rows.select(*columns).write.mode(mode).option("ignoreNullFields", "false").json(path)
+        return
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError("a single file can be written new or overwritten")
+    spark, parts = rows.sparkSession, f"{path}.parts"
+    ordered = stored(rows, "lines").repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    ordered.select(*columns).write.mode("overwrite").option("ignoreNullFields", "false").json(parts)
+    if mode == "overwrite":
+        delete_tree(spark, path)
+    names = sorted(file_names(spark, parts), key=lambda name: int(name.split("-")[1]))
+    join_files(spark, [f"{parts}/{name}" for name in names], path)
+    delete_tree(spark, parts)
 
 
 def run_name(model_path: str, prompt_format: str, started: datetime) -> str:

@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from gradeloom.functions.answers import extract_answer, extract_gold
+from gradeloom.functions.answers import extract_answer, extract_gold, pattern_capture, pattern_matches
 from gradeloom.functions.patterns import ANSWER_PATTERNS, ANSWER_PROFILES, NUMBER, NO_ANSWER
 from gradeloom.operators.groups import group_advantage
 from gradeloom.operators.metrics import eval_summary, running_accuracy
@@ -38,6 +38,34 @@ def test_long_texts_take_linear_time(spark, name):
     assert time.time() - began < 20  # five profiles; backtracking takes hours
 
 
+@pytest.mark.parametrize("text, answer", [
+    ("\\(" * N + "\\)", NO_ANSWER["full8"]), ("\\(" * N + "boxed{1}\\)", "1"), ("x\\(" * N + "\\boxed{1}", "1"), ("(\\(" * N + ") \\)", NO_ANSWER["full8"]),
+])
+def test_many_openers_before_one_closer(spark, text, answer):
+    df = spark.createDataFrame([(text,)], "t string")
+    found = [extract_answer(F.col("t"), "full8").alias("a"), *(pattern_matches(F.col("t"), n).alias(n) for n in ("boxed_in_parens", "boxed_latex"))]
+    df.select(*found).where("false").collect()
+    began = time.time()
+    row = df.select(*found).first()
+    assert time.time() - began < 2
+    assert row["a"] == answer and not row["boxed_in_parens"]
+
+
+def test_each_pattern_captures_what_python_captures(spark):
+    r = random.Random(4)
+    parts = ["\\(", "\\)", "(", ")", "\\", "\\boxed{", "\\BOXED{", "7", "}", " ", "\n", "$", "a"]
+    rows = [("".join(r.choice(parts) for _ in range(r.randint(3, 24))),) for _ in range(6000)] + [(r"\(\boxed{1}\)",), (r"\(a\(\boxed{2} \boxed{3}\)",), (r") \( ) \( \boxed{4} ) \) (",)]
+    names = [n for n in ANSWER_PATTERNS if n.startswith("boxed")]
+    got = spark.createDataFrame(rows, "t string").select("t", *[pattern_capture(F.col("t"), n).alias(n) for n in names]).collect()
+    hits = 0
+    for row in got:
+        for n in names:
+            m = re.search(ANSWER_PATTERNS[n], row["t"], re.I | re.M)
+            assert row[n] == (m and m[1]), (row["t"], n)
+            hits += n == "boxed_in_parens" and m is not None
+    assert hits > 50
+
+
 def by_python(text: str, profile: str) -> str:
     for name in ANSWER_PROFILES[profile]:
         if m := re.search(ANSWER_PATTERNS[name], text, re.I | re.M):

@@ -250,3 +250,29 @@ def test_generation_batches(spark):
     df = spark.range(103).select("id", F.concat(F.lit("p"), F.col("id")).alias("prompt"))
     rows = generate_responses(df, loader, GenerationParams(batch_size=4)).collect()
     assert len(rows) == 103 and all(r["response"] == f"p{r['id']}|0.0" and r["output_tokens"] == len(r["prompt"]) for r in rows)
+
+
+def test_python_rewards_run_in_one_stage(spark):
+    import pyarrow.compute as pc
+
+    registry = RewardRegistry()
+    registry.register_python("short", lambda n: pc.divide(1.0, n), ["output_tokens"])
+    registry.register_python("known", lambda text, n: [0.5 if t is not None else None for t in text.to_pylist()], ["text", "output_tokens"])
+    registry.register_python("wrong_length", lambda text: [1.0], ["text"])
+    df = spark.createDataFrame([(True, 2, "a"), (False, 4, "b"), (True, 1, None)], "correct boolean, output_tokens int, text string").coalesce(1)
+    scored = df.select("output_tokens", registry.total({"accuracy": 1.0, "short": 2.0, "known": 1.0}).alias("r"), registry.column("short").alias("s"))
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r["output_tokens"]: r["r"] for r in scored.collect()} == {2: 2.5, 4: 1.0, 1: None}
+    with pytest.raises(Exception, match="1 values for 3 rows"):
+        df.select(registry.column("wrong_length")).collect()
+
+
+def test_templates_from_a_table(spark):
+    questions = spark.createDataFrame([(1, "q", "kept")], "sample_idx int, question string, extra string")
+    table = spark.createDataFrame([("a", "<", ">"), ("b", None, "!"), (None, "", None)], "config string, prefix string, suffix string")
+    rows = samples.expand_configs(questions, table).collect()
+    assert {(r["config"], r["prompt"], r["extra"]) for r in rows} == {("a", "<q>", "kept"), ("b", "q!", "kept"), (None, "q", "kept")}
+    assert samples.expand_configs(questions, table.limit(0)).count() == 0
+    assert samples.expand_configs(questions, table, max_templates=3).count() == 3
+    with pytest.raises(ValueError, match="more than 2"):
+        samples.expand_configs(questions, table, max_templates=2)

@@ -12,8 +12,8 @@ from gradeloom.plans.evaluation import grade_responses
 from gradeloom.session import tune
 from gradeloom.sources import derived
 
-ACTIONS = {"read_qa", "read_qa_json", "read_qa_arrow", "write_training_jsonl", "write_eval_results"}
-PYTHON = {"generate_responses"}
+ACTIONS = {"read_qa", "read_qa_json", "read_qa_arrow", "write_training_jsonl", "write_training_jsonl_single", "write_eval_results"}
+PYTHON = {"generate_responses", "reward_registry_python"}
 
 
 def plan(df) -> str:

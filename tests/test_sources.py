@@ -11,6 +11,7 @@ from gradeloom.operators import indexing
 from gradeloom.operators.indexing import index_by_order, index_by_storage
 from gradeloom.operators.samples import limit_samples, resolve_qa_columns
 from gradeloom.sources.qa import read_qa
+from gradeloom.sources import arrow_shards
 from gradeloom.sources.workdir import stored
 from gradeloom.sources.writers import run_name, write_eval_results, write_training_jsonl
 
@@ -33,7 +34,7 @@ def test_arrow_shards_split_and_indexed(spark, tmp_path):
     rows = read_qa(spark, str(tmp_path), "test", "arrow", with_index=True).orderBy("sample_idx").collect()
     assert [(r["sample_idx"], r["question"], r["answer"]) for r in rows] == [(i, *r) for i, r in enumerate(ROWS)]
     sliced = spark.read.format("arrow_shards").option("splitBytes", 3000).load(str(tmp_path / "test"))
-    assert sliced.rdd.getNumPartitions() > 10
+    assert sliced.rdd.getNumPartitions() == 10  # as many as there are batches
     assert sorted(tuple(r) for r in sliced.select("question", "answer").collect()) == sorted(ROWS)
     assert sliced.groupBy("shard").agg(F.max("shard_row").alias("m")).orderBy("shard").collect()[1]["m"] == 299
 
@@ -105,6 +106,23 @@ def test_index_by_order_sorts_and_stores_no_texts(spark, tmp_path, monkeypatch):
     assert kept and not any("text" in columns for columns in kept)
 
 
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_one_training_file_in_order(spark, tmp_path, n, monkeypatch):
+    path = str(tmp_path / "chat.jsonl")
+    rows = spark.range(n).select(F.col("id").alias("sample_idx"), F.concat(F.lit("é "), F.col("id").cast("string")).alias("solution")).orderBy(F.rand(3))
+    monkeypatch.setattr(type(rows), "coalesce", None)
+    for _ in range(2):
+        write_training_jsonl(rows, path, columns=["solution"], single_file=True, mode="overwrite")
+        with open(path, encoding="utf-8") as file:
+            assert [json.loads(line) for line in file] == [{"solution": f"é {k}"} for k in range(n)]
+        assert spark.read.schema("solution string").json(path).count() == n
+    assert os.listdir(tmp_path) == ["chat.jsonl"]
+    with pytest.raises(FileExistsError):
+        write_training_jsonl(rows, path, columns=["solution"], single_file=True)
+    with pytest.raises(ValueError):
+        write_training_jsonl(rows, path, single_file=True, mode="append")
+
+
 def test_jsonl_keeps_text_unescaped(spark, tmp_path):
     df = spark.createDataFrame([("答案是 é \"x\"\n", "7"), (None, "8")], "q string, solution string")
     rows = df.select(build_messages(F.col("q")).alias("messages"), "solution")
@@ -126,6 +144,44 @@ def test_eval_results_folders(spark, tmp_path):
     assert run_name("/models/tiny-1b/", "cot", datetime(2024, 4, 15, 12, 34, 56)) == "tiny-1b_cot_20240415_123456"
 
 
+def shard_reader(folder, split):
+    found = arrow_shards.ArrowShards({"path": str(folder), "splitbytes": str(split)})
+    return found.reader(found.schema())
+
+
+def test_arrow_slices_seek_and_headers_are_walked_once(tmp_path, monkeypatch):
+    rows = ROWS * 3
+    write_shard(tmp_path / "data-00000-of-00001.arrow", rows, batch=3)
+    walked = []
+    monkeypatch.setattr(arrow_shards, "next_message", lambda source: walked.append(1) or pa.ipc.read_message(source) if source.tell() < source.size() - 8 else None)
+    reader = shard_reader(tmp_path, 2000)
+    slices = reader.partitions()
+    assert len(slices) > 50 and len(walked) == 1001  # the schema and each batch, whatever the number of slices
+    got = [(b.column(0)[k].as_py(), b.column(3)[k].as_py()) for piece in slices for b in reader.read(piece) for k in range(b.num_rows)]
+    assert got == [(q, k) for k, (q, _) in enumerate(rows)] and len(walked) == 1001
+    assert all(sum(end - start for start, end in piece.ranges) < 4000 for piece in slices)
+    walked.clear()
+    assert len(shard_reader(tmp_path, 10**9).partitions()) == 1 and not walked
+
+
+@pytest.mark.parametrize("split", [1, 700, 10**9])
+def test_arrow_slices_with_growing_dictionaries_and_empty_batches(tmp_path, split):
+    words = [["a", "b"], ["a", "b", "c"], [], ["x"], ["x", None, "x"]]
+    schema = pa.schema([("word", pa.dictionary(pa.int32(), pa.string())), ("n", pa.int64())])
+    want = []
+    with pa.ipc.new_stream(str(tmp_path / "data-00000-of-00001.arrow"), schema) as out:
+        for k, part in enumerate(words * 4):
+            out.write_batch(pa.record_batch([pa.array(part, pa.string()).dictionary_encode(), pa.array([k] * len(part), pa.int64())], schema=schema))
+            want += [(w, k) for w in part]
+    reader = shard_reader(tmp_path, split)
+    got = [tuple(r.values()) for piece in reader.partitions() for b in reader.read(piece) for r in b.to_pylist()]
+    assert [(w, n) for w, n, _, _ in got] == want and [r for *_, r in got] == list(range(len(want)))
+    with pa.ipc.new_stream(str(tmp_path / "data-00000-of-00001.arrow"), schema):
+        pass
+    empty = shard_reader(tmp_path, split)
+    assert not [b for piece in empty.partitions() for b in empty.read(piece)]
+
+
 def test_arrow_shards_keep_types_and_read_wanted_columns(spark, tmp_path):
     folder = tmp_path / "test"
     folder.mkdir()
