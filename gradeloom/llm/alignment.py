@@ -25,7 +25,6 @@ import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +36,9 @@ from gradeloom.llm.bpe import pre_tokens, ragged
 from gradeloom.llm.dictionary import stored_packed
 from gradeloom.llm.textbatch import byte_array, slices, text_bytes
 from gradeloom.llm.token_files import tokenizer_encoder
+from gradeloom.llm.word_ids import WordIds
 
 BLOCK_BYTES = 8 << 20
-KNOWN_WORDS = 1 << 18  # distinct words a task remembers
 META = "▁"  # what pieces write for a space
 
 
@@ -156,18 +155,21 @@ def piece_encoder(model: bytes) -> Callable[[list[bytes]], list[list[int]]]:
     return encode
 
 
-class Vocabulary:
-    """Ids of words, each encoded once while it is remembered."""
+class Vocabulary(WordIds):
+    """Ids of words, and whether they give back the word's bytes."""
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], tokens: list[bytes]):
-        self.encode, self.tokens = encode, tokens
+        self.tokens = tokens
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.bytes, self.borders = np.frombuffer(b"".join(tokens), np.uint8), np.concatenate(([0], np.cumsum(self.lengths)))
-        self._forget()
+        super().__init__(encode)
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.flat, self.starts, self.whole = np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, bool)
+        super()._forget()
+        self.whole = np.empty(0, bool)
+
+    def _learned(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.whole = np.concatenate((self.whole, self._gives_back(words, ids, sizes)))
 
     def _gives_back(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Which words are the bytes of their ids, no id being without bytes."""
@@ -184,28 +186,6 @@ class Vocabulary:
         fits[np.flatnonzero(fits)[wrong[ends[1:]] != wrong[ends[:-1]]]] = False
         return fits
 
-    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words in order, how many each word has, and whether they give back the word's bytes."""
-        encoded = words.dictionary_encode()
-        distinct, code = encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        if len(self.number) > KNOWN_WORDS:
-            self._forget()
-        number = np.fromiter(map(self.number.get, distinct, repeat(-1)), np.int64, len(distinct))
-        unknown = np.flatnonzero(number < 0)
-        if len(unknown):
-            new = [distinct[k] for k in unknown.tolist()]
-            found = self.encode(new)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
-            number[unknown] = np.arange(len(self.number), len(self.number) + len(new))
-            self.number.update(zip(new, number[unknown].tolist()))
-            self.flat, self.starts = np.concatenate((self.flat, flat)), np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-            self.whole = np.concatenate((self.whole, self._gives_back(new, flat, sizes)))
-        number = number[code]
-        sizes = self.starts[number + 1] - self.starts[number]
-        return ragged(self.flat, self.starts[number], sizes), sizes, self.whole[number]
-
-
 def spaced(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and borders of the texts with a space before each."""
     data, borders = text_bytes(texts)
@@ -262,7 +242,8 @@ class Aligner:
         good = np.diff(borders) > 1
         sides = []
         for vocabulary, cuts, first in ((self.left, left_borders, left_first), (self.right, right_borders, right_first)):
-            ids, sizes, whole = vocabulary.ids(byte_array(data, cuts))
+            words = vocabulary.numbers(byte_array(data, cuts))
+            (ids, sizes), whole = vocabulary.ids(words), vocabulary.whole[words]
             text = np.repeat(np.arange(n), np.diff(first))
             good[text[~whole]] = False
             sides.append((ids, np.repeat(text, sizes), vocabulary.lengths))

@@ -40,6 +40,7 @@ MASKS = ("110111", "1110011", "110001011", "111000000011")
 MIN_WORDS = 12
 MIN_SHARE = 75
 BLOCK_WORDS = 2_000_000
+ALIGNMENTS = 1 << 18  # expanded at a time
 _BITS = 24
 
 _FOUND = pa.list_(pa.struct([("item", pa.int64()), ("words", pa.int64()), ("length", pa.int64())]))
@@ -61,7 +62,7 @@ def seed_hashes(hashes: np.ndarray, mask: str, number: int) -> np.ndarray:
     if n <= 0:
         return np.empty(0, np.uint64)
     factors = powers(len(mask) + 2)
-    out = np.full(n, np.uint64(number + 1) * factors[-1], dtype=np.uint64)
+    out = np.repeat(factors[-1:] * np.uint64(number + 1), n)
     for k, bit in enumerate(mask):
         if bit == "1":
             out += hashes[k : n + k] * factors[k]
@@ -77,7 +78,10 @@ def short_masks(length: int, min_share: int) -> list[str]:
 
 @dataclass
 class Benchmark:
-    """Words of a block of items with their seeds, sorted by hash. ``masks`` are the given ones and those of the short items there are."""
+    """Words of a block of items with their seeds, sorted by hash. ``masks`` are the given ones and those of the short items there are.
+
+    A unit is a hash in one item: ``unit_seed``, ``unit_item``, and its places from ``unit_first`` on.
+    """
 
     ids: np.ndarray
     words: np.ndarray
@@ -86,6 +90,14 @@ class Benchmark:
     places: np.ndarray
     masks: tuple[str, ...]
 
+    def __post_init__(self):
+        owner = np.repeat(np.arange(len(self.ids)), np.diff(self.first))[self.places]
+        new = np.ones(len(self.seeds), bool)
+        new[1:] = (np.diff(self.seeds) != 0) | (np.diff(owner) != 0)
+        begin = np.flatnonzero(new)
+        self.unit_seed, self.unit_item = self.seeds[begin], owner[begin]
+        self.unit_first = np.append(begin, len(self.seeds))
+
     @cached_property
     def hint(self) -> np.ndarray:
         """A bitmap by the first bits of the hashes, which spares most searches; built in each task."""
@@ -115,43 +127,69 @@ class Benchmark:
         return cls(np.array(ids, np.int64), hashes, words.first, all_seeds[order], all_places[order], tuple(every))
 
 
+class _Best:
+    """The best verified overlap of each text and item."""
+
+    def __init__(self, words: Words, hashes: np.ndarray, items: Benchmark, min_words: int, min_share: int):
+        self.words, self.hashes, self.items, self.min_words, self.min_share = words, hashes, items, min_words, min_share
+        self.seen = np.empty(0, np.int64)  # alignments: text and item, and text place less item place
+        self.width = len(hashes) + len(items.words) + 1
+        self.found: dict[int, tuple[int, int]] = {}
+        self.full: list[int] = []  # texts and items of which nothing better can come
+
+    def verify(self, keys: np.ndarray) -> None:
+        """Look at alignments not seen before, those with most common places first; what can't be better is passed over."""
+        keys = np.setdiff1d(keys, self.seen)
+        self.seen = np.union1d(self.seen, keys)
+        pair, shift = keys // self.width, keys % self.width - len(self.items.words)
+        text, item = pair // len(self.items.ids), pair % len(self.items.ids)
+        i0, i1 = self.items.first[item], self.items.first[item + 1]
+        lo, hi = np.maximum(i0 + shift, self.words.first[text]), np.minimum(i1 + shift, self.words.first[text + 1])
+        order = np.argsort(lo - hi, kind="stable")
+        for pair, lo, hi, shift, size in zip(*(x[order].tolist() for x in (pair, lo, hi, shift, i1 - i0))):
+            best = self.found.get(pair, (0, 0))
+            if hi - lo <= best[0]:
+                continue
+            same = self.hashes[lo:hi] == self.items.words[lo - shift : hi - shift]
+            run = best_run(same, min(self.min_words, size), self.min_share)
+            if run and run > best:
+                self.found[pair] = run
+                if run == (size, size):
+                    self.full.append(pair)
+
+
 def _overlaps(words: Words, hashes: np.ndarray, items: Benchmark, min_words: int, min_share: int):
-    """Verified overlaps: text, item, agreeing words, length."""
+    """Verified overlaps: text, item, agreeing words, length.
+
+    Hits are taken a bounded number of alignments at a time. Where words repeat, as in a run of equal ones, the first ones show an item found
+    whole, and its other hits in that text are not expanded.
+    """
     hint = items.hint
     shift = np.uint64(64 - _BITS)
-    owner = np.repeat(np.arange(len(items.ids)), np.diff(items.first))
-    width = len(hashes) + len(items.words) + 1
-    keys = [np.empty(0, np.int64)]  # item, and text place less item place: one alignment each
     text_of = words.text
+    best = _Best(words, hashes, items, min_words, min_share)
     for number, mask in enumerate(items.masks):
-        found = seed_hashes(hashes, mask, number)
-        at = np.flatnonzero(hint[found >> shift])
-        if not len(at):
-            continue
-        at = at[text_of[at] == text_of[at + len(mask) - 1]]
-        lo = np.searchsorted(items.seeds, found[at], side="left")
-        n = np.searchsorted(items.seeds, found[at], side="right") - lo
-        place = items.places[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        keys.append(np.unique(owner[place] * width + np.repeat(at, n) - place + len(items.words)))
-    pairs = np.unique(np.concatenate(keys))
-    out = []
-    texts_seen: dict[tuple[int, int], tuple[int, int]] = {}
-    for item, shift_by in zip((pairs // width).tolist(), (pairs % width - len(items.words)).tolist()):
-        i0, i1 = int(items.first[item]), int(items.first[item + 1])
-        # the alignment may reach into several texts; take each text it meets
-        lo, hi = max(i0 + shift_by, 0), min(i1 + shift_by, len(hashes))
-        same = hashes[lo:hi] == items.words[lo - shift_by : hi - shift_by]
-        needed = min(min_words, i1 - i0)
-        if 100 * np.count_nonzero(same) < min_share * needed:
-            continue
-        for text in np.unique(text_of[lo:hi]).tolist():
-            a, b = max(lo, int(words.first[text])), min(hi, int(words.first[text + 1]))
-            best = best_run(same[a - lo : b - lo], needed, min_share)
-            if best and best > texts_seen.get((text, item), (0, 0)):
-                texts_seen[(text, item)] = best
-    for (text, item), (agreeing, length) in texts_seen.items():
-        out.append((text, int(items.ids[item]), agreeing, length))
-    return out
+        seeds = seed_hashes(hashes, mask, number)
+        at = np.flatnonzero(hint[seeds >> shift])
+        at = at[text_of[at] == text_of[at + len(mask) - 1]] if len(at) else at
+        lo = np.searchsorted(items.unit_seed, seeds[at], side="left")
+        n = np.searchsorted(items.unit_seed, seeds[at], side="right") - lo
+        place = np.repeat(at, n)
+        unit = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        pair = text_of[place] * len(items.ids) + items.unit_item[unit]
+        while len(place):
+            if best.full:
+                left = ~np.isin(pair, best.full)
+                place, unit, pair = place[left], unit[left], pair[left]
+            first = items.unit_first[unit]
+            sizes = items.unit_first[unit + 1] - first
+            k = max(1, int(np.searchsorted(np.cumsum(sizes), ALIGNMENTS, side="right")))
+            few = sizes[:k]
+            if len(few):
+                inner = np.repeat(first[:k] - np.cumsum(few) + few, few) + np.arange(few.sum())
+                best.verify(np.repeat(pair[:k], few) * best.width + np.repeat(place[:k], few) - items.places[inner] + len(items.words))
+            place, unit, pair = place[k:], unit[k:], pair[k:]
+    return [(pair // len(items.ids), int(items.ids[pair % len(items.ids)]), *run) for pair, run in best.found.items()]
 
 
 def best_run(agree: np.ndarray, min_words: int, min_share: int) -> tuple[int, int] | None:
@@ -163,13 +201,13 @@ def best_run(agree: np.ndarray, min_words: int, min_share: int) -> tuple[int, in
     total = np.concatenate(([0], np.cumsum(agree)))
     ends = np.arange(min_words, len(agree) + 1)
     lowest = np.minimum.accumulate(gain[: len(agree) - min_words + 1])
-    if not (gain[ends] >= lowest).any():
+    ends = ends[gain[ends] >= lowest]
+    if not len(ends):
         return None
-    best = (0, 0)
-    for end in ends[gain[ends] >= lowest].tolist():
-        start = int(np.argmax(gain[: end - min_words + 1] <= gain[end]))
-        best = max(best, (int(total[end] - total[start]), end - start))
-    return best
+    starts = np.searchsorted(-lowest, -gain[ends])  # the first place as low as the end: the lowest so far never rise
+    agreeing, length = total[ends] - total[starts], ends - starts
+    most = agreeing.max()
+    return int(most), int(length[agreeing == most].max())
 
 
 def _block_count(benchmark: DataFrame, item_text: str, block_words: int) -> int:

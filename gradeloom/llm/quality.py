@@ -58,7 +58,7 @@ RULES = (
     Rule("symbols", 100, "n_symbols", 5, "word_chars"),
     Rule("duplicate_lines", 100, "n_dup_lines", 50, "n_lines"),
     Rule("capitals", 100, "n_upper", 60, "n_letters"),
-    Rule("variety", 10, "n_words", 100, "n_distinct_words"),
+    Rule("variety", 1, "n_words", 1, "distinct_words_squared"),  # distinct words grow about with the root of a text's length
     Rule("short_words", 2, "n_words", 1, "word_chars"),
 )
 BASE_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -168,7 +168,7 @@ COUNTS = {
     "n_letters": _bytes_in(_LETTER),
     "n_lines": _n_lines,
     "n_dup_lines": _n_dup_lines,
-    "n_distinct_words": _n_distinct_words,
+    "distinct_words_squared": lambda t: _n_distinct_words(t) ** 2,
     "n_repeat_words": _n_repeat_words,
 }
 

@@ -1,7 +1,8 @@
 """Token ids in files, packed by an adaptive context-mixing range coder.
 
-Texts are put in ascending order of their ids by a range partitioning; ``dictionary`` encodes each distinct pre-token once with the
-tokenizer. A file record holds consecutive documents: their ids, their numbers of tokens, and coded blocks of ``BLOCK_IDS`` token ids. Each block
+Texts are put in ascending order of their ids by a range partitioning; the task of a range encodes each distinct pre-token once
+while it remembers it, and writes one file, so files in the order of their names hold ascending ids. A text that holds a control string
+of the vocabulary is encoded whole by the tokenizer, which gives the string its own id. A file record holds consecutive documents: their ids, their numbers of tokens, and coded blocks of ``BLOCK_IDS`` token ids. Each block
 starts from a fresh model and carries a CRC-32 of its ids, so it can be read, checked and decoded on its own.
 
 The model predicts the next id by the last follower of the two ids before it (order 2), of the one id before it (order 1), and
@@ -17,6 +18,7 @@ table. A damaged block raises an error that names it. Other columns are left out
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -24,12 +26,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gradeloom.llm.bpe import encoded_blocks
+from gradeloom.llm.bpe import pre_tokens
+from gradeloom.llm.textbatch import byte_array, slices
+from gradeloom.llm.word_ids import WordIds
 
 BLOCK_IDS = 4096
+RECORD_BYTES = 16 << 20  # of text in a record, about
 VERSION = 2
 
 _TABLE = 11  # bits of a follower table
@@ -276,16 +283,41 @@ def load_tokenizer(path: str) -> str:
         return file.read()
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(content: str):
+@lru_cache(maxsize=4)
+def _tokenizer(content: str, plain: bool = True):
+    """The tokenizer; ``plain`` takes control strings inside a text for ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(content)
-    tokenizer.encode_special_tokens = True  # control strings inside a text are ordinary text
+    tokenizer.encode_special_tokens = plain
     return tokenizer
 
 
+class TextEncoder:
+    """Ids of texts as the tokenizer gives them: word by word, but whole where a text holds one of its control strings."""
+
+    def __init__(self, content: str):
+        self.words, self.whole = WordIds(tokenizer_encoder(content)), _tokenizer(content, plain=False)
+        self.control = [t["content"] for t in json.loads(content).get("added_tokens") or []]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the borders of the texts in them."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        apart = np.zeros(len(texts), bool)
+        for control in self.control:
+            apart |= pc.match_substring(texts, control).to_numpy(zero_copy_only=False)
+        data, cuts, first = pre_tokens(pc.if_else(pa.array(apart), pa.scalar("", pa.large_string()), texts) if apart.any() else texts)
+        ids, sizes = self.words.ids(self.words.numbers(byte_array(data, cuts)))
+        borders = np.concatenate(([0], np.cumsum(sizes)))[first]
+        if not apart.any():
+            return ids, borders
+        parts = [ids[a:b] for a, b in zip(borders[:-1], borders[1:])]
+        for k in np.flatnonzero(apart).tolist():
+            parts[k] = np.array(self.whole.encode(texts[k].as_py(), add_special_tokens=False).ids, np.int64)
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+
+
 def tokenizer_encoder(content: str) -> Callable[[list[bytes]], list[list[int]]]:
     """Encodes pre-tokens of a byte-level tokenizer, which splits texts by the same pattern."""
 
@@ -303,30 +335,46 @@ _BLOCKS = pa.list_(pa.struct([("n", pa.int32()), ("crc", pa.int64()), ("data", p
 _RECORD = "record bigint, version int, n_ids int, doc_ids array<bigint>, n_tokens array<bigint>, blocks array<struct<n: int, crc: bigint, data: binary>>"
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2) -> None:
+def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, record_bytes: int = RECORD_BYTES) -> None:
     """Write the records of all documents in ascending order of ids: file by file, and within each file.
 
     A record's ``record`` number ascends with the ids. Files are Parquet with the coded blocks as they are.
     """
     n_ids = 1 + max(_tokenizer(tokenizer).get_vocab_size(with_added_tokens=True) - 1, end_id)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = TextEncoder(tokenizer)
+        base, number, size = TaskContext.get().partitionId() << 32, 0, 0
+        doc_ids: list[list] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            n_tokens = np.concatenate([np.diff(borders) for _, borders in found]) + 1
+            ids = np.concatenate([np.insert(ids, borders[1:], end_id) for ids, borders in found])
+            return pa.RecordBatch.from_pydict(
+                {
+                    "record": pa.array([base | number], pa.int64()),
+                    "version": pa.array([VERSION], pa.int32()),
+                    "n_ids": pa.array([n_ids], pa.int32()),
+                    "doc_ids": pa.array([[i for part in doc_ids for i in part]], pa.list_(pa.int64())),
+                    "n_tokens": pa.array([n_tokens], pa.list_(pa.int64())),
+                    "blocks": pa.array([encode_ids(ids, n_ids)], _BLOCKS),
+                }
+            )
+
+        for part in slices(batches):
+            doc_ids.append(part.column("doc_id").to_pylist())
+            found.append(encoder.encode(part.column("text")))
+            size += part.nbytes
+            if size >= record_bytes:
+                yield flush()
+                doc_ids, found, number, size = [], [], number + 1, 0
+        if found:
+            yield flush()
+
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-
-    def finish(number: int, doc_ids: list, ids: np.ndarray, borders: np.ndarray) -> pa.RecordBatch:
-        whole = np.insert(ids, borders[1:], end_id)
-        return pa.RecordBatch.from_pydict(
-            {
-                "record": pa.array([number], pa.int64()),
-                "version": pa.array([VERSION], pa.int32()),
-                "n_ids": pa.array([n_ids], pa.int32()),
-                "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
-                "n_tokens": pa.array([(np.diff(borders) + 1).tolist()], pa.list_(pa.int64())),
-                "blocks": pa.array([encode_ids(whole, n_ids)], _BLOCKS),
-            }
-        )
-
-    records = encoded_blocks(ordered, tokenizer_encoder(tokenizer), _RECORD, finish)
-    records.write.option("compression", "uncompressed").parquet(path)
+    ordered.mapInArrow(run, _RECORD).write.option("compression", "uncompressed").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

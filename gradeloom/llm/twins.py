@@ -23,7 +23,7 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
   cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words,
   (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed,
   not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 100 * n_symbols > 5 * word_chars or 100 * n_dup_lines > 50 * n_lines
-    or 100 * n_upper > 60 * n_letters or 10 * n_words > 100 * n_distinct or 2 * n_words > word_chars) as kept
+    or 100 * n_upper > 60 * n_letters or n_words > n_distinct * n_distinct or 2 * n_words > word_chars) as kept
 from c
 """
 

@@ -3,15 +3,18 @@
 import base64
 import collections
 import hashlib
+import os
 import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -61,7 +64,7 @@ def test_quality_counts_and_verdicts(spark):
         n, c, s, d = len(w), sum(map(len, w)), sum(t.count(x) for x in "#*$%&|<>"), len(lines) - len(set(lines))
         failed = n < 20 or 100 * len(covered) > 30 * n
         upper, letters = len(re.findall("[A-Z]", t)), len(re.findall("[A-Za-z]", t))
-        good = not (failed or 100 * s > 5 * c or 100 * d > 50 * len(lines) or 100 * upper > 60 * letters or 10 * n > 100 * len(set(w)) or 2 * n > c)
+        good = not (failed or 100 * s > 5 * c or 100 * d > 50 * len(lines) or 100 * upper > 60 * letters or n > len(set(w)) ** 2 or 2 * n > c)
         assert got[i] == {"doc_id": i, "n_words": n, "word_chars": c, "n_symbols": s, "n_dup_lines": d, "n_repeat_words": len(covered), "base_failed": failed, "kept": good}
 
 
@@ -72,7 +75,17 @@ def test_cascade_order_changes_nothing_and_counts_lazily():
     for order in (rules[::-1], rules[2:] + rules[:2]):
         assert (quality.cascade(quality.Texts(slice_.texts), order, np.arange(52)) == want).all()
     quality.cascade(slice_, [quality.BASE_RULES[0], quality.RULES[3]], np.arange(52))
-    assert slice_._known["n_distinct_words"][1].sum() == 2  # the others were rejected before
+    assert slice_._known["distinct_words_squared"][1].sum() == 2  # the others were rejected before
+
+
+def test_a_long_clean_text_stays(spark):
+    """Vocabulary grows with the root of the length: 500,000 words over some 3,500 distinct ones."""
+    r = np.random.default_rng(1)
+    names = np.array([f"{'bcdfghklmnprst'[k % 14]}{'aeiou'[k // 14 % 5]}word{k}" for k in range(3500)])
+    long = " ".join(names[np.minimum(r.zipf(1.3, 500_000), 3500) - 1].tolist())
+    rows = by_id(quality.quality_verdicts(spark.createDataFrame([(1, long), (2, "ab cd " * 40)], "doc_id long, text string")))
+    assert rows[1]["n_words"] == 500_000 and not rows[2]["kept"]
+    assert quality.RULES[3].name == "variety" and not quality.RULES[3].rejects(quality.Texts(pa.array([long])), np.arange(1))[0]
 
 
 def test_quality_filter_keeps_rows_as_they_are(spark):
@@ -201,6 +214,25 @@ def test_masks_meet_every_overlap_within_the_tolerance():
             assert any(met(m, agree) for m in decontaminate.short_masks(length, 75)), agree
 
 
+@pytest.mark.parametrize("unit", ["a ", "a b ", "1 2 3 "])
+def test_repeated_words_end_quickly(unit):
+    began = time.time()
+    text, item = unit * (100_000 // len(unit.split())), unit * (10_000 // len(unit.split()))
+    items = decontaminate.Benchmark.build([5], [item], decontaminate.MASKS, 12, 75)
+    words, hashes = decontaminate.tokens(pa.array(["other words here", text]))
+    n = len(item.split())
+    assert decontaminate._overlaps(words, hashes, items, 12, 75) == [(1, 5, n, n)]
+    assert time.time() - began < 5
+
+
+def test_best_run_is_the_best_of_all_runs():
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        agree, least = r.random(int(r.integers(1, 40))) < r.random(), int(r.integers(1, 14))
+        runs = [(int(agree[a:b].sum()), b - a) for a in range(len(agree)) for b in range(a + least, len(agree) + 1) if 100 * agree[a:b].sum() >= 75 * (b - a)]
+        assert decontaminate.best_run(agree, least, 75) == max(runs, default=None)
+
+
 def test_decontamination_finds_what_brute_force_alignment_finds(spark):
     """Items of 3 to 30 words with as many substitutions as are tolerated, and one more."""
     r = random.Random(8)
@@ -286,16 +318,32 @@ def test_pre_tokens_on_random_text():
 def test_token_files(spark, tmp_path):
     content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     reference = Tokenizer.from_str(content)
-    reference.encode_special_tokens = True
     path = str(tmp_path / "files")
-    token_files.write_token_files(table(spark), content, path, end_id=2)
+    rows = texts() + ["<|endoftext|>", "x <|endoftext|> ok", "a  <|endoftext|><|endoftext|>b <|endoftext", "<|endoftext|> " * 300]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files, though they are small
+    try:
+        token_files.write_token_files(table(spark, rows), content, path, end_id=2, record_bytes=3000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     got, start = by_id(token_files.read_token_files(spark, path)), 0
-    for i, t in enumerate(texts()):
+    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+    order = [i for f in files for r in pq.read_table(f"{path}/{f}").to_pylist() for i in r["doc_ids"]]
+    assert order == list(range(len(rows))) and len(files) > 1  # files in the order of their names hold ascending ids
+    for i, t in enumerate(rows):
         ids = [*reference.encode(t or "", add_special_tokens=False).ids, 2]
         assert got[i] == {"doc_id": i, "start": start, "n_tokens": len(ids), "ids_crc32": zlib.crc32(np.array(ids, "<u4").tobytes())}
         start += len(ids)
 
 
+def test_token_files_with_shared_and_null_ids(spark, tmp_path):
+    content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame([(None, "b c"), (7, "a"), (7, "a"), (None, None), (3, "x y z")], "doc_id long, text string")
+    path = str(tmp_path / "files")
+    token_files.write_token_files(docs, content, path)
+    got = sorted(((r["start"], r["doc_id"], r["n_tokens"]) for r in token_files.read_token_files(spark, path).collect()))
+    assert got == [(0, None, 1), (1, None, 3), (4, 3, 4), (8, 7, 2), (10, 7, 2)]
+
+
 def test_coder_round_trips_and_sees_damage():
     r = np.random.default_rng(0)
     for k in range(8):

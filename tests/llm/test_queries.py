@@ -65,3 +65,29 @@ def test_pipeline_does_what_its_operators_say(spark, sf_dir):
             docs = out
         else:
             assert out.count() == docs.count()
+
+
+def test_stages_judge_rows_whatever_their_ids(spark, sf_dir):
+    """Null, shared and repeated ids, null and empty texts, extra columns with the names the stages use."""
+    clean = [" ".join(f"{w}{k} of the {w}" for w in ("river", "stone", "lamp", "garden", "window", "letter", "mountain", "paper", "silver", "kitchen")) for k in range(6)]
+    near = clean[0] + " and so"
+    rows = [(None, clean[0]), (1, clean[1]), (1, clean[2]), (1, clean[2]), (None, clean[3]), (5, near), (None, None), (7, ""), (4, clean[4]), (2, clean[4])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row long, component_id long, kept boolean"
+    docs = spark.createDataFrame([(i, t, "en", None, None, 0, 0, False) for i, t in rows], schema).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    wanted = {
+        "quality rules": sorted(map(str, [r for r in rows if r[1]])),
+        "near copies": sorted(map(str, [(1, clean[1]), (1, clean[2]), (None, clean[3]), (5, near), (None, None), (7, ""), (2, clean[4])])),
+        "benchmark decontamination": sorted(map(str, rows)),
+        "toxicity": sorted(map(str, rows)),
+    }
+    for name, want in wanted.items():
+        out = stages[name](spark, docs, sf_dir)
+        assert out.columns == list(corpus_pipeline.COLUMNS)
+        assert sorted(str((r["doc_id"], r["text"])) for r in out.collect()) == want, name
+    tokens = stages["byte-level BPE"](spark, docs, sf_dir).collect()
+    assert sorted(str(r["doc_id"]) for r in tokens) == sorted(str(i) for i, _ in rows)
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "toxicity":  # learns from its input
+            assert stage(spark, empty, sf_dir).count() == 0, name
