@@ -1,7 +1,8 @@
 """License scans by ordered signature rules, in DataFrame functions only.
 
 A rule is a regular expression over the words of a text (lower-cased, one blank between), anchored at its first word. Rules are made
-from ``NAMES`` and ``FORMS``: a hand-written pattern per license, put into each hand-written way of granting it. Three gates keep
+from ``NAMES`` and ``FORMS``: a hand-written pattern per license, put into each hand-written way of granting it; ``BODIES`` are texts and headers of
+licenses, with or without a name. Three gates keep
 them off most text: substrings of the whole text, then words a rule may begin with, then the rules of that word only. Each match is an interval of words.
 
 Overlaps are resolved by priority and containment: a detection goes when another one of higher priority, or of the same priority and
@@ -17,6 +18,7 @@ an empty table gives an empty table. Other columns are left out, so their names
 from __future__ import annotations
 
 from functools import lru_cache
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,6 +91,28 @@ FORMS = (
     (r"license ", r"(?: license)?", 2, 0.6),
     (r"", r"", 3, 0.5),
 )
+#: Texts and headers of licenses that need not name them: label, words, priority and weight. At most ``REACH`` words each.
+BODIES = (
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software", 2, 0.9),
+    ("boost", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software", 2, 0.9),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 2, 0.9),
+    ("hpnd", r"permission to use copy modify and distribute this software and its documentation for any purpose", 2, 0.8),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 1, 0.95),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted", 2, 0.9),
+    ("bsd-3-clause", r"neither the names? of(?: [^ ]+){1,8} nor the names of (?:its|their|any|other) contributors", 2, 0.9),
+    ("openssl", r"redistributions of any form whatsoever must retain the following acknowledge?ment", 2, 0.9),
+    ("zlib", r"altered source versions must be plainly marked as such", 2, 0.9),
+    ("apache-2.0", r"unless required by applicable law or agreed to in writing software distributed under the license", 2, 0.9),
+    ("gpl", r"free software you can redistribute it and or modify it under the terms of the gnu general public license", 1, 0.95),
+    ("lgpl", r"free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", 1, 0.95),
+    ("agpl", r"free software you can redistribute it and or modify it under the terms of the gnu affero general public license", 1, 0.95),
+    ("unlicense", r"unencumbered software released into the public domain", 1, 0.95),
+    ("cc0", r"waived all copyright and related or neighbou?ring rights", 2, 0.9),
+    ("ofl", r"reserved font name", 2, 0.7),
+    ("artistic", r"intent of this document is to state the conditions under which a package may be copied", 2, 0.9),
+    ("epl", r"accompanying program is provided under the terms of this eclipse public license", 1, 0.95),
+    ("cpl", r"accompanying program is provided under the terms of this common public license", 1, 0.95),
+)
 #: Words that a form may begin with; the empty form begins with the name, whose first words are listed here.
 FORM_WORDS = ("licensed", "released", "distribute distributed redistribute redistributed", "available", "published", "covered", "subject", "dedicated", "spdx", "license")
 NAME_WORDS = {
@@ -105,6 +129,13 @@ KEYWORDS = ("licen", "gpl", "fdl", "mpl", "epl", "cddl", "eupl", "cc0", "creativ
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 KEYWORD_PATTERN = rf"cc{_GAP}(?:by|zero)|general{_GAP}public|public{_GAP}domain|under{_GAP}|covered{_GAP}by|subject{_GAP}to"
 
+#: A body's match contains a keyword, or one of these words and then ``BODY_PATTERN``.
+BODY_WORDS = ("hereby", "binary", "whatsoever", "plainly", "writing", "unencumbered", "documentation", "contributors", "font", "package")
+BODY_PATTERN = (
+    rf"hereby{_GAP}granted|binary{_GAP}forms|form{_GAP}whatsoever|plainly{_GAP}marked|to{_GAP}in{_GAP}writing|unencumbered{_GAP}software"
+    rf"|its{_GAP}documentation|contributors|reserved{_GAP}font|package{_GAP}may"
+)
+
 
 @lru_cache(maxsize=1)
 def rules() -> list[tuple[int, str, str, str, int, float, bool]]:
@@ -113,6 +144,9 @@ def rules() -> list[tuple[int, str, str, str, int, float, bool]]:
     for phrase, label in BASE:
         out.append((number, phrase.split()[0], rf"^({phrase}){_ENDS}", label, 3, 0.5, True))
         number += 1
+    for label, body, priority, weight in BODIES:
+        out.append((number, body.split()[0], rf"^({body}){_ENDS}", label, priority, weight, False))
+        number += 1
     for k, (before, after, priority, weight) in enumerate(FORMS):
         for label, name in NAMES:
             bare = not before
@@ -129,7 +163,10 @@ def _prefilter(lowered: Column) -> Column:
     hit = lowered.contains(KEYWORDS[0])
     for k in KEYWORDS[1:]:
         hit = hit | lowered.contains(k)
-    return hit | lowered.rlike(KEYWORD_PATTERN)
+    body = lowered.contains(BODY_WORDS[0])
+    for k in BODY_WORDS[1:]:
+        body = body | lowered.contains(k)
+    return hit | lowered.rlike(KEYWORD_PATTERN) | (body & lowered.rlike(BODY_PATTERN))
 
 
 def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,8 +176,10 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spark = docs.sparkSession
     anchors = sorted({r[1] for r in rules()})
-    text = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text")).where(_prefilter(F.col("_text")))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # The gate may take all of Unicode for lower case, which lets a few texts more through; words are lower-cased as ASCII.
+    gated = docs.where(_prefilter(F.lower(text)))
+    rows = gated.select(F.col(id_col).cast("long").alias("doc_id"), F.translate(text, ascii_uppercase, ascii_lowercase).alias("_text"))
     words = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)).alias("w"))
     places = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("at"), x.alias("anchor"))), lambda x: x["anchor"].isin(anchors))
     spots = F.transform(places, lambda x: F.struct(x["at"].cast("long").alias("start"), x["anchor"].alias("anchor"), F.array_join(F.slice("w", x["at"] + 1, REACH), " ").alias("window")))

@@ -430,7 +430,20 @@ def test_licenses(spark):
         "dedicated to the public domain", "MIT license", "SPDX-License-Identifier: Apache-2.0 OR MIT", "is subject to BSD 3 clause", "É cc by é", "cc bye xcc by", "all rights reserved\u2028", "cc by\x85",
         "redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "Under the Apache License, Version 2.0. Released under the MIT License. " * 30,
     ] + texts()
+    bodies = {
+        "mit": "Permission is hereby granted, free of charge,\nto any person obtaining a copy of this software and", "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose\nwith or without fee is hereby granted",
+        "bsd": "* Redistribution and use in source and binary\n * forms, with or without modification, are permitted provided", "bsd-3-clause": "Neither the name of the copyright holder nor the names of its contributors may",
+        "zlib": "2. Altered source versions must be plainly marked as such", "apache-2.0": "Unless required by applicable law or agreed to in writing, software\n distributed under the License is",
+        "unlicense": "This is free and unencumbered software released into the public domain.", "artistic": "The intent of this document is to state the conditions under which a\nPackage may be copied",
+        "hpnd": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose", "cc0": "waived all copyright and related or neighboring rights",
+        "boost": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software", "openssl": "Redistributions of any form whatsoever must retain the following acknowledgment:",
+        "gpl": "free software; you can redistribute it and/or modify it under the terms of the GNU General Public License", "ofl": "with Reserved Font Name X",
+    }
+    rows += [*bodies.values(), "Kelvin CC BY", "her binary writing in a documentation font package by contributors"]
     got = by_id(licenses.scan_licenses(table(spark, rows)))
+    for k, label in enumerate(bodies):
+        assert label in got[len(rows) - len(bodies) - 2 + k]["labels"].split(","), label
+    assert max(len(body.split()) for _, body, _, _ in licenses.BODIES) <= licenses.REACH
     for i, t in enumerate(rows):
         assert tuple(got[i].values()) == (i, *brute_licenses(t)), t
     assert len(licenses.rules()) > 300
