@@ -1 +1 @@
-"""Table-level operators: every one maps DataFrames to a lazy DataFrame."""
+"""Table-level operators: most map DataFrames to a lazy DataFrame; those that read their rows more than once store them when called, and say so."""
