@@ -1,19 +1,22 @@
 """Near copies by an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
 1. Texts become sets of word shingles (64-bit hashes). Equal sets are one class, and only one row per class goes on.
-2. A class has ``TREES`` labels, each a sequence of ``DEPTH`` MinHash values. In each tree the classes are put in the order of
-   their labels; classes that share at least the first ``MIN_DEPTH`` values are a region. The longest common prefixes are those
-   of neighbours, so a region of up to ``REGION`` classes is compared as a whole and a larger one goes deeper, prefix by prefix, until its parts
-   fit; at full depth it is walked in windows of neighbours. The depth thus adapts to each region.
+2. A class has ``TREES`` labels, each a sequence of ``DEPTH`` MinHash values. In each tree the classes that share at least the first
+   ``MIN_DEPTH`` values are a region. A region of up to ``REGION`` classes is compared as a whole; a larger one goes deeper, prefix
+   by prefix, until its parts fit, so the depth adapts to each region. Classes that still crowd at full depth agree in all of a
+   label's values and are joined without comparison.
 3. Compared classes whose signatures agree enough (``SCREEN``, well below the threshold) are joined into rough groups: a region
    hands on a spanning forest of its joins, never its pairs.
 4. Per rough group the full sets are laid together and all links at or above the threshold are found exactly, through an inverted
-   list of shingles, as far as they join parts. Groups above ``MAX_SHINGLES`` are laid out once per tree instead, by the first
-   values of that tree's labels, and read in its order in pieces that overlap, so that memory stays bounded.
-5. Components of the confirmed links carry the smallest id.
+   list of shingles, as far as they join parts.
+5. A group above ``MAX_SHINGLES`` is first laid out once per tree, by the first values of that tree's labels, and read in pieces,
+   which finds most of its links at little cost. What is then still apart is compared in full: the group is dealt into chunks, a large
+   component into chunks of its own, and every two chunks meet in a task, unless all of both is connected already.
+6. Components of the confirmed links carry the smallest id.
 
 A pair at the threshold 0.8 misses all regions with probability (1 - 0.8^3)^20 < 1e-6, and its signatures fall below the
-screen with a probability below 1e-5; larger similarities fail less. Pairs of a group can also meet through others.
+screen with a probability below 1e-5; larger similarities fail less. Where all regions of a pair are so crowded that they go to full depth,
+that is (1 - 0.8^6)^20, 0.3 percent at 0.8 and below 1e-6 at 0.9. Pairs of a group can also meet through others.
 
 Rows: one row out per row in. Null, empty and blank texts have an empty set and are linked with nothing; a text with fewer words
 than a shingle is one shingle as a whole. Repeated rows are equal sets. Texts are processed whole. Ids should be unique; rows that
@@ -23,6 +26,7 @@ share one are judged each by its own text. Other columns are left out, so their
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,7 @@ DEPTH = 6
 MIN_DEPTH = 3
 REGION = 256
 SCREEN = 0.15
-CHUNK = 4_096
+OVERLAP = 256
 MAX_SHINGLES = 4_000_000
 
 _LANES = TREES * DEPTH
@@ -135,49 +139,27 @@ def _compare(lanes: np.ndarray, rows: np.ndarray, least: int, forest: _Forest) -
     return joins
 
 
-def _region_joins(screens: np.ndarray, label: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Joins within one region whose rows are in the order of their labels."""
-    forest, joins = _Forest(len(screens)), []
-    stack = [(0, len(screens), MIN_DEPTH)]
-    while stack:
-        start, end, depth = stack.pop()
-        if end - start <= REGION:
-            joins += _compare(screens, np.arange(start, end), least, forest)
-        elif depth < DEPTH:
-            cuts = np.flatnonzero(label[start + 1 : end, depth] != label[start : end - 1, depth]) + start + 1
-            borders = [start, *cuts.tolist(), end]
-            stack += [(a, b, depth + 1) for a, b in zip(borders[:-1], borders[1:]) if b - a > 1]
-        else:
-            for a in range(start, end, REGION // 2):
-                joins += _compare(screens, np.arange(a, min(a + REGION, end)), least, forest)
-    return joins
-
-
 def _pairs(nodes: list[int], found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())})
 
 
 def _rough_joins(least: int):
-    """Reads rows in the order of tree and label; a region that fills the buffer is handled in overlapping parts."""
+    """Reads rows in the order of tree and key; the rows of a key are compared as a whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, labels, screens = None, [], [], []
+        key, nodes, screens = None, [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if len(nodes) > 1:
                 screen = np.frombuffer(b"".join(screens), dtype=np.uint8).reshape(len(nodes), _LANES)
-                label = np.frombuffer(b"".join(labels), dtype=">u2").reshape(len(nodes), DEPTH)
-                yield _pairs(nodes, _region_joins(screen, label, least))
+                yield _pairs(nodes, _compare(screen, np.arange(len(nodes)), least, _Forest(len(nodes))))
 
         for batch in batches:
-            for node, tree, label, screen in zip(*(batch.column(c).to_pylist() for c in ("node", "tree", "label", "screen"))):
-                own = (tree, label[: 2 * MIN_DEPTH])
-                if own != key or len(nodes) >= CHUNK:
+            for node, tree, part, screen in zip(*(batch.column(c).to_pylist() for c in ("node", "tree", "key", "screen"))):
+                if (tree, part) != key:
                     yield from flush()
-                    nodes, labels, screens = (x[-REGION:] if own == key else [] for x in (nodes, labels, screens))
-                    key = own
+                    key, nodes, screens = (tree, part), [], []
                 nodes.append(node)
-                labels.append(label)
                 screens.append(screen)
         yield from flush()
 
@@ -242,8 +224,8 @@ def exact_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _confirm(percent: int, max_shingles: int):
-    """Reads rows ordered by group and part; what goes beyond ``max_shingles`` is handled in overlapping pieces."""
+def _confirm(percent: int, max_shingles: int | None):
+    """Reads rows ordered by group and part; what goes beyond ``max_shingles`` is handled in overlapping pieces (None: never)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, sets, total = None, [], [], 0
@@ -254,9 +236,9 @@ def _confirm(percent: int, max_shingles: int):
 
         for batch in batches:
             for node, group, part, packed in zip(*(batch.column(c).to_pylist() for c in ("node", "group", "part", "shingles"))):
-                if (group, part) != key or total > max_shingles:
+                if (group, part) != key or (max_shingles is not None and total > max_shingles):
                     yield from flush()
-                    nodes, sets = (x[-REGION:] if (group, part) == key else [] for x in (nodes, sets))
+                    nodes, sets = (x[-OVERLAP:] if (group, part) == key else [] for x in (nodes, sets))
                     key, total = (group, part), sum(map(len, sets))
                 nodes.append(node)
                 sets.append(np.frombuffer(packed, dtype=np.uint64))
@@ -282,21 +264,55 @@ def _trees(classes: DataFrame) -> DataFrame:
     return each.select("node", "tree", F.expr(f"substring(labels, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("label"))
 
 
-def _parts(groups: DataFrame, classes: DataFrame, max_shingles: int) -> DataFrame:
-    """``node, group, part, place``: one part for a group of up to ``max_shingles``, else one per tree and first label values."""
-    members = groups.join(classes, "node")
-    sizes = members.groupBy("component").agg(F.sum("n_shingles").alias("total"))
-    large = stored(sizes.where(F.col("total") > max_shingles).select("component"), "large-groups")
+def _regions(labels: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """``node, tree, key`` of classes that share a key of at most ``most`` classes, the shortest such prefix of their label; and joins ``a, b`` of those that crowd at full depth."""
+    alive, fitting = labels, []
+    for depth in range(MIN_DEPTH, DEPTH + 1):
+        keyed = alive.withColumn("key", F.expr(f"substring(label, 1, {2 * depth})"))
+        sizes = keyed.groupBy("tree", "key").agg(F.count("*").alias("n"), F.min("node").alias("low")).where("n > 1")
+        level = stored(keyed.join(sizes, ["tree", "key"]), "regions")
+        fitting.append(level.where(F.col("n") <= most).select("node", "tree", "key"))
+        crowded = level.where(F.col("n") > most)
+        alive = crowded.select("node", "tree", "label")
+        if depth == DEPTH or crowded.isEmpty():
+            return reduce(DataFrame.unionByName, fitting), crowded.select(F.col("node").alias("a"), F.col("low").alias("b"))
+
+
+def _parts(groups: DataFrame, classes: DataFrame, large: DataFrame) -> DataFrame:
+    """``node, group, part, place``: one part for a group, but for a large one a part per tree and first label values."""
     empty = F.lit(None).cast("binary")
     small = groups.join(large, "component", "left_anti").select("node", F.col("component").alias("group"), empty.alias("part"), empty.alias("place"))
     if large.isEmpty():
         return small
-    several = _trees(members.join(large, "component")).join(groups, "node")
+    several = _trees(groups.join(large, "component").join(classes, "node")).join(groups, "node")
     part = F.concat(F.col("tree").cast("string").cast("binary"), F.expr(f"substring(label, 1, {2 * MIN_DEPTH})"))
     return small.unionByName(several.select("node", F.col("component").alias("group"), part.alias("part"), F.col("label").alias("place")))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", max_shingles: int = MAX_SHINGLES) -> DataFrame:
+def _chunk_pairs(members: DataFrame, max_shingles: int) -> DataFrame:
+    """``node, group, part, place`` of ``members(node, group, own, n_shingles)`` that lay out every two chunks of a group, ``own`` being what is connected so far.
+
+    Components above half a chunk are dealt into chunks of their own, the others together, whole. Two chunks of one component are left out.
+    """
+    room = max(max_shingles // 2, 1)
+    sizes = members.groupBy("group", "own").agg(F.sum("n_shingles").alias("size"))
+    small = sizes.where(F.col("size") * 2 <= room).groupBy("group").agg(F.sum("size").alias("rest"))
+    dealt = members.join(sizes, ["group", "own"]).join(small, "group", "left")
+    alone = F.col("size") * 2 > room
+    count = lambda total: F.ceil(total / F.lit(room)).cast("long")
+    whole = F.when(alone, F.col("own"))
+    number = F.when(alone, F.pmod(F.xxhash64("node"), count(F.col("size")))).otherwise(F.pmod(F.xxhash64("own"), count(F.col("rest"))))
+    dealt = stored(dealt.select("node", "group", whole.alias("whole"), number.alias("number")), "chunks")
+    chunks = dealt.select("group", "whole", "number").distinct().withColumn("chunk", F.struct(F.coalesce(F.col("whole").cast("string"), F.lit("")).alias("whole"), "number"))
+    left, right = (chunks.select("group", F.col("whole").alias(f"{side}_whole"), F.col("chunk").alias(side)) for side in ("left", "right"))
+    pairs = left.join(right, "group").where("left <= right and not coalesce(left_whole = right_whole, false)")
+    name = F.to_json(F.struct("left", "right")).cast("binary").alias("part")
+    each = pairs.select("group", name, F.explode(F.array_distinct(F.array("left", "right"))).alias("chunk"))
+    keyed = dealt.withColumn("chunk", F.struct(F.coalesce(F.col("whole").cast("string"), F.lit("")).alias("whole"), "number"))
+    return keyed.join(each, ["group", "chunk"]).select("node", "group", "part", F.lit(None).cast("binary").alias("place"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", max_shingles: int = MAX_SHINGLES, region: int = REGION) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: a row per document; links need ``percent`` percent common shingles."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id bigint, n_shingles bigint, one bigint, two bigint, labels binary, screen binary"
@@ -307,19 +323,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
     chosen = described.where("n_shingles > 1").groupBy(*set_key).agg(F.min("doc_id").alias("node"), F.first("labels").alias("labels"), F.first("screen").alias("screen"))
     chosen = stored(chosen.select("node", "n_shingles", "labels", "screen"), "classes")
 
-    labels = _trees(chosen)
-    region = F.expr(f"substring(label, 1, {2 * MIN_DEPTH})")
-    shared = labels.groupBy("tree", region.alias("region")).agg(F.count("*").alias("n")).where("n > 1").select("tree", "region")
-    crowded = labels.withColumn("region", region).join(shared, ["tree", "region"]).select("node", "tree", "label")
-    ordered = stored(crowded.join(chosen.select("node", "screen"), "node"), "regions").repartitionByRange("tree", "label").sortWithinPartitions("tree", "label")
+    fitting, crowded = _regions(_trees(chosen), region)
+    together = fitting.join(chosen.select("node", "screen"), "node").repartition("tree", "key").sortWithinPartitions("tree", "key")
     least = int((percent / 100 - SCREEN) * _LANES)
-    rough = components(stored(ordered.mapInArrow(_rough_joins(least), "a bigint, b bigint").distinct(), "rough"))
-    parts = stored(_parts(stored(rough, "rough-groups"), chosen, max_shingles), "parts")
-
-    wanted = texts.join(parts, texts.doc_id == parts.node).select("node", "group", "part", "place", "text")
-    sets = wanted.mapInArrow(_sets(shingle), "node bigint, group bigint, part binary, place binary, shingles binary")
-    laid = sets.repartition("group", "part").sortWithinPartitions("group", "part", "place", "node")
-    found = components(stored(laid.mapInArrow(_confirm(percent, max_shingles), "a bigint, b bigint"), "confirmed"))
+    joins = together.mapInArrow(_rough_joins(least), "a bigint, b bigint").unionByName(crowded)
+    groups = stored(components(stored(joins.distinct(), "rough")), "rough-groups")
+    totals = groups.join(chosen, "node").groupBy("component").agg(F.sum("n_shingles").alias("total"))
+    large = stored(totals.where(F.col("total") > max_shingles).select("component"), "large-groups")
+
+    def links(parts: DataFrame, limit: int | None) -> DataFrame:
+        wanted = texts.join(parts, texts.doc_id == parts.node).select("node", "group", "part", "place", "text")
+        sets = wanted.mapInArrow(_sets(shingle), "node bigint, group bigint, part binary, place binary, shingles binary")
+        laid = sets.repartition("group", "part").sortWithinPartitions("group", "part", "place", "node")
+        return stored(laid.mapInArrow(_confirm(percent, limit), "a bigint, b bigint"), "confirmed")
+
+    confirmed = links(stored(_parts(groups, chosen, large), "parts"), max_shingles)
+    found = components(confirmed)
+    if not large.isEmpty():
+        own = found.withColumnRenamed("component", "own")
+        members = groups.join(large, "component").join(chosen.select("node", "n_shingles"), "node").join(own, "node", "left")
+        members = members.select("node", F.col("component").alias("group"), F.coalesce("own", "node").alias("own"), "n_shingles")
+        rest = links(stored(_chunk_pairs(stored(members, "members"), max_shingles), "parts"), None)
+        found = components(confirmed.unionByName(rest))
 
     by_class = classes.join(found, "node", "left").select(*set_key, F.coalesce("component", "node").alias("component_id"))
     empty = described.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

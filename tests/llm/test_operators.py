@@ -118,19 +118,42 @@ def brute_components(rows, size=4, percent=80):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("limit", [near_dup.MAX_SHINGLES, 2000])
-def test_near_duplicates(spark, limit):
-    """The lower limit lays the group of near copies out per tree, in overlapping pieces."""
+@pytest.mark.parametrize("limit, region", [(near_dup.MAX_SHINGLES, near_dup.REGION), (2000, near_dup.REGION), (300, 2)])
+def test_near_duplicates(spark, limit, region):
+    """The lower limits lay groups out per tree and then in chunks, and send regions to full depth."""
     r = random.Random(5)
     base = [f"w{r.randint(0, 400)}" for _ in range(120)]
     near = [" ".join(w if r.random() > 0.02 else f"v{r.randint(0, 9999)}" for w in base) for _ in range(150)]
-    rows = texts() + near
-    got = by_id(near_dup.near_duplicates(table(spark, rows), max_shingles=limit))
+    drift = [f"d{r.randint(0, 400)}" for _ in range(90)]
+    chain = []
+    for k in range(60):  # linked to their neighbours only
+        drift[(7 * k) % 90 : (7 * k) % 90 + 2] = [f"e{k}", f"f{k}"]
+        chain.append(" ".join(drift))
+    rows = texts() + near + chain
+    got = by_id(near_dup.near_duplicates(table(spark, rows), max_shingles=limit, region=region))
     want = brute_components(list(enumerate(rows)))
+    assert len({want[len(rows) - 1 - k][1] for k in range(60)}) == 1
     assert {i: (x["n_shingles"], x["component_id"]) for i, x in got.items()} == want
     assert all(x["kept"] == (x["component_id"] == i) for i, x in got.items())
 
 
+def test_chunks_of_a_large_group_bring_all_pairs_together_that_are_apart(spark):
+    r = random.Random(4)
+    rows = [(n, g, 1000 * g + (0 if n % 3 else n), r.randint(1, 40)) for g in (1, 2) for n in range(g * 100, g * 100 + 100)]
+    parts = near_dup._chunk_pairs(spark.createDataFrame(rows, "node long, group long, own long, n_shingles long"), 400).collect()
+    met, sizes = set(), {}
+    of = {n: (g, own, size) for n, g, own, size in rows}
+    by_part = {}
+    for x in parts:
+        by_part.setdefault((x["group"], bytes(x["part"])), []).append(x["node"])
+    for key, nodes in by_part.items():
+        assert len(nodes) == len(set(nodes)) and {of[n][0] for n in nodes} == {key[0]}
+        sizes[key] = sum(of[n][2] for n in nodes)
+        met |= {(a, b) for a in nodes for b in nodes if a < b}
+    assert all((a, b) in met for a in of for b in of if a < b and of[a][0] == of[b][0] and of[a][1] != of[b][1])
+    assert max(sizes.values()) <= 3 * 400
+
+
 def test_exact_links_connect_all_that_brute_force_connects():
     r = random.Random(2)
     for _ in range(30):
