@@ -5,8 +5,9 @@
 puts a conversation's segments together and keeps the spans that count for the loss.
 
 A turn's state follows from the roles before it. The machine's transitions are functions on states, which compose: turns are cut
-into runs of ``RUN`` turn numbers, each run becomes one function, a window composes the functions of the runs before, and the
-states within a run follow. So no window and no array of the check sees more than a run's turns or a conversation's runs, and no text.
+into runs of ``RUN`` turn numbers, and those with more rows (equal or missing numbers) into steps of ``RUN`` rows. Each run becomes one
+function, a window composes the functions of the runs before, and the states within a run follow. So no array of the check sees more
+than a run's turns or a conversation's runs, and no text. Spans are taken per run and moved to the run's start.
 
 Control strings inside texts and roles are escaped reversibly: a backslash is put after the ``<`` of every ``<``, backslashes, ``|``
 sequence, so an escaped text contains no ``<|``. In roles, line breaks and backslashes are escaped as well.
@@ -35,6 +36,7 @@ MACHINE = {
 }
 FINAL = ("assistant",)
 RUN = 64
+PAGE = 8_192
 
 
 @dataclass(frozen=True)
@@ -89,19 +91,26 @@ def turns(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "
     return _with_states(rows.withColumn("run", run))
 
 
+def _in_steps(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with their ``place`` in the run, and ``run`` cut into steps of ``RUN`` rows."""
+    place = F.row_number().over(Window.partitionBy("conv_id", "run").orderBy(*order))
+    step = F.floor((F.col("place") - 1) / RUN)
+    return rows.withColumn("place", place).withColumn("run", F.struct("run", step.alias("step")))
+
+
 def _with_states(rows: DataFrame) -> DataFrame:
-    keyed = rows
-    roles = keyed.groupBy("conv_id", "run").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("roles"))
+    # rows that differ in their texts only are alike for the machine
+    roles = _in_steps(rows.select("conv_id", "run", "turn", "role"), "turn", "role").groupBy("conv_id", "run").agg(F.array_sort(F.collect_list(F.struct("place", "role"))).alias("roles"))
     after = {s: F.aggregate("roles", F.lit(s), lambda state, r: _step(state, r["role"])) for s in _states()}
     functions = roles.select("conv_id", "run", F.create_map(*[x for s, c in after.items() for x in (F.lit(s), c)]).alias("effect"))
     before = Window.partitionBy("conv_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     composed = F.aggregate(F.coalesce(F.collect_list("effect").over(before), F.array().cast("array<map<string,string>>")), F.lit("start"), lambda state, f: f[state])
     entry = functions.select(F.col("conv_id").alias("c"), F.col("run").alias("r"), composed.alias("entry"))
-    inner = Window.partitionBy("conv_id", "run").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    keyed = _in_steps(rows, "turn", "role", "text")
     joined = keyed.join(entry, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("run") == F.col("r")))
+    inner = Window.partitionBy("conv_id", "run").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     state = F.aggregate(F.collect_list("role").over(inner), F.col("entry"), _step)
-    number = F.row_number().over(Window.partitionBy("conv_id", "run").orderBy("turn", "role", "text"))
-    return joined.select("conv_id", "turn", "run", number.alias("place"), "role", "text", state.alias("state"))
+    return joined.select("conv_id", "turn", "run", "place", "role", "text", state.alias("state"))
 
 
 def segments(turn_rows: DataFrame, template: Template = CHATML) -> DataFrame:
@@ -125,25 +134,24 @@ def formatted(segment_rows: DataFrame) -> DataFrame:
         F.max((F.col("state") == "error").cast("int")).alias("broken"),
         F.max_by("state", F.struct("place", "segment")).alias("last"),
     )
-    runs = runs.select(
-        "conv_id", "run", "broken", "last",
-        F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
-        F.transform("parts", lambda p: F.struct(F.char_length(p["text"]).cast("long").alias("length"), p["loss"].alias("loss"))).alias("lengths"),
-    )
-    whole = runs.groupBy("conv_id").agg(order(("run", "text", "lengths")).alias("runs"), F.max("broken").alias("broken"), F.max_by("last", "run").alias("last"))
-    lengths = F.flatten(F.transform("runs", lambda r: r["lengths"]))
+    texts = F.array_join(F.transform("parts", lambda p: p["text"]), "")
+    lengths = F.transform("parts", lambda p: F.struct(F.char_length(p["text"]).cast("long").alias("length"), p["loss"].alias("loss")))
+    runs = runs.select("conv_id", "run", "broken", "last", texts.alias("text"), F.char_length(texts).cast("long").alias("length"), _spans(lengths).alias("spans"))
+    whole = runs.groupBy("conv_id").agg(order(("run", "text", "length", "spans")).alias("runs"), F.max("broken").alias("broken"), F.max_by("last", "run").alias("last"))
     return whole.select(
         "conv_id",
         F.array_join(F.transform("runs", lambda r: r["text"]), "").alias("formatted"),
-        _spans(lengths).alias("spans"),
+        _moved("runs").alias("spans"),
         ((F.col("broken") == 0) & F.col("last").isin(*FINAL)).alias("valid"),
     )
 
 
+_NO_SPANS = "array<struct<start:bigint,length:bigint>>"
+
+
 def _spans(lengths: Column) -> Column:
-    """Starts and lengths of the flagged parts, from lengths and flags of all parts."""
-    empty = F.array().cast("array<struct<start:bigint,length:bigint>>")
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
+    """Starts and lengths of a run's flagged parts, from lengths and flags of all its parts."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_NO_SPANS).alias("spans"))
 
     def add(acc: Column, p: Column) -> Column:
         here = F.array(F.struct(acc["at"].alias("start"), p["length"].alias("length")))
@@ -152,18 +160,38 @@ def _spans(lengths: Column) -> Column:
     return F.aggregate(lengths, start, add, lambda acc: acc["spans"])
 
 
+def _moved(runs: str) -> Column:
+    """The spans of all runs, each moved by the lengths of the runs before its own."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+    starts = F.aggregate(runs, start, lambda acc, r: F.struct((acc["at"] + r["length"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")), lambda acc: acc["starts"])
+    moved = lambda z: F.transform(z["runs"]["spans"], lambda s: F.struct((s["start"] + z["at"]).alias("start"), s["length"].alias("length")))
+    return F.flatten(F.transform(F.arrays_zip(F.col(runs).alias("runs"), starts.alias("at")), moved))
+
+
 def parsed(chats: DataFrame, template: Template = CHATML) -> DataFrame:
     """``conv_id, turns, loss_texts, ...`` read back from the formatted string and its spans alone."""
     opening, closing = template.segments[0][1], template.segments[-1][1]
-    pieces = F.slice(F.split("formatted", _quoted(opening)), 2, F.size(F.split("formatted", _quoted(opening))))
+    pieces = F.slice(F.split("formatted", _quoted(opening)), 2, 2**30)
     bodies = F.transform(pieces, lambda p: p.substr(F.lit(1), F.char_length(p) - len(closing)))
 
     def turn(body: Column) -> Column:
         cut = F.instr(body, F.lit("\n"))
         return F.struct(unescape_role(body.substr(F.lit(1), cut - 1)).alias("role"), unescape_text(body.substr(cut + 1, F.char_length(body))).alias("text"))
 
-    loss = F.transform("spans", lambda s: unescape_text(F.col("formatted").substr((s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return chats.select("conv_id", "formatted", "valid", F.transform(bodies, turn).alias("turns"), loss.alias("loss_texts"))
+    return chats.select("conv_id", "formatted", "valid", F.transform(bodies, turn).alias("turns"), F.transform(_cut(F.col("formatted"), F.col("spans")), unescape_text).alias("loss_texts"))
+
+
+def _cut(text: Column, spans: Column) -> Column:
+    """The spans' texts. A place in a string is found by walking from its start, so the string is cut into pages first, and spans are cut from those."""
+    pages = F.transform(F.sequence(F.lit(0).cast("long"), F.floor(F.char_length(text) / PAGE)), lambda k: text.substr((k * PAGE + 1).cast("int"), F.lit(PAGE)))
+
+    def one(pages: Column, s: Column) -> Column:
+        first, last = F.floor(s["start"] / PAGE), F.floor((s["start"] + s["length"]) / PAGE)
+        some = F.array_join(F.slice(pages, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return some.substr((s["start"] - first * PAGE + 1).cast("int"), s["length"].cast("int"))
+
+    # bound to a name, the pages are made once and not once per span
+    return F.flatten(F.transform(F.array(pages), lambda p: F.transform(spans, lambda s: one(p, s))))
 
 
 def _quoted(literal: str) -> str:

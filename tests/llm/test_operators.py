@@ -409,6 +409,8 @@ def test_chat(spark):
             role = r.choice(["user", "assistant", "system", None, "x\ny\\n", "a<|b"]) if c % 3 == 0 else ("user", "assistant")[t % 2]
             rows.append((c, t, role, None if r.random() < 0.05 else "".join(r.choice(parts) for _ in range(r.randint(0, 8))), "s"))
     rows += rows[:5] + [(None, None, "user", "x", "s")]
+    # many rows of one turn, and a text of several pages
+    rows += [(50, 3, ("assistant", "user")[k % 2], f"é{k} <|", "s") for k in range(2000)] + [(51, 0, "user", "q", "s"), (51, 1, "assistant", "aé<|" * 9000, "s"), (51, 2, "user", "", "s"), (51, 3, "assistant", "end", "s")]
     got = {x["conv_id"]: x for x in chat.digests(chat.formatted(chat.segments(chat.turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, state string"))))).collect()}
     groups = collections.defaultdict(list)
     for c, t, role, text, _ in rows:
