@@ -123,6 +123,18 @@ def test_one_training_file_in_order(spark, tmp_path, n, monkeypatch):
         write_training_jsonl(rows, path, single_file=True, mode="append")
 
 
+def test_one_training_file_of_several_parts(spark, tmp_path):
+    path, held = str(tmp_path / "chat.jsonl"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_training_jsonl(spark.range(5000).select(F.col("id").alias("sample_idx")), path, single_file=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    with open(path, encoding="utf-8") as file:
+        assert [json.loads(line)["sample_idx"] for line in file] == list(range(5000))
+    assert os.listdir(tmp_path) == ["chat.jsonl"]
+
+
 def test_jsonl_keeps_text_unescaped(spark, tmp_path):
     df = spark.createDataFrame([("答案是 é \"x\"\n", "7"), (None, "8")], "q string, solution string")
     rows = df.select(build_messages(F.col("q")).alias("messages"), "solution")
