@@ -35,7 +35,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(tune(spark), sf_dir)
+        return fn(tune(spark, sf_dir), sf_dir)
 
     QUERIES[fn.__name__] = run
     return run

@@ -1,13 +1,16 @@
 """What the physical plans must and must not contain."""
 
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from gradeloom import session
 from gradeloom.plans.catalog import QUERIES
 from gradeloom.operators import groups, metrics, samples
+from gradeloom.operators.prefix import running_totals
 from gradeloom.plans.evaluation import grade_responses
 from gradeloom.session import tune
 from gradeloom.sources import derived
@@ -53,6 +56,21 @@ def test_scan_reads_only_what_is_needed(spark, sf_dir):
     assert schemas and all(s == "o_orderkey:bigint,o_custkey:bigint" for s in schemas)
 
 
+@pytest.mark.parametrize("key", ["running_accuracy", "audit_rows", "running_accuracy_flawed", "running_accuracy_lagged"])
+def test_shuffle_partitions_follow_the_input(spark, sf_dir, key, monkeypatch):
+    """With a fixed number of partitions, a task of the gold join grows with the input."""
+    bytes_in = sum(os.path.getsize(os.path.join(sf_dir, name)) for name in os.listdir(sf_dir))
+    dealt = []
+    monkeypatch.setattr(metrics, "running_totals", lambda df, *a: dealt.append(plan(df)) or running_totals(df, *a))
+    monkeypatch.setattr(session, "PARTITION_BYTES", bytes_in // 40, raising=False)
+    text = plan(entry.queries()[key](spark, sf_dir))
+    numbers = [int(n) for n in re.findall(r"hashpartitioning\((?:run_id|sample_idx)#[^)]*, (\d+)\)", "\n".join(dealt) or text)]
+    assert numbers and min(numbers) >= 40
+    tune(spark)
+    after = plan(spark.range(9).groupBy("id").count().groupBy("count").count())
+    assert f", {spark.conf.get('spark.sql.shuffle.partitions')})" in after and ", 40)" not in after
+
+
 def test_limit_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "qa")
     spark.range(100).selectExpr("id sample_idx", "'q' question").write.parquet(path)
