@@ -1,14 +1,17 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 The symbols are lower-cased words and one end per text. The root holds the counts of all words of the training texts. A context,
-a run of up to ``max_order`` words, is a candidate when it makes up at least ``min_share`` of the training tokens, so there are at most
-``1 / min_share`` per length, which bounds the tree that is sent to the tasks whatever the corpus. It is retained when its
+a run of up to ``max_order`` words, has an own entry for each next symbol that follows it ``min_count`` times or more. It is retained when its
 next-symbol distribution diverges from that of its longest retained suffix: training tokens must gain more in log-likelihood
 than the context's parameters cost (half a log of its count each). Distributions are smoothed by absolute discounting; what is
 taken off goes to the symbols without an own entry, in the proportions of the longest retained suffix, and at the root to one
 unknown symbol. A token is scored from the state of its longest retained suffix.
 
-The root is as large as the vocabulary and is never sent anywhere: ``dictionary`` joins counts with the words of blocks of texts.
+The tree grows with the texts and is never in one place, nor sent anywhere whole. ``dictionary`` joins counts with the words of blocks of texts.
+Then, order by order, each block asks once for every distinct run of words that can be an entry, in packed shares dealt by hash. The
+runs' counts come back in the order asked. Of the blocks that hold a run one gives its share to the sums of its context, which all blocks
+ask for alike; from the sums follows whether the context is retained, and its factor. A run is asked for only if both runs one word
+shorter in it are frequent, as no other can be. However frequent a run is, it is one entry per block.
 
 Rows: one row out per row in. A null text is empty; an empty text is one end. A null id counts as training. Texts are processed whole,
 repeated rows are scored alike, an empty table gives an empty table; without training texts every token has probability one.
@@ -17,7 +20,9 @@ Other columns are left out, so their names cannot clash.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,15 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.dictionary import Block, Bucket, answer_buckets, blocks, pack, put_back, stored_packed, unpack
-from gradeloom.llm.textbatch import LOWER, split_words, text_bytes
+from gradeloom.llm.dictionary import Block, Bucket, answer_buckets, blocks, bucket_count, drop_stored, pack, put_back, stored_packed, unpack
+from gradeloom.llm.textbatch import LOWER, mix, split_words, text_bytes
 
-MIN_SHARE = 2e-5
+MIN_COUNT = 2
+BLOCK_BYTES = 8 << 20
+SHARES = 4  # buckets a shuffle partition
 MAX_ORDER = 3
 DISCOUNT = 0.75
 
 _END = 0
-_WORD_COLUMNS = "doc_ids array<bigint>, n_pieces array<bigint>, slots binary, counts binary, keys binary"
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_WORD_COLUMNS = "block bigint, doc_ids array<bigint>, n_pieces array<bigint>, slots binary, counts binary, keys binary"
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,7 +176,7 @@ def tree_log10(tree: Tree, memory: list[dict], order: int, context: int, word: i
     return known if known is not None else below() + float(tree.levels[order - 1].back[context])
 
 
-def _facts(floor: float):
+def _facts(floor: float, listed: bool):
     """Counts of all words, keys of frequent ones, and once per bucket what the driver needs of it."""
 
     def answer(bucket: Bucket):
@@ -176,7 +184,7 @@ def _facts(floor: float):
         often = total >= max(floor, 1)
         keys = np.zeros(len(total), np.uint64)
         keys[often] = [_word_key(bucket.words[i]) for i in np.flatnonzero(often).tolist()]
-        facts = [json.dumps([int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum()), keys[often].tolist(), total[often].tolist()]).encode()]
+        facts = [json.dumps([int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum()), *([keys[often].tolist(), total[often].tolist()] if listed else [])]).encode()]
         return {"counts": lambda codes: pack(total[codes], 8), "keys": lambda codes: pack(keys[codes], 8), "facts": lambda codes: facts.pop() if facts else None}
 
     return answer
@@ -184,37 +192,45 @@ def _facts(floor: float):
 
 def _word_key(word: bytes) -> int:
     """A hash below 2^63, never 0."""
-    return (zlib.crc32(word) << 31 | zlib.adler32(word + word[::-1]) >> 1) or 1
+    return (int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1) or 1
 
 
 def _finish_counts(block: Block) -> pa.RecordBatch:
     def flat(name: str) -> np.ndarray:
         return block.by_slot(np.concatenate([np.empty(0, np.int64), *(unpack(x, 8) for x in block.answers[name])]))
 
-    out = {"doc_ids": block.doc_ids, "n_pieces": block.n_pieces.tolist(), "slots": pack(block.slots), "counts": pack(flat("counts"), 8), "keys": pack(flat("keys"), 8)}
-    kinds = {"doc_ids": pa.list_(pa.int64()), "n_pieces": pa.list_(pa.int64())}
+    out = {"block": block.number, "doc_ids": block.doc_ids, "n_pieces": block.n_pieces.tolist(), "slots": pack(block.slots), "counts": pack(flat("counts"), 8), "keys": pack(flat("keys"), 8)}
+    kinds = {"block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "n_pieces": pa.list_(pa.int64())}
     return pa.RecordBatch.from_pydict({c: pa.array([v], kinds.get(c, pa.binary())) for c, v in out.items()})
 
 
-def build(docs: DataFrame, min_share: float = MIN_SHARE, max_order: int = MAX_ORDER) -> tuple[DataFrame, Tree]:
-    """Blocks of all texts with their words' counts, stored, and the tree."""
+def root_counts(docs: DataFrame, min_count: int, min_share: float, listed: bool) -> tuple[DataFrame, Tree, int]:
+    """Blocks of all texts with their words' counts, stored, the root, and how often what is frequent occurs; ``listed`` has frequent words in the tree."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shares = blocks(narrow, words_of, counted=lambda ids: ~held_out(ids))
+    shares = blocks(narrow, words_of, counted=lambda ids: ~held_out(ids), block_bytes=BLOCK_BYTES)
     each = shares.where("bucket = -1").select(F.explode(F.arrays_zip("doc_ids", "n_pieces")).alias("x")).select("x.doc_ids", "x.n_pieces")
     training = each.where(F.coalesce(F.crc32(F.col("doc_ids").cast("string").cast("binary")) % 7 != 2, F.lit(True)))
     n_ends, n_words = (x or 0 for x in training.agg(F.count("*"), F.sum("n_pieces")).first())
     n = n_ends + n_words
-    floor = min_share * n
-    answers = stored_packed(answer_buckets(shares, ["counts", "keys", "facts"], _facts(floor)), "word-counts")
-    # a row per bucket; frequent words are at most 1 / min_share in all
-    facts = [json.loads(bytes(r["facts"])) for r in answers.where("facts is not null").select("facts").collect()]
+    floor = max(min_count, math.ceil(min_share * n))
+    answers = stored_packed(answer_buckets(shares, ["counts", "keys", "facts"], _facts(floor, listed)), "word-counts")
+    facts = [json.loads(bytes(r["facts"])) for r in answers.where("facts is not null").select("facts").collect()]  # a row per bucket
     v, ones, twos = (sum(x[i] for x in facts) for i in range(3))
-    frequent = sorted((k, c) for x in facts for k, c in zip(x[3], x[4]))
+    frequent = sorted((k, c) for x in facts for k, c in zip(*x[3:])) if listed else []
     words = np.array([k for k, _ in frequent], np.int64)
     word_counts = np.array([c for _, c in frequent], np.int64)
     discount = min(max(ones / (ones + 2 * twos), 0.1), 0.9) if ones and twos else 0.5
     ready = stored_packed(put_back(shares, answers.drop("facts"), _WORD_COLUMNS, _finish_counts), "words")
-    tree = Tree(n, v + (n_ends > 0), discount, n_ends, words, word_counts, [])
+    for done in (shares, answers):
+        drop_stored(done)
+    return ready, Tree(n, v + (n_ends > 0), discount, n_ends, words, word_counts, []), floor
+
+
+def build(docs: DataFrame, min_share: float, max_order: int = MAX_ORDER) -> tuple[DataFrame, Tree]:
+    """Blocks of all texts with their words' counts, stored, and the tree in one place, to be looked at: what is rarer than a share of the
+    training tokens is left out of it. ``score_documents`` has no use for it."""
+    ready, tree, floor = root_counts(docs, 1, min_share, True)
+    words, word_counts, n_ends = tree.words, tree.word_counts, tree.n_ends
 
     memory: list[dict] = []
     level = Level(np.arange(len(words) + 1, dtype=np.int64))
@@ -239,45 +255,243 @@ def build(docs: DataFrame, min_share: float = MIN_SHARE, max_order: int = MAX_OR
     return ready, tree
 
 
-def scores(ready: DataFrame, tree: Tree) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text."""
+class Runs:
+    """The tokens of a block, and the runs of words that end at each.
+
+    ``runs`` are the distinct runs' keys, sorted, ``n`` how often each occurs in training texts (0: not frequent), ``place`` the run at each
+    token (-1: none). The run before a token is its context: ``contexts``, ``context_n`` and ``context_place`` are the same for those.
+    """
+
+    def __init__(self, r: dict, tree: Tree, floor: int):
+        self.n_pieces = np.array(r["n_pieces"], np.int64)
+        ends = np.cumsum(self.n_pieces)
+        counts, keys = (np.append(unpack(r[c], 8), x) for c, x in (("counts", tree.n_ends), ("keys", _END)))
+        order = np.argsort(keys)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.runs, counts = keys[order].astype(np.uint64), counts[order]
+        self.place = np.insert(rank[unpack(r["slots"])], ends, rank[-1])
+        self.word, self.count = self.runs[self.place], counts[self.place]
+        self.n = np.where(counts >= floor, counts, 0)
+        self.is_end = np.zeros(len(self.place), bool)
+        self.is_end[ends + np.arange(len(ends))] = True
+        self.training = np.repeat(~held_out(r["doc_ids"]), self.n_pieces + 1)
+        self.log = tree.root(self.count)
+
+    def longer(self) -> None:
+        """Runs one word longer. Ends belong to no context, so none crosses texts."""
+        often = (self.place >= 0) & (self.n[self.place] > 0) if len(self.n) else np.zeros(len(self.place), bool)
+        self.contexts, self.context_n = self.runs, self.n
+        self.context_place = np.full(len(self.place), -1)
+        self.context_place[1:] = np.where(often & ~self.is_end, self.place, -1)[:-1]
+        self.asked = np.flatnonzero(often & (self.context_place >= 0))
+        keys = pa.array(mix(self.contexts[self.context_place[self.asked]] * _STEP + self.word[self.asked])).dictionary_encode()
+        found = keys.dictionary.to_numpy()
+        order = np.argsort(found)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.runs = found[order]
+        self.place = np.full(len(self.place), -1)
+        self.place[self.asked] = rank[keys.indices.to_numpy()]
+
+    def answered(self, answers: np.ndarray) -> None:
+        self.n, self.own = answers >> 1, answers & 1 == 1
+
+    def retain(self, backs: np.ndarray) -> None:
+        """Take the factors of the frequent contexts: scores are then those of the tree up to this order."""
+        back = np.full(len(self.contexts), np.nan)
+        back[self.context_n > 0] = backs
+        at = np.flatnonzero(self.context_place >= 0)
+        at = at[~np.isnan(back[self.context_place[at]])]
+        self.log[at] += back[self.context_place[at]]
+        at = at[self.place[at] >= 0]
+        n = self.n[self.place[at]]
+        at, n = at[n > 0], n[n > 0]
+        self.log[at] = np.log10((n - DISCOUNT) / self.context_n[self.context_place[at]])
+
+    def sums(self) -> np.ndarray:
+        """Per frequent context: its count, and over those of its entries that this block accounts for, their number, the sums of their
+        counts, of the gain in log-likelihood but for the context's count, and of their probabilities in the shorter context."""
+        at = np.empty(len(self.runs), np.int64)
+        at[self.place[self.asked]] = self.asked
+        at = at[self.own]
+        context, k, below = self.context_place[at], self.n[self.place[at]], self.log[at]
+        sums = [np.bincount(context, x, len(self.contexts)) for x in (np.ones(len(at)), k, k * (np.log(k) - below * np.log(10)), 10**below)]
+        return np.stack([self.context_n, *sums])[:, self.context_n > 0]
+
+
+def _factors(context_n: np.ndarray, entries: np.ndarray, k: np.ndarray, k_gain: np.ndarray, p_below: np.ndarray) -> np.ndarray:
+    """log10 factors of contexts from their sums, NaN for those not retained."""
+    context_n = np.maximum(context_n, 1)
+    rest, rest_below = np.maximum(context_n - k, 0), np.maximum(1 - p_below, 1e-9)
+    gain = k_gain - k * np.log(context_n) + rest * np.log(np.maximum(rest, 1) / context_n / rest_below)
+    left = np.maximum(1 - (k - DISCOUNT * entries) / context_n, 1e-9)
+    return np.where((entries > 0) & (gain > 0.5 * np.log(context_n) * (entries + 1)), np.log10(left / rest_below), np.nan)
+
+
+_ASKED = "block bigint, order int, is_context boolean, bucket int, keys binary, n binary, sums binary"
+_ANSWERED = "block bigint, order int, is_context boolean, bucket int, answers binary"
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and the steps to the next ones, in as many bytes as the largest step takes."""
+    steps = np.diff(keys)
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return keys[:1].tobytes() + bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    steps = np.zeros(((len(data) - 9) // data[8], 8), np.uint8)
+    steps[:, : data[8]] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, data[8])
+    return np.cumsum(np.concatenate((np.frombuffer(data, np.uint64, 1), steps.view(np.uint64).ravel())), dtype=np.uint64)
+
+
+def _asked(block: int, order: int, keys: np.ndarray, n_buckets: int, n: np.ndarray | None = None, sums: np.ndarray | None = None) -> pa.RecordBatch:
+    """Sorted keys dealt to buckets in their order, with runs' counts, or with contexts' sums where there are some."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    parts = [slice(a, b) for a, b in zip(starts.tolist(), [*starts.tolist()[1:], len(keys)])]
+
+    def filled(x: slice) -> bytes:
+        at = np.flatnonzero(sums[1, x])
+        whole = pack(np.concatenate((np.diff(at, prepend=0), sums[:3, x][:, at].astype(np.int64).ravel())), 8, 1)
+        return len(whole).to_bytes(8, "little") + whole + sums[3:, x][:, at].tobytes()
+
+    return pa.RecordBatch.from_pydict(
+        {
+            "block": pa.array([block] * len(parts), pa.int64()),
+            "order": pa.array([order] * len(parts), pa.int32()),
+            "is_context": pa.array([n is None] * len(parts), pa.bool_()),
+            "bucket": pa.array(bucket[starts], pa.int32()),
+            "keys": pa.array([_pack_keys(keys[x]) for x in parts], pa.binary()),
+            "n": pa.array([None if n is None else pack(n[x], level=1) for x in parts], pa.binary()),
+            "sums": pa.array([None if sums is None else filled(x) for x in parts], pa.binary()),
+        }
+    )
+
+
+def _with_answers(ready: DataFrame, answers: DataFrame | None, tree: Tree, floor: int, counted: int, retained: int, schema: str, finish) -> DataFrame:
+    """What ``finish`` makes of each block's runs after the answers of so many orders, for runs and for contexts."""
+    own = ("block", "doc_ids", "n_pieces", "slots", "counts", "keys")
+    rows = ready.select(*own, F.lit(0).alias("order"), F.lit(False).alias("is_context"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("answers"))
+    if answers is not None:
+        rows = rows.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "order", "is_context", "bucket")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, held = None, {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if head is None or not len(head["doc_ids"]):
+                return
+            runs = Runs(head, tree, floor)
+            for order in range(1, counted + 1):
+                runs.longer()
+                runs.answered(np.concatenate([np.empty(0, np.int64), *(unpack(x, 8) for x in held.get((order, False), []))]))
+                if order <= retained:
+                    runs.retain(np.concatenate([np.empty(0), *(np.frombuffer(zlib.decompress(x), np.float64) for x in held.get((order, True), []))]))
+            yield from finish(head, runs)
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                order = batch.column("order")[k].as_py()
+                if not order:
+                    yield from flush()
+                    head, held = {c: batch.column(c)[k].as_py() for c in own}, {}
+                else:
+                    held.setdefault((order, batch.column("is_context")[k].as_py()), []).append(batch.column("answers")[k].as_py())
+        yield from flush()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _answers(floor: int):
+    """Per bucket, twice the runs' counts over all blocks, 0 for rare ones, and one more for the first block that has the run; factors of contexts."""
+
+    def flush(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        keys = [_unpack_keys(r["keys"]) for r in rows]
+        borders = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
+        place = pa.array(np.concatenate(keys)).dictionary_encode().indices.to_numpy().astype(np.int64)
+        if rows[0]["is_context"]:
+            sums = np.zeros((5, place.max() + 1))
+            for r, start in zip(rows, borders.tolist()):
+                size = 8 + int.from_bytes(r["sums"][:8], "little")
+                steps, context_n, entries, k = unpack(r["sums"][8:size], 8).reshape(4, -1)
+                at = place[start + np.cumsum(steps)]
+                sums[0, at] = context_n
+                sums[1:, at] += np.stack([entries, k, *np.frombuffer(r["sums"][size:], np.float64).reshape(2, -1)])  # a block has a context once
+            answers = _factors(*sums)[place]
+        else:
+            total = np.bincount(place, np.concatenate([unpack(r["n"]) for r in rows])).astype(np.int64)
+            total[total < floor] = 0
+            first = np.empty(len(total), np.int64)
+            first[place[::-1]] = np.arange(len(place))[::-1]
+            answers = 2 * total[place]
+            answers[first] += total > 0
+        parts = [answers[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "block": pa.array([r["block"] for r in rows], pa.int64()),
+                "order": pa.array([r["order"] for r in rows], pa.int32()),
+                "is_context": pa.array([r["is_context"] for r in rows], pa.bool_()),
+                "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
+                "answers": pa.array([zlib.compress(x.tobytes(), 1) if rows[0]["is_context"] else pack(x, 8, 1) for x in parts], pa.binary()),
+            }
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
         for batch in batches:
             for r in batch.to_pylist():
-                n_pieces = np.array(r["n_pieces"], np.int64)
-                if not len(n_pieces):
-                    continue
-                slots = unpack(r["slots"])
-                number, borders = numbers(slots, n_pieces, unpack(r["keys"], 8), tree.words)
-                count = np.insert(unpack(r["counts"], 8)[slots], np.cumsum(n_pieces), tree.n_ends)
-                log = tree.root(count)
-                for level, context in zip(tree.levels, contexts(number, tree.levels)):
-                    if not level.retained.any():
-                        continue
-                    state = np.concatenate(([-1], context[:-1]))
-                    state = np.where((state >= 0) & level.retained[np.maximum(state, 0)], state, -1)
-                    at = np.flatnonzero(state >= 0)
-                    entry = find(level.entries, (state[at] << 32) | np.maximum(number[at], 0))
-                    own = (entry >= 0) & (number[at] >= 0)
-                    log[at[own]] = level.logs[entry[own]]
-                    log[at[~own]] += level.back[state[at[~own]]]
-                base = np.log10((count + 1) / (tree.n + tree.v + 1))
-                starts = borders[:-1]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array(r["doc_ids"], pa.int64()),
-                        "held_out": pa.array(held_out(r["doc_ids"])),
-                        "n_tokens": pa.array(n_pieces + 1),
-                        "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
-                        "train_tokens": pa.array(np.full(len(n_pieces), tree.n)),
-                        "base_score": pa.array(np.add.reduceat(base, starts)),
-                        "score": pa.array(np.add.reduceat(log, starts)),
-                    }
-                )
-
-    return ready.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
-
-
-def score_documents(docs: DataFrame, min_share: float = MIN_SHARE, max_order: int = MAX_ORDER) -> DataFrame:
-    return scores(*build(docs, min_share, max_order))
+                if held and (r["bucket"], r["is_context"]) != (held[0]["bucket"], held[0]["is_context"]):
+                    yield from flush(held)
+                    held = []
+                held.append(r)
+        if held:
+            yield from flush(held)
+
+    return run
+
+
+def score_documents(docs: DataFrame, min_count: int = MIN_COUNT, max_order: int = MAX_ORDER, min_share: float = 0.0) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text.
+
+    ``min_share`` raises ``min_count`` to a share of the training tokens, for a smaller tree; there is none by default.
+    """
+    ready, tree, floor = root_counts(docs, max(min_count, 2), min_share, False)
+    n_buckets = SHARES * bucket_count(docs)
+    answers: DataFrame | None = None
+
+    def ask(order: int):
+        def finish(r: dict, runs: Runs) -> Iterator[pa.RecordBatch]:
+            if order > 1:
+                yield _asked(r["block"], order - 1, runs.contexts[runs.context_n > 0], n_buckets, sums=runs.sums())
+            if order <= max_order:
+                runs.longer()
+                n = np.bincount(runs.place[runs.asked], runs.training[runs.asked], len(runs.runs)).astype(np.int64)
+                yield _asked(r["block"], order, runs.runs, n_buckets, n)
+
+        return finish
+
+    for order in range(1, max_order + 2 if tree.n else 0):
+        asked = _with_answers(ready, answers, tree, floor, order - 1, order - 2, _ASKED, ask(order)).repartition("bucket").sortWithinPartitions("bucket", "is_context", "block")
+        found = stored_packed(asked.mapInArrow(_answers(floor), _ANSWERED), "runs")
+        answers = found if answers is None else answers.unionByName(found)
+
+    def score(r: dict, runs: Runs) -> Iterator[pa.RecordBatch]:
+        base = np.log10((runs.count + 1) / (tree.n + tree.v + 1))
+        starts = np.cumsum(runs.n_pieces + 1) - runs.n_pieces - 1
+        yield pa.RecordBatch.from_pydict(
+            {
+                "doc_id": pa.array(r["doc_ids"], pa.int64()),
+                "held_out": pa.array(held_out(r["doc_ids"])),
+                "n_tokens": pa.array(runs.n_pieces + 1),
+                "n_known": pa.array(np.add.reduceat((runs.count > 0).astype(np.int64), starts)),
+                "train_tokens": pa.array(np.full(len(starts), tree.n)),
+                "base_score": pa.array(np.add.reduceat(base, starts)),
+                "score": pa.array(np.add.reduceat(runs.log, starts)),
+            }
+        )
+
+    schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    last = max_order if tree.n else 0
+    return _with_answers(ready, answers, tree, floor, last, last, schema, score)

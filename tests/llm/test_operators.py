@@ -10,6 +10,7 @@ import random
 import re
 import time
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -310,6 +311,51 @@ def test_suffix_tree_distributions_add_up(spark):
         assert abs(total(c, 1, memory) + unknown * 10 ** tree.levels[0].back[c] - 1) < 1e-6
 
 
+def plain_suffix_tree(tokens: list[list], training: list[bool]):
+    """log10 probability of a word after a context, by dictionaries."""
+    runs = collections.Counter(tuple(t[a:b]) for t, use in zip(tokens, training) if use for b in range(1, len(t) + 1) for a in range(max(0, b - 4), b))
+    root = {x[0]: k for x, k in runs.items() if len(x) == 1}
+    n, v, often = sum(root.values()), len(root), collections.Counter(k for w, k in root.items() if w is not None)
+    discount = min(max(often[1] / (often[1] + 2 * often[2]), 0.1), 0.9)
+    entries = collections.defaultdict(list)
+    for x, k in runs.items():
+        if k > 1 and len(x) > 1:
+            entries[x[:-1]].append((x[-1], k))
+
+    @lru_cache(maxsize=None)
+    def back(context):
+        own, total = entries.get(context, []), runs[context]
+        if not own:
+            return None
+        below = [log10(context[1:], w) for w, _ in own]
+        rest, rest_below = total - sum(k for _, k in own), max(1 - sum(10**x for x in below), 1e-9)
+        gain = sum(k * (math.log(k / total) - x * math.log(10)) for (_, k), x in zip(own, below)) + (rest * math.log(rest / total / rest_below) if rest else 0)
+        return math.log10(max(1 - sum(k - 0.75 for _, k in own) / total, 1e-9) / rest_below) if gain > 0.5 * math.log(total) * (len(own) + 1) else None
+
+    def log10(context, word):
+        if not context:
+            return math.log10((root[word] - discount) / n if word in root else discount * v / n)
+        factor = back(context)
+        if factor is None:
+            return log10(context[1:], word)
+        k = runs[(*context, word)]
+        return math.log10((k - 0.75) / runs[context]) if k > 1 else factor + log10(context[1:], word)
+
+    return log10
+
+
+def test_suffix_tree_leaves_out_nothing_that_comes_twice(spark, sf_dir, monkeypatch):
+    """The scores are those of the whole tree, however small a share of the training tokens a context is."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], [*words(r["text"], lower=True), None]) for r in docs.collect()]
+    log10 = plain_suffix_tree([t for _, t in rows], [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows])
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 100000, raising=False)  # many blocks
+    got = by_id(suffix_tree.score_documents(docs))
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert math.isclose(got[i]["score"], sum(log10(tuple(t[max(0, k - 3) : k]), w) for k, w in enumerate(t)), rel_tol=1e-9)
+
+
 RANKS = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
