@@ -20,7 +20,6 @@ Other columns are left out, so their names cannot clash.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import math
 import zlib
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.dictionary import Block, Bucket, answer_buckets, blocks, bucket_count, drop_stored, pack, put_back, stored_packed, unpack
+from gradeloom.llm.dictionary import FAST, Block, Bucket, answer_buckets, blocks, bucket_count, drop_stored, expand, pack, put_back, squeeze, stored_packed, unpack
 from gradeloom.llm.textbatch import LOWER, mix, split_words, text_bytes
 
 MIN_COUNT = 2
@@ -73,7 +72,7 @@ class Level:
 
 @dataclass
 class Tree:
-    """``words``: sorted hashes of frequent words; a word's number is its place plus one, the end's number is 0."""
+    """``words``: sorted keys of frequent words; a word's number is its place plus one, the end's number is 0."""
 
     n: int
     v: int
@@ -177,29 +176,24 @@ def tree_log10(tree: Tree, memory: list[dict], order: int, context: int, word: i
 
 
 def _facts(floor: float, listed: bool):
-    """Counts of all words, keys of frequent ones, and once per bucket what the driver needs of it."""
+    """Counts of all words, keys of frequent ones (the bucket and the rank by count in it), and once per bucket what the driver needs of it."""
 
     def answer(bucket: Bucket):
         total = np.bincount(bucket.codes, bucket.counts, len(bucket.words)).astype(np.int64)
         often = total >= max(floor, 1)
-        keys = np.zeros(len(total), np.uint64)
-        keys[often] = [_word_key(bucket.words[i]) for i in np.flatnonzero(often).tolist()]
+        keys = np.zeros(len(total), np.int64)
+        keys[np.flatnonzero(often)[np.argsort(-total[often], kind="stable")]] = (bucket.number << 32) + 1 + np.arange(often.sum())
         facts = [json.dumps([int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum()), *([keys[often].tolist(), total[often].tolist()] if listed else [])]).encode()]
-        return {"counts": lambda codes: pack(total[codes], 8), "keys": lambda codes: pack(keys[codes], 8), "facts": lambda codes: facts.pop() if facts else None}
+        return {"counts": lambda codes: pack(total[codes], 8, FAST), "keys": lambda codes: pack(keys[codes], 8, FAST), "facts": lambda codes: facts.pop() if facts else None}
 
     return answer
 
 
-def _word_key(word: bytes) -> int:
-    """A hash below 2^63, never 0."""
-    return (int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1) or 1
-
-
 def _finish_counts(block: Block) -> pa.RecordBatch:
     def flat(name: str) -> np.ndarray:
         return block.by_slot(np.concatenate([np.empty(0, np.int64), *(unpack(x, 8) for x in block.answers[name])]))
 
-    out = {"block": block.number, "doc_ids": block.doc_ids, "n_pieces": block.n_pieces.tolist(), "slots": pack(block.slots), "counts": pack(flat("counts"), 8), "keys": pack(flat("keys"), 8)}
+    out = {"block": block.number, "doc_ids": block.doc_ids, "n_pieces": block.n_pieces.tolist(), "slots": pack(block.slots, level=FAST), "counts": pack(flat("counts"), 8, FAST), "keys": pack(flat("keys"), 8, FAST)}
     kinds = {"block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "n_pieces": pa.list_(pa.int64())}
     return pa.RecordBatch.from_pydict({c: pa.array([v], kinds.get(c, pa.binary())) for c, v in out.items()})
 
@@ -207,7 +201,7 @@ def _finish_counts(block: Block) -> pa.RecordBatch:
 def root_counts(docs: DataFrame, min_count: int, min_share: float, listed: bool) -> tuple[DataFrame, Tree, int]:
     """Blocks of all texts with their words' counts, stored, the root, and how often what is frequent occurs; ``listed`` has frequent words in the tree."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shares = blocks(narrow, words_of, counted=lambda ids: ~held_out(ids), block_bytes=BLOCK_BYTES)
+    shares = blocks(narrow, words_of, counted=lambda ids: ~held_out(ids), block_bytes=BLOCK_BYTES, level=FAST)
     each = shares.where("bucket = -1").select(F.explode(F.arrays_zip("doc_ids", "n_pieces")).alias("x")).select("x.doc_ids", "x.n_pieces")
     training = each.where(F.coalesce(F.crc32(F.col("doc_ids").cast("string").cast("binary")) % 7 != 2, F.lit(True)))
     n_ends, n_words = (x or 0 for x in training.agg(F.count("*"), F.sum("n_pieces")).first())
@@ -260,38 +254,39 @@ class Runs:
 
     ``runs`` are the distinct runs' keys, sorted, ``n`` how often each occurs in training texts (0: not frequent), ``place`` the run at each
     token (-1: none). The run before a token is its context: ``contexts``, ``context_n`` and ``context_place`` are the same for those.
+    ``words`` and ``counts`` are those of the block's words, ``slots`` the word at each token.
     """
 
     def __init__(self, r: dict, tree: Tree, floor: int):
         self.n_pieces = np.array(r["n_pieces"], np.int64)
         ends = np.cumsum(self.n_pieces)
         counts, keys = (np.append(unpack(r[c], 8), x) for c, x in (("counts", tree.n_ends), ("keys", _END)))
+        keys = mix(keys.astype(np.uint64))
         order = np.argsort(keys)
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
-        self.runs, counts = keys[order].astype(np.uint64), counts[order]
-        self.place = np.insert(rank[unpack(r["slots"])], ends, rank[-1])
-        self.word, self.count = self.runs[self.place], counts[self.place]
-        self.n = np.where(counts >= floor, counts, 0)
-        self.is_end = np.zeros(len(self.place), bool)
-        self.is_end[ends + np.arange(len(ends))] = True
+        self.words = self.runs = keys[order]
+        self.counts = counts[order]
+        self.slots = self.place = np.insert(rank[unpack(r["slots"])], ends, rank[-1])
+        self.n = np.where(self.counts >= floor, self.counts, 0)
+        self.is_end = self.slots == rank[-1]
         self.training = np.repeat(~held_out(r["doc_ids"]), self.n_pieces + 1)
-        self.log = tree.root(self.count)
+        self.log = tree.root(self.counts)[self.slots]
 
     def longer(self) -> None:
         """Runs one word longer. Ends belong to no context, so none crosses texts."""
         often = (self.place >= 0) & (self.n[self.place] > 0) if len(self.n) else np.zeros(len(self.place), bool)
         self.contexts, self.context_n = self.runs, self.n
-        self.context_place = np.full(len(self.place), -1)
+        self.context_place = np.full(len(self.place), -1, np.int32)
         self.context_place[1:] = np.where(often & ~self.is_end, self.place, -1)[:-1]
         self.asked = np.flatnonzero(often & (self.context_place >= 0))
-        keys = pa.array(mix(self.contexts[self.context_place[self.asked]] * _STEP + self.word[self.asked])).dictionary_encode()
+        keys = pa.array(mix((self.contexts * _STEP)[self.context_place[self.asked]] + self.words[self.slots[self.asked]])).dictionary_encode()
         found = keys.dictionary.to_numpy()
         order = np.argsort(found)
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         self.runs = found[order]
-        self.place = np.full(len(self.place), -1)
+        self.place = np.full(len(self.place), -1, np.int32)
         self.place[self.asked] = rank[keys.indices.to_numpy()]
 
     def answered(self, answers: np.ndarray) -> None:
@@ -354,7 +349,7 @@ def _asked(block: int, order: int, keys: np.ndarray, n_buckets: int, n: np.ndarr
 
     def filled(x: slice) -> bytes:
         at = np.flatnonzero(sums[1, x])
-        whole = pack(np.concatenate((np.diff(at, prepend=0), sums[:3, x][:, at].astype(np.int64).ravel())), 8, 1)
+        whole = pack(np.concatenate((np.diff(at, prepend=0), sums[:3, x][:, at].astype(np.int64).ravel())), 8, FAST)
         return len(whole).to_bytes(8, "little") + whole + sums[3:, x][:, at].tobytes()
 
     return pa.RecordBatch.from_pydict(
@@ -364,7 +359,7 @@ def _asked(block: int, order: int, keys: np.ndarray, n_buckets: int, n: np.ndarr
             "is_context": pa.array([n is None] * len(parts), pa.bool_()),
             "bucket": pa.array(bucket[starts], pa.int32()),
             "keys": pa.array([_pack_keys(keys[x]) for x in parts], pa.binary()),
-            "n": pa.array([None if n is None else pack(n[x], level=1) for x in parts], pa.binary()),
+            "n": pa.array([None if n is None else pack(n[x], level=FAST) for x in parts], pa.binary()),
             "sums": pa.array([None if sums is None else filled(x) for x in parts], pa.binary()),
         }
     )
@@ -388,7 +383,7 @@ def _with_answers(ready: DataFrame, answers: DataFrame | None, tree: Tree, floor
                 runs.longer()
                 runs.answered(np.concatenate([np.empty(0, np.int64), *(unpack(x, 8) for x in held.get((order, False), []))]))
                 if order <= retained:
-                    runs.retain(np.concatenate([np.empty(0), *(np.frombuffer(zlib.decompress(x), np.float64) for x in held.get((order, True), []))]))
+                    runs.retain(np.concatenate([np.empty(0), *(np.frombuffer(expand(x), np.float64) for x in held.get((order, True), []))]))
             yield from finish(head, runs)
 
         for batch in batches:
@@ -434,7 +429,7 @@ def _answers(floor: int):
                 "order": pa.array([r["order"] for r in rows], pa.int32()),
                 "is_context": pa.array([r["is_context"] for r in rows], pa.bool_()),
                 "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
-                "answers": pa.array([zlib.compress(x.tobytes(), 1) if rows[0]["is_context"] else pack(x, 8, 1) for x in parts], pa.binary()),
+                "answers": pa.array([squeeze(x.tobytes(), FAST) if rows[0]["is_context"] else pack(x, 8, FAST) for x in parts], pa.binary()),
             }
         )
 
@@ -478,14 +473,14 @@ def score_documents(docs: DataFrame, min_count: int = MIN_COUNT, max_order: int
         answers = found if answers is None else answers.unionByName(found)
 
     def score(r: dict, runs: Runs) -> Iterator[pa.RecordBatch]:
-        base = np.log10((runs.count + 1) / (tree.n + tree.v + 1))
+        base = np.log10((runs.counts + 1) / (tree.n + tree.v + 1))[runs.slots]
         starts = np.cumsum(runs.n_pieces + 1) - runs.n_pieces - 1
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": pa.array(r["doc_ids"], pa.int64()),
                 "held_out": pa.array(held_out(r["doc_ids"])),
                 "n_tokens": pa.array(runs.n_pieces + 1),
-                "n_known": pa.array(np.add.reduceat((runs.count > 0).astype(np.int64), starts)),
+                "n_known": pa.array(np.add.reduceat((runs.counts > 0).astype(np.int64)[runs.slots], starts)),
                 "train_tokens": pa.array(np.full(len(starts), tree.n)),
                 "base_score": pa.array(np.add.reduceat(base, starts)),
                 "score": pa.array(np.add.reduceat(runs.log, starts)),
