@@ -35,7 +35,7 @@ from gradeloom.llm.dictionary import FAST, Block, Bucket, answer_buckets, blocks
 from gradeloom.llm.textbatch import LOWER, mix, split_words, text_bytes
 
 MIN_COUNT = 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 SHARES = 4  # buckets a shuffle partition
 MAX_ORDER = 3
 DISCOUNT = 0.75
@@ -98,6 +98,25 @@ def find(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(keys[place] == values, place, -1)
 
 
+def sorted_order(keys: np.ndarray) -> np.ndarray:
+    """The order that sorts 64-bit hashes, equal ones by place. Values sort much faster than places, so the place takes the lowest bits."""
+    bits = np.uint64(max(1, len(keys) - 1).bit_length())
+    packed = (keys >> bits << bits) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    found = keys[order]
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(keys, kind="stable")  # two keys may differ in those bits only
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of keys, where each distinct key starts in it, and the number of each ordered key among the distinct ones."""
+    order = sorted_order(keys)
+    found = keys[order]
+    new = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return order, np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - 1
+
+
 def numbers(slots: np.ndarray, n_pieces: np.ndarray, slot_keys: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all tokens of a block, an end after each text (-1: not frequent), and the texts' borders."""
     by_slot = find(words, slot_keys)
@@ -280,14 +299,11 @@ class Runs:
         self.context_place = np.full(len(self.place), -1, np.int32)
         self.context_place[1:] = np.where(often & ~self.is_end, self.place, -1)[:-1]
         self.asked = np.flatnonzero(often & (self.context_place >= 0))
-        keys = pa.array(mix((self.contexts * _STEP)[self.context_place[self.asked]] + self.words[self.slots[self.asked]])).dictionary_encode()
-        found = keys.dictionary.to_numpy()
-        order = np.argsort(found)
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(len(order))
-        self.runs = found[order]
+        keys = mix((self.contexts * _STEP)[self.context_place[self.asked]] + self.words[self.slots[self.asked]])
+        order, starts, rank = distinct(keys)
+        self.runs = keys[order[starts]]
         self.place = np.full(len(self.place), -1, np.int32)
-        self.place[self.asked] = rank[keys.indices.to_numpy()]
+        self.place[self.asked[order]] = rank
 
     def answered(self, answers: np.ndarray) -> None:
         self.n, self.own = answers >> 1, answers & 1 == 1
@@ -297,8 +313,10 @@ class Runs:
         back = np.full(len(self.contexts), np.nan)
         back[self.context_n > 0] = backs
         at = np.flatnonzero(self.context_place >= 0)
-        at = at[~np.isnan(back[self.context_place[at]])]
-        self.log[at] += back[self.context_place[at]]
+        factor = back[self.context_place[at]]
+        kept = ~np.isnan(factor)
+        at = at[kept]
+        self.log[at] += factor[kept]
         at = at[self.place[at] >= 0]
         n = self.n[self.place[at]]
         at, n = at[n > 0], n[n > 0]
@@ -329,18 +347,38 @@ _ANSWERED = "block bigint, order int, is_context boolean, bucket int, answers bi
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as the first one and the steps to the next ones, in as many bytes as the largest step takes."""
+    """Sorted keys as the first one and the steps to the next ones: as many bytes of each as a common step takes, and the few larger ones'
+    upper bytes compressed."""
     steps = np.diff(keys)
-    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
-    return keys[:1].tobytes() + bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    width = max(1, (int(keys[-1] - keys[0]) // max(1, len(steps))).bit_length() + 7 >> 3)
+    raw = steps.view(np.uint8).reshape(-1, 8)
+    upper = squeeze(np.ascontiguousarray(raw[:, width:].T).tobytes(), FAST)
+    return keys[:1].tobytes() + bytes([width]) + len(upper).to_bytes(8, "little") + upper + np.ascontiguousarray(raw[:, :width]).tobytes()
 
 
 def _unpack_keys(data: bytes) -> np.ndarray:
-    steps = np.zeros(((len(data) - 9) // data[8], 8), np.uint8)
-    steps[:, : data[8]] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, data[8])
+    width, low = data[8], 17 + int.from_bytes(data[9:17], "little")
+    steps = np.zeros(((len(data) - low) // width, 8), np.uint8)
+    steps[:, :width] = np.frombuffer(data, np.uint8, offset=low).reshape(-1, width)
+    steps[:, width:] = np.frombuffer(expand(data[17:low]), np.uint8).reshape(8 - width, len(steps)).T
     return np.cumsum(np.concatenate((np.frombuffer(data, np.uint64, 1), steps.view(np.uint64).ravel())), dtype=np.uint64)
 
 
+def _pack_floats(values: np.ndarray) -> bytes:
+    """Which values are there, not NaN, and those by planes of bytes."""
+    there = ~np.isnan(values)
+    return len(values).to_bytes(8, "little") + squeeze(np.packbits(there).tobytes() + np.ascontiguousarray(values[there].view(np.uint8).reshape(-1, 8).T).tobytes(), FAST)
+
+
+def _unpack_floats(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    raw = np.frombuffer(expand(data[8:]), np.uint8)
+    there = np.unpackbits(raw[: (size + 7) // 8], count=size).astype(bool)
+    out = np.full(size, np.nan)
+    out[there] = np.ascontiguousarray(raw[(size + 7) // 8 :].reshape(8, -1).T).view(np.float64).ravel()
+    return out
+
+
 def _asked(block: int, order: int, keys: np.ndarray, n_buckets: int, n: np.ndarray | None = None, sums: np.ndarray | None = None) -> pa.RecordBatch:
     """Sorted keys dealt to buckets in their order, with runs' counts, or with contexts' sums where there are some."""
     bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
@@ -350,7 +388,7 @@ def _asked(block: int, order: int, keys: np.ndarray, n_buckets: int, n: np.ndarr
     def filled(x: slice) -> bytes:
         at = np.flatnonzero(sums[1, x])
         whole = pack(np.concatenate((np.diff(at, prepend=0), sums[:3, x][:, at].astype(np.int64).ravel())), 8, FAST)
-        return len(whole).to_bytes(8, "little") + whole + sums[3:, x][:, at].tobytes()
+        return len(whole).to_bytes(8, "little") + whole + _pack_floats(sums[3:, x][:, at].ravel())
 
     return pa.RecordBatch.from_pydict(
         {
@@ -383,7 +421,7 @@ def _with_answers(ready: DataFrame, answers: DataFrame | None, tree: Tree, floor
                 runs.longer()
                 runs.answered(np.concatenate([np.empty(0, np.int64), *(unpack(x, 8) for x in held.get((order, False), []))]))
                 if order <= retained:
-                    runs.retain(np.concatenate([np.empty(0), *(np.frombuffer(expand(x), np.float64) for x in held.get((order, True), []))]))
+                    runs.retain(np.concatenate([np.empty(0), *(_unpack_floats(x) for x in held.get((order, True), []))]))
             yield from finish(head, runs)
 
         for batch in batches:
@@ -405,23 +443,24 @@ def _answers(floor: int):
     def flush(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         keys = [_unpack_keys(r["keys"]) for r in rows]
         borders = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
-        place = pa.array(np.concatenate(keys)).dictionary_encode().indices.to_numpy().astype(np.int64)
+        order, starts, rank = distinct(np.concatenate(keys))
         if rows[0]["is_context"]:
-            sums = np.zeros((5, place.max() + 1))
+            place = np.empty(len(order), np.int64)
+            place[order] = rank
+            sums = np.zeros((5, len(starts)))
             for r, start in zip(rows, borders.tolist()):
                 size = 8 + int.from_bytes(r["sums"][:8], "little")
                 steps, context_n, entries, k = unpack(r["sums"][8:size], 8).reshape(4, -1)
                 at = place[start + np.cumsum(steps)]
                 sums[0, at] = context_n
-                sums[1:, at] += np.stack([entries, k, *np.frombuffer(r["sums"][size:], np.float64).reshape(2, -1)])  # a block has a context once
+                sums[1:, at] += np.stack([entries, k, *_unpack_floats(r["sums"][size:]).reshape(2, -1)])  # a block has a context once
             answers = _factors(*sums)[place]
         else:
-            total = np.bincount(place, np.concatenate([unpack(r["n"]) for r in rows])).astype(np.int64)
+            total = np.add.reduceat(np.concatenate([unpack(r["n"]) for r in rows])[order], starts)
             total[total < floor] = 0
-            first = np.empty(len(total), np.int64)
-            first[place[::-1]] = np.arange(len(place))[::-1]
-            answers = 2 * total[place]
-            answers[first] += total > 0
+            answers = np.empty(len(order), np.int64)
+            answers[order] = 2 * total[rank]
+            answers[order[starts]] += total > 0
         parts = [answers[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())]
         yield pa.RecordBatch.from_pydict(
             {
@@ -429,7 +468,7 @@ def _answers(floor: int):
                 "order": pa.array([r["order"] for r in rows], pa.int32()),
                 "is_context": pa.array([r["is_context"] for r in rows], pa.bool_()),
                 "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
-                "answers": pa.array([squeeze(x.tobytes(), FAST) if rows[0]["is_context"] else pack(x, 8, FAST) for x in parts], pa.binary()),
+                "answers": pa.array([_pack_floats(x) if rows[0]["is_context"] else pack(x, 8, FAST) for x in parts], pa.binary()),
             }
         )
 
@@ -468,8 +507,13 @@ def score_documents(docs: DataFrame, min_count: int = MIN_COUNT, max_order: int
         return finish
 
     for order in range(1, max_order + 2 if tree.n else 0):
-        asked = _with_answers(ready, answers, tree, floor, order - 1, order - 2, _ASKED, ask(order)).repartition("bucket").sortWithinPartitions("bucket", "is_context", "block")
-        found = stored_packed(asked.mapInArrow(_answers(floor), _ANSWERED), "runs")
+        asked = _with_answers(ready, answers, tree, floor, order - 1, order - 2, _ASKED, ask(order))
+        last = order > max_order  # the most answers are dealt for the fewest questions, so what dealt them goes before those are dealt
+        asked = stored_packed(asked, "asked") if last else asked
+        dealt = asked.repartition("bucket").sortWithinPartitions("bucket", "is_context", "block")
+        found = stored_packed(dealt.mapInArrow(_answers(floor), _ANSWERED), "runs")
+        if last:
+            drop_stored(asked)
         answers = found if answers is None else answers.unionByName(found)
 
     def score(r: dict, runs: Runs) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,7 @@ import re
 import time
 import zlib
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -356,6 +357,44 @@ def test_suffix_tree_leaves_out_nothing_that_comes_twice(spark, sf_dir, monkeypa
         assert math.isclose(got[i]["score"], sum(log10(tuple(t[max(0, k - 3) : k]), w) for k, w in enumerate(t)), rel_tol=1e-9)
 
 
+def test_suffix_tree_packs_keys_and_factors_tightly():
+    r = np.random.default_rng(2)
+    for n in (1, 2, 300, 300000):
+        keys = np.sort(r.integers(0, 2**64, n, dtype=np.uint64))
+        packed = suffix_tree._pack_keys(keys)
+        assert (suffix_tree._unpack_keys(packed) == keys).all()
+        values = np.where(r.random(n) < 0.3, -r.random(n), np.nan)
+        assert np.array_equal(suffix_tree._unpack_floats(suffix_tree._pack_floats(values)), values, equal_nan=True)
+    assert len(packed) < 6.5 * n  # largest steps don't set the width of all
+    assert len(suffix_tree._pack_floats(values)) < 0.3 * 8 * n + n / 8
+
+
+def test_distinct_keys_that_differ_in_their_lowest_bits_only():
+    keys = np.array([9 << 40, (9 << 40) + 1, 9 << 40, 5, (9 << 40) + 1, 5, 4], np.uint64)
+    order, starts, rank = suffix_tree.distinct(keys)
+    assert keys[order[starts]].tolist() == [4, 5, 9 << 40, (9 << 40) + 1] and order.tolist() == [6, 3, 5, 0, 2, 1, 4]
+    assert rank.tolist() == [0, 1, 1, 2, 2, 3, 3]
+
+
+def test_stored_steps_leave_no_shuffle_files(spark, tmp_path):
+    from gradeloom.llm.dictionary import CLEANUP, stored_packed
+
+    before, data = spark.conf.get(CLEANUP, None), spark.range(5000).repartition(7, "id")
+    folder = Path(os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", "/tmp"))
+    names = lambda: {x for pattern in ("blockmgr-*/*/shuffle_*.data", "*/blockmgr-*/*/shuffle_*.data") for x in folder.glob(pattern)}
+    old = names()
+    data.write.parquet(str(tmp_path / "plain"))
+    left = names() - old
+    assert left  # what Spark does without being asked
+    stored = stored_packed(data, "clean")
+    for _ in range(50):
+        if names() - old <= left:
+            break
+        time.sleep(0.1)
+    assert names() - old <= left
+    assert stored.count() == 5000 and spark.conf.get(CLEANUP, None) == before
+
+
 RANKS = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
