@@ -1,7 +1,7 @@
 """Token ids in files, packed by an adaptive context-mixing range coder.
 
 Texts are put in ascending order of their ids by a range partitioning; the task of a range encodes each distinct pre-token once
-while it remembers it, and writes one file, so files in the order of their names hold ascending ids. A text that holds a control string
+while its Python worker remembers it, and writes one file, so files in the order of their names hold ascending ids. A text that holds a control string
 of the vocabulary is encoded whole by the tokenizer, which gives the string its own id. A file record holds consecutive documents: their ids, their numbers of tokens, and coded blocks of ``BLOCK_IDS`` token ids. Each block
 starts from a fresh model and carries a CRC-32 of its ids, so it can be read, checked and decoded on its own.
 
@@ -37,6 +37,9 @@ from gradeloom.llm.word_ids import WordIds
 
 BLOCK_IDS = 4096
 RECORD_BYTES = 16 << 20  # of text in a record, about
+KNOWN_WORDS = 1 << 19  # distinct pre-tokens a Python worker remembers
+LINES = 512  # words that are encoded as lines of one text
+SLICE_BYTES = 2 << 20  # of text whose words are told apart at once
 VERSION = 2
 
 _TABLE = 11  # bits of a follower table
@@ -298,7 +301,7 @@ class TextEncoder:
     """Ids of texts as the tokenizer gives them: word by word, but whole where a text holds one of its control strings."""
 
     def __init__(self, content: str):
-        self.words, self.whole = WordIds(tokenizer_encoder(content)), _tokenizer(content, plain=False)
+        self.words, self.whole = WordIds(tokenizer_encoder(content), KNOWN_WORDS), _tokenizer(content, plain=False)
         self.control = [t["content"] for t in json.loads(content).get("added_tokens") or []]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -318,14 +321,42 @@ class TextEncoder:
         return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
 
+@lru_cache(maxsize=1)
+def _text_encoder(content: str) -> TextEncoder:
+    """The encoder of this Python worker: the tasks it runs one after another share what it remembers."""
+    return TextEncoder(content)
+
+
 def tokenizer_encoder(content: str) -> Callable[[list[bytes]], list[list[int]]]:
-    """Encodes pre-tokens of a byte-level tokenizer, which splits texts by the same pattern."""
+    """Encodes pre-tokens of a byte-level tokenizer, which splits texts by the same pattern.
+
+    Many words are encoded as the lines of one text: a line feed is a pre-token of its own before and after whatever doesn't end in white
+    space, so its id parts their ids. White space, and lines that don't come out as many as they went in, are encoded one by one.
+    """
+
+    def one_by_one(words: list[str]) -> list[list[int]]:
+        return [e.ids for e in _tokenizer(content).encode_batch_fast(words, add_special_tokens=False)]
+
+    def lines(words: list[str]) -> list[list[int]]:
+        texts = ["\n".join(words[at : at + LINES]) for at in range(0, len(words), LINES)]
+        feed = one_by_one(["\n"])[0]
+        out: list[list[int]] = []
+        for at, ids in zip(range(0, len(words), LINES), one_by_one(texts)):
+            own = words[at : at + LINES]
+            ends = np.flatnonzero(np.array(ids) == feed[0]).tolist() if len(feed) == 1 else []
+            if len(ends) == len(own) - 1:
+                out += [ids[a:b] for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(ids)])]
+            else:
+                out += one_by_one(own)
+        return out
 
     def encode(words: list[bytes]) -> list[list[int]]:
         out: list[list[int]] = []
-        for at in range(0, len(words), 4096):
-            part = [w.decode("utf-8") for w in words[at : at + 4096]]
-            out += [e.ids for e in _tokenizer(content).encode_batch_fast(part, add_special_tokens=False)]
+        for at in range(0, len(words), 1 << 15):
+            part = [w.decode("utf-8") for w in words[at : at + (1 << 15)]]
+            white = [w[-1:].isspace() or not w for w in part]
+            joined, alone = iter(lines([w for w, x in zip(part, white) if not x])), iter(one_by_one([w for w, x in zip(part, white) if x]))
+            out += [next(alone if x else joined) for x in white]
         return out
 
     return encode
@@ -343,7 +374,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     n_ids = 1 + max(_tokenizer(tokenizer).get_vocab_size(with_added_tokens=True) - 1, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer)
+        encoder = _text_encoder(tokenizer)
         base, number, size = TaskContext.get().partitionId() << 32, 0, 0
         doc_ids: list[list] = []
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -362,7 +393,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                 }
             )
 
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             doc_ids.append(part.column("doc_id").to_pylist())
             found.append(encoder.encode(part.column("text")))
             size += part.nbytes

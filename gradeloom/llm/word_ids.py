@@ -14,8 +14,8 @@ KNOWN_WORDS = 1 << 18  # distinct words a task remembers
 
 
 class WordIds:
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], known: int = KNOWN_WORDS):
+        self.encode, self.known = encode, known
         self._forget()
 
     def _forget(self) -> None:
@@ -28,8 +28,8 @@ class WordIds:
     def numbers(self, words: pa.Array) -> np.ndarray:
         """The number of each word among those remembered, until the next call."""
         encoded = words.dictionary_encode()
-        distinct, code = encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        if len(self.number) > KNOWN_WORDS:
+        distinct, code = encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(self.number) > self.known:
             self._forget()
         number = np.fromiter(map(self.number.get, distinct, repeat(-1)), np.int64, len(distinct))
         unknown = np.flatnonzero(number < 0)

@@ -452,6 +452,33 @@ def test_token_files_with_shared_and_null_ids(spark, tmp_path):
     assert got == [(0, None, 1), (1, None, 3), (4, 3, 4), (8, 7, 2), (10, 7, 2)]
 
 
+def test_words_are_encoded_as_lines_of_one_text(monkeypatch):
+    content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    reference, r = Tokenizer.from_str(content), random.Random(5)
+    rows = ["".join(r.choice("ab's t're'll ve  \n\t\r.,!1２é漢\u0301 \u3000\x85\x1c½'dm🙂Ⅷ") for _ in range(r.randint(0, 40))) for _ in range(2000)]
+    data, borders, _ = bpe.pre_tokens(pa.array(rows))
+    found = [data[a:b].tobytes() for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())]
+    calls = []
+    plain = token_files._tokenizer(content)
+    monkeypatch.setattr(token_files, "_tokenizer", lambda *a: type("Counted", (), {"encode_batch_fast": lambda self, x, **k: calls.append(len(x)) or plain.encode_batch_fast(x, **k)})())
+    assert token_files.tokenizer_encoder(content)(found) == [reference.encode(w.decode(), add_special_tokens=False).ids for w in found]
+    assert sum(calls) < len(found) / 2 + sum(w.decode()[-1:].isspace() for w in found)  # one call's text holds many words
+    assert token_files.tokenizer_encoder(content)([b"a\nb", b"c"]) == [reference.encode(w).ids for w in ("a\nb", "c")]  # a line feed within
+
+
+def test_tasks_of_a_worker_share_known_words():
+    content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    first = token_files._text_encoder(content)
+    ids, _ = first.encode(pa.array(["some words here"]))
+    again = token_files._text_encoder("" + content)
+    asked, encode = [], again.words.encode
+    again.words.encode = lambda words: asked.append(words) or encode(words)
+    try:
+        assert again.encode(pa.array(["some words here"]))[0].tolist() == ids.tolist() and not asked
+    finally:
+        again.words.encode = encode
+
+
 def test_coder_round_trips_and_sees_damage():
     r = np.random.default_rng(0)
     for k in range(8):
