@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from gradeloom.llm.dictionary import LEVEL, Block, Bucket, answer_buckets, blocks, pack, put_back, unpack
 from gradeloom.llm.textbatch import text_bytes
 
+RUN_PIECES = 1 << 18  # pre-tokens of a block that are put together at once
+_RUN = 1 << 16  # runs whose places are made at once
+
 _OTHER, _LETTER, _NUMBER, _WHITE, _SPACE = range(5)
 #: White space of the pattern: the White_Space property.
 _WHITE_RANGES = ((0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
@@ -122,16 +125,21 @@ def rank_encoder(content: bytes) -> Callable[[list[bytes]], list[list[int]]]:
 def decode(ids: np.ndarray, content: bytes) -> np.ndarray:
     """The bytes of a run of ids."""
     table, borders = token_table(content)
-    lengths = borders[ids + 1] - borders[ids]
-    shift = np.repeat(borders[ids] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-    return table[shift + np.arange(len(shift))] if len(ids) else np.empty(0, np.uint8)
+    return ragged(table, borders[ids], borders[ids + 1] - borders[ids])
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs ``values[start : start + length]``, one after another."""
-    total = int(lengths.sum())
-    shift = np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-    return values[shift + np.arange(total)]
+    out = np.empty(int(lengths.sum()), values.dtype)
+    done = 0
+    for at in range(0, len(starts), _RUN):
+        own = lengths[at : at + _RUN]
+        ends = np.cumsum(own)
+        places = np.repeat(starts[at : at + _RUN] - ends + own, own)
+        places += np.arange(len(places))
+        out[done : done + len(places)] = values[places]
+        done += len(places)
+    return out
 
 
 def _share(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, level: int):
@@ -148,28 +156,33 @@ def encode_words(encode: Callable[[list[bytes]], list[list[int]]], level: int =
     return answer
 
 
-def block_ids(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a block in order, and the borders of its texts in them."""
-    empty = np.empty(0, np.int64)
-    sizes = np.concatenate([empty, *map(unpack, block.answers["sizes"])])
-    flat = np.concatenate([empty, *map(unpack, block.answers["ids"])])
-    starts = block.by_slot(np.cumsum(sizes) - sizes)
+def block_ids(block: Block) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """The block's texts in order, some at a time: their ids, all their token ids and the borders of the texts in them."""
+    empty = np.empty(0, np.int32)
+    sizes = np.concatenate([empty, *(unpack(part).astype(np.int32) for part in block.answers["sizes"])])
+    flat = np.concatenate([empty, *(unpack(part).astype(np.int32) for part in block.answers["ids"])])
+    starts = block.by_slot(np.cumsum(sizes, dtype=np.int64) - sizes)
     sizes = block.by_slot(sizes)
-    per_piece = sizes[block.slots]
-    ids = ragged(flat, starts[block.slots], per_piece)
-    total = np.concatenate(([0], np.cumsum(per_piece)))
-    return ids, total[np.concatenate(([0], np.cumsum(block.n_pieces)))]
+    first = np.concatenate(([0], np.cumsum(block.n_pieces)))
+    at, n = 0, len(block.doc_ids)
+    while at < n:
+        end = min(n, max(at + 1, int(np.searchsorted(first, first[at] + RUN_PIECES, side="right")) - 1))
+        slots = block.slots[first[at] : first[end]]
+        per_piece = sizes[slots]
+        total = np.concatenate(([0], np.cumsum(per_piece, dtype=np.int64)))
+        yield block.doc_ids[at:end], ragged(flat, starts[slots], per_piece), total[first[at : end + 1] - first[at]]
+        at = end
 
 
-def encoded_blocks(docs: DataFrame, encode: Callable[[list[bytes]], list[list[int]]], schema: str, finish: Callable[[int, list, np.ndarray, np.ndarray], pa.RecordBatch], level: int = LEVEL) -> DataFrame:
-    """What ``finish`` makes from a block's number, its texts' ids, its token ids and the borders of the texts in them.
+def encoded_blocks(docs: DataFrame, encode: Callable[[list[bytes]], list[list[int]]], schema: str, finish: Callable[[list, np.ndarray, np.ndarray], pa.RecordBatch], level: int = LEVEL) -> DataFrame:
+    """What ``finish`` makes from texts' ids, their token ids and the borders of the texts in them, for some texts of a block at a time.
 
-    Blocks keep the order of rows and partitions.
+    Rows keep the order they have in their partitions.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shares = blocks(narrow, pre_tokens, level=level)
     answers = answer_buckets(shares, ["sizes", "ids"], encode_words(encode, level))
-    return put_back(shares, answers, schema, lambda block: finish(block.number, block.doc_ids, *block_ids(block)))
+    return put_back(shares, answers, schema, lambda block: (finish(*part) for part in block_ids(block)))
 
 
 def little_endian(ids: np.ndarray) -> np.ndarray:
@@ -184,10 +197,9 @@ def _digests(values: np.ndarray, borders: np.ndarray) -> list[str]:
 def encode_and_decode(docs: DataFrame, ranks: bytes, keep_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``): what is encoded is decoded again from its ids alone."""
 
-    def finish(_: int, doc_ids: list, ids: np.ndarray, borders: np.ndarray) -> pa.RecordBatch:
-        sizes = np.diff(token_table(ranks)[1])[ids]
+    def finish(doc_ids: list, ids: np.ndarray, borders: np.ndarray) -> pa.RecordBatch:
         decoded = decode(ids, ranks)
-        byte_borders = np.concatenate(([0], np.cumsum(sizes)))[borders]
+        byte_borders = np.concatenate(([0], np.cumsum(np.diff(token_table(ranks)[1])[ids])))[borders]
         out = {
             "doc_id": pa.array(doc_ids, pa.int64()),
             "n_tokens": pa.array(np.diff(borders)),

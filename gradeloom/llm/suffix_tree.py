@@ -233,7 +233,7 @@ def root_counts(docs: DataFrame, min_count: int, min_share: float, listed: bool)
     words = np.array([k for k, _ in frequent], np.int64)
     word_counts = np.array([c for _, c in frequent], np.int64)
     discount = min(max(ones / (ones + 2 * twos), 0.1), 0.9) if ones and twos else 0.5
-    ready = stored_packed(put_back(shares, answers.drop("facts"), _WORD_COLUMNS, _finish_counts), "words")
+    ready = stored_packed(put_back(shares, answers.drop("facts"), _WORD_COLUMNS, lambda block: [_finish_counts(block)]), "words")
     for done in (shares, answers):
         drop_stored(done)
     return ready, Tree(n, v + (n_ends > 0), discount, n_ends, words, word_counts, []), floor

@@ -9,6 +9,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from functools import lru_cache
 from pathlib import Path
@@ -22,6 +23,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from gradeloom.llm import bpe, chat, decontaminate, licenses, near_dup, quality, suffix_tree, token_files, toxicity, urls
+from gradeloom.llm.dictionary import Block, pack
 
 WORDS = "the of and river stone lamp idiot über Ça naïve 12 a,b don't we'll x'll #tag $5 <p> | ...".split()
 
@@ -411,6 +413,31 @@ def test_byte_bpe(spark):
     assert {r["doc_id"]: r["text"] for r in bpe.decode_documents(rows, RANKS).collect()} == {-1: None} | {i: t or "" for i, t in enumerate(texts())}
 
 
+def test_blocks_are_put_together_some_texts_at_a_time(monkeypatch):
+    r = np.random.default_rng(5)
+    words = [r.integers(0, 1000, size) for size in r.integers(0, 4, 30)]  # ids of the words of a block, by slot
+    n_pieces = np.array([0, 5, 0, 40, 1, 1, 0, 16, 3, 0])
+    slots, order = r.integers(0, 30, n_pieces.sum()), r.permutation(30)
+    dealt = [words[k] for k in order]  # two buckets' answers
+    answers = {"sizes": [pack(np.array([len(w) for w in part])) for part in (dealt[:11], dealt[11:])], "ids": [pack(np.concatenate(part)) for part in (dealt[:11], dealt[11:])]}
+    monkeypatch.setattr(bpe, "RUN_PIECES", 16)
+    parts = list(bpe.block_ids(Block(0, list(range(10)), n_pieces, slots, order, answers)))
+    assert [part[0] for part in parts] == [[0, 1, 2], [3], [4, 5, 6], [7], [8, 9]]
+    got = [ids[a:b].tolist() for _, ids, borders in parts for a, b in zip(borders[:-1], borders[1:])]
+    ends = np.cumsum(n_pieces)
+    assert got == [[i for k in slots[a:b] for i in words[k].tolist()] for a, b in zip(ends - n_pieces, ends)]
+
+
+def test_decoding_takes_little_more_memory_than_its_bytes():
+    ids = np.random.default_rng(6).integers(0, len(bpe.token_table(RANKS)[1]) - 1, 1 << 20)
+    tracemalloc.start()
+    try:
+        size = len(bpe.decode(ids, RANKS))
+        assert tracemalloc.get_traced_memory()[1] < size + 6 * ids.nbytes
+    finally:
+        tracemalloc.stop()
+
+
 def test_pre_tokens_on_random_text():
     import regex
 
