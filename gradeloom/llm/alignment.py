@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from gradeloom.llm.bpe import pre_tokens, ragged
 from gradeloom.llm.dictionary import stored_packed
 from gradeloom.llm.textbatch import byte_array, slices, text_bytes
-from gradeloom.llm.token_files import tokenizer_encoder
+from gradeloom.llm.token_files import byte_letters, tokenizer_encoder
 from gradeloom.llm.word_ids import WordIds
 
 BLOCK_BYTES = 8 << 20
@@ -104,18 +104,10 @@ def load_pieces(path: str) -> bytes:
         return file.read()
 
 
-@lru_cache(maxsize=1)
-def _byte_letters() -> dict[str, int]:
-    """The letters in which byte-level vocabularies write bytes: printable ones as they are, the others from U+0100 on in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
-
-
 @lru_cache(maxsize=1)
 def left_tokens(content: str) -> list[bytes]:
     """The bytes of each id of a byte-level tokenizer."""
-    description, letters = json.loads(content), _byte_letters()
+    description, letters = json.loads(content), byte_letters()
     out = {i: bytes(letters[c] for c in token) for token, i in description["model"]["vocab"].items() if all(c in letters for c in token)}
     out |= {t["id"]: t["content"].encode() for t in description["added_tokens"]}
     return [out.get(i, b"") for i in range(max(out) + 1)]

@@ -23,6 +23,7 @@ import os
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,11 @@ from gradeloom.llm.textbatch import byte_array, slices
 from gradeloom.llm.word_ids import WordIds
 
 BLOCK_IDS = 4096
-RECORD_BYTES = 16 << 20  # of text in a record, about
+RECORD_BYTES = 24 << 20  # of text in a record, about; a small one takes as many steps to code
 KNOWN_WORDS = 1 << 19  # distinct pre-tokens a Python worker remembers
+PART = 1 << 13  # words that are encoded in one go
 LINES = 512  # words that are encoded as lines of one text
+_SETTLED = 0xD4  # bytes of characters below U+0500 are below; their classes have been the same since Unicode 7
 SLICE_BYTES = 2 << 20  # of text whose words are told apart at once
 VERSION = 2
 
@@ -82,7 +85,8 @@ class _Model:
     A follower is kept with its confidence: order 2 in the two lowest bits, order 1 in the lowest. ``none`` is no id.
     """
 
-    def __init__(self, lanes: int, steps: int, n_ids: int):
+    def __init__(self, lanes: int, steps: int, n_ids: int, decoding: bool = False):
+        self.decoding = decoding
         self.class_of, self.class_low, self.class_bits = _classes(n_ids)
         self.n_classes, self.none = len(self.class_low), n_ids
         self.hash1, self.hash2 = _hashes(n_ids)
@@ -111,7 +115,8 @@ class _Model:
         table = np.zeros((len(self.base), _STRIDE), np.int64)
         table[:, : self.n_classes] = ((np.cumsum(sizes, axis=1) - sizes) << 16) | sizes
         self.class_table = table.ravel()
-        self.look = np.repeat(np.tile(np.arange(self.n_classes, dtype=np.uint8), len(self.base)), sizes.ravel())
+        if self.decoding:
+            self.look = np.repeat(np.tile(np.arange(self.n_classes, dtype=np.uint8), len(self.base)), sizes.ravel())
 
     def predict(self) -> None:
         """The followers of both orders, and the shares of 2^16 of each and of order 0."""
@@ -223,8 +228,8 @@ def decode_blocks(data: list[bytes], steps: int, n_ids: int) -> np.ndarray:
     words = words.ravel()
     at = np.arange(lanes) * room + 2
     width = np.full(lanes, (1 << 64) - 1, np.uint64)
-    model = _Model(lanes, steps, n_ids)
-    out = np.empty((steps, lanes), np.int64)
+    model = _Model(lanes, steps, n_ids, decoding=True)
+    out = np.empty((steps, lanes), np.int32)
     for k in range(steps):
         model.predict()
         part = width >> _TOTAL
@@ -248,8 +253,8 @@ def decode_blocks(data: list[bytes], steps: int, n_ids: int) -> np.ndarray:
             code[who] = (code[who] << _WORD) | words.take(at[who], mode="clip")
             width[who] <<= _WORD
             at[who] += 1
-        out[k] = now
         now = now.astype(np.int32)
+        out[k] = now
         model.learn(now, hit2, now == model.id1, np.where(rest, kind, _BY_FOLLOWER))
     return np.ascontiguousarray(out.T)
 
@@ -264,19 +269,23 @@ def encode_ids(ids: np.ndarray, n_ids: int) -> list[dict]:
         return []
     steps = min(BLOCK_IDS, len(ids))
     sizes = [min(steps, len(ids) - at) for at in range(0, len(ids), steps)]
-    rows = np.concatenate([ids, np.full(steps - sizes[-1], ids[-1])]).reshape(-1, steps)
+    if sizes[-1] < steps:
+        ids = np.concatenate([ids, np.full(steps - sizes[-1], ids[-1], ids.dtype)])
+    rows = ids.reshape(-1, steps)
     return [{"n": n, "crc": _checksum(row[:n]), "data": data} for n, row, data in zip(sizes, rows, encode_blocks(rows, n_ids))]
 
 
 def decode_ids(blocks: list[dict], n_ids: int, name: str = "") -> np.ndarray:
     """The ids of consecutive blocks, checked."""
     if not blocks:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32)
     rows = decode_blocks([b["data"] for b in blocks], max(b["n"] for b in blocks), n_ids)
     out = [row[: b["n"]] for row, b in zip(rows, blocks)]
     for k, (row, b) in enumerate(zip(out, blocks)):
         if _checksum(row) != b["crc"]:
             raise ValueError(f"block {k} of record {name} is damaged")
+    if all(len(row) == rows.shape[1] for row in out[:-1]):
+        return rows.reshape(-1)[: sum(map(len, out))]
     return np.concatenate(out)
 
 
@@ -301,7 +310,7 @@ class TextEncoder:
     """Ids of texts as the tokenizer gives them: word by word, but whole where a text holds one of its control strings."""
 
     def __init__(self, content: str):
-        self.words, self.whole = WordIds(tokenizer_encoder(content), KNOWN_WORDS), _tokenizer(content, plain=False)
+        self.words, self.whole = WordIds(tokenizer_encoder(content), KNOWN_WORDS, np.int32), _tokenizer(content, plain=False)
         self.control = [t["content"] for t in json.loads(content).get("added_tokens") or []]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -317,7 +326,7 @@ class TextEncoder:
             return ids, borders
         parts = [ids[a:b] for a, b in zip(borders[:-1], borders[1:])]
         for k in np.flatnonzero(apart).tolist():
-            parts[k] = np.array(self.whole.encode(texts[k].as_py(), add_special_tokens=False).ids, np.int64)
+            parts[k] = np.array(self.whole.encode(texts[k].as_py(), add_special_tokens=False).ids, np.int32)
         return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
 
@@ -327,12 +336,39 @@ def _text_encoder(content: str) -> TextEncoder:
     return TextEncoder(content)
 
 
+@lru_cache(maxsize=1)
+def byte_letters() -> dict[str, int]:
+    """The letters in which byte-level vocabularies write bytes: printable ones as they are, the others from U+0100 on in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
+
+
+def _word_model(content: str):
+    """The tokenizer's own model, if all that the tokenizer does to a pre-token besides is to write its bytes as letters; else None."""
+    parts = json.loads(content)
+    split = parts.get("pre_tokenizer") or {}
+    bare = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True) and parts["model"].get("type") == "BPE"
+    bare = bare and not any(parts.get(k) for k in ("normalizer", "truncation", "padding")) and all(t.get("special") for t in parts.get("added_tokens") or [])
+    return getattr(_tokenizer(content), "model", None) if bare else None
+
+
 def tokenizer_encoder(content: str) -> Callable[[list[bytes]], list[list[int]]]:
     """Encodes pre-tokens of a byte-level tokenizer, which splits texts by the same pattern.
 
-    Many words are encoded as the lines of one text: a line feed is a pre-token of its own before and after whatever doesn't end in white
+    The tokenizer's model takes a word's byte letters as they are, as the splitting is done. Words with characters whose classes may
+    differ from one Unicode version to another are left to the whole tokenizer, many of them
+    as the lines of one text: a line feed is a pre-token of its own before and after whatever doesn't end in white
     space, so its id parts their ids. White space, and lines that don't come out as many as they went in, are encoded one by one.
     """
+    model = _word_model(content)
+    letters = np.zeros(256, "<u2")
+    letters[list(byte_letters().values())] = [ord(c) for c in byte_letters()]
+
+    def merged(words: list[bytes], data: np.ndarray) -> list[list[int]]:
+        ends = np.fromiter(accumulate(map(len, words)), np.int64, len(words))
+        text = np.insert(letters[data], ends[:-1], ord("\n"))  # no letter is a line feed
+        return [[t.id for t in model.tokenize(word)] for word in text.tobytes().decode("utf-16-le").split("\n")]
 
     def one_by_one(words: list[str]) -> list[list[int]]:
         return [e.ids for e in _tokenizer(content).encode_batch_fast(words, add_special_tokens=False)]
@@ -350,13 +386,27 @@ def tokenizer_encoder(content: str) -> Callable[[list[bytes]], list[list[int]]]:
                 out += one_by_one(own)
         return out
 
+    def whole(words: list[bytes]) -> list[list[int]]:
+        part = [w.decode("utf-8") for w in words]
+        white = [w[-1:].isspace() or not w for w in part]
+        joined, alone = iter(lines([w for w, x in zip(part, white) if not x])), iter(one_by_one([w for w, x in zip(part, white) if x]))
+        return [next(alone if x else joined) for x in white]
+
     def encode(words: list[bytes]) -> list[list[int]]:
         out: list[list[int]] = []
-        for at in range(0, len(words), 1 << 15):
-            part = [w.decode("utf-8") for w in words[at : at + (1 << 15)]]
-            white = [w[-1:].isspace() or not w for w in part]
-            joined, alone = iter(lines([w for w, x in zip(part, white) if not x])), iter(one_by_one([w for w, x in zip(part, white) if x]))
-            out += [next(alone if x else joined) for x in white]
+        for at in range(0, len(words), PART):
+            part = words[at : at + PART]
+            if model is None:
+                out += whole(part)
+                continue
+            data = np.frombuffer(b"".join(part), np.uint8)
+            if data.max(initial=0) < _SETTLED and not (data == ord("\n")).any():
+                out += merged(part, data)
+                continue
+            settled = [(w.isascii() or max(w) < _SETTLED) and (b"\n" not in w or w.isspace()) for w in part]
+            some = [w for w, x in zip(part, settled) if x]
+            bare, rest = iter(merged(some, np.frombuffer(b"".join(some), np.uint8)) if some else []), iter(whole([w for w, x in zip(part, settled) if not x]))
+            out += [next(bare if x else rest) for x in settled]
         return out
 
     return encode
@@ -377,11 +427,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         encoder = _text_encoder(tokenizer)
         base, number, size = TaskContext.get().partitionId() << 32, 0, 0
         doc_ids: list[list] = []
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        found: list = []
 
         def flush() -> pa.RecordBatch:
             n_tokens = np.concatenate([np.diff(borders) for _, borders in found]) + 1
-            ids = np.concatenate([np.insert(ids, borders[1:], end_id) for ids, borders in found])
+            for k, (ids, borders) in enumerate(found):
+                found[k] = np.insert(ids, borders[1:], end_id)
+            ids = np.concatenate(found)
+            found.clear()  # the coder needs the room
             return pa.RecordBatch.from_pydict(
                 {
                     "record": pa.array([base | number], pa.int64()),

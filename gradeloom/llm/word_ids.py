@@ -14,13 +14,13 @@ KNOWN_WORDS = 1 << 18  # distinct words a task remembers
 
 
 class WordIds:
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], known: int = KNOWN_WORDS):
-        self.encode, self.known = encode, known
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], known: int = KNOWN_WORDS, kind: type = np.int64):
+        self.encode, self.known, self.kind = encode, known, kind
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.flat, self.starts = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self.flat, self.starts = np.empty(0, self.kind), np.zeros(1, np.int64)
 
     def _learned(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         """What else is kept of new words."""
@@ -37,7 +37,7 @@ class WordIds:
             new = [distinct[k] for k in unknown.tolist()]
             found = self.encode(new)
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+            flat = np.fromiter(chain.from_iterable(found), self.kind, int(sizes.sum()))
             number[unknown] = np.arange(len(self.number), len(self.number) + len(new))
             self.number.update(zip(new, number[unknown].tolist()))
             self.flat, self.starts = np.concatenate((self.flat, flat)), np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import os
 import itertools
+import json
 import math
 import random
 import re
@@ -493,6 +494,26 @@ def test_words_are_encoded_as_lines_of_one_text(monkeypatch):
     assert token_files.tokenizer_encoder(content)([b"a\nb", b"c"]) == [reference.encode(w).ids for w in ("a\nb", "c")]  # a line feed within
 
 
+def test_the_model_takes_words_as_the_whole_tokenizer_does(monkeypatch):
+    content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    reference, r = Tokenizer.from_str(content), random.Random(7)
+    settled = [c for c in map(chr, range(0x500))]
+    rows = settled + ["".join(r.choice(settled) for _ in range(r.randint(0, 30))) for _ in range(500)]
+    rows += ["".join(r.choice("ab's t're'll ve  \n\t\r.,!1２é漢\u0301 \u3000\x85\x1c½'dm🙂Ⅷ") for _ in range(r.randint(0, 40))) for _ in range(500)]
+    data, borders, first = bpe.pre_tokens(pa.array(rows))
+    found = [data[a:b].tobytes() for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())]
+    asked = []
+    plain = token_files._tokenizer(content)
+    counted = lambda self, x, **k: asked.extend(x) or plain.encode_batch_fast(x, **k)
+    monkeypatch.setattr(token_files, "_tokenizer", lambda *a: type("Counted", (), {"encode_batch_fast": counted, "model": plain.model})())
+    got = token_files.tokenizer_encoder(content)(found)
+    assert [sum(got[a:b], []) for a, b in zip(first[:-1], first[1:])] == [reference.encode(t, add_special_tokens=False).ids for t in rows]
+    assert all(any(ord(c) >= 0x500 or c == "\n" for c in x) for x in asked)  # the others never go through the tokenizer's own splitting
+    other = json.loads(content)
+    other["normalizer"] = {"type": "Lowercase"}
+    assert token_files._word_model(json.dumps(other)) is None
+
+
 def test_tasks_of_a_worker_share_known_words():
     content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     first = token_files._text_encoder(content)
