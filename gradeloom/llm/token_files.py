@@ -48,13 +48,20 @@ VERSION = 2
 _TABLE = 11  # bits of a follower table
 _CLASS_BITS = 10  # class frequencies add up to 2^10
 _TOTAL = np.uint64(16 + _CLASS_BITS)
-_MOST = np.uint64((1 << (16 + _CLASS_BITS)) - 1)
 _EARLY = (4, 16, 64, 128)  # steps before which class frequencies are made anew, and every so many later
 _REFRESH = 256
-_STRIDE = 128  # room for classes per block
-_BY_FOLLOWER = np.uint8(_STRIDE - 1)
-_ONE = 1 << 16
-_LEAST, _SPREAD = 64, (1 << 16) - 512  # least share of an order, and what hits can add
+_BY_FOLLOWER = 127  # in place of a class
+_ONE = np.uint32(1 << 16)
+# The mix of orders 2 and 1 by the confidence of order 2, less 1 (modulo 4), that of order 1, and whether they agree: shares of order 2,
+# and of order 1 in the rest, in the halves of a number. Both lose a 32nd of what is above the least share, and rise by hits.
+_MIXES = 16
+_MIX = (np.repeat(np.array([12000, 36000, 52000, 64], np.uint32), 4) << 16) + np.uint32(6000)
+_UNSURE, _RATE, _HIT = 12, np.uint32(5), np.uint32(2032)
+_FLOOR, _BOTH, _HIGH, _LOW = np.uint32(33 << 16 | 33), np.uint32(0x07FF07FF), np.uint32(0x07FF0000), np.uint32(0x07FF)
+_HIT2, _HIT1 = np.uint8(16), np.uint8(32)  # beside the mix in the flags of an id
+_FALLS = np.array([_BOTH, _HIGH, _BOTH, _HIGH])  # by these flags; order 1 learns nothing where order 2 hits
+_RISES = np.array([0, _HIT << 16, _HIT, _HIT << 16], np.uint32)
+_ROWS, _STEPS = 64, 64  # blocks, and steps, whose predictions the encoder finds at once
 _WORD, _SHORT, _LOW_WORD, _U1 = np.uint64(32), np.uint64(1 << 32), np.uint64((1 << 32) - 1), np.uint64(1)
 
 
@@ -72,142 +79,174 @@ def _classes(n_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def _hashes(n_ids: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of an id in a follower table, as the last id and as the one before; the value after the last id stands for none."""
-    ids = np.arange(n_ids + 1)
+def _hashes(n_ids: int) -> np.ndarray:
+    """Places of an id in a follower table, as the one before in the upper half and as the last id in the lower."""
+    ids = np.arange(n_ids)
     mask = (1 << _TABLE) - 1
-    return ((ids * 40503) >> 4) & mask, ((ids * 9973) >> 3) & mask
+    return ((((ids * 9973) >> 3) & mask) << 16 | ((ids * 40503) >> 4) & mask).astype(np.int32)
 
 
-class _Model:
-    """Predictions for ``lanes`` blocks side by side.
-
-    A follower is kept with its confidence: order 2 in the two lowest bits, order 1 in the lowest. ``none`` is no id.
-    """
+class _Frequencies:
+    """Adaptive frequencies of id classes for ``lanes`` blocks side by side, made from the ids that order 0 coded."""
 
     def __init__(self, lanes: int, steps: int, n_ids: int, decoding: bool = False):
-        self.decoding = decoding
+        self.lanes, self.decoding = lanes, decoding
         self.class_of, self.class_low, self.class_bits = _classes(n_ids)
-        self.n_classes, self.none = len(self.class_low), n_ids
-        self.hash1, self.hash2 = _hashes(n_ids)
-        lane = np.arange(lanes)
-        self.base, self.by_class, self.by_look, self.by_mix = lane << _TABLE, lane * _STRIDE, lane << _CLASS_BITS, lane * 16
-        self.follow2 = np.full(lanes << _TABLE, n_ids << 2, np.int32)
-        self.follow1 = np.full(lanes << _TABLE, n_ids << 1, np.int32)
-        self.mix2 = np.tile(np.repeat(np.array([64, 12000, 36000, 52000]), 4), lanes)
-        self.mix1 = np.full(lanes * 16, 6000)
-        self.counts = np.ones((lanes, self.n_classes), np.int64)
-        self.coded = np.empty((steps, lanes), np.uint8)
-        self.step = self.counted = 0
-        self.at1, self.at2, self.before = self.base, self.base, np.zeros(lanes, np.int64)
-        self._refresh()
-
-    def _refresh(self) -> None:
-        """Class frequencies from the ids coded by class so far."""
-        new = self.coded[self.counted : self.step]
+        self.n_classes = len(self.class_low)
+        self.lane = np.arange(lanes)
+        self.counts = np.ones((self.n_classes, lanes), np.int64)
+        self.coded = np.full((steps, lanes), _BY_FOLLOWER, np.uint8)  # classes, but only of ids that order 0 coded
+        self.counted = 0
+
+    def renew(self, step: int) -> None:
+        """Class frequencies from the ids coded by class before ``step``: first of a class and size as the halves of a number."""
+        new = self.coded[self.counted : step]
         if len(new):
-            at = (self.by_class + new).ravel()
-            self.counts += 32 * np.bincount(at, minlength=len(self.base) * _STRIDE).reshape(-1, _STRIDE)[:, : self.n_classes]
-        self.counted = self.step
+            found = np.bincount(self.at(new).ravel(), minlength=self.lanes * (_BY_FOLLOWER + 1))
+            self.counts += 32 * found[: self.counts.size].reshape(self.counts.shape)
+        self.counted = step
         room = (1 << _CLASS_BITS) - self.n_classes
-        sizes = self.counts * room // self.counts.sum(axis=1, keepdims=True) + 1
-        sizes[:, -1] += (1 << _CLASS_BITS) - sizes.sum(axis=1)
-        table = np.zeros((len(self.base), _STRIDE), np.int64)
-        table[:, : self.n_classes] = ((np.cumsum(sizes, axis=1) - sizes) << 16) | sizes
-        self.class_table = table.ravel()
+        sizes = self.counts * room // self.counts.sum(axis=0) + 1
+        sizes[-1] += (1 << _CLASS_BITS) - sizes.sum(axis=0)
+        self.table = (((np.cumsum(sizes, axis=0) - sizes) << 16) | sizes).astype(np.uint32).ravel()
         if self.decoding:
-            self.look = np.repeat(np.tile(np.arange(self.n_classes, dtype=np.uint8), len(self.base)), sizes.ravel())
-
-    def predict(self) -> None:
-        """The followers of both orders, and the shares of 2^16 of each and of order 0."""
-        if self.step in _EARLY or self.step and self.step % _REFRESH == 0:
-            self._refresh()
-        found2, found1 = self.follow2.take(self.at2), self.follow1.take(self.at1)
-        self.id2, self.sure = found2 >> 2, found2 & 3
-        self.id1 = found1 >> 1
-        self.at_mix = self.by_mix + (self.sure << 2) + ((self.id1 == self.id2) << 1) + (found1 & 1)
-        self.share2, self.mixed1 = self.mix2.take(self.at_mix), self.mix1.take(self.at_mix)
-        rest = _ONE - self.share2
-        self.share1 = (rest * self.mixed1 >> 16) + 1
-        self.share0 = rest - self.share1
-
-    def learn(self, ids: np.ndarray, hit2: np.ndarray, same1: np.ndarray, classes: np.ndarray) -> None:
-        """What came; ``classes`` of ids that order 0 coded, and ``_BY_FOLLOWER`` for the others."""
-        self.mix2[self.at_mix] = self.share2 + ((hit2 * _SPREAD + _LEAST - self.share2) >> 5)
-        self.mix1[self.at_mix] = self.mixed1 + (((same1 * _SPREAD + _LEAST - self.mixed1) >> 5) * ~hit2)
-        self.follow2[self.at2] = (ids << 2) + np.minimum(self.sure, 2) * hit2 + 1
-        self.follow1[self.at1] = (ids << 1) + same1
-        self.coded[self.step] = classes
-        hashed = self.hash1.take(ids, mode="clip")
-        self.at1, self.at2 = self.base + hashed, self.base + (hashed ^ self.before)
-        self.before = self.hash2.take(ids, mode="clip")
-        self.step += 1
+            self.look = np.repeat(np.tile(np.arange(self.n_classes, dtype=np.uint8), self.lanes), sizes.T.ravel())
+
+    def at(self, kinds: np.ndarray) -> np.ndarray:
+        """Places of classes in the table: blocks side by side, so that frequent classes share memory pages."""
+        return np.multiply(kinds, self.lanes, dtype=np.int64) + self.lane
+
+
+def _shares(mix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shares of 2^16 of orders 2, 1 and 0."""
+    share2 = mix >> 16
+    rest = _ONE - share2
+    share1 = (rest * (mix & 0xFFFF) >> 16) + 1
+    return share2, share1, rest - share1
+
+
+def _renewed(step: int) -> bool:
+    return step % _REFRESH == 0 or step in _EARLY
+
+
+def _followers(ids: np.ndarray, places: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a follower table says before each id of blocks, one per row, as all ids are known: the last id that followed at the id's
+    place, else ``none``; and its confidence, 1 to 3 by hits in a row, or 0."""
+    lanes, steps = ids.shape
+    bits = steps.bit_length()
+    order = (places.astype(np.uint32) << bits) | np.arange(steps, dtype=np.uint32)
+    order.sort(axis=1)
+    same = np.zeros((lanes, steps), bool)
+    same[:, 1:] = (order[:, 1:] ^ order[:, :-1]) < (1 << bits)  # at the place of the one before it
+    at = (order & ((1 << bits) - 1)) + (np.arange(lanes) * steps)[:, None]
+    own = ids.ravel().take(at)
+    found = np.full((lanes, steps), none, ids.dtype)
+    np.copyto(found[:, 1:], own[:, :-1], where=same[:, 1:])
+    hit = np.zeros((lanes, steps), bool)  # the one before it was a hit
+    hit[:, 1:] = (found == own)[:, :-1] & same[:, 1:]
+    sure = same.view(np.uint8) + hit
+    sure[:, 1:] += hit[:, 1:] & hit[:, :-1]
+    follower, confidence = np.empty(ids.size, ids.dtype), np.empty(ids.size, np.uint8)
+    follower[at.ravel()], confidence[at.ravel()] = found.ravel(), sure.ravel()
+    return follower.reshape(ids.shape), confidence.reshape(ids.shape)
+
+
+def _flags(ids: np.ndarray, n_ids: int) -> np.ndarray:
+    """For each id of blocks, one per row: what the mix of orders 2 and 1 goes by (``_MIXES`` values), and the hits of both."""
+    hashed = _hashes(n_ids).take(ids)
+    places = np.zeros(ids.shape, np.int32)
+    places[:, 1:] = hashed[:, :-1] & 0xFFFF
+    id1, sure1 = _followers(ids, places, n_ids)
+    places[:, 2:] ^= hashed[:, :-2] >> 16
+    id2, sure2 = _followers(ids, places, n_ids)
+    return ((sure2 - 1 & 3) << 2) + ((sure1 > 1) << 1) + (id1 == id2) + _HIT2 * (ids == id2) + _HIT1 * (ids == id1)
 
 
 def encode_blocks(ids: np.ndarray, n_ids: int) -> list[bytes]:
-    """Codes blocks of equal length, one per row: number of range-coded words, those words, and the bits of ids within their classes."""
+    """Codes blocks of equal length, one per row: number of range-coded words, those words, and the bits of ids within their classes.
+
+    All ids are known, so what the orders predict is found for many steps at once; only the mix and the coder go step by step.
+    """
     lanes, steps = ids.shape
-    model = _Model(lanes, steps, n_ids)
-    columns = np.ascontiguousarray(ids.T.astype(np.int32))
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+    model = _Frequencies(lanes, steps, n_ids)
+    flags, within = np.empty((steps, lanes), np.uint8), []
+    for at in range(0, lanes, _ROWS):
+        part = slice(at, at + _ROWS)
+        own = ids[part].astype(np.int32)
+        known = _flags(own, n_ids)
+        kinds = np.where(known < _HIT2, model.class_of.take(own), np.uint8(_BY_FOLLOWER))
+        flags[:, part], model.coded[:, part] = known.T, kinds.T
+        within += _pack_bits(own, kinds, model.class_low, model.class_bits)
     lane = np.arange(lanes)
+    mixes, by_mix = np.tile(_MIX, lanes), lane * _MIXES
+    low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     words = np.zeros((steps + 8) * lanes, np.uint64)  # an id takes less than a word
-    n = np.zeros(lanes, np.int64)
-    for k in range(steps):
-        now = columns[k]
-        model.predict()
-        hit2, same1 = now == model.id2, now == model.id1
-        rest = ~(hit2 | same1)
-        kind = model.class_of.take(now)
-        table = model.class_table.take(model.by_class + kind)
-        first = model.share2 << _CLASS_BITS
-        second = model.share1 << _CLASS_BITS
-        start = np.where(rest, first + second + (table >> 16) * model.share0, np.where(hit2, 0, first))
-        size = np.where(rest, (table & 0xFFFF) * model.share0, np.where(hit2, first, second))
-        part = width >> _TOTAL
-        add = part * start.view(np.uint64)
-        low += add
-        width = part * size.view(np.uint64)
-        carry = low < add
-        if carry.any():
-            who = np.flatnonzero(carry)
-            words[(n[who] - 1) * lanes + who] += _U1
-        who = np.flatnonzero(width < _SHORT)
-        if len(who):
-            own = low[who]
-            words[n[who] * lanes + who] = own >> _WORD
-            n[who] += 1
-            low[who] = own << _WORD
-            width[who] <<= _WORD
-        model.learn(now, hit2, same1, np.where(rest, kind, _BY_FOLLOWER))
+    end = lane.copy()  # the place of a block's next word
+    starts = [k for k in range(steps) if k % _STEPS == 0 or _renewed(k)]
+    for begin, stop in zip(starts, [*starts[1:], steps]):
+        if _renewed(begin):
+            model.renew(begin)
+        known = flags[begin:stop]
+        hit2, rest = (known & _HIT2) > 0, known < _HIT2
+        at, outcome = by_mix + (known & (_MIXES - 1)), known >> 4
+        falls, rises, mix = _FALLS.take(outcome), _RISES.take(outcome), np.empty(known.shape, np.uint32)
+        for places, fall, rise, now in zip(at, falls, rises, mix):
+            mixes.take(places, out=now, mode="clip")
+            less = now - _FLOOR
+            less >>= _RATE
+            less &= fall
+            rise += now
+            rise -= less
+            mixes[places] = rise
+        share2, share1, share0 = _shares(mix)
+        table = model.table.take(model.at(model.coded[begin:stop]), mode="clip")
+        first, second = share2 << _CLASS_BITS, share1 << _CLASS_BITS
+        start = np.where(rest, first + second + (table >> 16) * share0, np.where(hit2, np.uint32(0), first)).astype(np.uint64)
+        size = np.where(rest, (table & 0xFFFF) * share0, np.where(hit2, first, second)).astype(np.uint64)
+        for add, times in zip(start, size):
+            width >>= _TOTAL
+            add *= width
+            low += add
+            width *= times
+            carry = low < add
+            if carry.any():
+                words[end[carry] - lanes] += _U1
+            who = np.flatnonzero(width < _SHORT)
+            if len(who):
+                own, place = low.take(who), end.take(who)
+                words[place] = own >> _WORD
+                end[who] = place + lanes
+                low[who] = own << _WORD
+                width[who] = width.take(who) << _WORD
     for _ in range(2):
-        words[n * lanes + lane] = low >> _WORD
+        words[end] = low >> _WORD
         low <<= _WORD
-        n += 1
-    words = words.reshape(-1, lanes)
-    for k in range(int(n.max()) - 1, 0, -1):  # carries that wait in a word
+        end += lanes
+    n = end // lanes
+    words = words.reshape(-1, lanes)[: n.max()]
+    for k in range(len(words) - 1, 0, -1):  # carries that wait in a word
         words[k - 1] += words[k] >> _WORD
     coded = np.ascontiguousarray(words.astype("<u4").T)
-    within = []
-    for at in range(0, lanes, 64):
-        part = slice(at, at + 64)
-        kinds = np.ascontiguousarray(model.coded[:, part].T)
-        plain = np.where(kinds == _BY_FOLLOWER, 0, kinds)
-        bits = np.where(kinds == _BY_FOLLOWER, 0, model.class_bits[plain])
-        within += _pack_bits(np.where(kinds == _BY_FOLLOWER, 0, ids[part] - model.class_low[plain]), bits)
     return [int(size).to_bytes(4, "little") + row[:size].tobytes() + tail for row, size, tail in zip(coded, n.tolist(), within)]
 
 
-def _pack_bits(values: np.ndarray, bits: np.ndarray) -> list[bytes]:
-    """The lowest ``bits`` of the values of each row, one after another."""
-    ends = np.cumsum(bits, axis=1)
-    size = (ends[:, -1] + 31) >> 5
+def _pack_bits(ids: np.ndarray, kinds: np.ndarray, low: np.ndarray, bits: np.ndarray) -> list[bytes]:
+    """The bits of each row's ids within their classes, one after another; none of those that a follower predicts."""
+    plain = kinds.ravel() != _BY_FOLLOWER
+    own = kinds.ravel()[plain]
+    values, size_of = ids.ravel()[plain] - low.take(own), bits.take(own)
+    borders = np.concatenate(([0], np.cumsum(np.count_nonzero(plain.reshape(kinds.shape), axis=1))))
+    ends = np.concatenate(([0], np.cumsum(size_of)))
+    total = np.diff(ends[borders])
+    size = (total + 31) >> 5
     first = np.cumsum(size) - size
-    at = ((first << 5)[:, None] + ends - bits).ravel()
+    at = ends[:-1] + np.repeat((first << 5) - ends[borders[:-1]], np.diff(borders))
     # two words hold each value; sums of different bits are exact
-    pair = values.ravel().astype(np.uint64) << (64 - (at & 31) - bits.ravel()).clip(0, 63).astype(np.uint64)
-    total = int(size.sum()) + 2
-    words = np.bincount(at >> 5, pair >> _WORD, total) + np.bincount((at >> 5) + 1, pair & _LOW_WORD, total)
+    pair = values.astype(np.uint64) << (64 - (at & 31) - size_of).clip(0, 63).astype(np.uint64)
+    n = int(size.sum()) + 2
+    at >>= 5
+    words = np.bincount(at, pair >> _WORD, n)
+    words[1:] += np.bincount(at, pair & _LOW_WORD, n)[:-1]
     packed = words.astype(np.uint32).astype(">u4")
     return [packed[a : a + s].tobytes() for a, s in zip(first.tolist(), size.tolist())]
 
@@ -221,41 +260,75 @@ def decode_blocks(data: list[bytes], steps: int, n_ids: int) -> np.ndarray:
     for row, d, size in zip(words, data, sizes):
         row[:size] = np.frombuffer(d[4 : 4 + 4 * size], "<u4")
     tails = [d[4 + 4 * size :] for d, size in zip(data, sizes)]
-    bit = 8 * (np.cumsum([len(t) for t in tails]) - [len(t) for t in tails])
-    raw = np.frombuffer(b"".join(tails) + bytes(8), np.uint8).astype(np.uint32)
-    window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]  # 32 bits from each byte on
+    most = max(map(len, tails)) // 4 + 2
+    bits_of = np.frombuffer(b"".join(t[: len(t) & -4].ljust(4 * most, b"\0") for t in tails), ">u4").reshape(lanes, most).T.astype(np.uint64)
+    windows = ((bits_of[:-1] << _WORD) | bits_of[1:]).ravel()  # 64 bits from each word on, of blocks side by side
+    del bits_of
     code = (words[:, 0] << _WORD) | words[:, 1]
     words = words.ravel()
-    at = np.arange(lanes) * room + 2
+    lane = np.arange(lanes)
+    at, bit, by_mix, by_look = lane * room + 2, np.zeros(lanes, np.int64), lane * _MIXES, lane << _CLASS_BITS
     width = np.full(lanes, (1 << 64) - 1, np.uint64)
-    model = _Model(lanes, steps, n_ids, decoding=True)
+    model, hashes, low = _Frequencies(lanes, steps, n_ids, decoding=True), _hashes(n_ids), _classes(n_ids)[1]
+    # the tables of order 2, then of order 1, place by place with the blocks side by side, as these share their frequent ids
+    followers = np.tile(np.repeat(np.array([n_ids << 4 | _UNSURE, n_ids << 4], np.int32), lanes), 1 << _TABLE)
+    by_follower = np.arange(2 * lanes)
+    mixes = np.tile(_MIX, lanes)
+    places, before, last, new = by_follower, np.zeros(lanes, np.int32), np.empty((2, lanes), np.int32), np.empty(2 * lanes, np.int32)
     out = np.empty((steps, lanes), np.int32)
     for k in range(steps):
-        model.predict()
+        if _renewed(k):
+            model.renew(k)
+        found = followers.take(places)
+        found2, found1 = found[:lanes], found[lanes:]
+        agree = (found2 ^ found1) < _MIXES
+        at_mix = by_mix + ((found2 | found1) & 14)
+        at_mix += agree
+        mix = mixes.take(at_mix)
+        share2, _, share0 = _shares(mix)
         part = width >> _TOTAL
-        v = np.minimum(code // part, _MOST).view(np.int64)
-        first = model.share2 << _CLASS_BITS
-        second = model.share1 << _CLASS_BITS
-        both = first + second
-        hit2, rest = v < first, v >= both
-        kind = model.look.take(model.by_look + (v - both) // model.share0, mode="clip")
-        table = model.class_table.take(model.by_class + kind)
-        bits = model.class_bits.take(kind) * rest
-        own = window.take(bit >> 3, mode="clip").astype(np.int64) >> (32 - (bit & 7) - bits)
+        both = part * ((_ONE - share0) << _CLASS_BITS)
+        few = (code < both).nonzero()[0]  # coded by a follower
+        # all as order 0 codes it
+        past, unit = code - both, part * share0
+        kind = model.look.take(by_look + (past // unit).view(np.int64), mode="clip")
+        table = model.table.take(model.at(kind))
+        past -= unit * (table >> 16)
+        unit *= table & 0xFFFF
+        bits = model.class_bits.take(kind)
+        own = (windows.take(model.at(bit >> 5), mode="clip") << (bit & 31).view(np.uint64)) >> (64 - bits).view(np.uint64)
+        now = (low.take(kind) + own.view(np.int64)).astype(np.int32) << 4
+        fall = ((mix - _FLOOR) >> _RATE) & _BOTH
+        learnt = mix - fall
+        # the few
+        first, code = part.take(few) * (share2.take(few) << _CLASS_BITS), code.take(few)
+        hit2 = code < first
+        past[few] = code - first * ~hit2
+        unit[few] = np.where(hit2, first, both.take(few) - first)
+        bits[few], kind[few] = 0, _BY_FOLLOWER
+        found2 = found2.take(few)
+        own = np.where(hit2, found2, found1.take(few)) & -_MIXES
+        now[few] = own
+        learnt[few] = learnt.take(few) + np.where(hit2, (fall.take(few) & _LOW) + (_HIT << 16), _HIT)  # order 1 learns nothing where order 2 hits
+        new[:lanes] = new[lanes:] = now
+        new[few] = own + np.minimum((found2 & _UNSURE) + 4, 8) * hit2
+        new[few + lanes] = own + ((agree.take(few) >= hit2).view(np.int8) << 1)
+        code, width = past, unit
         bit += bits
-        now = np.where(rest, model.class_low.take(kind) + (own & ((1 << bits) - 1)), np.where(hit2, model.id2, model.id1))
-        start = np.where(rest, both + (table >> 16) * model.share0, np.where(hit2, 0, first))
-        size = np.where(rest, (table & 0xFFFF) * model.share0, np.where(hit2, first, second))
-        code -= part * start.view(np.uint64)
-        width = part * size.view(np.uint64)
-        who = np.flatnonzero(width < _SHORT)
+        model.coded[k], out[k] = kind, now
+        followers[places], mixes[at_mix] = new, learnt
+        who = (width < _SHORT).nonzero()[0]
         if len(who):
-            code[who] = (code[who] << _WORD) | words.take(at[who], mode="clip")
-            width[who] <<= _WORD
-            at[who] += 1
-        now = now.astype(np.int32)
-        out[k] = now
-        model.learn(now, hit2, now == model.id1, np.where(rest, kind, _BY_FOLLOWER))
+            place = at.take(who)
+            code[who] = (code.take(who) << _WORD) | words.take(place, mode="clip")
+            width[who] = width.take(who) << _WORD
+            at[who] = place + 1
+        hashed = hashes.take(now >> 4, mode="clip")
+        np.bitwise_and(hashed, 0xFFFF, out=last[1])
+        np.bitwise_xor(last[1], before, out=last[0])
+        places = by_follower + np.multiply(last, 2 * lanes, dtype=np.int64).ravel()
+        before = hashed >> 16
+    out >>= 4
     return np.ascontiguousarray(out.T)
 
 

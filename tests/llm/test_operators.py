@@ -560,6 +560,32 @@ def test_coder_round_trips_and_sees_damage():
     assert sum(len(b["data"]) for b in repeated) < 4000 * 2 / 4  # orders 2 and 1 predict what repeats
 
 
+def test_encoder_predicts_many_steps_at_once():
+    ids = np.minimum(np.random.default_rng(8).zipf(1.3, 16 * token_files.BLOCK_IDS), 50256)
+    coded, encoding, decoding = token_files.encode_ids(ids, 50257), [], []
+    for _ in range(3):
+        at = [time.process_time()]
+        token_files.encode_ids(ids, 50257)
+        at.append(time.process_time())
+        token_files.decode_ids(coded, 50257)
+        at.append(time.process_time())
+        encoding.append(at[1] - at[0])
+        decoding.append(at[2] - at[1])
+    assert min(encoding) < 0.6 * min(decoding)  # all ids are known, so it need not go step by step as the decoder does
+    assert zlib.crc32(b"".join(b["data"] for b in coded)) == 2444887728  # files of earlier versions are read as before
+
+
+def test_followers_are_those_of_a_table():
+    ids = np.minimum(np.random.default_rng(9).zipf(1.4, (3, 500)), 49).astype(np.int32)
+    places = (ids * 7 + 3) % 11
+    found, sure = token_files._followers(ids, places, 50)
+    for row, at, f, s in zip(ids.tolist(), places.tolist(), found.tolist(), sure.tolist()):
+        table = {}
+        for x, place, a, b in zip(row, at, f, s):
+            assert (a, b) == table.get(place, (50, 0))
+            table[place] = (x, min(b, 2) * (a == x) + 1)
+
+
 def test_chat(spark):
     r = random.Random(1)
     parts = ["<|im_end|>", "<|im_start|>", "<", "|", "\\", "\n", "a", "é", "<\\|", "$1"]
