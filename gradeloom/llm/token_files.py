@@ -23,7 +23,8 @@ import os
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +39,13 @@ from gradeloom.llm.word_ids import WordIds
 
 BLOCK_IDS = 4096
 RECORD_BYTES = 24 << 20  # of text in a record, about; a small one takes as many steps to code
-KNOWN_WORDS = 1 << 19  # distinct pre-tokens a Python worker remembers
+KNOWN_WORDS = 1 << 20  # distinct pre-tokens a Python worker remembers
 PART = 1 << 13  # words that are encoded in one go
 LINES = 512  # words that are encoded as lines of one text
 _SETTLED = 0xD4  # bytes of characters below U+0500 are below; their classes have been the same since Unicode 7
 SLICE_BYTES = 2 << 20  # of text whose words are told apart at once
 VERSION = 2
+_ID = attrgetter("id")
 
 _TABLE = 11  # bits of a follower table
 _CLASS_BITS = 10  # class frequencies add up to 2^10
@@ -146,9 +148,10 @@ def _followers(ids: np.ndarray, places: np.ndarray, none: int) -> tuple[np.ndarr
     hit[:, 1:] = (found == own)[:, :-1] & same[:, 1:]
     sure = same.view(np.uint8) + hit
     sure[:, 1:] += hit[:, 1:] & hit[:, :-1]
-    follower, confidence = np.empty(ids.size, ids.dtype), np.empty(ids.size, np.uint8)
-    follower[at.ravel()], confidence[at.ravel()] = found.ravel(), sure.ravel()
-    return follower.reshape(ids.shape), confidence.reshape(ids.shape)
+    said = np.empty(ids.size, ids.dtype)
+    said[at.ravel()] = ((found << 2) + sure).ravel()
+    said = said.reshape(ids.shape)
+    return said >> 2, (said & 3).astype(np.uint8)
 
 
 def _flags(ids: np.ndarray, n_ids: int) -> np.ndarray:
@@ -187,7 +190,6 @@ def encode_blocks(ids: np.ndarray, n_ids: int) -> list[bytes]:
         if _renewed(begin):
             model.renew(begin)
         known = flags[begin:stop]
-        hit2, rest = (known & _HIT2) > 0, known < _HIT2
         at, outcome = by_mix + (known & (_MIXES - 1)), known >> 4
         falls, rises, mix = _FALLS.take(outcome), _RISES.take(outcome), np.empty(known.shape, np.uint32)
         for places, fall, rise, now in zip(at, falls, rises, mix):
@@ -201,17 +203,20 @@ def encode_blocks(ids: np.ndarray, n_ids: int) -> list[bytes]:
         share2, share1, share0 = _shares(mix)
         table = model.table.take(model.at(model.coded[begin:stop]), mode="clip")
         first, second = share2 << _CLASS_BITS, share1 << _CLASS_BITS
-        start = np.where(rest, first + second + (table >> 16) * share0, np.where(hit2, np.uint32(0), first)).astype(np.uint64)
-        size = np.where(rest, (table & 0xFFFF) * share0, np.where(hit2, first, second)).astype(np.uint64)
+        start, size = first + second + (table >> 16) * share0, (table & 0xFFFF) * share0
+        few = (known >= _HIT2).ravel().nonzero()[0]  # coded by a follower
+        hit2, own = (known.ravel().take(few) & _HIT2) > 0, first.ravel().take(few)
+        start.ravel()[few], size.ravel()[few] = own * ~hit2, np.where(hit2, own, second.ravel().take(few))
+        start, size = start.astype(np.uint64), size.astype(np.uint64)
         for add, times in zip(start, size):
             width >>= _TOTAL
             add *= width
             low += add
             width *= times
-            carry = low < add
-            if carry.any():
-                words[end[carry] - lanes] += _U1
-            who = np.flatnonzero(width < _SHORT)
+            who = (low < add).nonzero()[0]  # a carry
+            if len(who):
+                words[end.take(who) - lanes] += _U1
+            who = (width < _SHORT).nonzero()[0]
             if len(who):
                 own, place = low.take(who), end.take(who)
                 words[place] = own >> _WORD
@@ -328,8 +333,11 @@ def decode_blocks(data: list[bytes], steps: int, n_ids: int) -> np.ndarray:
         np.bitwise_xor(last[1], before, out=last[0])
         places = by_follower + np.multiply(last, 2 * lanes, dtype=np.int64).ravel()
         before = hashed >> 16
-    out >>= 4
-    return np.ascontiguousarray(out.T)
+    ids = np.empty((lanes, steps), np.int32)
+    for at in range(0, lanes, _ROWS):
+        part = slice(at, at + _ROWS)
+        np.right_shift(out[:, part].T, 4, out=ids[part])
+    return ids
 
 
 def _checksum(ids: np.ndarray) -> int:
@@ -383,7 +391,7 @@ class TextEncoder:
     """Ids of texts as the tokenizer gives them: word by word, but whole where a text holds one of its control strings."""
 
     def __init__(self, content: str):
-        self.words, self.whole = WordIds(tokenizer_encoder(content), KNOWN_WORDS, np.int32), _tokenizer(content, plain=False)
+        self.words, self.whole = WordIds(tokenizer_ids(content), KNOWN_WORDS, np.int32), _tokenizer(content, plain=False)
         self.control = [t["content"] for t in json.loads(content).get("added_tokens") or []]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -434,14 +442,31 @@ def tokenizer_encoder(content: str) -> Callable[[list[bytes]], list[list[int]]]:
     as the lines of one text: a line feed is a pre-token of its own before and after whatever doesn't end in white
     space, so its id parts their ids. White space, and lines that don't come out as many as they went in, are encoded one by one.
     """
+    ids = tokenizer_ids(content)
+
+    def encode(words: list[bytes]) -> list[list[int]]:
+        flat, sizes = ids(words)
+        return _cut(flat.tolist(), sizes.tolist())
+
+    return encode
+
+
+def _cut(flat: list[int], sizes: list[int]) -> list[list[int]]:
+    ends = list(accumulate(sizes))
+    return [flat[end - size : end] for end, size in zip(ends, sizes)]
+
+
+def tokenizer_ids(content: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    """Like ``tokenizer_encoder``, but the ids of all words one after another, and how many each has: no list per word."""
     model = _word_model(content)
     letters = np.zeros(256, "<u2")
     letters[list(byte_letters().values())] = [ord(c) for c in byte_letters()]
 
-    def merged(words: list[bytes], data: np.ndarray) -> list[list[int]]:
+    def merged(words: list[bytes], data: np.ndarray) -> tuple[list[int], list[int]]:
         ends = np.fromiter(accumulate(map(len, words)), np.int64, len(words))
         text = np.insert(letters[data], ends[:-1], ord("\n"))  # no letter is a line feed
-        return [[t.id for t in model.tokenize(word)] for word in text.tobytes().decode("utf-16-le").split("\n")]
+        found = list(map(model.tokenize, text.tobytes().decode("utf-16-le").split("\n")))
+        return list(map(_ID, chain.from_iterable(found))), list(map(len, found))
 
     def one_by_one(words: list[str]) -> list[list[int]]:
         return [e.ids for e in _tokenizer(content).encode_batch_fast(words, add_special_tokens=False)]
@@ -465,22 +490,22 @@ def tokenizer_encoder(content: str) -> Callable[[list[bytes]], list[list[int]]]:
         joined, alone = iter(lines([w for w, x in zip(part, white) if not x])), iter(one_by_one([w for w, x in zip(part, white) if x]))
         return [next(alone if x else joined) for x in white]
 
-    def encode(words: list[bytes]) -> list[list[int]]:
-        out: list[list[int]] = []
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for at in range(0, len(words), PART):
             part = words[at : at + PART]
-            if model is None:
-                out += whole(part)
-                continue
             data = np.frombuffer(b"".join(part), np.uint8)
-            if data.max(initial=0) < _SETTLED and not (data == ord("\n")).any():
-                out += merged(part, data)
-                continue
-            settled = [(w.isascii() or max(w) < _SETTLED) and (b"\n" not in w or w.isspace()) for w in part]
-            some = [w for w, x in zip(part, settled) if x]
-            bare, rest = iter(merged(some, np.frombuffer(b"".join(some), np.uint8)) if some else []), iter(whole([w for w, x in zip(part, settled) if not x]))
-            out += [next(bare if x else rest) for x in settled]
-        return out
+            if model and data.max(initial=0) < _SETTLED and not (data == ord("\n")).any():
+                ids, n = merged(part, data)
+            else:
+                settled = [bool(model) and (w.isascii() or max(w) < _SETTLED) and (b"\n" not in w or w.isspace()) for w in part]
+                some = [w for w, x in zip(part, settled) if x]
+                bare, rest = iter(_cut(*merged(some, np.frombuffer(b"".join(some), np.uint8))) if some else []), iter(whole([w for w, x in zip(part, settled) if not x]))
+                found = [next(bare if x else rest) for x in settled]
+                ids, n = list(chain.from_iterable(found)), list(map(len, found))
+            flat.append(np.array(ids, np.int32))
+            sizes.append(np.array(n, np.int64))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     return encode
 

@@ -13,8 +13,18 @@ from gradeloom.llm.bpe import ragged
 KNOWN_WORDS = 1 << 18  # distinct words a task remembers
 
 
+def appended(store: np.ndarray, n: int, new: np.ndarray) -> np.ndarray:
+    """The first ``n`` values and the new ones, with room for more behind them, so that values are seldom copied."""
+    if n + len(new) > len(store):
+        store = np.concatenate((store[:n], new, np.empty(n + len(new), store.dtype)))
+    store[n : n + len(new)] = new
+    return store
+
+
 class WordIds:
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], known: int = KNOWN_WORDS, kind: type = np.int64):
+    """``encode`` gives the ids of each word, or the ids of all words and how many each has."""
+
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]] | tuple[np.ndarray, np.ndarray]], known: int = KNOWN_WORDS, kind: type = np.int64):
         self.encode, self.known, self.kind = encode, known, kind
         self._forget()
 
@@ -36,11 +46,16 @@ class WordIds:
         if len(unknown):
             new = [distinct[k] for k in unknown.tolist()]
             found = self.encode(new)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), self.kind, int(sizes.sum()))
-            number[unknown] = np.arange(len(self.number), len(self.number) + len(new))
+            if isinstance(found, tuple):
+                flat, sizes = found
+            else:
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                flat = np.fromiter(chain.from_iterable(found), self.kind, int(sizes.sum()))
+            n = len(self.number)
+            number[unknown] = np.arange(n, n + len(new))
             self.number.update(zip(new, number[unknown].tolist()))
-            self.flat, self.starts = np.concatenate((self.flat, flat)), np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
+            end = int(self.starts[n])
+            self.flat, self.starts = appended(self.flat, end, flat), appended(self.starts, n + 1, end + np.cumsum(sizes))
             self._learned(new, flat, sizes)
         return number[code]
 

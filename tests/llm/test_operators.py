@@ -25,6 +25,7 @@ from tokenizers import Tokenizer
 
 from gradeloom.llm import bpe, chat, decontaminate, licenses, near_dup, quality, suffix_tree, token_files, toxicity, urls
 from gradeloom.llm.dictionary import Block, pack
+from gradeloom.llm.word_ids import WordIds
 
 WORDS = "the of and river stone lamp idiot über Ça naïve 12 a,b don't we'll x'll #tag $5 <p> | ...".split()
 
@@ -514,6 +515,20 @@ def test_the_model_takes_words_as_the_whole_tokenizer_does(monkeypatch):
     assert token_files._word_model(json.dumps(other)) is None
 
 
+def test_word_ids_come_as_one_array():
+    content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [f" w{k % 700}é".encode() for k in range(3 * token_files.PART)] + ["漢".encode(), b"\n", b"x\ny", b""]
+    flat, sizes = token_files.tokenizer_ids(content)(words)
+    want = token_files.tokenizer_encoder(content)(words)
+    assert flat.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
+    by_list, by_array = (WordIds(f(content), known=900, kind=np.int32) for f in (token_files.tokenizer_encoder, token_files.tokenizer_ids))
+    for at in (0, 650, 10, 5000, 0):  # words are remembered, added and forgotten
+        part = pa.array([w + b"%d" % (k % 450) for k, w in enumerate(words[at : at + 600])], pa.large_binary())
+        for found in (by_list, by_array):
+            ids, sizes = found.ids(found.numbers(part))
+            assert ids.tolist() == sum(token_files.tokenizer_encoder(content)(part.to_pylist()), []) and len(sizes) == len(part)
+
+
 def test_tasks_of_a_worker_share_known_words():
     content = token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     first = token_files._text_encoder(content)
