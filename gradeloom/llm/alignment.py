@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from gradeloom.llm.bpe import pre_tokens, ragged
 from gradeloom.llm.dictionary import stored_packed
 from gradeloom.llm.textbatch import byte_array, slices, text_bytes
-from gradeloom.llm.token_files import byte_letters, tokenizer_encoder
+from gradeloom.llm.token_files import byte_letters, tokenizer_ids
 from gradeloom.llm.word_ids import WordIds
 
 BLOCK_BYTES = 8 << 20
@@ -221,7 +221,7 @@ class Aligned:
 
 class Aligner:
     def __init__(self, left: str, right: bytes):
-        self.left = Vocabulary(tokenizer_encoder(left), left_tokens(left))
+        self.left = Vocabulary(tokenizer_ids(left), left_tokens(left))
         self.right = Vocabulary(piece_encoder(right), right_tokens(right))
         self.cut = words_stand_alone(right)
 
